@@ -157,3 +157,224 @@ FROM mart WHERE rating IS NOT NULL
 ORDER BY rating DESC NULLS FIRST, ratings_count DESC NULLS FIRST, reviews_count DESC NULLS FIRST,
          game_name ASC NULLS LAST, rawg_game_id ASC NULLS LAST
 LIMIT 25"""
+
+LATEST_RUN = "(SELECT max(snap) FROM gl)"
+
+
+def _latest(cte_sql: str, name: str, cols: str = "*") -> str:
+    return "WITH " + cte_sql + f"\nSELECT {cols} FROM {name} WHERE extracted_at_utc = {LATEST_RUN}"
+
+
+ISO_UTC = "'%Y-%m-%dT%H:%M:%SZ'"
+ISO_DATE = "'%Y-%m-%d'"
+STAMP = "'%Y%m%dT%H%M%SZ'"
+
+
+def _key(src: str, ts: str) -> str:
+    return ("'raw/source=' || {s} || '/extract_date=' || strftime({t}, {d}) || '/' || "
+            "CASE {s} WHEN 'rawg' THEN 'rawg_games' WHEN 'steam' THEN 'steam_apps' END || '_' || "
+            "strftime({t}, {st}) || '.json'").format(s=src, t=ts, d=ISO_DATE, st=STAMP)
+
+
+AUDIT = """audit AS (
+  SELECT src AS source, {key} AS s3_key,
+         CASE src WHEN 'rawg' THEN 'RAWG_GAMES_RAW' ELSE 'STEAM_GAMES_RAW' END AS target_table,
+         CAST(CASE WHEN o_orderstatus = 'P' THEN 0 ELSE floor(o_totalprice / 1000) END AS BIGINT) AS rows_loaded,
+         CASE o_orderstatus WHEN 'F' THEN 'loaded' WHEN 'P' THEN 'skipped_existing' WHEN 'O' THEN 'reloaded' END
+           AS status,
+         CAST(o_orderdate + to_seconds(o_orderkey % 86400) AS TIMESTAMP) AS loaded_at
+  FROM (SELECT *, CASE WHEN o_orderpriority < '3' THEN 'steam' ELSE 'rawg' END AS src FROM orders) o
+)""".format(key=_key("src", "o_orderdate"))
+
+CANDIDATES = """cand AS (
+  SELECT src AS source, {key} AS s3_key, CAST(count(*) AS BIGINT) AS rows_loaded, day,
+         CASE src WHEN 'rawg' THEN 'RAWG_GAMES_RAW' ELSE 'STEAM_GAMES_RAW' END AS target_table
+  FROM (SELECT CASE WHEN l_returnflag = 'R' THEN 'steam' ELSE 'rawg' END AS src,
+               CAST(date_trunc('day', l_shipdate) AS TIMESTAMP) AS day FROM lineitem) x
+  GROUP BY src, day
+)""".format(key=_key("src", "day"))
+
+LOADED_AT = "TIMESTAMP '2026-01-01 09:00:00'"
+
+SQL["env_build"] = f"""
+SELECT 'rawg' AS source, strftime(date_trunc('month', o_orderdate), {ISO_UTC}) AS extracted_at_utc,
+       o_orderkey, o_orderstatus, o_totalprice, o_orderpriority, strftime(o_orderdate, {ISO_DATE}) AS order_date
+FROM orders"""
+
+SQL["landing_key"] = f"""
+SELECT o_orderkey, src AS source, strftime(o_orderdate, {ISO_UTC}) AS extracted_at_utc,
+       strftime(o_orderdate, {ISO_DATE}) AS extract_date, strftime(o_orderdate, {STAMP}) AS file_stamp,
+       {_key('src', 'o_orderdate')} AS s3_key,
+       substr({_key('src', 'o_orderdate')}, 5) AS relative_key
+FROM (SELECT *, CASE WHEN o_orderpriority < '3' THEN 'steam' ELSE 'rawg' END AS src FROM orders) o"""
+
+SQL["landing_roundtrip"] = f"""
+SELECT 'rawg' AS source, strftime(date_trunc('month', o_orderdate), {ISO_DATE}) AS extract_date,
+       o_orderkey, o_totalprice
+FROM orders"""
+
+SQL["landing_gate"] = "WITH " + AUDIT + ",\n" + CANDIDATES + """
+SELECT DISTINCT a.s3_key,
+       CASE WHEN EXISTS (SELECT 1 FROM cand c WHERE c.s3_key = a.s3_key) THEN 'skipped_existing' ELSE 'uploaded' END
+         AS upload_status
+FROM audit a"""
+
+SQL["raw_copy"] = "WITH " + GL + f"""
+SELECT 'rawg' AS source, snap AS extracted_at, {LOADED_AT} AS loaded_at, CAST(count(*) AS BIGINT) AS entries
+FROM gl GROUP BY snap"""
+
+_ITEM_NAME = ("CASE WHEN p_size = 49 THEN NULL WHEN p_partkey % 4 = 0 THEN lower(p_name) "
+              "WHEN p_partkey % 4 = 1 THEN upper(p_name) WHEN p_partkey % 4 = 2 THEN p_name || '  ' ELSE p_name END")
+_CATEGORY = """CASE l_returnflag WHEN 'A' THEN 'specials' WHEN 'R' THEN 'top_sellers' WHEN 'N' THEN 'new_releases' END
+         AS category_key,
+       CASE l_returnflag WHEN 'A' THEN 'Specials' WHEN 'R' THEN 'Top Sellers' WHEN 'N' THEN 'New Releases' END
+         AS category_name"""
+
+SQL["category_flatten"] = "WITH " + GL + f"""
+SELECT snap AS extracted_at, {_CATEGORY}, CAST(100000 + p_partkey AS BIGINT) AS steam_app_id,
+       {_ITEM_NAME} AS game_name, CAST(l_orderkey * 100 + l_linenumber AS BIGINT) AS seq
+FROM gl"""
+
+CURSOR = 101000
+SQL["category_cursor"] = SQL["category_flatten"] + f"\nWHERE 100000 + p_partkey > {CURSOR}"
+
+SQL["category_head_n"] = "WITH " + GL + f""",
+items AS (
+  SELECT snap AS extracted_at,
+         CASE l_returnflag WHEN 'A' THEN 0 WHEN 'R' THEN 1 WHEN 'N' THEN 2 END AS cat_pos,
+         {_CATEGORY}, CAST(100000 + p_partkey AS BIGINT) AS steam_app_id,
+         CAST(l_orderkey * 100 + l_linenumber AS BIGINT) AS seq
+  FROM gl
+)
+SELECT extracted_at, category_key, steam_app_id, seq,
+       CAST(row_number() OVER (PARTITION BY extracted_at ORDER BY cat_pos, seq, steam_app_id) AS INTEGER) AS item_rank,
+       CAST(count(*) OVER (PARTITION BY extracted_at) AS BIGINT) AS total_available
+FROM items
+QUALIFY row_number() OVER (PARTITION BY extracted_at ORDER BY cat_pos, seq, steam_app_id) <= 200"""
+
+SQL["json_extract"] = """
+SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, json_extract_string(props, '$.k') AS k_text,
+       CAST(json_extract(props, '$.k') AS DOUBLE) AS k_double, CAST(NULL AS VARCHAR) AS missing
+FROM events"""
+
+SQL["latest_snapshot"] = "WITH " + GL + f"""
+SELECT snap AS extracted_at, CAST(p_partkey AS BIGINT) AS rawg_game_id, CAST(count(*) AS BIGINT) AS n_entries
+FROM gl WHERE snap = {LATEST_RUN} GROUP BY 1, 2"""
+
+SQL["flatten_one"] = "WITH " + GL + f"""
+SELECT snap AS extracted_at, CAST(p_partkey AS BIGINT) AS rawg_game_id, {GAME_NAME} AS game_name,
+       CASE WHEN p_size % 10 = 0 THEN NULL ELSE CAST(p_size AS DOUBLE) / 10 END AS rating
+FROM gl"""
+
+SQL["flatten_nested"] = _latest(GL + ",\n" + GENRES_ALL, "genres_all")
+SQL["stg_games"] = _latest(GL + ",\n" + GAMES_ALL, "games_all")
+SQL["stg_children"] = _latest(GL + ",\n" + PLATFORMS_ALL, "platforms_all")
+SQL["stg_offers"] = _latest(GL + ",\n" + OFFERS_ALL, "offers_all")
+SQL["stg_audit"] = "WITH " + AUDIT + "\nSELECT * FROM audit"
+
+SQL["dedup_latest"] = """
+SELECT * FROM orders
+QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1"""
+
+SQL["epoch_to_ts"] = """
+SELECT event_id, CAST(floor(epoch(ts)) AS BIGINT) AS epoch_seconds,
+       make_timestamp(CAST(floor(epoch(ts)) AS BIGINT) * 1000000) AS ts_seconds
+FROM events"""
+
+SQL["cents_to_money"] = """
+SELECT l_orderkey, l_linenumber, CAST(floor(l_extendedprice * 100) AS BIGINT) AS cents,
+       CAST(CAST(floor(l_extendedprice * 100) AS DECIMAL(38,0)) / 100.0 AS DECIMAL(38,6)) AS usd
+FROM lineitem"""
+
+SQL["name_rollup"] = "WITH " + ",\n".join([GL, OFFERS_ALL, STORE_ROLLUP]) + f"""
+SELECT * EXCLUDE (extracted_at_utc) FROM store_rollup WHERE extracted_at_utc = {LATEST_RUN}"""
+
+SQL["child_listagg"] = """
+SELECT o_custkey, string_agg(DISTINCT o_orderpriority, ', ' ORDER BY o_orderpriority) AS priorities
+FROM orders GROUP BY o_custkey"""
+
+SQL["child_rollup"] = """
+SELECT l_partkey, CAST(count(DISTINCT s_name) AS BIGINT) AS supplier_count,
+       string_agg(DISTINCT s_name, ', ' ORDER BY s_name) AS suppliers
+FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY l_partkey"""
+
+SQL["name_join"] = "WITH " + ",\n".join([GL, OFFERS_ALL, STORE_ROLLUP]) + f""",
+latest_rollup AS (SELECT * FROM store_rollup WHERE extracted_at_utc = {LATEST_RUN})
+SELECT p.p_partkey, p.p_name, r.steam_app_id, r.steam_category_name, r.steam_final_price_usd
+FROM part p LEFT JOIN latest_rollup r ON lower(trim(p.p_name)) = r.game_name_key"""
+
+SQL["mart_coverage"] = "WITH " + GL + ",\n" + PLATFORMS_ALL + f"""
+SELECT platform_name, CAST(count(DISTINCT rawg_game_id) AS BIGINT) AS game_count,
+       avg(CASE WHEN released_at IS NOT NULL THEN 1 ELSE 0 END) AS pct_with_platform_release_date,
+       max(extracted_at_utc) AS latest_extract_at_utc
+FROM platforms_all WHERE extracted_at_utc = {LATEST_RUN}
+GROUP BY platform_name
+ORDER BY game_count DESC NULLS FIRST, platform_name ASC NULLS LAST"""
+
+SQL["mart_roundtrip"] = SQL["mart_coverage"]
+
+SQL["mart_load_summary"] = "WITH " + AUDIT + """
+SELECT CAST(date_trunc('day', loaded_at) AS TIMESTAMP) AS load_date, source, target_table,
+       CAST(count(*) AS BIGINT) AS load_attempts,
+       CAST(sum(CASE WHEN status = 'loaded' THEN 1 ELSE 0 END) AS BIGINT) AS successful_loads,
+       CAST(sum(CASE WHEN status = 'skipped_existing' THEN 1 ELSE 0 END) AS BIGINT) AS skipped_existing_loads,
+       CAST(sum(rows_loaded) AS BIGINT) AS total_rows_loaded, max(loaded_at) AS latest_loaded_at
+FROM audit GROUP BY 1, 2, 3
+ORDER BY load_date DESC NULLS FIRST, source ASC NULLS LAST, target_table ASC NULLS LAST"""
+
+MERGE_SPLIT_TARGET = "1999-01-01"
+MERGE_SPLIT_UPDATES = "1998-01-01"
+SQL["merge_upsert"] = f"""
+WITH t AS (
+  SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice FROM orders WHERE o_orderdate < TIMESTAMP '{MERGE_SPLIT_TARGET}'
+  QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1
+), u AS (
+  SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice FROM orders WHERE o_orderdate >= TIMESTAMP '{MERGE_SPLIT_UPDATES}'
+  QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1
+)
+SELECT * FROM u
+UNION ALL
+SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM u WHERE u.o_custkey = t.o_custkey)"""
+
+SQL["merge_fold"] = """
+WITH snaps AS (
+  SELECT o_custkey, CAST(date_trunc('year', o_orderdate) AS TIMESTAMP) AS snapshot_at,
+         CAST(count(*) AS BIGINT) AS n_orders, max(o_totalprice) AS max_totalprice, max(o_orderdate) AS last_orderdate
+  FROM orders GROUP BY 1, 2
+)
+SELECT * FROM snaps QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY snapshot_at DESC) = 1"""
+
+SQL["already_loaded"] = "WITH " + AUDIT + ",\n" + CANDIDATES + """
+SELECT source, s3_key, target_table, rows_loaded FROM cand c
+WHERE NOT EXISTS (SELECT 1 FROM audit a WHERE a.status = 'loaded' AND a.source = c.source
+                  AND a.s3_key = c.s3_key AND a.target_table = c.target_table)"""
+
+_PLAN = """
+SELECT c.source, c.s3_key, c.target_table,
+       CAST({rows} AS BIGINT) AS rows_loaded, {status} AS status, {ts} AS loaded_at
+FROM cand c
+LEFT JOIN (SELECT DISTINCT source, s3_key, target_table, TRUE AS was FROM audit WHERE status = 'loaded') d
+  ON c.source = d.source AND c.s3_key = d.s3_key AND c.target_table = d.target_table"""
+
+SQL["load_plan"] = "WITH " + AUDIT + ",\n" + CANDIDATES + _PLAN.format(
+    rows="CASE WHEN d.was THEN 0 ELSE c.rows_loaded END",
+    status="CASE WHEN d.was THEN 'skipped_existing' ELSE 'loaded' END", ts=LOADED_AT)
+
+BACKFILL_MONTH = "1998-03"
+SQL["backfill_replay"] = "WITH " + AUDIT + ",\n" + CANDIDATES + _PLAN.format(
+    rows="c.rows_loaded", status="'reloaded'", ts=LOADED_AT) + f"\nWHERE strftime(c.day, '%Y-%m') = '{BACKFILL_MONTH}'"
+
+SQL["kpi_release_trend"] = "WITH " + MART_CTES + """
+SELECT CAST(date_trunc('month', released_date) AS DATE) AS release_month, CAST(count(*) AS BIGINT) AS game_count
+FROM mart GROUP BY 1"""
+
+SQL["kpi_rating_by_genre"] = "WITH " + MART_CTES + """
+SELECT genre, round(avg(rating), 6) AS avg_rating, CAST(count(*) AS BIGINT) AS game_count,
+       CAST(count(rating) AS BIGINT) AS rated_games
+FROM (SELECT unnest(string_split(genres, ', ')) AS genre, rating FROM mart) x GROUP BY genre"""
+
+SQL["kpi_catalog_growth"] = "WITH " + GL + """,
+per AS (SELECT snap AS extracted_at, CAST(count(DISTINCT p_partkey) AS BIGINT) AS game_count FROM gl GROUP BY snap)
+SELECT extracted_at, game_count, lag(game_count) OVER (ORDER BY extracted_at) AS prev_game_count,
+       game_count - coalesce(lag(game_count) OVER (ORDER BY extracted_at), 0) AS delta_games
+FROM per"""

@@ -42,3 +42,338 @@ def q_mart_games(spark, sf_dir):
 def q_mart_top_n(spark, sf_dir):
     """Top 25 rated games of the accumulated mart."""
     return marts.mart_top_rated_games(accumulated_mart(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- sources (S)
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from snapmart.functions import iso_date  # noqa: E402
+from snapmart.functions.variant import as_double, as_number, as_string  # noqa: E402
+from snapmart.operators.flatten import flatten  # noqa: E402
+from snapmart.session import fresh_dir  # noqa: E402
+from snapmart.sources import category, jsonscan, landing  # noqa: E402
+from snapmart.plans import oracle  # noqa: E402
+
+LOADED_AT = "2026-01-01 09:00:00"
+
+
+def _order_fields(df, item: str = "game"):
+    return [as_number(item, "$.id").alias("o_orderkey"), as_string(item, "$.status").alias("o_orderstatus"),
+            as_double(item, "$.totalprice").alias("o_totalprice"),
+            as_string(item, "$.priority").alias("o_orderpriority"), as_string(item, "$.order_date").alias("order_date")]
+
+
+@register("env_build")
+def q_env_build(spark, sf_dir):
+    """Orders wrapped into envelopes, parsed back, fields read from the VARIANT."""
+    env = world.order_envelopes(spark, sf_dir).select(F.parse_json("body").alias("doc"))
+    env = env.select(as_string("doc", "$.source").alias("source"),
+                     as_string("doc", "$.extracted_at_utc").alias("extracted_at_utc"), "doc")
+    flat = flatten(env, "doc", "$.payload.results", "game", keep=["source", "extracted_at_utc"])
+    return flat.select("source", "extracted_at_utc", *_order_fields(flat))
+
+
+@register("landing_key")
+def q_landing_key(spark, sf_dir):
+    """Run context and landing key per order."""
+    o = world.table(spark, sf_dir, "orders")
+    src = F.when(F.col("o_orderpriority") < "3", F.lit("steam")).otherwise(F.lit("rawg"))
+    ctx = o.select("o_orderkey", src.alias("source"), *landing.run_context("o_orderdate"))
+    key = landing.landing_key("source", "extract_date", "file_stamp")
+    return ctx.withColumn("s3_key", key).withColumn("relative_key", landing.relative_key("s3_key"))
+
+
+@register("landing_roundtrip")
+def q_landing_roundtrip(spark, sf_dir):
+    """Envelopes written as partitioned JSON Lines, read back as VARIANT."""
+    root = fresh_dir(spark, "landing")
+    env = world.order_envelopes(spark, sf_dir).withColumn("extract_date", iso_date("extracted_at"))
+    landing.write_landing(env, root)
+    scan = jsonscan.scan_landing(spark, root)
+    flat = flatten(scan, "payload", "$.payload.results", "game", keep=["source", "extract_date"])
+    return flat.select("source", "extract_date", as_number("game", "$.id").alias("o_orderkey"),
+                       as_double("game", "$.totalprice").alias("o_totalprice"))
+
+
+@register("landing_gate")
+def q_landing_gate(spark, sf_dir):
+    """Candidate keys of a run against the keys already landed (set-wise)."""
+    cands = world.audit_log(spark, sf_dir).select("s3_key").distinct()
+    existing = world.candidate_files(spark, sf_dir).select("s3_key")
+    return landing.gate(cands, existing, force=False).select("s3_key", "upload_status")
+
+
+@register("raw_copy")
+def q_raw_copy(spark, sf_dir):
+    """Land the game envelopes, bulk-copy them into a raw table."""
+    root = fresh_dir(spark, "landing")
+    env = world.envelope_keys(world.rawg_envelopes(spark, sf_dir))
+    landing.write_landing(env, root)
+    raw = jsonscan.to_raw(jsonscan.scan_landing(spark, root, source="rawg"), source="rawg", loaded_at=LOADED_AT,
+                          root=root)
+    n = F.size(F.variant_get("payload", "$.payload.results", "array<variant>"))
+    return raw.groupBy("source", "extracted_at", "loaded_at").agg(F.sum(n).cast("bigint").alias("entries"))
+
+
+def _store_items(spark, sf_dir):
+    docs = world.store_documents(spark, sf_dir)
+    return category.flatten_categories(docs, "doc", keep=["extracted_at", "doc_no"])
+
+
+def _item_cols():
+    return [as_number("item", "$.id").alias("steam_app_id"), as_string("item", "$.name").alias("game_name"),
+            as_number("item", "$.seq").alias("seq")]
+
+
+@register("category_flatten")
+def q_category_flatten(spark, sf_dir):
+    """Category map → items in document order, scalar entries skipped."""
+    it = _store_items(spark, sf_dir)
+    return it.select("extracted_at", "category_key", "category_name", *_item_cols())
+
+
+@register("category_cursor")
+def q_category_cursor(spark, sf_dir):
+    """Only items after the cursor id."""
+    it = category.after_cursor(_store_items(spark, sf_dir), oracle.CURSOR)
+    return it.select("extracted_at", "category_key", "category_name", *_item_cols())
+
+
+@register("category_head_n")
+def q_category_head_n(spark, sf_dir):
+    """First 200 items per snapshot in document order, with the total."""
+    it = _store_items(spark, sf_dir).select("extracted_at", "cat_pos", "category_key", *_item_cols())
+    head = category.head_with_total(it, ["extracted_at"], [F.col("cat_pos"), F.col("seq"), F.col("steam_app_id")], 200)
+    return head.select("extracted_at", "category_key", "steam_app_id", "seq", "item_rank", "total_available")
+
+
+# ------------------------------------------------------- projections (P, F)
+
+@register("json_extract")
+def q_json_extract(spark, sf_dir):
+    """Typed paths out of a JSON column; a missing path is NULL."""
+    ev = world.table(spark, sf_dir, "events").select("event_id", F.parse_json("props").alias("v"))
+    return ev.select("event_id", as_number("v", "$.k").alias("k"), as_string("v", "$.k").alias("k_text"),
+                     as_double("v", "$.k").alias("k_double"), as_string("v", "$.missing").alias("missing"))
+
+
+@register("epoch_to_ts")
+def q_epoch_to_ts(spark, sf_dir):
+    """epoch seconds → timestamp_ntz."""
+    from snapmart.functions.timefmt import epoch_to_ntz
+    ev = world.table(spark, sf_dir, "events")
+    secs = F.unix_seconds(F.col("ts").cast("timestamp"))
+    return ev.select("event_id", secs.alias("epoch_seconds"), epoch_to_ntz(secs).alias("ts_seconds"))
+
+
+@register("cents_to_money")
+def q_cents_to_money(spark, sf_dir):
+    """integer cents → decimal(38,6) dollars."""
+    from snapmart.functions.money import cents_to_usd
+    li = world.table(spark, sf_dir, "lineitem")
+    cents = F.floor(F.col("l_extendedprice") * 100).cast("bigint")
+    return li.select("l_orderkey", "l_linenumber", cents.alias("cents"), cents_to_usd(cents).alias("usd"))
+
+
+# ------------------------------------------------------- snapshot + unnest
+
+@register("latest_snapshot")
+def q_latest_snapshot(spark, sf_dir):
+    """Only the latest snapshot's envelopes; entries per game."""
+    from snapmart.operators.snapshot import latest_snapshot
+    raw = latest_snapshot(world.raw_tables(spark, sf_dir)["rawg"])
+    flat = flatten(raw, "payload", "$.payload.results", "game", keep=["extracted_at"])
+    return (flat.groupBy("extracted_at", as_number("game", "$.id").alias("rawg_game_id"))
+            .agg(F.count(F.lit(1)).alias("n_entries")))
+
+
+@register("flatten_one")
+def q_flatten_one(spark, sf_dir):
+    """Every game entry of every snapshot."""
+    flat = staging.flattened_games(world.raw_tables(spark, sf_dir)["rawg"], per_snapshot=True)
+    return flat.select("extracted_at", as_number("game", "$.id").alias("rawg_game_id"),
+                       as_string("game", "$.name").alias("game_name"), as_double("game", "$.rating").alias("rating"))
+
+
+@register("flatten_nested")
+def q_flatten_nested(spark, sf_dir):
+    """stg_rawg_game_genres."""
+    return staging.stg_rawg_game_genres(world.raw_tables(spark, sf_dir)["rawg"])
+
+
+@register("stg_games")
+def q_stg_games(spark, sf_dir):
+    """stg_rawg_games."""
+    return staging.stg_rawg_games(world.raw_tables(spark, sf_dir)["rawg"])
+
+
+@register("stg_children")
+def q_stg_children(spark, sf_dir):
+    """stg_rawg_game_platforms."""
+    return staging.stg_rawg_game_platforms(world.raw_tables(spark, sf_dir)["rawg"])
+
+
+@register("stg_offers")
+def q_stg_offers(spark, sf_dir):
+    """stg_steam_featured_games."""
+    return staging.stg_steam_featured_games(world.raw_tables(spark, sf_dir)["steam"])
+
+
+@register("stg_audit")
+def q_stg_audit(spark, sf_dir):
+    """stg_raw_load_audit."""
+    return staging.stg_raw_load_audit(world.audit_log(spark, sf_dir))
+
+
+@register("dedup_latest")
+def q_dedup_latest(spark, sf_dir):
+    """Latest order per customer."""
+    from snapmart.operators.dedup import keep_first
+    o = world.table(spark, sf_dir, "orders")
+    return keep_first(o, ["o_custkey"], [F.col("o_orderdate").desc_nulls_first(), F.col("o_orderkey").desc_nulls_first()])
+
+
+# ---------------------------------------------------------- rollups + joins
+
+def _latest_offers(spark, sf_dir):
+    return staging.stg_steam_featured_games(world.raw_tables(spark, sf_dir)["steam"])
+
+
+@register("name_rollup")
+def q_name_rollup(spark, sf_dir):
+    """Store rollup per normalized name."""
+    from snapmart.operators.rollup import name_rollup
+    return name_rollup(_latest_offers(spark, sf_dir))
+
+
+@register("child_listagg")
+def q_child_listagg(spark, sf_dir):
+    """A3/O3: distinct sorted priorities per customer."""
+    from snapmart.operators.rollup import listagg_rollup
+    return listagg_rollup(world.table(spark, sf_dir, "orders"), ["o_custkey"], "o_orderpriority", "priorities")
+
+
+@register("child_rollup")
+def q_child_rollup(spark, sf_dir):
+    """A4/A5/K4: distinct supplier count and list per part."""
+    from snapmart.operators.rollup import count_and_list
+    li = world.table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey")
+    s = world.table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    j = li.join(s, F.col("l_suppkey") == F.col("s_suppkey"))
+    return count_and_list(j, ["l_partkey"], "s_name", "supplier_count", "suppliers")
+
+
+@register("name_join")
+def q_name_join(spark, sf_dir):
+    """Parts left-joined to the store rollup on the normalized name."""
+    from snapmart.operators.joins import left_join_on_name
+    from snapmart.operators.rollup import name_rollup
+    part = world.table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    r = name_rollup(_latest_offers(spark, sf_dir)).select(
+        "game_name_key", "steam_app_id", "steam_category_name", "steam_final_price_usd")
+    return left_join_on_name(part, r, "p_name", "game_name_key")
+
+
+@register("mart_coverage")
+def q_mart_coverage(spark, sf_dir):
+    """mart_platform_coverage."""
+    plats = staging.stg_rawg_game_platforms(world.raw_tables(spark, sf_dir)["rawg"])
+    return marts.mart_platform_coverage(plats)
+
+
+@register("mart_load_summary")
+def q_mart_load_summary(spark, sf_dir):
+    """mart_pipeline_load_summary."""
+    return marts.mart_pipeline_load_summary(staging.stg_raw_load_audit(world.audit_log(spark, sf_dir)))
+
+
+@register("mart_roundtrip")
+def q_mart_roundtrip(spark, sf_dir):
+    """Build the coverage mart twice as table versions; read the current one."""
+    from snapmart.sources import catalog
+    root = fresh_dir(spark, "mart_platform_coverage")
+    cov = q_mart_coverage(spark, sf_dir)
+    catalog.write_version(cov, root)
+    catalog.write_version(cov, root)
+    return catalog.read_current(spark, root)
+
+
+# ------------------------------------------------------------------ merges
+
+def _latest_order_per_customer(o):
+    from snapmart.operators.dedup import keep_first
+    return keep_first(o, ["o_custkey"], [F.col("o_orderdate").desc_nulls_first(), F.col("o_orderkey").desc_nulls_first()])
+
+
+@register("merge_upsert")
+def q_merge_upsert(spark, sf_dir):
+    """M1: keyed upsert of a newer customer state into an older one."""
+    from snapmart.operators.merge import upsert
+    o = world.table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
+    target = _latest_order_per_customer(o.where(F.col("o_orderdate") < F.lit(oracle.MERGE_SPLIT_TARGET).cast("timestamp_ntz")))
+    updates = _latest_order_per_customer(o.where(F.col("o_orderdate") >= F.lit(oracle.MERGE_SPLIT_UPDATES).cast("timestamp_ntz")))
+    return upsert(target, updates, "o_custkey")
+
+
+@register("merge_fold")
+def q_merge_fold(spark, sf_dir):
+    """M2: yearly customer snapshots folded into the accumulated state."""
+    from snapmart.operators.merge import fold_latest
+    o = world.table(spark, sf_dir, "orders")
+    snaps = o.groupBy("o_custkey", F.date_trunc("year", "o_orderdate").cast("timestamp_ntz").alias("snapshot_at")).agg(
+        F.count(F.lit(1)).alias("n_orders"), F.max("o_totalprice").alias("max_totalprice"),
+        F.max("o_orderdate").alias("last_orderdate"))
+    return fold_latest(snaps, "o_custkey", [F.col("snapshot_at").desc_nulls_first()], null_key_by=["snapshot_at"])
+
+
+# ------------------------------------------------------------- load audit
+
+@register("already_loaded")
+def q_already_loaded(spark, sf_dir):
+    """Candidate files without a ``loaded`` audit row."""
+    from snapmart.operators.joins import not_yet_loaded
+    from snapmart.operators.loads import target_table
+    cand = world.candidate_files(spark, sf_dir).withColumn("target_table", target_table("source"))
+    return not_yet_loaded(cand, world.audit_log(spark, sf_dir)).select("source", "s3_key", "target_table",
+                                                                        "rows_loaded")
+
+
+@register("load_plan")
+def q_load_plan(spark, sf_dir):
+    """M3–M6: statuses and row counts of a load run against the audit log."""
+    from snapmart.operators.loads import plan_loads
+    cand = world.candidate_files(spark, sf_dir).drop("day")
+    return plan_loads(cand, world.audit_log(spark, sf_dir), force=False, loaded_at=LOADED_AT)
+
+
+@register("backfill_replay")
+def q_backfill_replay(spark, sf_dir):
+    """M7: one chosen month replayed with force."""
+    from snapmart.operators.loads import plan_loads
+    cand = world.candidate_files(spark, sf_dir)
+    cand = cand.where(F.date_format("day", "yyyy-MM") == oracle.BACKFILL_MONTH).drop("day")
+    return plan_loads(cand, world.audit_log(spark, sf_dir), force=True, loaded_at=LOADED_AT)
+
+
+# ------------------------------------------------------------------- KPIs
+
+@register("kpi_release_trend")
+def q_kpi_release_trend(spark, sf_dir):
+    """K1: games by release month over the accumulated mart."""
+    from snapmart.plans import kpis
+    return kpis.release_trend(accumulated_mart(spark, sf_dir))
+
+
+@register("kpi_rating_by_genre")
+def q_kpi_rating_by_genre(spark, sf_dir):
+    """K2: average rating per genre over the accumulated mart."""
+    from snapmart.plans import kpis
+    return kpis.rating_by_genre(accumulated_mart(spark, sf_dir))
+
+
+@register("kpi_catalog_growth")
+def q_kpi_catalog_growth(spark, sf_dir):
+    """K5: distinct games per snapshot over all history, with the change."""
+    from snapmart.plans import kpis
+    return kpis.catalog_growth(world.raw_tables(spark, sf_dir)["rawg"])

@@ -220,3 +220,15 @@ def candidate_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = landing_key("source", iso_date("day"), file_stamp("day"))
     return (files.groupBy("source", "day").agg(F.count(F.lit(1)).alias("rows_loaded"))
             .select("source", key.alias("s3_key"), F.col("rows_loaded").cast("bigint"), "day"))
+
+
+def order_envelopes(spark: SparkSession, sf_dir: str, per_envelope: int = DEFAULT_PER_ENVELOPE) -> DataFrame:
+    """Orders as a monthly-snapshot source (S1 round trips): one entry per order."""
+    o = with_row_id(table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority", "o_orderdate"))
+    entry = F.struct(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"),
+                     F.col("o_totalprice").alias("totalprice"), F.col("o_orderpriority").alias("priority"),
+                     F.date_format("o_orderdate", "yyyy-MM-dd").alias("order_date"))
+    e = o.select("_row_id", F.date_trunc("month", "o_orderdate").cast("timestamp_ntz").alias("snap"),
+                 entry.alias("entry"))
+    return build_envelopes(e, "rawg", "snap", "entry", per_envelope=per_envelope)
