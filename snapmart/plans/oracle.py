@@ -378,3 +378,55 @@ per AS (SELECT snap AS extracted_at, CAST(count(DISTINCT p_partkey) AS BIGINT) A
 SELECT extracted_at, game_count, lag(game_count) OVER (ORDER BY extracted_at) AS prev_game_count,
        game_count - coalesce(lag(game_count) OVER (ORDER BY extracted_at), 0) AS delta_games
 FROM per"""
+
+# ------------------------------------------------------------------ checks
+MODEL_CTES = ",\n".join([MART_CTES, AUDIT, f"""
+stg_rawg_games AS (SELECT * FROM games_all WHERE extracted_at_utc = {LATEST_RUN}),
+stg_rawg_game_platforms AS (SELECT * FROM platforms_all WHERE extracted_at_utc = {LATEST_RUN}),
+stg_rawg_game_genres AS (SELECT * FROM genres_all WHERE extracted_at_utc = {LATEST_RUN}),
+stg_steam_featured_games AS (SELECT * FROM offers_all WHERE extracted_at_utc = {LATEST_RUN}),
+stg_raw_load_audit AS (SELECT * FROM audit),
+mart_games AS (SELECT * FROM mart),
+mart_platform_coverage AS (SELECT platform_name FROM stg_rawg_game_platforms GROUP BY platform_name),
+mart_top_rated_games AS (
+  SELECT rawg_game_id FROM mart WHERE rating IS NOT NULL
+  ORDER BY rating DESC NULLS FIRST, ratings_count DESC NULLS FIRST, reviews_count DESC NULLS FIRST,
+           game_name ASC NULLS LAST, rawg_game_id ASC NULLS LAST LIMIT 25),
+mart_pipeline_load_summary AS (
+  SELECT CAST(date_trunc('day', loaded_at) AS TIMESTAMP) AS load_date, source FROM audit GROUP BY 1, 2,
+         target_table)"""])
+
+
+def _check_rows(kind: str) -> str:
+    from snapmart.plans.checks import NOT_NULL, UNIQUE
+    parts = []
+    if kind in ("not_null", "all"):
+        for m, cols in NOT_NULL.items():
+            for c in cols:
+                parts.append(f"SELECT '{m}' AS model, '{c}' AS column_name, 'not_null' AS test, "
+                             f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS failures FROM {m}")
+    if kind in ("unique", "all"):
+        for m, cols in UNIQUE.items():
+            for c in cols:
+                parts.append(f"SELECT '{m}' AS model, '{c}' AS column_name, 'unique' AS test, "
+                             f"CAST((SELECT count(*) FROM (SELECT {c} FROM {m} WHERE {c} IS NOT NULL "
+                             f"GROUP BY {c} HAVING count(*) > 1)) AS BIGINT) AS failures")
+    body = "\nUNION ALL\n".join(parts)
+    return ("WITH " + MODEL_CTES + f"\nSELECT model, column_name, test, failures, "
+            f"CASE WHEN failures > 0 THEN 'fail' ELSE 'pass' END AS status FROM (\n{body}\n) r")
+
+
+SQL["dq_not_null"] = _check_rows("not_null")
+SQL["dq_unique"] = _check_rows("unique")
+SQL["dq_report"] = _check_rows("all")
+
+FRESHNESS_NOW = "2002-01-05 00:00:00"
+SQL["dq_freshness"] = "WITH " + GL + f""",
+m AS (SELECT max(snap) AS max_loaded_at FROM gl)
+SELECT src AS source, max_loaded_at,
+       CAST(epoch(TIMESTAMP '{FRESHNESS_NOW}') - epoch(max_loaded_at) AS DOUBLE) AS age_seconds,
+       CASE WHEN max_loaded_at IS NULL THEN 'error'
+            WHEN epoch(TIMESTAMP '{FRESHNESS_NOW}') - epoch(max_loaded_at) > 7 * 86400 THEN 'error'
+            WHEN epoch(TIMESTAMP '{FRESHNESS_NOW}') - epoch(max_loaded_at) > 2 * 86400 THEN 'warn'
+            ELSE 'pass' END AS status
+FROM m, (VALUES ('rawg'), ('steam')) AS s(src)"""

@@ -377,3 +377,42 @@ def q_kpi_catalog_growth(spark, sf_dir):
     """K5: distinct games per snapshot over all history, with the change."""
     from snapmart.plans import kpis
     return kpis.catalog_growth(world.raw_tables(spark, sf_dir)["rawg"])
+
+
+# ----------------------------------------------------------------- checks
+
+FRESHNESS_NOW = "2002-01-05 00:00:00"
+
+
+def _models(spark, sf_dir):
+    from snapmart.plans.run import build_models
+    raw = world.raw_tables(spark, sf_dir)
+    return build_models(raw["rawg"], raw["steam"], world.audit_log(spark, sf_dir), history=True)
+
+
+@register("dq_not_null")
+def q_dq_not_null(spark, sf_dir):
+    """Q1: not_null tests of all models."""
+    from snapmart.plans import checks
+    return checks.not_null_checks(_models(spark, sf_dir))
+
+
+@register("dq_unique")
+def q_dq_unique(spark, sf_dir):
+    """Q2: unique tests of the marts."""
+    from snapmart.plans import checks
+    return checks.unique_checks(_models(spark, sf_dir))
+
+
+@register("dq_freshness")
+def q_dq_freshness(spark, sf_dir):
+    """Q3: source freshness of both raw tables at a fixed clock."""
+    from snapmart.plans import checks
+    return checks.freshness_checks(world.raw_tables(spark, sf_dir), FRESHNESS_NOW)
+
+
+@register("dq_report")
+def q_dq_report(spark, sf_dir):
+    """Q4: every column test in one report."""
+    from snapmart.plans import checks
+    return checks.all_checks(_models(spark, sf_dir))
