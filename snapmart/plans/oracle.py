@@ -430,3 +430,6 @@ SELECT src AS source, max_loaded_at,
             WHEN epoch(TIMESTAMP '{FRESHNESS_NOW}') - epoch(max_loaded_at) > 2 * 86400 THEN 'warn'
             ELSE 'pass' END AS status
 FROM m, (VALUES ('rawg'), ('steam')) AS s(src)"""
+
+SQL["stream_load"] = "WITH " + GL + """
+SELECT 'rawg' AS source, snap AS extracted_at, CAST(count(*) AS BIGINT) AS entries FROM gl GROUP BY snap"""

@@ -416,3 +416,19 @@ def q_dq_report(spark, sf_dir):
     """Q4: every column test in one report."""
     from snapmart.plans import checks
     return checks.all_checks(_models(spark, sf_dir))
+
+
+# -------------------------------------------------------------- streaming
+
+@register("stream_load")
+def q_stream_load(spark, sf_dir):
+    """Optional: landed game files loaded once by an availableNow file stream."""
+    from snapmart.streaming.file_load import load_stream
+    landing_root = fresh_dir(spark, "landing")
+    landing.write_landing(world.envelope_keys(world.rawg_envelopes(spark, sf_dir)), landing_root)
+    raw_root, ckpt = fresh_dir(spark, "raw-stream"), fresh_dir(spark, "stream-ckpt")
+    load_stream(spark, landing_root, raw_root, ckpt, loaded_at=LOADED_AT, source="rawg")
+    load_stream(spark, landing_root, raw_root, ckpt, loaded_at=LOADED_AT, source="rawg")  # nothing new: no-op
+    raw = spark.read.parquet(raw_root)
+    n = F.size(F.variant_get("payload", "$.payload.results", "array<variant>"))
+    return raw.groupBy("source", "extracted_at").agg(F.sum(n).cast("bigint").alias("entries"))
