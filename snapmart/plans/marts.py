@@ -90,3 +90,72 @@ def mart_pipeline_load_summary(audit: DataFrame, sort: bool = True) -> DataFrame
     if sort:
         out = out.orderBy(desc_nulls_first("load_date"), asc_nulls_last("source"), asc_nulls_last("target_table"))
     return out
+
+
+def mart_games_fused(raw_rawg: DataFrame, offers: DataFrame, per_snapshot: bool = True) -> DataFrame:
+    """C6 in one pass over the game raw table (same rows as ``mart_games``).
+
+    The three game staging models read the same flattened entries.  Here each
+    entry is exploded once into the game itself (kind 0), its genres (kind 1)
+    and its platforms (kind 2); one ``row_number`` window deduplicates all three
+    (key: kind, run, game, child id — the keys of the three models), and one
+    aggregate per (run, game) yields the game columns, the genre list and the
+    platform count/list.  Scan, explode and shuffle happen once instead of three
+    times; partial window limits and partial aggregates still run before each
+    exchange, so a hot game is cut down map-side.
+    """
+    from snapmart.functions.variant import (as_bool, as_date, as_double, as_number, as_string, as_ts_ntz,
+                                            vpath)
+    from snapmart.operators.dedup import keep_first
+    from snapmart.plans import staging
+
+    flat = staging.flattened_games(raw_rawg, per_snapshot)
+
+    def kids(path: str, kind: int):
+        arr = F.coalesce(vpath("game", path, "array<variant>", strict=False), F.array().cast("array<variant>"))
+        return F.transform(arr, lambda x, i: F.struct(F.lit(kind).alias("kind"), i.alias("cpos"), x.alias("v")))
+
+    me = F.array(F.struct(F.lit(0).alias("kind"), F.lit(0).alias("cpos"), F.col("game").alias("v")))
+    rows = flat.select("extracted_at", "loaded_at", "s3_key", "game_pos", as_number("game", "$.id").alias("rawg_game_id"),
+                       F.explode(F.concat(me, kids("$.genres", 1), kids("$.platforms", 2))).alias("c"))
+    kind, v = F.col("c.kind"), F.col("c.v")
+    child_id = (F.when(kind == 1, as_number(v, "$.id")).when(kind == 2, as_number(v, "$.platform.id")))
+    rows = rows.select("extracted_at", "loaded_at", "s3_key", "game_pos", "rawg_game_id", kind.alias("kind"),
+                       F.col("c.cpos").alias("cpos"), child_id.alias("child_id"), v.alias("v"))
+    keys = (["extracted_at"] if per_snapshot else []) + ["kind", "rawg_game_id", "child_id"]
+    order = [F.col("extracted_at").desc_nulls_first(), F.col("loaded_at").desc_nulls_first(),
+             asc_nulls_last("s3_key"), asc_nulls_last("game_pos"), asc_nulls_last("cpos")]
+    dedup = keep_first(rows, keys, order)
+
+    is_game = F.col("kind") == 0
+    game = F.struct(
+        as_string("v", "$.slug").alias("slug"), as_string("v", "$.name").alias("game_name"),
+        as_date("v", "$.released").alias("released_date"), as_bool("v", "$.tba").alias("is_tba"),
+        as_double("v", "$.rating").alias("rating"), as_number("v", "$.ratings_count").alias("ratings_count"),
+        as_number("v", "$.reviews_count").alias("reviews_count"),
+        as_number("v", "$.metacritic").alias("metacritic_score"), as_number("v", "$.added").alias("added_count"),
+        as_number("v", "$.playtime").alias("playtime_hours"))
+    run = ["extracted_at"] if per_snapshot else []
+    agg = dedup.groupBy(*run, "rawg_game_id").agg(
+        F.max(F.when(is_game, game)).alias("g"),
+        F.max(F.when(is_game, F.col("extracted_at"))).alias("extracted_at_utc"),
+        F.array_sort(F.collect_set(F.when(F.col("kind") == 1, as_string("v", "$.name")))).alias("_genres"),
+        F.array_sort(F.collect_set(F.when(F.col("kind") == 2, as_string("v", "$.platform.name")))).alias("_plats"),
+        F.max(F.col("kind") == 1).alias("_has_genre"), F.max(F.col("kind") == 2).alias("_has_plat"))
+    games = agg.where(F.col("g").isNotNull()).select(
+        "rawg_game_id", "g.*", "extracted_at_utc",
+        F.when(F.col("_has_genre"), F.array_join("_genres", ", ")).alias("genres"),
+        F.when(F.col("_has_plat"), F.size("_plats").cast("bigint")).alias("platform_count"),
+        F.when(F.col("_has_plat"), F.array_join("_plats", ", ")).alias("platforms"))
+    store = name_rollup(offers, by=["extracted_at_utc"] if per_snapshot else [])
+    j = left_join_on_name(games, store, "game_name", "game_name_key",
+                          extra_keys=["extracted_at_utc"] if per_snapshot else [])
+    return j.select(
+        "rawg_game_id", "slug", "game_name", "released_date", "is_tba", "rating", "ratings_count", "reviews_count",
+        "metacritic_score", "added_count", "playtime_hours",
+        F.coalesce(F.col("genres"), F.lit("Unknown")).alias("genres"),
+        F.coalesce(F.col("platform_count"), F.lit(0).cast("bigint")).alias("platform_count"),
+        "platforms", "steam_app_id", "steam_category_name", "is_discounted_on_steam", "steam_discount_percent",
+        "steam_final_price_usd", "steam_windows_available", "steam_mac_available", "steam_linux_available",
+        "extracted_at_utc",
+    )

@@ -25,10 +25,8 @@ def build_models(raw_rawg: DataFrame, raw_steam: DataFrame, audit: DataFrame, hi
         "stg_raw_load_audit": staging.stg_raw_load_audit(audit),
     }
     if history:
-        per_run = marts.mart_games(staging.stg_rawg_games(raw_rawg, per_snapshot=True),
-                                   staging.stg_rawg_game_genres(raw_rawg, per_snapshot=True),
-                                   staging.stg_rawg_game_platforms(raw_rawg, per_snapshot=True),
-                                   staging.stg_steam_featured_games(raw_steam, per_snapshot=True), per_snapshot=True)
+        per_run = marts.mart_games_fused(raw_rawg, staging.stg_steam_featured_games(raw_steam, per_snapshot=True),
+                                         per_snapshot=True)
         mart = marts.accumulated_mart_games(per_run)
     else:
         mart = marts.mart_games(m["stg_rawg_games"], m["stg_rawg_game_genres"], m["stg_rawg_game_platforms"],

@@ -104,3 +104,13 @@ def test_spark_default_null_order_would_be_wrong(spark):
     wrong = (models["mart_games"].where("rating is not null")
              .orderBy(F.desc("rating"), F.desc("ratings_count"), F.desc("reviews_count"), "game_name").limit(25))
     assert [r.rawg_game_id for r in wrong.collect()] == [3, 4, 1, 5]
+
+
+def test_fused_mart_equals_model_composition(spark):
+    raw, steam = fx.rawg_raw(spark), fx.steam_raw(spark)
+    for per_snapshot in (True, False):
+        plain = marts.mart_games(staging.stg_rawg_games(raw, per_snapshot), staging.stg_rawg_game_genres(raw, per_snapshot),
+                                 staging.stg_rawg_game_platforms(raw, per_snapshot),
+                                 staging.stg_steam_featured_games(steam, per_snapshot), per_snapshot=per_snapshot)
+        fused = marts.mart_games_fused(raw, staging.stg_steam_featured_games(steam, per_snapshot), per_snapshot)
+        assert plain.exceptAll(fused).count() == 0 and fused.exceptAll(plain).count() == 0

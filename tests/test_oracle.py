@@ -34,3 +34,10 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns[0] == "rawg_game_id" and df.count() <= 25
+
+
+def test_fused_and_model_plans_agree_on_driver_tables(spark):
+    from snapmart.plans import queries
+    a = queries.accumulated_mart(spark, SF)
+    b = queries.accumulated_mart_by_models(spark, SF)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
