@@ -176,25 +176,36 @@ def raw_from_envelopes(env: DataFrame) -> DataFrame:
                     (F.col("extracted_at") + F.expr("INTERVAL 1 HOUR")).alias("loaded_at"), "extract_date")
 
 
+def both_envelopes(spark: SparkSession, sf_dir: str, per_envelope: int = DEFAULT_PER_ENVELOPE) -> DataFrame:
+    """Game and store envelopes from one scan of the lines: each line yields both
+    entries (one ``explode``), and one grouping shuffle builds all envelopes."""
+    lines = _lines(spark, sf_dir)
+    both = F.explode(F.array(
+        F.struct(F.lit("rawg").alias("source"), F.lit("results").alias("field"), F.to_json(game_entry()).alias("js")),
+        F.struct(F.lit("steam").alias("source"), F.lit("featured_categories").alias("field"),
+                 F.to_json(store_item()).alias("js"))))
+    e = lines.select("_row_id", "snap", both.alias("x")).select("_row_id", "snap", "x.*")
+    return build_envelopes(e, F.col("source"), "snap", "js", list_field=F.col("field"), per_envelope=per_envelope)
+
+
 _RAW_CACHE: dict = {}
 _LOCK = threading.Lock()
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Raw ``rawg``/``steam`` tables, built by Spark from the driver tables and
-    written once (Parquet, partitioned by ``extract_date``) below the scratch root."""
+    written once (Parquet, partitioned by ``source``/``extract_date``) below the
+    scratch root; each table is a partition-pruned read of that dataset."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     with _LOCK:
-        paths = _RAW_CACHE.get(key)
-        if paths is None:
-            paths = {}
-            for name, env in (("rawg", rawg_envelopes(spark, sf_dir)), ("steam", steam_envelopes(spark, sf_dir))):
-                path = fresh_dir(spark, f"raw-{name}")
-                raw_from_envelopes(env).write.mode("errorifexists").partitionBy("extract_date").parquet(path)
-                paths[name] = path
-            _RAW_CACHE[key] = paths
-    return {k: spark.read.parquet(v).withColumn("extract_date", F.col("extract_date").cast("string"))
-            for k, v in paths.items()}
+        path = _RAW_CACHE.get(key)
+        if path is None:
+            path = fresh_dir(spark, "raw")
+            (raw_from_envelopes(both_envelopes(spark, sf_dir)).write.mode("errorifexists")
+             .partitionBy("source", "extract_date").parquet(path))
+            _RAW_CACHE[key] = path
+    raw = spark.read.parquet(path).withColumn("extract_date", F.col("extract_date").cast("string"))
+    return {s: raw.where(F.col("source") == s) for s in ("rawg", "steam")}
 
 
 def audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,25 +34,30 @@ def envelope_json(source, extracted_at_utc, payload: Column) -> Column:
                               payload.alias("payload")))
 
 
-def build_envelopes(entries: DataFrame, source: str, snapshot_col: str, entry_col: str,
-                    row_id_col: str = "_row_id", list_field: str = "results",
+def build_envelopes(entries: DataFrame, source, snapshot_col: str, entry_col: str,
+                    row_id_col: str = "_row_id", list_field="results",
                     per_envelope: int = DEFAULT_PER_ENVELOPE, order_col: str | None = None) -> DataFrame:
     """Group entries into envelopes; returns (source, extracted_at, envelope_no, body).
 
     Each entry is serialized to JSON on the map side, so the shuffle carries one
     string per entry and the envelope is assembled by string concatenation
     (no nested ``to_json`` over a large array).  ``order_col`` (optional) fixes
-    the element order inside an envelope.
+    the element order inside an envelope.  ``source`` and ``list_field`` may be
+    columns, so several sources are enveloped in one pass (one shuffle).
     """
     chunk = F.floor(F.col(row_id_col) / F.lit(per_envelope)).cast("bigint")
-    js = F.to_json(entry_col)
+    src = F.lit(source) if isinstance(source, str) else source
+    field = F.lit(list_field) if isinstance(list_field, str) else list_field
+    js = F.to_json(entry_col) if isinstance(entry_col, str) and \
+        dict(entries.dtypes).get(entry_col) != "string" else F.col(entry_col)
     items = F.collect_list(F.struct(F.col(order_col).alias("o"), js.alias("e"))) if order_col \
         else F.collect_list(js)
-    grouped = (entries.groupBy(F.col(snapshot_col).alias("extracted_at"), chunk.alias("envelope_no"))
+    grouped = (entries.groupBy(src.alias("source"), field.alias("_field"), F.col(snapshot_col).alias("extracted_at"),
+                               chunk.alias("envelope_no"))
                .agg(items.alias("_items")))
     arr = F.transform(F.array_sort("_items"), lambda x: x["e"]) if order_col else F.col("_items")
-    head = F.to_json(F.struct(F.lit(source).alias("source"), iso_utc("extracted_at").alias("extracted_at_utc")))
+    head = F.to_json(F.struct(F.col("source"), iso_utc("extracted_at").alias("extracted_at_utc")))
     # '{"source":…,"extracted_at_utc":…' + ',"payload":{"<list>":[' + entries + ']}}'
-    body = F.concat(F.substring_index(head, "}", 1), F.lit(f',"payload":{{"{list_field}":['),
+    body = F.concat(F.substring_index(head, "}", 1), F.lit(',"payload":{"'), F.col("_field"), F.lit('":['),
                     F.array_join(arr, ","), F.lit("]}}"))
-    return grouped.select(F.lit(source).alias("source"), "extracted_at", "envelope_no", body.alias("body"))
+    return grouped.select("source", "extracted_at", "envelope_no", body.alias("body"))
