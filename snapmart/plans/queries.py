@@ -393,9 +393,11 @@ FRESHNESS_NOW = "2002-01-05 00:00:00"
 
 
 def _models(spark, sf_dir):
-    from snapmart.plans.run import build_models
+    """Models after a run: marts written as table versions, staging as views."""
+    from snapmart.plans.run import build_models, materialize
     raw = world.raw_tables(spark, sf_dir)
-    return build_models(raw["rawg"], raw["steam"], world.audit_log(spark, sf_dir), history=True)
+    models = build_models(raw["rawg"], raw["steam"], world.audit_log(spark, sf_dir), history=True)
+    return materialize(models, fresh_dir(spark, "marts"))
 
 
 @register("dq_not_null")

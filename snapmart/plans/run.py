@@ -38,3 +38,27 @@ def build_models(raw_rawg: DataFrame, raw_steam: DataFrame, audit: DataFrame, hi
     m["mart_top_rated_games"] = marts.mart_top_rated_games(mart)
     m["mart_pipeline_load_summary"] = marts.mart_pipeline_load_summary(m["stg_raw_load_audit"], sort=False)
     return m
+
+
+MART_MODELS = ("mart_games", "mart_platform_coverage", "mart_top_rated_games", "mart_pipeline_load_summary")
+
+
+def materialize(models: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
+    """Write the marts as new table versions (staging stays as views) and return
+    the models re-pointed at the written tables, in dependency order: the top-N
+    mart is built from the *written* game mart, as a model reads its ``ref``.
+
+    Checks then scan compact Parquet instead of recomputing each mart once per
+    test, and no reader ever sees a half-written mart.
+    """
+    from snapmart.sources import catalog
+
+    spark = models["mart_games"].sparkSession
+    out = dict(models)
+    catalog.write_version(models["mart_games"], f"{root}/mart_games")
+    out["mart_games"] = catalog.read_current(spark, f"{root}/mart_games")
+    out["mart_top_rated_games"] = marts.mart_top_rated_games(out["mart_games"])
+    for name in ("mart_platform_coverage", "mart_top_rated_games", "mart_pipeline_load_summary"):
+        catalog.write_version(out[name], f"{root}/{name}")
+        out[name] = catalog.read_current(spark, f"{root}/{name}")
+    return out
