@@ -24,7 +24,7 @@ NAMESPACES = ["raw", "staging", "mart"]
 def create_objects(spark: SparkSession, root: str) -> None:
     """Create-if-missing namespaces and raw tables (Parquet, under ``root``)."""
     for ns in NAMESPACES:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {ns}")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {ns} LOCATION '{root}/{ns}.db'")
     for name, cols in RAW_TABLE_DDL.items():
         spark.sql(f"CREATE TABLE IF NOT EXISTS raw.{name} ({cols}) USING parquet LOCATION '{root}/raw/{name}'")
 
