@@ -57,10 +57,19 @@ def _lookup(col: str, mapping: dict, idx: int) -> Column:
     return expr
 
 
+def spread(df: DataFrame, key: str = "_row_id") -> DataFrame:
+    """Give a scan that yields fewer tasks than the cluster has cores (a small
+    single-row-group file) that many partitions, hashed on a deterministic id so
+    a retried task sees the same rows.  Large inputs already split into many
+    tasks and pass through untouched."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(par, key) if df.rdd.getNumPartitions() < par else df
+
+
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lineitems with a scan-level row id, their snapshot, part and supplier."""
-    li = with_row_id(table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate"))
+    li = spread(with_row_id(table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate")))
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size", "p_retailprice")
     supp = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     return (li.withColumn("snap", snapshot_of("l_shipdate"))

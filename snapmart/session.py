@@ -28,6 +28,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
     builder = SparkSession.builder.master(master).appName(app)
     conf = dict(_DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    # Small tables (many small files) split into at least this many scan tasks;
+    # large inputs are bounded by maxPartitionBytes instead.
+    conf["spark.sql.files.minPartitionNum"] = str(max(2, shuffle_partitions))
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
