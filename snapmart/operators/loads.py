@@ -24,10 +24,16 @@ def target_table(source) -> Column:
     return expr.otherwise(F.raise_error(F.concat(F.lit("Unsupported source: "), F.coalesce(s, F.lit("NULL")))))
 
 
-def rows_per_file(raw_rows: DataFrame, file_col: str = "s3_key", by: list[str] | None = None) -> DataFrame:
-    """M6: rows copied per file (one row per JSON document)."""
+def rows_per_file(raw_rows: DataFrame, file_col: str = "s3_key", by: list[str] | None = None,
+                  doc_col: str = "payload") -> DataFrame:
+    """M6: rows copied per file (one row per JSON document).
+
+    Counts the document column itself: a JSON ``singleVariantColumn`` scan from
+    which the variant is pruned away fails in Spark 4.1, and a non-NULL document
+    is exactly what a copy loads.
+    """
     by = by or ["source"]
-    return raw_rows.groupBy(*by, file_col).agg(F.count(F.lit(1)).alias("rows_loaded"))
+    return raw_rows.groupBy(*by, file_col).agg(F.count(doc_col).alias("rows_loaded"))
 
 
 def plan_loads(candidates: DataFrame, audit: DataFrame, force: bool = False, loaded_at=None) -> DataFrame:

@@ -433,3 +433,5 @@ FROM m, (VALUES ('rawg'), ('steam')) AS s(src)"""
 
 SQL["stream_load"] = "WITH " + GL + """
 SELECT 'rawg' AS source, snap AS extracted_at, CAST(count(*) AS BIGINT) AS entries FROM gl GROUP BY snap"""
+
+SQL["daily_runs"] = SQL["mart_games"]

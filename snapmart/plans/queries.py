@@ -442,3 +442,22 @@ def q_stream_load(spark, sf_dir):
     raw = spark.read.parquet(raw_root)
     n = F.size(F.variant_get("payload", "$.payload.results", "array<variant>"))
     return raw.groupBy("source", "extracted_at").agg(F.sum(n).cast("bigint").alias("entries"))
+
+
+# ------------------------------------------------------------ daily runs
+
+@register("daily_runs")
+def q_daily_runs(spark, sf_dir):
+    """§3.1 replayed run by run: land every snapshot, then one daily run per
+    extract date in order (load → stage → merge → check).  The final merged mart
+    must equal the one-pass history replay (same oracle as ``mart_games``)."""
+    from snapmart.plans.run import daily_run
+    landing_root, wh = fresh_dir(spark, "landing"), fresh_dir(spark, "warehouse")
+    env = world.envelope_keys(world.both_envelopes(spark, sf_dir))
+    landing.write_landing(env, landing_root)
+    # one run per snapshot date: the loop is over runs (a handful), never over rows
+    days = sorted(r.extract_date for r in env.select("extract_date").distinct().collect())
+    out = None
+    for day in days:
+        out = daily_run(spark, landing_root, wh, day, loaded_at=LOADED_AT, multi_line=False)
+    return out["mart_games"]
