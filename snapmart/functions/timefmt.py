@@ -30,9 +30,22 @@ def file_stamp(ts) -> Column:
     return F.date_format(_c(ts), FILE_STAMP)
 
 
+_EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
+
+
 def epoch_to_ntz(seconds) -> Column:
-    """Integer epoch seconds → ``timestamp_ntz`` (UTC wall time)."""
-    return F.timestamp_seconds(_c(seconds)).cast("timestamp_ntz")
+    """Integer epoch seconds → ``timestamp_ntz`` (UTC wall time), whatever the session zone."""
+    return F.timestamp_add("SECOND", _c(seconds), F.expr(_EPOCH))
+
+
+def ntz_to_epoch(ts) -> Column:
+    """``timestamp_ntz`` read as UTC wall time → integer epoch seconds (zone independent)."""
+    return F.timestamp_diff("SECOND", F.expr(_EPOCH), _c(ts))
+
+
+def seconds_between(start, end) -> Column:
+    """``end - start`` in seconds (double, microsecond precision), zone independent."""
+    return F.timestamp_diff("MICROSECOND", _c(start), _c(end)) / F.lit(1e6)
 
 
 def day_start_ntz(ts) -> Column:

@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from snapmart.functions.timefmt import seconds_between
+
 REPORT_COLUMNS = ["model", "column_name", "test", "failures", "status"]
 
 
@@ -38,7 +40,7 @@ def freshness(raw: DataFrame, source_name: str, now, ts_col: str = "extracted_at
     """Q3: age of ``max(ts)`` at ``now``; ``warn``/``error`` when strictly older."""
     now_c = F.lit(now).cast("timestamp_ntz") if isinstance(now, str) else now
     latest = raw.agg(F.max(ts_col).alias("max_loaded_at"))
-    age = (F.unix_micros(now_c.cast("timestamp")) - F.unix_micros(F.col("max_loaded_at").cast("timestamp"))) / 1e6
+    age = seconds_between(F.col("max_loaded_at"), now_c)
     status = (F.when(F.col("max_loaded_at").isNull(), F.lit("error"))
               .when(F.col("age_seconds") > error_after_days * 86400, F.lit("error"))
               .when(F.col("age_seconds") > warn_after_days * 86400, F.lit("warn"))

@@ -169,9 +169,9 @@ def q_json_extract(spark, sf_dir):
 @register("epoch_to_ts")
 def q_epoch_to_ts(spark, sf_dir):
     """epoch seconds → timestamp_ntz."""
-    from snapmart.functions.timefmt import epoch_to_ntz
+    from snapmart.functions.timefmt import epoch_to_ntz, ntz_to_epoch
     ev = world.table(spark, sf_dir, "events")
-    secs = F.unix_seconds(F.col("ts").cast("timestamp"))
+    secs = ntz_to_epoch("ts")
     return ev.select("event_id", secs.alias("epoch_seconds"), epoch_to_ntz(secs).alias("ts_seconds"))
 
 

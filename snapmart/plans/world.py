@@ -22,7 +22,7 @@ import threading
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapmart.functions.timefmt import file_stamp, iso_date, iso_utc
+from snapmart.functions.timefmt import file_stamp, iso_date, iso_utc, ntz_to_epoch
 from snapmart.session import fresh_dir
 from snapmart.sources.envelope import DEFAULT_PER_ENVELOPE, build_envelopes, with_row_id
 from snapmart.sources.landing import landing_key
@@ -124,7 +124,7 @@ def store_item(with_category: bool = True) -> Column:
         F.when(size % 5 == 0, F.lit("full")).alias("controller_support"),
         F.concat(F.lit("hdr/"), k.cast("string"), F.lit(".jpg")).alias("header_image"),
         F.concat(F.lit("app/"), (F.lit(STORE_APP_ID_BASE) + k).cast("string")).alias("url"),
-        (F.unix_seconds(F.col("snap").cast("timestamp")) + size * 86400).alias("discount_expiration"),
+        (ntz_to_epoch("snap") + size * 86400).alias("discount_expiration"),
         (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("seq"),
     ]
     if with_category:

@@ -41,3 +41,14 @@ def test_fused_and_model_plans_agree_on_driver_tables(spark):
     a = queries.accumulated_mart(spark, SF)
     b = queries.accumulated_mart_by_models(spark, SF)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+@pytest.mark.parametrize("name", ["epoch_to_ts", "stg_offers", "dq_freshness", "mart_load_summary", "raw_copy"])
+def test_time_queries_do_not_depend_on_session_zone(spark, con, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        got = entry.queries()[name](spark, SF).toArrow()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert rows_of(got) == rows_of(con.sql(entry.oracle_sql()[name]).arrow().read_all())
