@@ -12,7 +12,7 @@ carry the same ``extracted_at_utc``, which is what the snapshot cut keys on.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapmart.functions.timefmt import iso_utc
@@ -28,12 +28,6 @@ def with_row_id(df: DataFrame, name: str = "_row_id") -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
-def envelope_json(source, extracted_at_utc, payload: Column) -> Column:
-    s = F.lit(source) if isinstance(source, str) else source
-    return F.to_json(F.struct(s.alias("source"), extracted_at_utc.alias("extracted_at_utc"),
-                              payload.alias("payload")))
-
-
 def build_envelopes(entries: DataFrame, source, snapshot_col: str, entry_col: str,
                     row_id_col: str = "_row_id", list_field="results",
                     per_envelope: int = DEFAULT_PER_ENVELOPE, order_col: str | None = None) -> DataFrame:
@@ -48,8 +42,8 @@ def build_envelopes(entries: DataFrame, source, snapshot_col: str, entry_col: st
     chunk = F.floor(F.col(row_id_col) / F.lit(per_envelope)).cast("bigint")
     src = F.lit(source) if isinstance(source, str) else source
     field = F.lit(list_field) if isinstance(list_field, str) else list_field
-    js = F.to_json(entry_col) if isinstance(entry_col, str) and \
-        dict(entries.dtypes).get(entry_col) != "string" else F.col(entry_col)
+    # an entry is a struct (serialized here) or an already serialized JSON string
+    js = F.col(entry_col) if dict(entries.dtypes)[entry_col] == "string" else F.to_json(entry_col)
     items = F.collect_list(F.struct(F.col(order_col).alias("o"), js.alias("e"))) if order_col \
         else F.collect_list(js)
     grouped = (entries.groupBy(src.alias("source"), field.alias("_field"), F.col(snapshot_col).alias("extracted_at"),
@@ -58,6 +52,6 @@ def build_envelopes(entries: DataFrame, source, snapshot_col: str, entry_col: st
     arr = F.transform(F.array_sort("_items"), lambda x: x["e"]) if order_col else F.col("_items")
     head = F.to_json(F.struct(F.col("source"), iso_utc("extracted_at").alias("extracted_at_utc")))
     # '{"source":…,"extracted_at_utc":…' + ',"payload":{"<list>":[' + entries + ']}}'
-    body = F.concat(F.substring_index(head, "}", 1), F.lit(',"payload":{"'), F.col("_field"), F.lit('":['),
+    body = F.concat(F.regexp_replace(head, "}$", ""), F.lit(',"payload":{"'), F.col("_field"), F.lit('":['),
                     F.array_join(arr, ","), F.lit("]}}"))
     return grouped.select("source", "extracted_at", "envelope_no", body.alias("body"))
