@@ -131,3 +131,11 @@ def daily_run(spark, landing_root: str, warehouse: str, extract_date: str, force
     if now is not None:
         out["freshness"] = checks.freshness_checks({"rawg": raw_rawg, "steam": raw_steam}, now)
     return out
+
+
+def register_views(models: dict[str, DataFrame]) -> list[str]:
+    """Expose every model as a temp view, so the marts can be queried in SQL
+    (``SELECT … FROM mart_top_rated_games``) as they were in the warehouse."""
+    for name, df in models.items():
+        df.createOrReplaceTempView(name)
+    return sorted(models)

@@ -114,3 +114,15 @@ def test_fused_mart_equals_model_composition(spark):
                                  staging.stg_steam_featured_games(steam, per_snapshot), per_snapshot=per_snapshot)
         fused = marts.mart_games_fused(raw, staging.stg_steam_featured_games(steam, per_snapshot), per_snapshot)
         assert plain.exceptAll(fused).count() == 0 and fused.exceptAll(plain).count() == 0
+
+
+def test_models_are_queryable_in_sql(spark):
+    from snapmart.plans.run import register_views
+    models = build_models(fx.rawg_raw(spark), fx.steam_raw(spark), fx.audit(spark), history=True)
+    assert "mart_top_rated_games" in register_views(models)
+    rows = spark.sql("SELECT rawg_game_id FROM mart_top_rated_games ORDER BY rating DESC NULLS FIRST, "
+                     "ratings_count DESC NULLS FIRST, reviews_count DESC NULLS FIRST, game_name").collect()
+    assert [r.rawg_game_id for r in rows] == [3, 1, 4, 5]
+    got = spark.sql("SELECT platform_name, count(DISTINCT rawg_game_id) AS n FROM stg_rawg_game_platforms "
+                    "GROUP BY 1 ORDER BY 2 DESC").collect()
+    assert [(r.platform_name, r.n) for r in got] == [("PC", 3), ("Switch", 1)]
