@@ -5,8 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from snapmart.plans import marts, staging, world
+from snapmart.functions import iso_date
+from snapmart.functions.variant import as_double, as_number, as_string
+from snapmart.operators.flatten import flatten
+from snapmart.plans import marts, oracle, staging, world
+from snapmart.session import fresh_dir
+from snapmart.sources import category, jsonscan, landing
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -54,14 +60,6 @@ def q_mart_top_n(spark, sf_dir):
 
 # ---------------------------------------------------------------- sources (S)
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from snapmart.functions import iso_date  # noqa: E402
-from snapmart.functions.variant import as_double, as_number, as_string  # noqa: E402
-from snapmart.operators.flatten import flatten  # noqa: E402
-from snapmart.session import fresh_dir  # noqa: E402
-from snapmart.sources import category, jsonscan, landing  # noqa: E402
-from snapmart.plans import oracle  # noqa: E402
 
 LOADED_AT = "2026-01-01 09:00:00"
 
