@@ -149,3 +149,15 @@ def test_quality_checks(spark):
     st = lambda now: quality.freshness(raw, "rawg", now).first().status
     assert (st("2026-04-03 09:00:00"), st("2026-04-03 09:00:01"), st("2026-04-08 09:00:01")) == ("pass", "warn", "error")
     assert quality.failed(quality.report(quality.unique(df, "m", "id")))
+
+
+def test_envelopes_stay_bounded_for_a_hot_snapshot_of_copies(spark):
+    from snapmart.sources.envelope import build_envelopes, with_row_id
+    # 3,000 identical entries, all in one snapshot, spread over several scan partitions
+    rows = spark.range(3000, numPartitions=3).select(
+        F.lit("2026-04-01 09:00:00").cast("timestamp_ntz").alias("snap"),
+        F.struct(F.lit(1).alias("id"), F.lit("same").alias("name")).alias("entry"))
+    env = build_envelopes(with_row_id(rows), "rawg", "snap", "entry", per_envelope=50)
+    sizes = env.select(F.size(F.variant_get(F.parse_json("body"), "$.payload.results", "array<variant>")).alias("n"))
+    got = [r.n for r in sizes.collect()]
+    assert sum(got) == 3000 and max(got) <= 50 and len(got) >= 60
