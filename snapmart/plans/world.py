@@ -156,15 +156,22 @@ def store_documents(spark: SparkSession, sf_dir: str, per_envelope: int = DEFAUL
         _lookup("l_returnflag", CATEGORY_BY_RETURNFLAG, 1).alias("cat_key"),
         _lookup("l_returnflag", CATEGORY_BY_RETURNFLAG, 2).alias("cat_name"),
         store_item(with_category=False).alias("item"))
-    per_cat = (lines.groupBy("snap", "doc_no", "cat_pos", "cat_key", "cat_name")
-               .agg(F.array_sort(F.collect_list(F.struct(F.col("item.seq").alias("s"), F.col("item.id").alias("i"),
-                                                         F.col("item").alias("it")))).alias("items")))
-    cat_obj = F.to_json(F.struct(F.col("cat_name").alias("name"),
-                                 F.transform("items", lambda x: x["it"]).alias("items")))
-    cat_txt = F.concat(F.lit('"'), F.col("cat_key"), F.lit('":'), cat_obj)
-    per_cat = per_cat.select("snap", "doc_no", F.struct("cat_pos", cat_txt.alias("txt")).alias("c"))
-    docs = per_cat.groupBy("snap", "doc_no").agg(F.array_sort(F.collect_list("c")).alias("cats"))
-    doc = F.concat(F.lit("{"), F.array_join(F.transform("cats", lambda c: c["txt"]), ","), F.lit(',"status":1}'))
+    # one shuffle: a document's items sorted by (category position, seq, id); each
+    # item's text opens a new category object when the category changes
+    docs = (lines.groupBy("snap", "doc_no")
+            .agg(F.array_sort(F.collect_list(F.struct(
+                "cat_pos", F.col("item.seq").alias("s"), F.col("item.id").alias("i"), "cat_key",
+                F.regexp_replace(F.to_json(F.struct(F.col("cat_name").alias("name"))), "^\\{|\\}$", "").alias("nm"),
+                F.to_json("item").alias("j")))).alias("its")))
+
+    def piece(x, i):
+        opener = F.concat(F.lit('"'), x["cat_key"], F.lit('":{'), x["nm"], F.lit(',"items":['), x["j"])
+        prev = F.col("its")[i - 1]["cat_pos"]
+        return (F.when(i == 0, opener)
+                .when(prev != x["cat_pos"], F.concat(F.lit("]},"), opener))
+                .otherwise(F.concat(F.lit(","), x["j"])))
+
+    doc = F.concat(F.lit("{"), F.array_join(F.transform("its", piece), ""), F.lit(']},"status":1}'))
     return docs.select(F.col("snap").alias("extracted_at"), "doc_no", doc.alias("doc"))
 
 
