@@ -85,7 +85,7 @@ def daily_run(spark, landing_root: str, warehouse: str, extract_date: str, force
 
     from snapmart.operators.loads import STATUS_SKIPPED, plan_loads, rows_per_file
     from snapmart.plans import checks
-    from snapmart.session import fresh_dir
+    from snapmart.session import fresh_dir, unshredded_variant_writes
     from snapmart.sources import catalog
     from snapmart.sources.jsonscan import RAW_COLUMNS, scan_landing, to_raw
 
@@ -113,8 +113,9 @@ def daily_run(spark, landing_root: str, warehouse: str, extract_date: str, force
     picked = scan.join(copy, ["source", "s3_key"], "left_semi")
     # both raw tables in one write: one dataset partitioned by source (= target table)
     raw_path = f"{warehouse}/raw/landed"
-    to_raw(picked, key_col="s3_key", loaded_at=ts).withColumn("extract_date", F.lit(extract_date)) \
-        .write.mode("append").partitionBy("source", "extract_date").parquet(raw_path)
+    with unshredded_variant_writes(spark):
+        to_raw(picked, key_col="s3_key", loaded_at=ts).withColumn("extract_date", F.lit(extract_date)) \
+            .write.mode("append").partitionBy("source", "extract_date").parquet(raw_path)
     plan.write.mode("append").parquet(audit_path)
 
     # stage + mart + check

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapmart.functions.timefmt import file_stamp, iso_date, iso_utc, ntz_to_epoch
-from snapmart.session import fresh_dir
+from snapmart.session import fresh_dir, unshredded_variant_writes
 from snapmart.sources.envelope import DEFAULT_PER_ENVELOPE, build_envelopes, with_row_id
 from snapmart.sources.landing import landing_key
 
@@ -217,8 +217,9 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         path = _RAW_CACHE.get(key)
         if path is None:
             path = fresh_dir(spark, "raw")
-            (raw_from_envelopes(both_envelopes(spark, sf_dir)).write.mode("errorifexists")
-             .partitionBy("source", "extract_date").parquet(path))
+            with unshredded_variant_writes(spark):
+                (raw_from_envelopes(both_envelopes(spark, sf_dir)).write.mode("errorifexists")
+                 .partitionBy("source", "extract_date").parquet(path))
             _RAW_CACHE[key] = path
     raw = spark.read.parquet(path).withColumn("extract_date", F.col("extract_date").cast("string"))
     return {s: raw.where(F.col("source") == s) for s in ("rawg", "steam")}

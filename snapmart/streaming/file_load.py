@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from snapmart.session import unshredded_variant_writes
 from snapmart.sources.jsonscan import to_raw
 
 LANDING_SCHEMA = "payload variant, source string, extract_date string"
@@ -32,7 +33,8 @@ def load_stream(spark: SparkSession, landing_root: str, raw_root: str, checkpoin
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         raw = to_raw(batch, source=source, loaded_at=loaded_at, root=landing_root)
-        raw.write.mode("overwrite").parquet(f"{raw_root}/batch={batch_id}")
+        with unshredded_variant_writes(batch.sparkSession):
+            raw.write.mode("overwrite").parquet(f"{raw_root}/batch={batch_id}")
 
     stream = landing_stream(spark, landing_root)
     if source is not None:

@@ -161,3 +161,12 @@ def test_envelopes_stay_bounded_for_a_hot_snapshot_of_copies(spark):
     sizes = env.select(F.size(F.variant_get(F.parse_json("body"), "$.payload.results", "array<variant>")).alias("n"))
     got = [r.n for r in sizes.collect()]
     assert sum(got) == 3000 and max(got) <= 50 and len(got) >= 60
+
+
+def test_unshredded_writes_restore_the_setting(spark):
+    from snapmart.session import unshredded_variant_writes
+    key = "spark.sql.variant.writeShredding.enabled"
+    before = spark.conf.get(key, None)
+    with unshredded_variant_writes(spark):
+        assert spark.conf.get(key) == "false"
+    assert spark.conf.get(key, None) == before
