@@ -21,7 +21,8 @@ def flatten_categories(docs: DataFrame, doc_col: str, keep: list[str]) -> DataFr
     """Rows (keep…, cat_pos, category_key, category_name, item_pos, item)."""
     cats = docs.select(*keep, F.posexplode(F.from_json(doc_col, "map<string,variant>"))
                        .alias("cat_pos", "category_key", "_cat"))
-    cats = cats.where(F.schema_of_variant("_cat").startswith("OBJECT"))
+    # no object test needed: a scalar, string or array entry has no ``$.items``
+    # path (it yields no rows), exactly like an object without ``items``
     cats = cats.withColumn("category_name", as_string("_cat", "$.name"))
     items = flatten(cats, "_cat", "$.items", "item",
                     keep=[*keep, "cat_pos", "category_key", "category_name"])

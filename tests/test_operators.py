@@ -170,3 +170,13 @@ def test_unshredded_writes_restore_the_setting(spark):
     with unshredded_variant_writes(spark):
         assert spark.conf.get(key) == "false"
     assert spark.conf.get(key, None) == before
+
+
+def test_category_flatten_skips_non_objects(spark):
+    from snapmart.sources import category
+    doc = ('{"a": {"name": "A", "items": [{"id": 1}]}, "s": "{\\"items\\": [{\\"id\\": 9}]}", "n": 5, '
+           '"arr": [{"items": [1]}], "b": {"items": [{"id": 2}]}, "e": {"name": "E"}}')
+    df = spark.createDataFrame([(1, doc)], "k int, doc string")
+    rows = category.flatten_categories(df, "doc", ["k"]).select(
+        "category_key", "category_name", as_number("item", "$.id").alias("id")).collect()
+    assert [tuple(r) for r in rows] == [("a", "A", 1), ("b", None, 2)]
