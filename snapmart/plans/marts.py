@@ -104,8 +104,7 @@ def mart_games_fused(raw_rawg: DataFrame, offers: DataFrame, per_snapshot: bool
     times; partial window limits and partial aggregates still run before each
     exchange, so a hot game is cut down map-side.
     """
-    from snapmart.functions.variant import (as_bool, as_date, as_double, as_number, as_string, as_ts_ntz,
-                                            vpath)
+    from snapmart.functions.variant import as_bool, as_date, as_double, as_number, as_string, vpath
     from snapmart.operators.dedup import keep_first
     from snapmart.plans import staging
 

@@ -22,7 +22,7 @@ import threading
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapmart.functions.timefmt import file_stamp, iso_date, iso_utc, ntz_to_epoch
+from snapmart.functions.timefmt import file_stamp, iso_date, ntz_to_epoch
 from snapmart.session import fresh_dir, unshredded_variant_writes
 from snapmart.sources.envelope import DEFAULT_PER_ENVELOPE, build_envelopes, with_row_id
 from snapmart.sources.landing import landing_key
