@@ -111,7 +111,10 @@ def mart_games_fused(raw_rawg: DataFrame, offers: DataFrame, per_snapshot: bool
     flat = staging.flattened_games(raw_rawg, per_snapshot)
 
     def kids(path: str, kind: int):
-        arr = F.coalesce(vpath("game", path, "array<variant>", strict=False), F.array().cast("array<variant>"))
+        # like variant_explode: an array gives its elements, an object its values, anything else nothing
+        arr = F.coalesce(vpath("game", path, "array<variant>", strict=False),
+                         F.map_values(vpath("game", path, "map<string,variant>", strict=False)),
+                         F.array().cast("array<variant>"))
         return F.transform(arr, lambda x, i: F.struct(F.lit(kind).alias("kind"), i.alias("cpos"), x.alias("v")))
 
     me = F.array(F.struct(F.lit(0).alias("kind"), F.lit(0).alias("cpos"), F.col("game").alias("v")))

@@ -83,3 +83,20 @@ def test_t12_partition_date_is_independent_of_extract_time(spark):
     r = jsonscan.to_raw(jsonscan.scan_landing(spark, root, multi_line=True), source="rawg").first()
     assert str(r.extracted_at) == "2026-04-01 09:00:00"
     assert jsonscan.scan_landing(spark, root, multi_line=True).first().extract_date == "2026-04-05"
+
+
+def test_object_valued_children_agree_between_fused_and_model_plans(spark):
+    raw = _raw(spark, [("k", "2026-04-01 10:00:00", fx.SNAP_B, [
+        {"id": 1, "name": "obj", "rating": 2.0,
+         "genres": {"x": {"id": 1, "name": "RPG"}, "y": {"id": 2, "name": "Action"}},
+         "platforms": {"p": {"platform": {"id": 4, "name": "PC"}, "released_at": "2020-01-02"}}},
+        {"id": 2, "name": "scalar", "rating": 1.0, "genres": 5, "platforms": "none"}])])
+    steam = fx.steam_raw(spark)
+    for per_snapshot in (True, False):
+        plain = marts.mart_games(staging.stg_rawg_games(raw, per_snapshot), staging.stg_rawg_game_genres(raw, per_snapshot),
+                                 staging.stg_rawg_game_platforms(raw, per_snapshot),
+                                 staging.stg_steam_featured_games(steam, per_snapshot), per_snapshot=per_snapshot)
+        fused = marts.mart_games_fused(raw, staging.stg_steam_featured_games(steam, per_snapshot), per_snapshot)
+        assert plain.exceptAll(fused).count() == 0 and fused.exceptAll(plain).count() == 0
+    got = {r.rawg_game_id: (r.genres, r.platform_count) for r in fused.collect()}
+    assert got == {1: ("Action, RPG", 1), 2: ("Unknown", 0)}
