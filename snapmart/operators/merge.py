@@ -34,3 +34,42 @@ def fold_latest(history: DataFrame, key: str, order: list[Column], null_key_by:
     by = null_key_by or [c for c in history.columns if c != key]
     extra = F.when(k.isNull(), F.struct(*[F.col(c) for c in by]))
     return keep_first(history, [k, extra], order)
+
+
+BUCKET_COL = "key_bucket"
+
+
+def key_bucket(key: str, buckets: int):
+    """Stable bucket of a key (NULL keys share bucket ``-1``)."""
+    return F.coalesce(F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)), F.lit(-1)).cast("int")
+
+
+def upsert_buckets(spark, updates: DataFrame, table_path: str, key: str, buckets: int, staging_path: str) -> list[int]:
+    """M1 rewriting only the key buckets an update touches.
+
+    The table is Parquet partitioned by ``key_bucket``.  The rows of the touched
+    buckets are merged (``upsert``) and first written to ``staging_path`` — a
+    plan never overwrites what it reads (trap T19) — then copied over the table
+    with dynamic partition overwrite, which replaces exactly those bucket
+    folders and leaves every other bucket's files untouched.  Re-running the same
+    merge gives the same table, so a run that fails mid-way is healed by running
+    it again.  Returns the touched buckets (a small list, at most ``buckets``).
+    """
+    from snapmart.sources.catalog import _fs
+
+    upd = updates.withColumn(BUCKET_COL, key_bucket(key, buckets))
+    touched = sorted(r[0] for r in upd.select(BUCKET_COL).distinct().collect())
+    fs, p, _ = _fs(spark, table_path)
+    if fs.exists(p):
+        target = spark.read.parquet(table_path).where(F.col(BUCKET_COL).isin(touched))
+        merged = upsert(target.select(*upd.columns), upd, key)
+    else:
+        merged = upd
+    merged.write.mode("errorifexists").partitionBy(BUCKET_COL).parquet(staging_path)
+    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        spark.read.parquet(staging_path).write.mode("overwrite").partitionBy(BUCKET_COL).parquet(table_path)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+    return touched

@@ -65,7 +65,8 @@ def materialize(models: dict[str, DataFrame], root: str) -> dict[str, DataFrame]
 
 
 def daily_run(spark, landing_root: str, warehouse: str, extract_date: str, force_reload: bool = False,
-              loaded_at=None, multi_line: bool = True, now=None) -> dict[str, DataFrame]:
+              loaded_at=None, multi_line: bool = True, now=None, mart_buckets: int | None = None
+              ) -> dict[str, DataFrame]:
     """One run of the daily flow as a single driver program.
 
     load   the run's landing partition (pruned scan) is planned against the audit
@@ -79,6 +80,9 @@ def daily_run(spark, landing_root: str, warehouse: str, extract_date: str, force
     Tables live below ``warehouse``: ``raw/landed`` (both raw tables as one Parquet
     dataset, appended, partitioned by ``source``/``extract_date``; each raw table is
     a pruned read), ``raw/raw_load_audit`` and ``mart/<name>`` (versions).
+    With ``mart_buckets`` the game mart is instead kept as one table partitioned by
+    key bucket and only the buckets this run touches are rewritten
+    (``operators.merge.upsert_buckets``).
     Returns the run's audit rows, the check report, freshness and the models.
     """
     from pyspark.sql import functions as F
@@ -124,10 +128,22 @@ def daily_run(spark, landing_root: str, warehouse: str, extract_date: str, force
     landed = read_or_empty(raw_path, raw_schema)
     raw_rawg = landed.where(F.col("source") == "rawg").select(*RAW_COLUMNS)
     raw_steam = landed.where(F.col("source") == "steam").select(*RAW_COLUMNS)
-    previous = catalog.read_current(spark, f"{warehouse}/mart/mart_games")
-    models = build_models(raw_rawg, raw_steam, read_or_empty(audit_path, audit_schema), history=False,
-                          previous_mart=previous)
-    models = materialize(models, f"{warehouse}/mart")
+    audit = read_or_empty(audit_path, audit_schema)
+    if mart_buckets is None:
+        previous = catalog.read_current(spark, f"{warehouse}/mart/mart_games")
+        models = build_models(raw_rawg, raw_steam, audit, history=False, previous_mart=previous)
+        models = materialize(models, f"{warehouse}/mart")
+    else:
+        from snapmart.operators.merge import BUCKET_COL, upsert_buckets
+        models = build_models(raw_rawg, raw_steam, audit, history=False)
+        table = f"{warehouse}/mart/mart_games_bucketed"
+        upsert_buckets(spark, models["mart_games"], table, "rawg_game_id", mart_buckets,
+                       fresh_dir(spark, "mart-stage"))
+        models["mart_games"] = spark.read.parquet(table).drop(BUCKET_COL)
+        models["mart_top_rated_games"] = marts.mart_top_rated_games(models["mart_games"])
+        for name in ("mart_platform_coverage", "mart_top_rated_games", "mart_pipeline_load_summary"):
+            catalog.write_version(models[name], f"{warehouse}/mart/{name}")
+            models[name] = catalog.read_current(spark, f"{warehouse}/mart/{name}")
     out = {"load_audit": plan, "report": checks.all_checks(models), **models}
     if now is not None:
         out["freshness"] = checks.freshness_checks({"rawg": raw_rawg, "steam": raw_steam}, now)

@@ -49,3 +49,19 @@ def test_daily_runs(spark):
                for r in forced["mart_pipeline_load_summary"].collect()}
     assert summary[("2026-04-01", "rawg")] == (3, 1, 1)
     assert summary[("2026-03-31", "rawg")] == (1, 1, 0)
+
+
+def test_daily_runs_with_bucketed_mart(spark):
+    from snapmart.plans.run import daily_run
+    from snapmart.session import fresh_dir
+    landing = tempfile.mkdtemp(prefix="landing-")
+    _land(landing, "rawg", "2026-03-31", "a.json", fx.envelope("rawg", fx.SNAP_A, {"results": fx.GAMES_A}))
+    _land(landing, "rawg", "2026-04-01", "b.json", fx.envelope("rawg", fx.SNAP_B, {"results": fx.GAMES_B}))
+    items = fx.featured_items()
+    _land(landing, "steam", "2026-04-01", "s.json",
+          fx.envelope("steam", fx.SNAP_B, {"featured_categories": items, "total_available": len(items)}))
+    wh = fresh_dir(spark, "warehouse")
+    daily_run(spark, landing, wh, "2026-03-31", loaded_at="2026-03-31 10:00:00", mart_buckets=4)
+    b = daily_run(spark, landing, wh, "2026-04-01", loaded_at="2026-04-01 10:00:00", mart_buckets=4)
+    assert _mart_dict(b["mart_games"]) == EXPECTED_MART
+    assert [r.rawg_game_id for r in b["mart_top_rated_games"].collect()] == [3, 1, 4, 5]
