@@ -49,3 +49,18 @@ def test_upsert_is_idempotent_for_non_null_keys(spark, a, b):
     once = upsert(ta, ub, "k")
     twice = upsert(once, ub, "k")
     assert once.exceptAll(twice).count() == 0 and twice.exceptAll(once).count() == 0
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.integers(0, 3), st.integers(0, 50)),
+                max_size=25, unique_by=lambda r: (r[0], r[1], r[2])))
+def test_keep_first_equals_brute_force(spark, rows):
+    from snapmart.operators.dedup import keep_first
+    df = spark.createDataFrame(rows, "k int, t int, pos int") if rows else spark.createDataFrame([], "k int, t int, pos int")
+    got = sorted(((r.k, r.t, r.pos) for r in keep_first(df, ["k"], [F.col("t").desc(), F.col("pos").asc()]).collect()),
+                 key=lambda r: (r[0] is None, r[0] or 0))
+    best = {}
+    for k, t, pos in rows:
+        if k not in best or (-t, pos) < (-best[k][1], best[k][2]):
+            best[k] = (k, t, pos)
+    assert got == sorted(best.values(), key=lambda r: (r[0] is None, r[0] or 0))
