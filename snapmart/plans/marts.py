@@ -104,31 +104,9 @@ def mart_games_fused(raw_rawg: DataFrame, offers: DataFrame, per_snapshot: bool
     times; partial window limits and partial aggregates still run before each
     exchange, so a hot game is cut down map-side.
     """
-    from snapmart.functions.variant import as_bool, as_date, as_double, as_number, as_string, vpath
-    from snapmart.operators.dedup import keep_first
-    from snapmart.plans import staging
-
-    flat = staging.flattened_games(raw_rawg, per_snapshot)
-
-    def kids(path: str, kind: int):
-        # like variant_explode: an array gives its elements, an object its values, anything else nothing
-        arr = F.coalesce(vpath("game", path, "array<variant>", strict=False),
-                         F.map_values(vpath("game", path, "map<string,variant>", strict=False)),
-                         F.array().cast("array<variant>"))
-        return F.transform(arr, lambda x, i: F.struct(F.lit(kind).alias("kind"), i.alias("cpos"), x.alias("v")))
-
-    me = F.array(F.struct(F.lit(0).alias("kind"), F.lit(0).alias("cpos"), F.col("game").alias("v")))
-    rows = flat.select("extracted_at", "loaded_at", "s3_key", "game_pos", as_number("game", "$.id").alias("rawg_game_id"),
-                       F.explode(F.concat(me, kids("$.genres", 1), kids("$.platforms", 2))).alias("c"))
-    kind, v = F.col("c.kind"), F.col("c.v")
-    child_id = (F.when(kind == 1, as_number(v, "$.id")).when(kind == 2, as_number(v, "$.platform.id")))
-    rows = rows.select("extracted_at", "loaded_at", "s3_key", "game_pos", "rawg_game_id", kind.alias("kind"),
-                       F.col("c.cpos").alias("cpos"), child_id.alias("child_id"), v.alias("v"))
-    keys = (["extracted_at"] if per_snapshot else []) + ["kind", "rawg_game_id", "child_id"]
-    order = [F.col("extracted_at").desc_nulls_first(), F.col("loaded_at").desc_nulls_first(),
-             asc_nulls_last("s3_key"), asc_nulls_last("game_pos"), asc_nulls_last("cpos")]
-    dedup = keep_first(rows, keys, order)
+    from snapmart.functions.variant import as_bool, as_date, as_double, as_number, as_string
 
+    dedup = game_entities(raw_rawg, per_snapshot)
     is_game = F.col("kind") == 0
     game = F.struct(
         as_string("v", "$.slug").alias("slug"), as_string("v", "$.name").alias("game_name"),
@@ -161,3 +139,35 @@ def mart_games_fused(raw_rawg: DataFrame, offers: DataFrame, per_snapshot: bool
         "steam_final_price_usd", "steam_windows_available", "steam_mac_available", "steam_linux_available",
         "extracted_at_utc",
     )
+
+
+def game_entities(raw_rawg: DataFrame, per_snapshot: bool = True) -> DataFrame:
+    """Each game entry exploded once into the game (kind 0), its genres (kind 1)
+    and its platforms (kind 2), deduplicated with the three staging models' keys
+    (kind, [run,] game, child id) in one window.  Rows: extracted_at, kind,
+    rawg_game_id, child_id, v (the entity's VARIANT)."""
+    from snapmart.functions.variant import as_number, vpath
+    from snapmart.operators.dedup import keep_first
+    from snapmart.plans import staging
+
+    flat = staging.flattened_games(raw_rawg, per_snapshot)
+
+    def kids(path: str, kind: int):
+        # like variant_explode: an array gives its elements, an object its values, anything else nothing
+        arr = F.coalesce(vpath("game", path, "array<variant>", strict=False),
+                         F.map_values(vpath("game", path, "map<string,variant>", strict=False)),
+                         F.array().cast("array<variant>"))
+        return F.transform(arr, lambda x, i: F.struct(F.lit(kind).alias("kind"), i.alias("cpos"), x.alias("v")))
+
+    me = F.array(F.struct(F.lit(0).alias("kind"), F.lit(0).alias("cpos"), F.col("game").alias("v")))
+    rows = flat.select("extracted_at", "loaded_at", "s3_key", "game_pos", as_number("game", "$.id").alias("rawg_game_id"),
+                       F.explode(F.concat(me, kids("$.genres", 1), kids("$.platforms", 2))).alias("c"))
+    kind, v = F.col("c.kind"), F.col("c.v")
+    child_id = (F.when(kind == 1, as_number(v, "$.id")).when(kind == 2, as_number(v, "$.platform.id")))
+    rows = rows.select("extracted_at", "loaded_at", "s3_key", "game_pos", "rawg_game_id", kind.alias("kind"),
+                       F.col("c.cpos").alias("cpos"), child_id.alias("child_id"), v.alias("v"))
+    keys = (["extracted_at"] if per_snapshot else []) + ["kind", "rawg_game_id", "child_id"]
+    order = [F.col("extracted_at").desc_nulls_first(), F.col("loaded_at").desc_nulls_first(),
+             asc_nulls_last("s3_key"), asc_nulls_last("game_pos"), asc_nulls_last("cpos")]
+    return keep_first(rows, keys, order)
+

@@ -402,7 +402,7 @@ def _models(spark, sf_dir):
 def q_dq_not_null(spark, sf_dir):
     """Q1: not_null tests of all models."""
     from snapmart.plans import checks
-    return checks.not_null_checks(_models(spark, sf_dir))
+    return checks.not_null_checks(_models(spark, sf_dir), world.raw_tables(spark, sf_dir)["rawg"])
 
 
 @register("dq_unique")
@@ -423,7 +423,7 @@ def q_dq_freshness(spark, sf_dir):
 def q_dq_report(spark, sf_dir):
     """Q4: every column test in one report."""
     from snapmart.plans import checks
-    return checks.all_checks(_models(spark, sf_dir))
+    return checks.all_checks(_models(spark, sf_dir), world.raw_tables(spark, sf_dir)["rawg"])
 
 
 # -------------------------------------------------------------- streaming

@@ -100,3 +100,20 @@ def test_object_valued_children_agree_between_fused_and_model_plans(spark):
         assert plain.exceptAll(fused).count() == 0 and fused.exceptAll(plain).count() == 0
     got = {r.rawg_game_id: (r.genres, r.platform_count) for r in fused.collect()}
     assert got == {1: ("Action, RPG", 1), 2: ("Unknown", 0)}
+
+
+def test_one_pass_staging_checks_equal_per_model_checks(spark):
+    from snapmart.operators import quality
+    from snapmart.plans import checks
+    raw = _raw(spark, [("k", "2026-04-01 10:00:00", fx.SNAP_B, [
+        {"name": "no id", "genres": [{"id": 1, "name": None}, {"id": 1, "name": "dup"}],
+         "platforms": [{"platform": {"id": 4}}]},
+        {"id": 7, "genres": [{"id": 2, "name": "RPG"}], "platforms": [{"platform": {"id": 5, "name": "PC"}}]},
+        {"id": 7, "name": "later copy"}])])
+    models = {"stg_rawg_games": staging.stg_rawg_games(raw), "stg_rawg_game_genres": staging.stg_rawg_game_genres(raw),
+              "stg_rawg_game_platforms": staging.stg_rawg_game_platforms(raw)}
+    per_model = quality.report(*[quality.not_null(models[m], m, cols) for m, cols in checks.NOT_NULL.items()
+                                 if m in checks.GAME_STAGING])
+    shared = checks.game_staging_not_null(raw)
+    assert per_model.exceptAll(shared).count() == 0 and shared.exceptAll(per_model).count() == 0
+    assert {(r.model, r.column_name): r.failures for r in shared.collect()}[("stg_rawg_games", "rawg_game_id")] == 1
