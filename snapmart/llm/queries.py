@@ -5,8 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, shared
+from . import bpe, quality_rules, secret_scan, sharding, shared
+
+
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every whole text: the base spans and those found by guess cost."""
+    return secret_scan.scan(shared.read_table(spark, sf_dir, "documents"))
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,8 +21,59 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(docs, shared.vocabulary("byte_bpe_50k.json")).drop("round_trip")
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents into 40 shards whose row counts differ by one at most."""
+    out = sharding.assign(shared.read_table(spark, sf_dir, "documents"), shards=40)
+    return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rule ledger of every whole text with the verdict of policy v2."""
+    book = quality_rules.ledger(shared.read_table(spark, sf_dir, "documents"))
+    base = F.col("failed").bitwiseAND(F.lit(quality_rules.mask(quality_rules.BASE)).cast("bigint")) != 0
+    return book.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                       base.alias("base_failed"), quality_rules.passes("v2").alias("kept"), "failed")
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secret_scan": op1_secret_scan,
     "op4_bpe": op4_bpe,
+    "op5_sharding": op5_sharding,
+    "op9_quality_rules": op9_quality_rules,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op9_quality_rules": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents
+), s AS (
+  SELECT rid, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM d
+), grams AS (
+  SELECT rid, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
+  FROM (SELECT rid, w, unnest(range(1, len(w) - 1)) AS i FROM s WHERE len(w) >= 3)
+), twice AS (
+  SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS c FROM grams) WHERE c > 1
+), covered AS (
+  SELECT rid, count(DISTINCT i + k) AS n FROM twice, (SELECT unnest([0, 1, 2]) AS k) GROUP BY rid
+), m AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, len(lines)::BIGINT AS n_lines,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words,
+         len(list_filter(w, lambda x: regexp_matches(x, '[A-Z]') AND NOT regexp_matches(x, '[a-z]')))::BIGINT AS n_upper_words,
+         (length(t) - length(replace(t, '!', '')))::BIGINT AS n_bangs
+  FROM s LEFT JOIN covered c USING (rid)
+), f AS (
+  SELECT *, (CASE WHEN n_words < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 2 ELSE 0 END
+    + CASE WHEN 10 * n_symbols > n_words THEN 4 ELSE 0 END + CASE WHEN 2 * n_dup_lines > n_lines THEN 8 ELSE 0 END
+    + CASE WHEN n_words > 0 AND (word_chars < 3 * n_words OR word_chars > 14 * n_words) THEN 16 ELSE 0 END
+    + CASE WHEN 10 * n_upper_words > 3 * n_words THEN 32 ELSE 0 END
+    + CASE WHEN 5 * n_bangs > n_words THEN 64 ELSE 0 END)::BIGINT AS failed
+  FROM m
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed % 4 <> 0 AS base_failed,
+       failed = 0 AS kept, failed
+FROM f""",
+}

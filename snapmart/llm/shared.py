@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -34,6 +36,26 @@ def held_out(key: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 4 == HELD_OUT, F.lit(False))
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the executors' Python this package, once per application (they need not have it installed)."""
+    sc = spark.sparkContext
+    if getattr(sc, "_snapmart_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="snapmart-py-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    sc.addPyFile(str(archive))
+    sc._snapmart_shipped = True
+
+
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``mapInArrow`` with this package at hand in the workers."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def text_map(docs: DataFrame, rows: Callable[[Iterator[tuple[list, list[str]]]], Iterator[dict]],
              schema: str) -> DataFrame:
     """Run ``rows`` over (ids, texts) batches of ``doc_text(docs)`` inside the scan's own tasks.
@@ -49,7 +71,7 @@ def text_map(docs: DataFrame, rows: Callable[[Iterator[tuple[list, list[str]]]],
         for out in rows(pairs):
             yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in target], schema=target)
 
-    return doc_text(docs).mapInArrow(run, schema)
+    return map_arrow(doc_text(docs), run, schema)
 
 
 def _arrow_schema(ddl: str) -> pa.Schema:
