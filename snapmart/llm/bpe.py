@@ -31,10 +31,21 @@ SCHEMA = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 stri
 _NONE = 1 << 62
 _SHIFT = 20
 _MASK = (1 << _SHIFT) - 1
+#: Leaves of the trees that are merged many at once: words of up to 33 bytes; longer ones go one by one.
+WIDTHS = (2, 4, 8, 16, 32)
 _TWO_WHITE = re.compile(r"\s\s")
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 
 
+def pair_key(a: int, b: int) -> int:
+    return a << _SHIFT | b
+
+
+def width_for(size: int) -> int:
+    """The narrowest tree for a word of 2 bytes or more."""
+    return max(WIDTHS[0], 1 << (size - 2).bit_length())
+
+
 def merge_symbols(symbols: list[int], pairs: dict[int, int]) -> list[int]:
     """Merge until no pair has a rank.  ``pairs[a << 20 | b]`` is ``rank << 20 | merged``."""
     n = len(symbols)
@@ -101,10 +112,11 @@ class PairTable:
         return (self.keys[at] == key) & (a >= 0) & (b >= 0), self.rank[at], self.merged[at]
 
 
-def merge_many(words: list[bytes], first: np.ndarray, table: PairTable, width: int) -> list[bytes]:
+def merge_many(words: list[bytes], first: np.ndarray, table: PairTable, width: int,
+               last: np.ndarray | None = None) -> list[bytes]:
     """``merge_symbols`` for many words of 2 to ``width + 1`` bytes at once, one tree of ``width`` leaves a row.
 
-    Each step reads every row's root, merges that pair and updates the paths of its
+    ``first`` has the symbol of each byte, ``last`` that of a word's last byte where it differs.  Each step reads every row's root, merges that pair and updates the paths of its
     three leaves; rows whose root holds no pair are done.
     """
     n, cols = len(words), width + 2
@@ -112,6 +124,8 @@ def merge_many(words: list[bytes], first: np.ndarray, table: PairTable, width: i
     at = np.arange(cols)
     sym = np.full((n, cols), -1, dtype=np.int64)
     sym[at < length[:, None]] = first[np.frombuffer(b"".join(words), dtype=np.uint8)]
+    if last is not None:
+        sym[np.arange(n), length - 1] = last[[w[-1] for w in words]]
     after = np.broadcast_to(at + 1, (n, cols)).copy()
     before = np.broadcast_to(at - 1, (n, cols)).copy()
     found, rank, merged = table.find(sym[:, :width], sym[:, 1:width + 1])
@@ -163,16 +177,13 @@ def merge_many(words: list[bytes], first: np.ndarray, table: PairTable, width: i
 class ByteBpe:
     """Encoder and decoder for one vocabulary file of the ``tokenizers`` library."""
 
-    #: Words of up to 33 bytes are merged many at once; longer ones one by one.
-    WIDTHS = (2, 4, 8, 16, 32)
-
     def __init__(self, path: str, cache: int = 600_000):
         from tokenizers import pre_tokenizers
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         vocab: dict[str, int] = spec["model"]["vocab"]
-        letters = _byte_letters()
+        letters = byte_letters()
         self.byte_of = {c: b for b, c in enumerate(letters)}
         self.first = [vocab[c] for c in letters]
         self.first_array = np.array(self.first, dtype=np.int64)
@@ -203,16 +214,16 @@ class ByteBpe:
     def _merged(self, words: set[bytes]) -> dict[bytes, bytes]:
         """Ids of distinct pre-tokens: from the cache, or merged now."""
         out, get = {}, self.pretokens.get
-        by_width: dict[int, list[bytes]] = {w: [] for w in self.WIDTHS}
+        by_width: dict[int, list[bytes]] = {w: [] for w in WIDTHS}
         for word in words:
             hit = get(word)
             if hit is not None:
                 out[word] = hit
-            elif len(word) == 1 or len(word) > self.WIDTHS[-1] + 1:
+            elif len(word) == 1 or len(word) > WIDTHS[-1] + 1:
                 symbols = merge_symbols([self.first[b] for b in word], self.pairs)
                 out[word] = np.array(symbols, dtype="<u4").tobytes()
             else:
-                by_width[max(2, 1 << (len(word) - 2).bit_length())].append(word)
+                by_width[width_for(len(word))].append(word)
         for width, some in by_width.items():
             for k in range(0, len(some), 20_000):
                 part = some[k:k + 20_000]
@@ -263,7 +274,7 @@ def safe_chunks(text: str) -> list[str]:
     return [c for c in out if c] if "" in out else out
 
 
-def _byte_letters() -> list[str]:
+def byte_letters() -> list[str]:
     """The printable letter that stands for each byte: printable Latin-1 as itself, others from U+0100 on."""
     plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
     rest = iter(range(256, 512))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, quality_rules, secret_scan, sharding, shared
+from . import bpe, packing, quality_rules, secret_scan, sharding, shared, simhash
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +15,12 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(shared.read_table(spark, sf_dir, "documents"))
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents into sequences of at most 2048 tokens."""
+    docs = shared.read_table(spark, sf_dir, "documents")
+    return packing.pack_documents(docs, shared.vocabulary("word_bpe_49k.json"), capacity=2048)
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every whole text with the byte-level vocabulary."""
     docs = shared.read_table(spark, sf_dir, "documents")
@@ -28,6 +34,11 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document: 3-word shingles, links at 2 or fewer bits."""
+    return simhash.near_duplicates(shared.read_table(spark, sf_dir, "documents"), words=3, seed=42, threshold=2)
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rule ledger of every whole text with the verdict of policy v2."""
     book = quality_rules.ledger(shared.read_table(spark, sf_dir, "documents"))
@@ -38,8 +49,10 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
+    "op3_packing": op3_packing,
     "op4_bpe": op4_bpe,
     "op5_sharding": op5_sharding,
+    "op8_simhash": op8_simhash,
     "op9_quality_rules": op9_quality_rules,
 }
 
