@@ -232,7 +232,8 @@ class ByteBpe:
                     self.pretokens.put(word, ids)
         return out
 
-    def _missing(self, chunks: list[str]) -> list[bytes]:
+    def encode_chunks(self, chunks: list[str]) -> list[bytes]:
+        """Ids of each chunk, as ordinary text: the pattern splits it, special tokens have no part in it."""
         pieces = [self._pieces(c) for c in chunks]
         ids = self._merged({p for some in pieces for p in some})
         return [b"".join([ids[p] for p in some]) for some in pieces]
@@ -248,7 +249,7 @@ class ByteBpe:
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        return shared.by_chunks([self._chunks(t) for t in texts], self.chunks, self._missing, self.special)
+        return shared.by_chunks([self._chunks(t) for t in texts], self.chunks, self.encode_chunks, self.special)
 
     def encode(self, text: str) -> bytes:
         return self.encode_many([text])[0]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing, quality_rules, secret_scan, sharding, shared, simhash
+from . import ann, bpe, packing, quality_rules, secret_scan, sharding, shared, simhash, token_counts
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +15,12 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(shared.read_table(spark, sf_dir, "documents"))
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every whole text before and after its cleaning edits."""
+    docs = shared.read_table(spark, sf_dir, "documents")
+    return token_counts.count_edited(docs, shared.vocabulary("byte_bpe_50k.json"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents into sequences of at most 2048 tokens."""
     docs = shared.read_table(spark, sf_dir, "documents")
@@ -34,6 +40,11 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest by inner product of every vector whose id is divisible by 20."""
+    return ann.search(shared.read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, top=20)
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document: 3-word shingles, links at 2 or fewer bits."""
     return simhash.near_duplicates(shared.read_table(spark, sf_dir, "documents"), words=3, seed=42, threshold=2)
@@ -49,9 +60,11 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_token_counts": op2_token_counts,
     "op3_packing": op3_packing,
     "op4_bpe": op4_bpe,
     "op5_sharding": op5_sharding,
+    "op6_ann": op6_ann,
     "op8_simhash": op8_simhash,
     "op9_quality_rules": op9_quality_rules,
 }
