@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, packing, quality_rules, secret_scan, sharding, shared, simhash, token_counts
+from . import ann, bpe, packing, quality_pu, quality_rules, secret_scan, sharding, shared, simhash, token_counts
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,6 +58,12 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                        base.alias("base_failed"), quality_rules.passes("v2").alias("kept"), "failed")
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score every whole text by the positive-unlabelled quality model."""
+    docs = shared.read_table(spark, sf_dir, "documents")
+    return quality_pu.classify(docs, quality_pu.train(docs, shared.read_table(spark, sf_dir, "labels")))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_token_counts": op2_token_counts,
@@ -67,6 +73,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_ann": op6_ann,
     "op8_simhash": op8_simhash,
     "op9_quality_rules": op9_quality_rules,
+    "op10_quality": op10_quality,
 }
 
 SQL: dict[str, str] = {
