@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, packing, quality_pu, quality_rules, secret_scan, sharding, shared, simhash, token_counts
+from . import ann, bpe, packing, quality_pu, quality_rules, secret_scan, sharding, shared, simhash, token_counts, toxicity
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,6 +45,12 @@ def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(shared.read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, top=20)
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score every whole text by its compression distance to toxic and to ordinary text."""
+    docs = shared.read_table(spark, sf_dir, "documents")
+    return toxicity.classify(docs, toxicity.train(docs, shared.read_table(spark, sf_dir, "labels")))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document: 3-word shingles, links at 2 or fewer bits."""
     return simhash.near_duplicates(shared.read_table(spark, sf_dir, "documents"), words=3, seed=42, threshold=2)
@@ -71,6 +77,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bpe": op4_bpe,
     "op5_sharding": op5_sharding,
     "op6_ann": op6_ann,
+    "op7_toxicity": op7_toxicity,
     "op8_simhash": op8_simhash,
     "op9_quality_rules": op9_quality_rules,
     "op10_quality": op10_quality,
