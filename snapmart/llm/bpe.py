@@ -33,6 +33,8 @@ _SHIFT = 20
 _MASK = (1 << _SHIFT) - 1
 #: Leaves of the trees that are merged many at once: words of up to 33 bytes; longer ones go one by one.
 WIDTHS = (2, 4, 8, 16, 32)
+#: Words merged in one call: few enough for the arrays to stay in a core's cache.
+MANY = 4000
 _TWO_WHITE = re.compile(r"\s\s")
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 
@@ -98,79 +100,125 @@ def merge_symbols(symbols: list[int], pairs: dict[int, int]) -> list[int]:
 
 
 class PairTable:
-    """Pair ranks as sorted keys, for looking up many pairs at once."""
+    """Pair ranks for looking up many pairs at once: every key stands in one of its two places of two arrays."""
 
-    def __init__(self, pairs: dict[int, int]):
-        self.keys = np.array(sorted(pairs), dtype=np.int64)
-        values = np.array([pairs[k] for k in self.keys.tolist()], dtype=np.int64)
-        self.rank, self.merged = values >> _SHIFT, values & _MASK
+    BITS = 16
 
-    def find(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(found, rank, merged id) of each pair; pairs with a negative symbol are never found."""
+    def __init__(self, pairs: dict[int, int]):
+        self.keys = np.array(list(pairs), dtype=np.int64)
+        self.values = np.array(list(pairs.values()), dtype=np.int64)
+        self.bits = max(self.BITS, (2 * len(pairs)).bit_length())
+        rng = np.random.default_rng(1)
+        while not self._placed(*(int(m) | 1 for m in rng.integers(1 << 62, 1 << 63, 2, dtype=np.uint64))):
+            pass
+
+    def _at(self, key: np.ndarray, m: np.uint64) -> np.ndarray:
+        return (key.view(np.uint64) * m >> np.uint64(64 - self.bits)).view(np.int64)
+
+    def _placed(self, m0: int, m1: int) -> bool:
+        """Cuckoo placement: a key that finds its place taken moves the older one to that one's other place."""
+        self.factors = (np.uint64(m0), np.uint64(m1))
+        at = [self._at(self.keys, m).tolist() for m in self.factors]
+        slots = [[-1] * (1 << self.bits), [-1] * (1 << self.bits)]
+        for k in range(len(self.keys)):
+            now, side = k, 0
+            for _ in range(200):
+                place = at[side][now]
+                now, slots[side][place] = slots[side][place], now
+                if now < 0:
+                    break
+                side = 1 - side
+            else:
+                return False
+        self.stored = []
+        for side in slots:
+            held = np.array(side)
+            self.stored.append((np.where(held >= 0, self.keys[held], -1), np.where(held >= 0, self.values[held], 0)))
+        return True
+
+    def find(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(found, rank << 20 | merged id) of each pair; a pair with a negative symbol is never found."""
         key = a << _SHIFT | b
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return (self.keys[at] == key) & (a >= 0) & (b >= 0), self.rank[at], self.merged[at]
+        (keys0, values0), (keys1, values1) = self.stored
+        at0, at1 = (self._at(key, m) for m in self.factors)
+        first = keys0.take(at0) == key
+        found = first | (keys1.take(at1) == key)
+        return found & (key >= 0), np.where(first, values0.take(at0), values1.take(at1))
+
+
+class Letters:
+    """Symbols of single bytes (``last``: of a word's last byte where it differs) and their pairs, by byte pair."""
 
+    def __init__(self, first: list[int], table: PairTable, last: list[int] | None = None):
+        self.first = np.array(first, dtype=np.int64)
+        self.last = self.first if last is None else np.array(last, dtype=np.int64)
+        self.inner = self._pairs(self.first, table)
+        self.final = self._pairs(self.last, table)
 
-def merge_many(words: list[bytes], first: np.ndarray, table: PairTable, width: int,
-               last: np.ndarray | None = None) -> list[bytes]:
+    def _pairs(self, second: np.ndarray, table: PairTable) -> np.ndarray:
+        found, value = table.find(np.repeat(self.first, 256), np.tile(second, 256))
+        return np.where(found, value, -1)
+
+
+def merge_many(words: list[bytes], letters: Letters, table: PairTable, width: int) -> list[bytes]:
     """``merge_symbols`` for many words of 2 to ``width + 1`` bytes at once, one tree of ``width`` leaves a row.
 
-    ``first`` has the symbol of each byte, ``last`` that of a word's last byte where it differs.  Each step reads every row's root, merges that pair and updates the paths of its
+    Each step reads every row's root, merges that pair and updates the paths of its
     three leaves; rows whose root holds no pair are done.
     """
     n, cols = len(words), width + 2
     length = np.array([len(w) for w in words])
-    at = np.arange(cols)
-    sym = np.full((n, cols), -1, dtype=np.int64)
-    sym[at < length[:, None]] = first[np.frombuffer(b"".join(words), dtype=np.uint8)]
-    if last is not None:
-        sym[np.arange(n), length - 1] = last[[w[-1] for w in words]]
-    after = np.broadcast_to(at + 1, (n, cols)).copy()
-    before = np.broadcast_to(at - 1, (n, cols)).copy()
-    found, rank, merged = table.find(sym[:, :width], sym[:, 1:width + 1])
-    new = merged.copy()
-    tree = np.full((n, 2 * width), _NONE, dtype=np.int64)
-    tree[:, width:] = np.where(found, rank * cols + at[:width], _NONE)
+    stride = cols + 1  # a last column of "no symbol" that positions before the first and behind the last one hit
+    filled = np.arange(stride) < length[:, None]
+    raw = np.zeros((n, stride), dtype=np.int64)
+    raw[filled] = np.frombuffer(b"".join(words), dtype=np.uint8)
+    ends = np.arange(n) * stride + length - 1
+    sym = np.where(filled, letters.first.take(raw), -1).ravel()
+    sym[ends] = letters.last.take(raw.ravel().take(ends))
+    place = np.tile(np.arange(stride, dtype=np.int64), n)
+    after, before = place + 1, place - 1
+    pair = raw[:, :width] << 8 | raw[:, 1:width + 1]
+    known = np.where(filled[:, 1:width + 1], letters.inner.take(pair), -1)
+    rows = np.arange(n)
+    known[rows, length - 2] = letters.final.take(pair[rows, length - 2])
+    new = np.zeros((n, width + 1), dtype=np.int64)
+    new[:, :width] = known & _MASK
+    new = new.ravel()
+    heap = np.full((n, 2 * width), _NONE, dtype=np.int64)
+    heap[:, width:] = np.where(known >= 0, (known >> _SHIFT) * cols + np.arange(width), _NONE)
     k = width
     while k > 1:
-        tree[:, k // 2:k] = np.minimum(tree[:, k:2 * k:2], tree[:, k + 1:2 * k:2])
+        heap[:, k // 2:k] = np.minimum(heap[:, k:2 * k:2], heap[:, k + 1:2 * k:2])
         k //= 2
-    rows = np.flatnonzero(tree[:, 1] < _NONE)
+    tree = heap.ravel()
+    rows = np.flatnonzero(heap[:, 1] < _NONE)
     while len(rows):
-        i = tree[rows, 1] % cols
-        j = after[rows, i]
-        sym[rows, i] = got = new[rows, i]
-        sym[rows, j] = -1
-        k = after[rows, j]
-        after[rows, i] = k
-        inside = k < cols
-        before[rows[inside], k[inside]] = i[inside]
-        p = before[rows, i]
-        next_sym = sym[rows, np.minimum(k, cols - 1)]
-        next_sym[~inside] = -1
-        prev_sym = np.where(p >= 0, sym[rows, p], -1)
+        at_sym, at_tree, at_new = rows * stride, rows * (2 * width), rows * (width + 1)
+        i = tree.take(at_tree + 1) % cols
+        here = at_sym + i
+        j = after.take(here)
+        got = new.take(at_new + i)
+        k = after.take(at_sym + j)
+        sym[here], sym[at_sym + j], after[here] = got, -1, k
+        before[at_sym + k] = i
+        p = before.take(here)
         m = len(rows)
-        found, rank, merged = table.find(np.concatenate([got, prev_sym]), np.concatenate([next_sym, got]))
-        leaf_i = np.where(found[:m], rank[:m] * cols + i, _NONE)
-        leaf_p = np.where(found[m:], rank[m:] * cols + p, _NONE)
-        ii, pp, jj = np.minimum(i, width - 1), np.maximum(p, 0), np.minimum(j, width - 1)
-        tree[rows, width + jj] = _NONE
-        has = i < width
-        tree[rows[has], width + ii[has]] = leaf_i[has]
-        new[rows[has], ii[has]] = merged[:m][has]
-        has = p >= 0
-        tree[rows[has], width + pp[has]] = leaf_p[has]
-        new[rows[has], pp[has]] = merged[m:][has]
-        nodes = [width + jj, width + ii, width + pp]
+        found, known = table.find(np.concatenate([got, sym.take(at_sym + p)]), np.concatenate([sym.take(at_sym + k), got]))
+        value = np.where(found, (known >> _SHIFT) * cols + np.concatenate([i, p]), _NONE)
+        known &= _MASK
+        new[at_new + i], new[at_new + p] = known[:m], known[m:]
+        nodes = np.concatenate([np.where(j < width, width + j, 0), width + i, np.where(p >= 0, width + p, 0)])
+        tops = np.concatenate([at_tree] * 3)
+        tree[tops[:m] + nodes[:m]] = _NONE
+        tree[tops[m:] + nodes[m:]] = value
         for _ in range(width.bit_length() - 1):
-            nodes = [x >> 1 for x in nodes]
-            for x in nodes:
-                tree[rows, x] = np.minimum(tree[rows, 2 * x], tree[rows, 2 * x + 1])
-        rows = rows[tree[rows, 1] < _NONE]
+            nodes >>= 1
+            below = tops + 2 * nodes
+            tree[tops + nodes] = np.minimum(tree.take(below), tree.take(below + 1))
+        rows = rows[tree.take(at_tree + 1) < _NONE]
     kept = sym >= 0
     flat = sym[kept].astype("<u4").tobytes()
-    ends = (4 * np.cumsum(kept.sum(axis=1))).tolist()
+    ends = (4 * np.cumsum(kept.reshape(n, stride).sum(axis=1))).tolist()
     return [flat[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
 
@@ -186,11 +234,11 @@ class ByteBpe:
         letters = byte_letters()
         self.byte_of = {c: b for b, c in enumerate(letters)}
         self.first = [vocab[c] for c in letters]
-        self.first_array = np.array(self.first, dtype=np.int64)
         self.pairs = {}
         for rank, (a, b) in enumerate(spec["model"]["merges"]):
             self.pairs.setdefault(vocab[a] << _SHIFT | vocab[b], rank << _SHIFT | vocab[a + b])
         self.table = PairTable(self.pairs)
+        self.letters = Letters(self.first, self.table)
         self.special = {t["content"]: np.array([t["id"]], dtype="<u4").tobytes() for t in spec["added_tokens"]}
         self.special_cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self.bytes_of: list[bytes] = [b""] * (1 + max([*vocab.values(), *(t["id"] for t in spec["added_tokens"])]))
@@ -213,23 +261,21 @@ class ByteBpe:
 
     def _merged(self, words: set[bytes]) -> dict[bytes, bytes]:
         """Ids of distinct pre-tokens: from the cache, or merged now."""
-        out, get = {}, self.pretokens.get
+        out, missing = self.pretokens.take(words)
+        new = {}
         by_width: dict[int, list[bytes]] = {w: [] for w in WIDTHS}
-        for word in words:
-            hit = get(word)
-            if hit is not None:
-                out[word] = hit
-            elif len(word) == 1 or len(word) > WIDTHS[-1] + 1:
-                symbols = merge_symbols([self.first[b] for b in word], self.pairs)
-                out[word] = np.array(symbols, dtype="<u4").tobytes()
-            else:
+        for word in missing:
+            if 1 < len(word) <= WIDTHS[-1] + 1:
                 by_width[width_for(len(word))].append(word)
+            else:
+                symbols = merge_symbols([self.first[b] for b in word], self.pairs)
+                new[word] = np.array(symbols, dtype="<u4").tobytes()
         for width, some in by_width.items():
-            for k in range(0, len(some), 20_000):
-                part = some[k:k + 20_000]
-                for word, ids in zip(part, merge_many(part, self.first_array, self.table, width), strict=True):
-                    out[word] = ids
-                    self.pretokens.put(word, ids)
+            for k in range(0, len(some), MANY):
+                part = some[k:k + MANY]
+                new.update(zip(part, merge_many(part, self.letters, self.table, width), strict=True))
+        self.pretokens.put({w: ids for w, ids in new.items() if len(w) <= 64})
+        out.update(new)
         return out
 
     def encode_chunks(self, chunks: list[str]) -> list[bytes]:

@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
 from bisect import bisect_left, insort
 
@@ -36,7 +37,7 @@ from . import bpe, shared
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 #: Cells per length over which ranks are counted.
-SALTS = 128
+SALTS = 64
 
 
 #: Classes of Latin-1 characters: letters and digits, white space, full stops and commas, control, other marks.
@@ -44,6 +45,12 @@ _CLASS = bytes([ord("a" if chr(b).isalnum() else "x" if 28 <= b < 32 else " " if
                     "." if chr(b) in ".," else "#") for b in range(256)])
 
 
+#: The pattern's runs in a lower-case Latin-1 chunk, and what keeps a chunk from being split by them:
+#: contractions, numerals that are no digits, white space, control characters and special tokens.
+_RUNS = re.compile(r"[^\W\d_]+|\d|(?:[^\w\s]|_)+")
+_ODD = re.compile(r"['²³¹¼½¾\s\x1c-\x1f]|<\|")
+
+
 class WordIds:
     """Ids of the ``tokenizers`` library for a vocabulary that drops white space and marks word ends.
 
@@ -52,7 +59,7 @@ class WordIds:
     are merged many at once (see ``bpe``), anything else goes to the library.
     """
 
-    def __init__(self, path: str, cache: int = 500_000):
+    def __init__(self, path: str, cache: int = 1_600_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
@@ -62,12 +69,13 @@ class WordIds:
             model = json.load(f)["model"]
         vocab = model["vocab"]
         letters = bpe.byte_letters()
-        self.first = np.array([vocab[c] for c in letters], dtype=np.int64)
-        self.last = np.array([vocab[c + model["end_of_word_suffix"]] for c in letters], dtype=np.int64)
+        last = [vocab[c + model["end_of_word_suffix"]] for c in letters]
         pairs: dict[int, int] = {}
         for rank, (a, b) in enumerate(model["merges"]):
             pairs.setdefault(bpe.pair_key(vocab[a], vocab[b]), bpe.pair_key(rank, vocab[a + b]))
         self.table = bpe.PairTable(pairs)
+        self.letters = bpe.Letters([vocab[c] for c in letters], self.table, last)
+        self.single = [int(i).to_bytes(4, "little") for i in last]
         self.chunks = shared.TwoGenerationCache(cache)
 
     def _library(self, words: list[str]) -> list[bytes]:
@@ -78,20 +86,35 @@ class WordIds:
         return out
 
     def _missing(self, chunks: list[str]) -> list[bytes]:
-        ids: dict[str, bytes] = {}
-        by_width: dict[int, list[str]] = {w: [] for w in bpe.WIDTHS}
-        others = []
+        """Ids of distinct chunks: Latin ones by their letter, digit and mark runs, others by the library."""
+        pieces: dict[str, list[str]] = {}
+        others, runs = [], set()
         for c in chunks:
-            if 2 <= len(c) <= 16 and c.isalpha() and c.islower() and max(c) < "Ā":
-                by_width[bpe.width_for(len(c.encode()))].append(c)
+            if c.isalpha() and c.islower() and (c.isascii() or max(c) < "Ā"):
+                runs.add(c)
+            elif c and c == c.lower() and max(c) < "Ā" and not _ODD.search(c):
+                pieces[c] = _RUNS.findall(c)
+                runs.update(pieces[c])
             else:
                 others.append(c)
+        ids = dict(zip(others, self._library(others), strict=True))
+        by_width: dict[int, list[str]] = {w: [] for w in bpe.WIDTHS}
+        long = []
+        for r in runs:
+            size = len(r) if r.isascii() else len(r.encode())
+            if size == 1:
+                ids[r] = self.single[ord(r)]
+            elif size <= bpe.WIDTHS[-1] + 1:
+                by_width[bpe.width_for(size)].append(r)
+            else:
+                long.append(r)
+        ids.update(zip(long, self._library(long), strict=True))
         for width, some in by_width.items():
-            for k in range(0, len(some), 20_000):
-                part = some[k:k + 20_000]
-                ids.update(zip(part, bpe.merge_many([c.encode() for c in part], self.first, self.table, width, self.last),
-                               strict=True))
-        ids.update(zip(others, self._library(others), strict=True))
+            for k in range(0, len(some), bpe.MANY):
+                part = some[k:k + bpe.MANY]
+                ids.update(zip(part, bpe.merge_many([c.encode() for c in part], self.letters, self.table, width), strict=True))
+        for c, some in pieces.items():
+            ids[c] = b"".join([ids[r] for r in some])
         return [ids[c] for c in chunks]
 
     @staticmethod

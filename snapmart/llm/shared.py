@@ -74,42 +74,78 @@ def text_map(docs: DataFrame, rows: Callable[[Iterator[tuple[list, list[str]]]],
     return map_arrow(doc_text(docs), run, schema)
 
 
+def text_append(docs: DataFrame, values: Callable[[list[str]], list], name: str, kind: str) -> DataFrame:
+    """``docs`` with one more column, computed from the whole texts (a null text as the empty one) in the scan's tasks."""
+    if name in docs.columns:
+        raise ValueError(f"the documents already have a column {name}")
+    schema = T.StructType([*docs.schema.fields, T.StructType.fromDDL(f"{name} {kind}")[0]])
+    at = docs.columns.index("text")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            a = size = 0
+            texts = [t or "" for t in b.column(at).to_pylist()]
+            for k, text in enumerate(texts):
+                size += len(text)
+                if size >= 4_000_000 or k == len(texts) - 1:
+                    part = b.slice(a, k + 1 - a)
+                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(values(texts[a:k + 1]), type=out_type)],
+                                                     names=[*part.schema.names, name])
+                    a, size = k + 1, 0
+
+    return map_arrow(docs, run, schema)
+
+
 def _arrow_schema(ddl: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     return to_arrow_schema(T.StructType.fromDDL(ddl))
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the folder named by ``spark.checkpoint.dir`` and read it from there.
-
-    A lost executor then costs a reread instead of the whole lineage.  Only a
-    ``local`` master without the setting gets a private folder.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``; only a ``local`` master without the setting gets a private one."""
     sc = spark.sparkContext
-    if not (spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()):
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not folder:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="snapmart-llm-"))
+        folder = tempfile.mkdtemp(prefix="snapmart-llm-")
+        sc.setCheckpointDir(folder)
+    return folder.rstrip("/")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder and go on from there: a lost executor costs a reread, not the lineage."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def sized(df: DataFrame, rows: int = 500_000) -> DataFrame:
+    """``df`` marked for broadcasting if it has at most ``rows`` rows (slim ones: a few MB), else as it is."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 class TwoGenerationCache:
     """A dict of bounded size: when the young half is full it becomes the old half and the old one goes."""
 
     def __init__(self, limit: int):
         self.limit, self.young, self.old = max(2, limit) // 2, {}, {}
 
-    def get(self, key):
-        hit = self.young.get(key)
-        if hit is None and (hit := self.old.get(key)) is not None:
-            self.put(key, hit)
-        return hit
-
-    def put(self, key, value):
+    def take(self, keys: set) -> tuple[dict, list]:
+        """The known ones of ``keys`` with their values, and the others."""
+        young = keys & self.young.keys()
+        found = dict(zip(young, map(self.young.__getitem__, young), strict=True))
+        rest = keys - young
+        old = rest & self.old.keys()
+        if old:
+            again = dict(zip(old, map(self.old.__getitem__, old), strict=True))
+            found.update(again)
+            self.put(again)
+            rest -= old
+        return found, list(rest)
+
+    def put(self, values: dict) -> None:
+        self.young.update(values)
         if len(self.young) >= self.limit:
             self.old, self.young = self.young, {}
-        self.young[key] = value
 
 
 def small_batches(batches, chars: int = 4_000_000):
@@ -129,20 +165,19 @@ def by_chunks(parts: list[list[str]], cache: TwoGenerationCache, missing: Callab
 
     Chunks over 64 characters are not kept, so the cache's memory has a bound.
     """
-    table = dict(fixed)
-    unknown = []
-    for chunk in set().union(*parts):
-        hit = cache.get(chunk)
-        if hit is not None:
-            table.setdefault(chunk, hit)
-        elif chunk not in table:
-            unknown.append(chunk)
-    for chunk, code in zip(unknown, missing(unknown), strict=True):
-        table[chunk] = code
-        if len(chunk) <= 64:
-            cache.put(chunk, code)
-    code_of = table.__getitem__
-    return [b"".join(map(code_of, some)) for some in parts]
+    known = cache.young
+    known.update(fixed)
+    rest = set().union(*parts) - known.keys()
+    again = rest & cache.old.keys()
+    known.update(zip(again, map(cache.old.__getitem__, again), strict=True))
+    unknown = list(rest - again)
+    known.update(zip(unknown, missing(unknown), strict=True))
+    code_of = known.__getitem__
+    out = [b"".join(map(code_of, some)) for some in parts]
+    for chunk in [c for c in unknown if len(c) > 64]:
+        del known[chunk]
+    cache.put({})
+    return out
 
 
 def vocabulary(name: str) -> str:

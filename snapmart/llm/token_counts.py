@@ -27,11 +27,15 @@ SCHEMA = ("doc_id bigint, n_tokens bigint, n_edits bigint, n_tokens_after bigint
           "n_chars_reencoded bigint")
 
 _WHITE = " \t\n\r\x0b\x0c"
+_TWO_WHITE = re.compile(r"\s\s")
 _LEAF = re.compile(r"(?<=\S)(?=[ \t\n\r\x0b\x0c])")
 
 
 def leaves(text: str) -> list[str]:
-    return _LEAF.split(text) if text else []
+    if "\0" in text or _TWO_WHITE.search(text):
+        return _LEAF.split(text) if text else []
+    parts = text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")  # single white space only: cut before it
+    return parts if parts[0] else parts[1:]
 
 
 class LeafCounter:
@@ -42,17 +46,10 @@ class LeafCounter:
         self.known = shared.TwoGenerationCache(cache)
 
     def table(self, wanted: set[str]) -> dict[str, int]:
-        out, missing = {}, []
-        for leaf in wanted:
-            n = self.known.get(leaf)
-            if n is None:
-                missing.append(leaf)
-            else:
-                out[leaf] = n
-        for leaf, code in zip(missing, self.coder.encode_chunks(missing), strict=True):
-            out[leaf] = len(code) // 4
-            if len(leaf) <= 64:
-                self.known.put(leaf, out[leaf])
+        out, missing = self.known.take(wanted)
+        new = {leaf: len(code) // 4 for leaf, code in zip(missing, self.coder.encode_chunks(missing), strict=True)}
+        self.known.put({leaf: n for leaf, n in new.items() if len(leaf) <= 64})
+        out.update(new)
         return out
 
     def count(self, text: str) -> int:
@@ -68,7 +65,7 @@ class TokenTree:
         self.slots, self.count = list(parts), count
         self.size = 1 << max(0, len(parts) - 1).bit_length()
         self.sums = np.zeros((2, 2 * self.size), dtype=np.int64)
-        self.sums[0, self.size:self.size + len(parts)] = [len(p) for p in parts]
+        self.sums[0, self.size:self.size + len(parts)] = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
         self.sums[1, self.size:self.size + len(parts)] = counts
         k = self.size
         while k > 1:
@@ -137,8 +134,8 @@ class TokenTree:
 
 # edits of the registered query -----------------------------------------------
 
-_MASKS = (("[email]", re.compile(r"[\w.+-]+@[\w-]+(?:\.[\w-]+)+")), ("[hex]", re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")),
-          ("[number]", re.compile(r"(?<!\d)\d{7,}(?!\d)")))
+_MASKS = (("[email]", re.compile(r"[\w.+-]+@[\w-]+(?:\.[\w-]+)+")), ("[hex]", re.compile(r"[0-9a-f]{32,}")),
+          ("[number]", re.compile(r"\d{7,}")))
 
 
 def cleaning_edits(text: str) -> list[tuple[int, int, str]]:
