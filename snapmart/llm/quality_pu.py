@@ -112,19 +112,25 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabe
     if not n:
         return ACCEPT_ALL
     good = labelled.sample(learn, positives, 0)
-    ids = shared.doc_text(docs).where(~shared.held_out("doc_id")).select("doc_id").withColumn("h", F.xxhash64("doc_id", F.lit(1)))
-    some = ids.orderBy("h", "doc_id").limit(unlabelled).select("doc_id", F.lit(2).alias("y"), F.lit(0).alias("half")).distinct()
-    samples = []
-    for picked, most in ((good, positives), (some, unlabelled)):
-        texts = labelled.with_text(docs, picked, most)
-        # A bounded number of rows of a few numbers each.
-        samples.append(np.array([r["x"] for r in measured(texts).select("x").collect()]).reshape(-1, len(FEATURES)))
+    ids = shared.doc_text(docs).where(~shared.held_out("doc_id")).select("doc_id").distinct().withColumn("h", F.xxhash64("doc_id", F.lit(1)))
+    some = ids.orderBy("h", "doc_id").limit(unlabelled).select("doc_id", F.lit(2).alias("y"), F.lit(0).alias("half"))
+    texts = labelled.with_text(docs, good.unionByName(some), positives + unlabelled)
+    # A bounded number of rows of a few numbers each.
+    rows = shared.text_append(texts.select("y", "text"), lambda t: [measurements(x) for x in t], "x", "array<double>")
+    rows = rows.select("y", "x").collect()
+    samples = [np.array([r["x"] for r in rows if r["y"] == y]).reshape(-1, len(FEATURES)) for y in (1, 2)]
     if not len(samples[0]):
         return ACCEPT_ALL
     weights, bias = fit_matrix(samples[0], samples[1], min(0.99, float(prior)))
     return Model(tuple(map(float, weights)), bias, float(prior))
 
 
+def judge(docs: DataFrame, model: Model, name: str = "_quality") -> DataFrame:
+    """All rows and columns of ``docs`` with the score as column ``name``."""
+    found = shared.text_append(docs, lambda texts: [measurements(t) for t in texts], "_measured", "array<double>")
+    return found.withColumn(name, model.score("_measured")).drop("_measured")
+
+
 def classify(docs: DataFrame, model: Model) -> DataFrame:
     """Per row: ``doc_id, held_out, score, predicted``."""
     scored = measured(docs).select("doc_id", shared.held_out("doc_id").alias("held_out"), model.score().alias("score"))

@@ -53,7 +53,8 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document: 3-word shingles, links at 2 or fewer bits."""
-    return simhash.near_duplicates(shared.read_table(spark, sf_dir, "documents"), words=3, seed=42, threshold=2)
+    docs = shared.read_table(spark, sf_dir, "documents").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    return simhash.near_duplicates(docs, words=3, seed=42, threshold=2)
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

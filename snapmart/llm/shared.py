@@ -80,6 +80,8 @@ def text_append(docs: DataFrame, values: Callable[[list[str]], list], name: str,
         raise ValueError(f"the documents already have a column {name}")
     schema = T.StructType([*docs.schema.fields, T.StructType.fromDDL(f"{name} {kind}")[0]])
     at = docs.columns.index("text")
+    out_type = _arrow_schema(f"v {kind}")[0].type
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             a = size = 0

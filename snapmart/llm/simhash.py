@@ -40,6 +40,8 @@ RADIUS = 3
 _GENERATOR = 0b101011100011  # of the cyclic [23, 12] code
 #: Homes, and rows, of one cell of a crowded anchor's grid (about; rows are dealt by a hash).
 BLOCK, PART = 2048, 65_536
+#: A fingerprint of more than one in so many rows is hot.
+HOT = 200
 
 
 # fingerprints ---------------------------------------------------------------
@@ -91,13 +93,10 @@ def fingerprints_of(texts: list[str], words: int, seed: int) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, words: int = 3, seed: int = 42) -> DataFrame:
-    """``doc_id`` and ``fp`` (the fingerprint's 64 bits as a bigint) of every row."""
-    def rows(batches):
-        for ids, texts in shared.small_batches(batches):
-            yield {"doc_id": ids, "fp": fingerprints_of(texts, words, seed).view(np.int64)}
-
-    return shared.text_map(docs, rows, "doc_id bigint, fp bigint")
+def fingerprints(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), words: int = 3, seed: int = 42) -> DataFrame:
+    """The ``keep`` columns and ``fp`` (the fingerprint's 64 bits as a bigint) of every row."""
+    slim = docs.select(*keep, F.col("text").cast("string").alias("text"))
+    return shared.text_append(slim, lambda texts: fingerprints_of(texts, words, seed).view(np.int64), "fp", "bigint").drop("text")
 
 
 # anchors --------------------------------------------------------------------
@@ -194,7 +193,7 @@ def _match(homes: np.ndarray, others: np.ndarray, threshold: int, parent: dict[i
             top, other = root(a), root(b)
             if top != other:
                 parent[other] = top
-                edges.append((a, b))
+                edges.append((fp, h))
     return edges
 
 
@@ -265,14 +264,28 @@ def links(distinct: DataFrame, threshold: int = 2) -> DataFrame:
     return shared.map_arrow(ordered, _compare(threshold), "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame, words: int = 3, seed: int = 42, threshold: int = 2) -> DataFrame:
-    """Per row: ``doc_id``, ``fingerprint`` (16 hex digits) and ``component_id`` (smallest id reachable by links)."""
-    fps = shared.cut(fingerprints(docs, words, seed))
-    least = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
+def _hex(fp: str):
+    return F.lower(F.lpad(F.hex(fp), 16, "0"))
+
+
+def near_duplicates(docs: DataFrame, words: int = 3, seed: int = 42, threshold: int = 2,
+                    keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """Per row: the ``keep`` columns, ``fingerprint`` (16 hex digits), ``component_id`` and ``component_fingerprint``.
+
+    ``component_id`` is the smallest ``doc_id`` reachable by links; the component's
+    fingerprint (one of its own) names it where there is no id.
+    """
+    fps = shared.cut(fingerprints(docs, keep, words, seed))
+    least = shared.cut(fps.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")))
     stars = components.stars(links(least.select("fp"), threshold))
     # Fingerprints in links only: few beside the rows.
     tops = stars.join(least, stars["node"] == least["fp"]).groupBy("root").agg(F.min("least").alias("top"))
-    linked = stars.join(tops, "root").select(F.col("node").alias("fp"), "top")
-    labels = least.join(linked, "fp", "left").select("fp", F.coalesce("top", "least").alias("component_id"))
-    return (fps.join(labels, "fp")
-            .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
+    linked = stars.join(tops, "root").select(F.col("node").alias("fp"), "root", "top")
+    labels = shared.cut(least.join(linked, "fp", "left").select(
+        "fp", "n", F.coalesce("top", "least").alias("component_id"), F.coalesce("root", "fp").alias("root")))
+    # A fingerprint of over a two-hundredth of the rows (200 of them at most) would crowd one task of the join.
+    rows = least.agg(F.sum("n")).first()[0] or 0
+    hot = F.broadcast(labels.where(F.col("n") * HOT > rows).drop("n"))
+    some = fps.join(hot, "fp").unionByName(fps.join(hot.select("fp"), "fp", "left_anti")
+                                           .join(labels.where(F.col("n") * HOT <= rows).drop("n"), "fp"))
+    return some.select(*keep, _hex("fp").alias("fingerprint"), "component_id", _hex("root").alias("component_fingerprint"))

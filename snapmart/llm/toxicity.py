@@ -8,7 +8,9 @@ the dictionaries have not seen.
 
 Characters are written as two-byte codes before compression: a match then saves
 several bytes, where on single bytes it barely pays for its own description (four
-to six characters against about three bytes) and most differences round to zero.
+to six characters against about three bytes) and most differences round to zero.  A
+short run of zeros before the window keeps the library from storing it raw, which
+would round small differences away as well.
 
 The ordinary dictionary holds the words that most ordinary documents share.  The
 toxic one holds word beginnings that toxic documents have and ordinary ones lack,
@@ -45,13 +47,14 @@ CANDIDATES, COMMON = 20_000, 6000
 #: A word beginning is toxic if its share of toxic documents is this many times that of ordinary ones.
 LIFT = 6
 #: Times that each toxic document is to be covered.
-COVER = 3
+COVER = 8
 LEVEL = 12
 REJECT = 0.3
 
 #: Thresholds on a window's difference (bytes), and those also counted as a share of the windows.
 STEPS, SHARES = (2, 3, 4, 5, 6, 8), (3, 4, 5)
 
+_PAD = bytes(16)
 _WIDE = [random.Random(b).randbytes(2) for b in range(256)]
 
 
@@ -89,7 +92,7 @@ def _meter(toxic: bytes, ordinary: bytes):
     a, b = compressor(ordinary), compressor(toxic)
 
     def difference(word: bytes) -> int:
-        window = wide(b" " + word + b" ")
+        window = _PAD + wide(b" " + word + b" ")
         return len(a.compress(window)) - len(b.compress(window))
 
     return difference, shared.TwoGenerationCache(700_000)
@@ -232,13 +235,22 @@ def train(docs: DataFrame, labels: DataFrame, toxic: int = TOXIC, ordinary: int
     return Model(bad, good, tuple(map(float, weights)), bias)
 
 
+def _score(model: Model, x: str):
+    z = sum((F.get(x, k) * w for k, w in enumerate(model.weights)), F.lit(model.bias))
+    return F.lit(1.0) / (F.lit(1.0) + F.exp(-F.greatest(F.least(z, F.lit(30.0)), F.lit(-30.0))))
+
+
+def judge(docs: DataFrame, model: Model | None, name: str = "_toxicity") -> DataFrame:
+    """All rows and columns of ``docs`` with the score as column ``name``."""
+    if model is None:
+        return docs.withColumn(name, F.lit(0.0))
+    toxic, ordinary = model.toxic, model.ordinary
+    found = shared.text_append(docs, lambda texts: features(texts, toxic, ordinary), "_measured", "array<double>")
+    return found.withColumn(name, _score(model, "_measured")).drop("_measured")
+
+
 def classify(docs: DataFrame, model: Model | None) -> DataFrame:
     """Per row: ``doc_id, held_out, score, predicted``."""
-    if model is None:
-        scored = shared.doc_text(docs).select("doc_id", F.lit(0.0).alias("score"))
-    else:
-        z = sum((F.get("x", k) * w for k, w in enumerate(model.weights)), F.lit(model.bias))
-        scored = measured(docs, model.toxic, model.ordinary).select(
-            "doc_id", (F.lit(1.0) / (F.lit(1.0) + F.exp(-F.greatest(F.least(z, F.lit(30.0)), F.lit(-30.0))))).alias("score"))
+    scored = judge(shared.doc_text(docs), model, "score").select("doc_id", "score")
     return scored.select("doc_id", shared.held_out("doc_id").alias("held_out"), "score",
                          (F.col("score") >= REJECT).cast("int").alias("predicted"))
