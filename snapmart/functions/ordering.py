@@ -20,12 +20,3 @@ def desc_nulls_first(c) -> Column:
 
 def asc_nulls_last(c) -> Column:
     return _col(c).asc_nulls_last()
-
-
-def warehouse_order(*keys) -> list[Column]:
-    """``("rating", "desc"), ("name", "asc")`` → columns with warehouse NULL placement."""
-    out = []
-    for k in keys:
-        name, direction = (k, "asc") if isinstance(k, str) else k
-        out.append(desc_nulls_first(name) if direction == "desc" else asc_nulls_last(name))
-    return out

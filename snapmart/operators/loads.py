@@ -21,7 +21,7 @@ def target_table(source) -> Column:
     """Raw table of a source; an unknown source raises (trap T15)."""
     s = F.col(source) if isinstance(source, str) else source
     expr = F.when(s == "rawg", F.lit(SOURCE_TABLES["rawg"])).when(s == "steam", F.lit(SOURCE_TABLES["steam"]))
-    return expr.otherwise(F.raise_error(F.concat(F.lit("Unsupported source: "), F.coalesce(s, F.lit("NULL")))))
+    return expr.otherwise(F.raise_error(F.concat(F.lit("no raw table is defined for source "), F.coalesce(s, F.lit("NULL")))))
 
 
 def rows_per_file(raw_rows: DataFrame, file_col: str = "s3_key", by: list[str] | None = None,
@@ -36,31 +36,28 @@ def rows_per_file(raw_rows: DataFrame, file_col: str = "s3_key", by: list[str] |
     return raw_rows.groupBy(*by, file_col).agg(F.count(doc_col).alias("rows_loaded"))
 
 
+def plan_status(candidates: DataFrame, audit: DataFrame, force: bool = False) -> DataFrame:
+    """M3/M5: ``target_table`` and ``status`` of every candidate (source, s3_key, …), from the audit log alone."""
+    keys = ["source", "s3_key", "target_table"]
+    cand = candidates.withColumn("target_table", target_table("source"))
+    if force:
+        return cand.withColumn("status", F.lit(STATUS_RELOADED))
+    done = audit.where(F.col("status") == STATUS_LOADED).select(*keys).distinct().withColumn("_was_loaded", F.lit(True))
+    return (cand.join(done, on=keys, how="left")
+            .withColumn("status", F.when(F.col("_was_loaded"), F.lit(STATUS_SKIPPED)).otherwise(F.lit(STATUS_LOADED)))
+            .drop("_was_loaded"))
+
+
 def plan_loads(candidates: DataFrame, audit: DataFrame, force: bool = False, loaded_at=None) -> DataFrame:
     """M3+M4+M5: one audit row per candidate file.
 
     ``candidates``: (source, s3_key, rows_loaded).  Returns the audit rows
     (source, s3_key, target_table, rows_loaded, status, loaded_at).
     """
-    keys = ["source", "s3_key", "target_table"]
-    cand = candidates.withColumn("target_table", target_table("source"))
-    done = (audit.where(F.col("status") == STATUS_LOADED).select(*keys).distinct()
-            .withColumn("_was_loaded", F.lit(True)))
-    j = cand.join(done, on=keys, how="left")
-    was = F.coalesce(F.col("_was_loaded"), F.lit(False))
-    if force:
-        status = F.lit(STATUS_RELOADED)
-        rows = F.col("rows_loaded")
-    else:
-        status = F.when(was, F.lit(STATUS_SKIPPED)).otherwise(F.lit(STATUS_LOADED))
-        rows = F.when(was, F.lit(0)).otherwise(F.col("rows_loaded"))
+    j = plan_status(candidates, audit, force)
+    rows = F.when(F.col("status") == STATUS_SKIPPED, F.lit(0)).otherwise(F.col("rows_loaded"))
     ts = loaded_at if loaded_at is not None else F.current_timestamp().cast("timestamp_ntz")
     if isinstance(ts, str):
         ts = F.lit(ts).cast("timestamp_ntz")
-    return j.select("source", "s3_key", "target_table", rows.cast("bigint").alias("rows_loaded"),
-                    status.alias("status"), ts.alias("loaded_at"))
-
-
-def files_to_copy(plan: DataFrame) -> DataFrame:
-    """Files the plan actually copies (everything but the skips)."""
-    return plan.where(F.col("status") != STATUS_SKIPPED).select("source", "s3_key", "target_table")
+    return j.select("source", "s3_key", "target_table", rows.cast("bigint").alias("rows_loaded"), "status",
+                    ts.alias("loaded_at"))

@@ -47,17 +47,19 @@ def key_bucket(key: str, buckets: int):
 def upsert_buckets(spark, updates: DataFrame, table_path: str, key: str, buckets: int, staging_path: str) -> list[int]:
     """M1 rewriting only the key buckets an update touches.
 
-    The table is Parquet partitioned by ``key_bucket``.  The rows of the touched
-    buckets are merged (``upsert``) and first written to ``staging_path`` — a
-    plan never overwrites what it reads (trap T19) — then copied over the table
-    with dynamic partition overwrite, which replaces exactly those bucket
-    folders and leaves every other bucket's files untouched.  Re-running the same
-    merge gives the same table, so a run that fails mid-way is healed by running
-    it again.  Returns the touched buckets (a small list, at most ``buckets``).
+    The table is Parquet partitioned by ``key_bucket``.  The updates are computed once,
+    into ``staging_path/updates``; the touched buckets are read off them and merged
+    (``upsert``) into ``staging_path/merged`` — a plan never overwrites what it reads
+    (trap T19) — which then replaces exactly those bucket folders (dynamic partition
+    overwrite, set on this write only).  Re-running the same merge gives the same table,
+    so a run that fails mid-way is healed by running it again; until then readers may
+    see some buckets new and some old (use the versioned write where that matters).
+    Returns the touched buckets (a small list, at most ``buckets``).
     """
     from snapmart.sources.catalog import _fs
 
-    upd = updates.withColumn(BUCKET_COL, key_bucket(key, buckets))
+    updates.withColumn(BUCKET_COL, key_bucket(key, buckets)).write.mode("errorifexists").parquet(f"{staging_path}/updates")
+    upd = spark.read.parquet(f"{staging_path}/updates")
     touched = sorted(r[0] for r in upd.select(BUCKET_COL).distinct().collect())
     fs, p, _ = _fs(spark, table_path)
     if fs.exists(p):
@@ -65,11 +67,7 @@ def upsert_buckets(spark, updates: DataFrame, table_path: str, key: str, buckets
         merged = upsert(target.select(*upd.columns), upd, key)
     else:
         merged = upd
-    merged.write.mode("errorifexists").partitionBy(BUCKET_COL).parquet(staging_path)
-    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        spark.read.parquet(staging_path).write.mode("overwrite").partitionBy(BUCKET_COL).parquet(table_path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+    merged.write.mode("errorifexists").partitionBy(BUCKET_COL).parquet(f"{staging_path}/merged")
+    (spark.read.parquet(f"{staging_path}/merged").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(BUCKET_COL).parquet(table_path))
     return touched

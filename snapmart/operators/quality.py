@@ -30,6 +30,30 @@ def unique(df: DataFrame, model: str, column: str) -> DataFrame:
     return _finish(agg.withColumn("column_name", F.lit(column)), model, "unique")
 
 
+def column_tests(df: DataFrame, model: str, not_null: list[str], unique: list[str]) -> DataFrame:
+    """Q1 and Q2 of a model from one scan: NULLs are counted while the (one) unique column is grouped."""
+    if not unique:
+        return globals()["not_null"](df, model, not_null)
+    if len(unique) > 1:
+        raise ValueError("one unique column a model; further ones need a pass of their own")
+    key = unique[0]
+    nulls = [F.count_if(F.col(c).isNull()).alias(f"n{k}") for k, c in enumerate(not_null)]
+    groups = df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("n"), *nulls)
+    twice = F.count_if(F.col("_key").isNotNull() & (F.col("n") > 1)).cast("bigint")
+    found = groups.agg(twice.alias("u"), *[F.coalesce(F.sum(f"n{k}"), F.lit(0)).cast("bigint").alias(f"n{k}")
+                                           for k in range(len(not_null))])
+    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit("not_null").alias("test"), F.col(f"n{k}").alias("failures"))
+                     for k, c in enumerate(not_null)],
+                   F.struct(F.lit(key).alias("column_name"), F.lit("unique").alias("test"), F.col("u").alias("failures")))
+    long = found.select(F.explode(rows).alias("r")).select("r.*")
+    return long.select(F.lit(model).alias("model"), "column_name", "test", "failures",
+                       F.when(F.col("failures") > 0, F.lit("fail")).otherwise(F.lit("pass")).alias("status"))
+
+
+class ChecksFailed(Exception):
+    """A run's column tests failed; the stored report names them."""
+
+
 def _finish(df: DataFrame, model: str, test: str) -> DataFrame:
     return df.select(F.lit(model).alias("model"), "column_name", F.lit(test).alias("test"), "failures",
                      F.when(F.col("failures") > 0, F.lit("fail")).otherwise(F.lit("pass")).alias("status"))

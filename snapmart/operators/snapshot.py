@@ -15,8 +15,3 @@ from pyspark.sql import functions as F
 def latest_snapshot(raw: DataFrame, ts_col: str = "extracted_at") -> DataFrame:
     latest = raw.select(F.max(ts_col).alias("_latest_ts")).scalar()
     return raw.where(F.col(ts_col) == latest)
-
-
-def latest_time(raw: DataFrame, ts_col: str = "extracted_at") -> DataFrame:
-    """A1 on its own: the one-row ``max(ts)`` relation."""
-    return raw.agg(F.max(ts_col).alias(ts_col))

@@ -76,7 +76,13 @@ def unique_checks(models: dict[str, DataFrame]) -> DataFrame:
 
 
 def all_checks(models: dict[str, DataFrame], raw_rawg: DataFrame | None = None) -> DataFrame:
-    return not_null_checks(models, raw_rawg).unionByName(unique_checks(models))
+    """Every column test; one scan per model, and with ``raw_rawg`` one for all three game staging models."""
+    shared = raw_rawg is not None
+    parts = [quality.column_tests(models[m], m, cols, UNIQUE.get(m, [])) for m, cols in NOT_NULL.items()
+             if not (shared and m in GAME_STAGING)]
+    if shared:
+        parts.append(game_staging_not_null(raw_rawg))
+    return quality.report(*parts)
 
 
 def freshness_checks(raws: dict[str, DataFrame], now) -> DataFrame:

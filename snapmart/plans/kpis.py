@@ -15,9 +15,15 @@ def release_trend(mart: DataFrame) -> DataFrame:
     return mart.groupBy(month.alias("release_month")).agg(F.count(F.lit(1)).alias("game_count"))
 
 
-def rating_by_genre(mart: DataFrame) -> DataFrame:
-    """K2: average rating per genre from the mart's genre list."""
-    g = mart.select(F.explode(F.split("genres", ", ")).alias("genre"), "rating")
+def rating_by_genre(games: DataFrame) -> DataFrame:
+    """K2: average rating per genre, from the games' own genre rows (``genre_set``, ``rating``).
+
+    The mart's joined list cannot be split again: a genre's name may hold a comma.  A
+    game without genre rows counts as ``Unknown``, as in the mart.
+    """
+    genres = F.when(F.col("genre_set").isNull(), F.array(F.lit("Unknown"))) \
+        .when(F.size("genre_set") == 0, F.array(F.lit(""))).otherwise(F.col("genre_set"))
+    g = games.select(F.explode(genres).alias("genre"), "rating")
     return g.groupBy("genre").agg(F.round(F.avg("rating"), 6).alias("avg_rating"),
                                   F.count(F.lit(1)).alias("game_count"), F.count("rating").alias("rated_games"))
 
@@ -32,7 +38,7 @@ def catalog_growth(raw_rawg: DataFrame) -> DataFrame:
                    keep=["extracted_at"])
     per = (flat.select("extracted_at", as_number("game", "$.id").alias("gid")).groupBy("extracted_at")
            .agg(F.count_distinct("gid").alias("game_count")))
-    w = Window.orderBy("extracted_at")
+    w = Window.orderBy("extracted_at")  # one row per snapshot: no partition needed
     prev = F.lag("game_count").over(w)
     return per.select("extracted_at", "game_count", prev.alias("prev_game_count"),
                       (F.col("game_count") - F.coalesce(prev, F.lit(0))).alias("delta_games"))

@@ -2,14 +2,15 @@
 
 ``mart_games`` takes the four staging relations.  With ``per_snapshot=True`` the
 staging relations carry every snapshot and all rollups and joins are keyed by
-the run time ``extracted_at_utc`` as well (both sources of one run share it);
-``accumulated_mart_games`` then folds the per-run outputs the way the
-incremental merge accumulates them run after run.
+time as well: a game snapshot reads the store snapshot that the last run using
+it would read (``store_times``).  ``accumulated_mart_games`` then folds the per-run
+outputs the way the incremental merge accumulates them run after run;
+``accumulated_games_fused`` gives the same rows folding first.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from snapmart.functions.ordering import asc_nulls_last, desc_nulls_first
@@ -18,13 +19,6 @@ from snapmart.operators.joins import enrich, left_join_on_name
 from snapmart.operators.merge import fold_latest
 from snapmart.operators.rollup import count_and_list, listagg_rollup, name_rollup
 
-MART_GAME_COLUMNS = [
-    "rawg_game_id", "slug", "game_name", "released_date", "is_tba", "rating", "ratings_count", "reviews_count",
-    "metacritic_score", "added_count", "playtime_hours", "genres", "platform_count", "platforms", "steam_app_id",
-    "steam_category_name", "is_discounted_on_steam", "steam_discount_percent", "steam_final_price_usd",
-    "steam_windows_available", "steam_mac_available", "steam_linux_available", "extracted_at_utc",
-]
-
 TOP_RATED_COLUMNS = [
     "rawg_game_id", "game_name", "released_date", "rating", "ratings_count", "reviews_count", "metacritic_score",
     "genres", "platform_count", "platforms", "steam_app_id", "is_discounted_on_steam", "steam_discount_percent",
@@ -33,15 +27,31 @@ TOP_RATED_COLUMNS = [
 
 
 def mart_games(games: DataFrame, genres: DataFrame, platforms: DataFrame, offers: DataFrame,
-               per_snapshot: bool = False) -> DataFrame:
-    """Games ⟕ store rollup by normalized name ⟕ genre list ⟕ platform count/list."""
+               per_snapshot: bool = False, times: DataFrame | None = None) -> DataFrame:
+    """Games ⟕ store rollup by normalized name ⟕ genre list ⟕ platform count/list.
+
+    ``times``: see ``mart_games_fused``.
+    """
     run = ["extracted_at_utc"] if per_snapshot else []
-    store = name_rollup(offers, by=run)
+    if per_snapshot:
+        if times is None:
+            times = store_times(games.select(F.col("extracted_at_utc").alias("t")),
+                                offers.select(F.col("extracted_at_utc").alias("t")))
+        games = games.join(times, "extracted_at_utc", "left")
     genre_r = listagg_rollup(genres, [*run, "rawg_game_id"], "genre_name", "genres")
     plat_r = count_and_list(platforms, [*run, "rawg_game_id"], "platform_name", "platform_count", "platforms")
     j = enrich(games, genre_r, [*run, "rawg_game_id"])
     j = enrich(j, plat_r, [*run, "rawg_game_id"])
-    j = left_join_on_name(j, store, "game_name", "game_name_key", extra_keys=run)
+    return _with_store(j, offers, per_snapshot)
+
+
+def _with_store(games: DataFrame, offers: DataFrame, per_snapshot: bool) -> DataFrame:
+    """Join the store rollup by name (and ``store_at``, the store snapshot a game row reads) and give the mart's columns."""
+    if per_snapshot:
+        store = name_rollup(offers, by=["extracted_at_utc"]).withColumnRenamed("extracted_at_utc", "store_at")
+    else:
+        store = name_rollup(offers)
+    j = left_join_on_name(games, store, "game_name", "game_name_key", extra_keys=["store_at"] if per_snapshot else [])
     return j.select(
         "rawg_game_id", "slug", "game_name", "released_date", "is_tba", "rating", "ratings_count", "reviews_count",
         "metacritic_score", "added_count", "playtime_hours",
@@ -53,6 +63,23 @@ def mart_games(games: DataFrame, genres: DataFrame, platforms: DataFrame, offers
     )
 
 
+def store_times(game_times: DataFrame, store_times: DataFrame) -> DataFrame:
+    """Per game snapshot (``extracted_at_utc``) the store snapshot ``store_at`` that its rows end up with.
+
+    A run happens at every snapshot time of either source and reads the newest
+    snapshot of each.  A game snapshot is last merged by the last run before the next
+    game snapshot, so its rows end with the newest store snapshot before that one
+    (none: NULL).  One row per snapshot; the windows run over these few rows only.
+    """
+    all_times = (game_times.select("t", F.lit(True).alias("is_game")).distinct()
+                 .unionByName(store_times.select("t", F.lit(False).alias("is_game")).distinct()))
+    runs = all_times.groupBy("t").agg(F.max(F.when(F.col("is_game"), F.col("t"))).alias("g"),
+                                      F.max(F.when(~F.col("is_game"), F.col("t"))).alias("s"))
+    so_far = Window.orderBy("t").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    at = runs.select(F.max("g").over(so_far).alias("extracted_at_utc"), F.max("s").over(so_far).alias("store_at"))
+    return at.where(F.col("extracted_at_utc").isNotNull()).groupBy("extracted_at_utc").agg(F.max("store_at").alias("store_at"))
+
+
 def accumulated_mart_games(per_run_mart: DataFrame) -> DataFrame:
     """M2: the merged mart after every run — latest run's row per game id."""
     return fold_latest(per_run_mart, "rawg_game_id", [F.col("extracted_at_utc").desc_nulls_first()],
@@ -92,21 +119,24 @@ def mart_pipeline_load_summary(audit: DataFrame, sort: bool = True) -> DataFrame
     return out
 
 
-def mart_games_fused(raw_rawg: DataFrame, offers: DataFrame, per_snapshot: bool = True) -> DataFrame:
-    """C6 in one pass over the game raw table (same rows as ``mart_games``).
+def games_fused(raw_rawg: DataFrame, per_snapshot: bool = True, fold_first: bool = False) -> DataFrame:
+    """The game side of C6 in one pass over the game raw table: one row per (run and) game.
 
     The three game staging models read the same flattened entries.  Here each
     entry is exploded once into the game itself (kind 0), its genres (kind 1)
     and its platforms (kind 2); one ``row_number`` window deduplicates all three
     (key: kind, run, game, child id — the keys of the three models), and one
-    aggregate per (run, game) yields the game columns, the genre list and the
-    platform count/list.  Scan, explode and shuffle happen once instead of three
-    times; partial window limits and partial aggregates still run before each
-    exchange, so a hot game is cut down map-side.
+    aggregate per (run, game) yields the game columns, the genre set and the
+    platform count/list.  A NULL game id matches no child (the models join on
+    equality), so children without one are dropped.
+
+    ``fold_first`` keeps only the entries of each game's last run before anything is
+    exploded: what the merges of all runs leave, at the cost of one run's entries.
     """
     from snapmart.functions.variant import as_bool, as_date, as_double, as_number, as_string
 
-    dedup = game_entities(raw_rawg, per_snapshot)
+    dedup = game_entities(raw_rawg, per_snapshot, fold_first)
+    dedup = dedup.where((F.col("kind") == 0) | F.col("rawg_game_id").isNotNull())
     is_game = F.col("kind") == 0
     game = F.struct(
         as_string("v", "$.slug").alias("slug"), as_string("v", "$.name").alias("game_name"),
@@ -119,29 +149,47 @@ def mart_games_fused(raw_rawg: DataFrame, offers: DataFrame, per_snapshot: bool
     agg = dedup.groupBy(*run, "rawg_game_id").agg(
         F.max(F.when(is_game, game)).alias("g"),
         F.max(F.when(is_game, F.col("extracted_at"))).alias("extracted_at_utc"),
-        F.array_sort(F.collect_set(F.when(F.col("kind") == 1, as_string("v", "$.name")))).alias("_genres"),
+        F.array_sort(F.collect_set(F.when(F.col("kind") == 1, as_string("v", "$.name")))).alias("genre_set"),
         F.array_sort(F.collect_set(F.when(F.col("kind") == 2, as_string("v", "$.platform.name")))).alias("_plats"),
         F.max(F.col("kind") == 1).alias("_has_genre"), F.max(F.col("kind") == 2).alias("_has_plat"))
-    games = agg.where(F.col("g").isNotNull()).select(
+    return agg.where(F.col("g").isNotNull()).select(
         "rawg_game_id", "g.*", "extracted_at_utc",
-        F.when(F.col("_has_genre"), F.array_join("_genres", ", ")).alias("genres"),
+        F.when(F.col("_has_genre"), F.col("genre_set")).alias("genre_set"),
+        F.when(F.col("_has_genre"), F.array_join("genre_set", ", ")).alias("genres"),
         F.when(F.col("_has_plat"), F.size("_plats").cast("bigint")).alias("platform_count"),
         F.when(F.col("_has_plat"), F.array_join("_plats", ", ")).alias("platforms"))
-    store = name_rollup(offers, by=["extracted_at_utc"] if per_snapshot else [])
-    j = left_join_on_name(games, store, "game_name", "game_name_key",
-                          extra_keys=["extracted_at_utc"] if per_snapshot else [])
-    return j.select(
-        "rawg_game_id", "slug", "game_name", "released_date", "is_tba", "rating", "ratings_count", "reviews_count",
-        "metacritic_score", "added_count", "playtime_hours",
-        F.coalesce(F.col("genres"), F.lit("Unknown")).alias("genres"),
-        F.coalesce(F.col("platform_count"), F.lit(0).cast("bigint")).alias("platform_count"),
-        "platforms", "steam_app_id", "steam_category_name", "is_discounted_on_steam", "steam_discount_percent",
-        "steam_final_price_usd", "steam_windows_available", "steam_mac_available", "steam_linux_available",
-        "extracted_at_utc",
-    )
 
 
-def game_entities(raw_rawg: DataFrame, per_snapshot: bool = True) -> DataFrame:
+def mart_games_fused(raw_rawg: DataFrame, offers: DataFrame, per_snapshot: bool = True, fold_first: bool = False,
+                     times: DataFrame | None = None) -> DataFrame:
+    """C6 from ``games_fused`` (same rows as ``mart_games``).
+
+    With ``per_snapshot``, ``offers`` holds every store snapshot and ``times`` says which
+    one a game snapshot reads (``store_times`` of the raw tables: a snapshot without items
+    counts too; by default taken from the offers, which do not show such a one).
+    """
+    games = games_fused(raw_rawg, per_snapshot, fold_first)
+    if per_snapshot:
+        if times is None:
+            times = store_times(raw_rawg.select(F.col("extracted_at").alias("t")),
+                                offers.select(F.col("extracted_at_utc").alias("t")))
+        games = games.join(times, "extracted_at_utc", "left")
+    return _with_store(games, offers, per_snapshot)
+
+
+def raw_store_times(raw_rawg: DataFrame, raw_steam: DataFrame) -> DataFrame:
+    """``store_times`` of the snapshots in the raw tables."""
+    return store_times(raw_rawg.select(F.col("extracted_at").alias("t")), raw_steam.select(F.col("extracted_at").alias("t")))
+
+
+def accumulated_games_fused(raw_rawg: DataFrame, raw_steam: DataFrame) -> DataFrame:
+    """The merged mart after every run, folding first (same rows as ``accumulated_mart_games`` of the per-run mart)."""
+    from snapmart.plans import staging
+    return mart_games_fused(raw_rawg, staging.stg_steam_featured_games(raw_steam, per_snapshot=True), per_snapshot=True,
+                            fold_first=True, times=raw_store_times(raw_rawg, raw_steam))
+
+
+def game_entities(raw_rawg: DataFrame, per_snapshot: bool = True, fold_first: bool = False) -> DataFrame:
     """Each game entry exploded once into the game (kind 0), its genres (kind 1)
     and its platforms (kind 2), deduplicated with the three staging models' keys
     (kind, [run,] game, child id) in one window.  Rows: extracted_at, kind,
@@ -150,7 +198,12 @@ def game_entities(raw_rawg: DataFrame, per_snapshot: bool = True) -> DataFrame:
     from snapmart.operators.dedup import keep_first
     from snapmart.plans import staging
 
-    flat = staging.flattened_games(raw_rawg, per_snapshot)
+    flat = staging.flattened_games(raw_rawg, per_snapshot).withColumn("rawg_game_id", as_number("game", "$.id"))
+    if fold_first:
+        # a game's last run; games without an id are merged anew by every run, so each run keeps its own
+        gid = F.col("rawg_game_id")
+        last = Window.partitionBy(gid, F.when(gid.isNull(), F.col("extracted_at"))).orderBy(F.col("extracted_at").desc_nulls_first())
+        flat = flat.withColumn("_run", F.rank().over(last)).where("_run = 1").drop("_run")
 
     def kids(path: str, kind: int):
         # like variant_explode: an array gives its elements, an object its values, anything else nothing
@@ -160,7 +213,7 @@ def game_entities(raw_rawg: DataFrame, per_snapshot: bool = True) -> DataFrame:
         return F.transform(arr, lambda x, i: F.struct(F.lit(kind).alias("kind"), i.alias("cpos"), x.alias("v")))
 
     me = F.array(F.struct(F.lit(0).alias("kind"), F.lit(0).alias("cpos"), F.col("game").alias("v")))
-    rows = flat.select("extracted_at", "loaded_at", "s3_key", "game_pos", as_number("game", "$.id").alias("rawg_game_id"),
+    rows = flat.select("extracted_at", "loaded_at", "s3_key", "game_pos", "rawg_game_id",
                        F.explode(F.concat(me, kids("$.genres", 1), kids("$.platforms", 2))).alias("c"))
     kind, v = F.col("c.kind"), F.col("c.v")
     child_id = (F.when(kind == 1, as_number(v, "$.id")).when(kind == 2, as_number(v, "$.platform.id")))

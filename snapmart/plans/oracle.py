@@ -99,48 +99,56 @@ OFFERS_ALL = """offers_all AS (
 
 LATEST = "(SELECT max(snap) FROM gl)"
 
-STORE_ROLLUP = """store_rollup AS (
-  SELECT extracted_at_utc, lower(trim(game_name)) AS game_name_key,
-         max(steam_app_id) AS steam_app_id, max(category_name) AS steam_category_name,
-         max(is_discounted) AS is_discounted_on_steam, max(discount_percent) AS steam_discount_percent,
-         max(final_price_usd) AS steam_final_price_usd, max(windows_available) AS steam_windows_available,
-         max(mac_available) AS steam_mac_available, max(linux_available) AS steam_linux_available
-  FROM offers_all WHERE game_name IS NOT NULL GROUP BY 1, 2
-)"""
-
-GENRE_ROLLUP = """genre_rollup AS (
-  SELECT extracted_at_utc, rawg_game_id,
-         coalesce(string_agg(DISTINCT genre_name, ', ' ORDER BY genre_name), '') AS genres
-  FROM genres_all GROUP BY 1, 2
+# The mart from its definition.  Per game: the last time it was seen; the store time that the last run
+# before the next game snapshot could read; each list and store value by a grouped query over the base rows.
+def mart_ctes(games: str = "games_all", genres: str = "genres_all", platforms: str = "platforms_all",
+              offers: str = "offers_all") -> str:
+    store_values = [("steam_app_id", "steam_app_id"), ("steam_category_name", "category_name"),
+                    ("is_discounted_on_steam", "is_discounted"), ("steam_discount_percent", "discount_percent"),
+                    ("steam_final_price_usd", "final_price_usd"), ("steam_windows_available", "windows_available"),
+                    ("steam_mac_available", "mac_available"), ("steam_linux_available", "linux_available")]
+    best = ", ".join(f"max({src}) AS {out}" for out, src in store_values)
+    return f"""game_times AS (
+  SELECT extracted_at_utc AS seen, lead(extracted_at_utc) OVER (ORDER BY extracted_at_utc) AS next_seen
+  FROM (SELECT DISTINCT extracted_at_utc FROM {games})
+), reads AS (
+  SELECT seen, (SELECT max(o.extracted_at_utc) FROM {offers} o
+                WHERE next_seen IS NULL OR o.extracted_at_utc < next_seen) AS store_seen
+  FROM game_times
+), last_rows AS (
+  SELECT * FROM {games} WHERE (rawg_game_id, extracted_at_utc) IN
+    (SELECT rawg_game_id, max(extracted_at_utc) FROM {games} GROUP BY rawg_game_id)
+), by_name AS (
+  SELECT extracted_at_utc AS store_seen, lower(trim(game_name)) AS name_key, {best}
+  FROM {offers} WHERE game_name IS NOT NULL GROUP BY ALL
+), mart AS (
+  SELECT l.rawg_game_id, slug, game_name, released_date, is_tba, rating, ratings_count, reviews_count, metacritic_score,
+         added_count, playtime_hours,
+         coalesce((SELECT coalesce(string_agg(DISTINCT x.genre_name, ', ' ORDER BY x.genre_name), '') FROM {genres} x
+                   WHERE x.rawg_game_id = l.rawg_game_id AND x.extracted_at_utc = l.extracted_at_utc
+                   HAVING count(*) > 0), 'Unknown') AS genres,
+         CAST((SELECT count(DISTINCT x.platform_name) FROM {platforms} x
+               WHERE x.rawg_game_id = l.rawg_game_id AND x.extracted_at_utc = l.extracted_at_utc) AS BIGINT) AS platform_count,
+         (SELECT coalesce(string_agg(DISTINCT x.platform_name, ', ' ORDER BY x.platform_name), '') FROM {platforms} x
+          WHERE x.rawg_game_id = l.rawg_game_id AND x.extracted_at_utc = l.extracted_at_utc HAVING count(*) > 0) AS platforms,
+         {", ".join("b." + out for out, _ in store_values)}, l.extracted_at_utc
+  FROM last_rows l JOIN reads r ON r.seen = l.extracted_at_utc
+  LEFT JOIN by_name b ON b.store_seen = r.store_seen AND b.name_key = lower(trim(l.game_name))
 )"""
 
-PLATFORM_ROLLUP = """platform_rollup AS (
-  SELECT extracted_at_utc, rawg_game_id, CAST(count(DISTINCT platform_name) AS BIGINT) AS platform_count,
-         coalesce(string_agg(DISTINCT platform_name, ', ' ORDER BY platform_name), '') AS platforms
-  FROM platforms_all GROUP BY 1, 2
-)"""
 
-MART_PER_RUN = """mart_per_run AS (
-  SELECT g.rawg_game_id, g.slug, g.game_name, g.released_date, g.is_tba, g.rating, g.ratings_count,
-         g.reviews_count, g.metacritic_score, g.added_count, g.playtime_hours,
-         coalesce(gr.genres, 'Unknown') AS genres, coalesce(pr.platform_count, CAST(0 AS BIGINT)) AS platform_count,
-         pr.platforms, s.steam_app_id, s.steam_category_name, s.is_discounted_on_steam, s.steam_discount_percent,
-         s.steam_final_price_usd, s.steam_windows_available, s.steam_mac_available, s.steam_linux_available,
-         g.extracted_at_utc
-  FROM games_all g
-  LEFT JOIN store_rollup s ON g.extracted_at_utc = s.extracted_at_utc AND lower(trim(g.game_name)) = s.game_name_key
-  LEFT JOIN genre_rollup gr ON g.extracted_at_utc = gr.extracted_at_utc AND g.rawg_game_id = gr.rawg_game_id
-  LEFT JOIN platform_rollup pr ON g.extracted_at_utc = pr.extracted_at_utc AND g.rawg_game_id = pr.rawg_game_id
-)"""
+BASE_CTES = ",\n".join([GL, GAMES_ALL, GENRES_ALL, PLATFORMS_ALL, OFFERS_ALL])
+MART_CTES = BASE_CTES + ",\n" + mart_ctes()
 
-MART = """mart AS (
-  SELECT * FROM mart_per_run
-  QUALIFY row_number() OVER (PARTITION BY rawg_game_id ORDER BY extracted_at_utc DESC) = 1
+# Of the latest store snapshot, per name (for the queries on the rollup alone).
+LATEST_STORE = f"""latest_store AS (
+  SELECT lower(trim(game_name)) AS game_name_key, max(steam_app_id) AS steam_app_id, max(category_name) AS steam_category_name,
+         max(is_discounted) AS is_discounted_on_steam, max(discount_percent) AS steam_discount_percent,
+         max(final_price_usd) AS steam_final_price_usd, max(windows_available) AS steam_windows_available,
+         max(mac_available) AS steam_mac_available, max(linux_available) AS steam_linux_available
+  FROM offers_all WHERE game_name IS NOT NULL AND extracted_at_utc = {LATEST} GROUP BY ALL
 )"""
 
-MART_CTES = ",\n".join([GL, GAMES_ALL, GENRES_ALL, PLATFORMS_ALL, OFFERS_ALL, STORE_ROLLUP, GENRE_ROLLUP,
-                        PLATFORM_ROLLUP, MART_PER_RUN, MART])
-
 
 def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
@@ -150,6 +158,13 @@ SQL: dict[str, str] = {}
 
 SQL["mart_games"] = "WITH " + MART_CTES + "\nSELECT * FROM mart"
 
+# Gaps: the store misses every year divisible by three, the games one year.
+GAMES_MISS_YEAR = 1997
+SQL["mart_games_gaps"] = "WITH " + BASE_CTES + ",\n" + ",\n".join(
+    f"some_{t} AS (SELECT * FROM {t}_all WHERE year(extracted_at_utc) <> {GAMES_MISS_YEAR})" for t in ("games", "genres", "platforms")
+) + ",\nsome_offers AS (SELECT * FROM offers_all WHERE year(extracted_at_utc) % 3 <> 0),\n" + mart_ctes(
+    "some_games", "some_genres", "some_platforms", "some_offers") + "\nSELECT * FROM mart"
+
 SQL["mart_top_n"] = "WITH " + MART_CTES + """
 SELECT rawg_game_id, game_name, released_date, rating, ratings_count, reviews_count, metacritic_score, genres,
        platform_count, platforms, steam_app_id, is_discounted_on_steam, steam_discount_percent, steam_final_price_usd
@@ -220,8 +235,22 @@ SELECT DISTINCT a.s3_key,
 FROM audit a"""
 
 SQL["raw_copy"] = "WITH " + GL + f"""
-SELECT 'rawg' AS source, snap AS extracted_at, {LOADED_AT} AS loaded_at, CAST(count(*) AS BIGINT) AS entries
-FROM gl GROUP BY snap"""
+SELECT source, snap AS extracted_at, {LOADED_AT} AS loaded_at, CAST(count(*) AS BIGINT) AS entries
+FROM gl, (VALUES ('rawg'), ('steam')) AS s(source) GROUP BY ALL"""
+
+KEY_DAYS = ("1998-03-01", "1998-03-10")
+ONE_DAY = "1998-03-05"
+SQL["single_key_copy"] = f"""
+SELECT 'rawg' AS source,
+       'raw/source=rawg/extract_date={ONE_DAY}/rawg_games_{ONE_DAY.replace("-", "")}T000000Z-00000.json' AS s3_key,
+       TIMESTAMP '{ONE_DAY}' AS extracted_at, CAST(1 AS BIGINT) AS documents, CAST(count(*) AS BIGINT) AS entries
+FROM orders WHERE date_trunc('day', o_orderdate) = DATE '{ONE_DAY}' HAVING count(*) > 0"""
+
+SQL["land_twice"] = f"""
+SELECT strftime(date_trunc('month', o_orderdate), {ISO_DATE}) AS extract_date, CAST(count(*) AS BIGINT) AS entries,
+       CAST(1 AS BIGINT) AS most_copies, 'uploaded' AS land, 'skipped_existing' AS land_again, 'loaded' AS load,
+       'skipped_existing' AS load_again
+FROM orders GROUP BY 1"""
 
 _ITEM_NAME = ("CASE WHEN p_size = 49 THEN NULL WHEN p_partkey % 4 = 0 THEN lower(p_name) "
               "WHEN p_partkey % 4 = 1 THEN upper(p_name) WHEN p_partkey % 4 = 2 THEN p_name || '  ' ELSE p_name END")
@@ -252,6 +281,18 @@ SELECT extracted_at, category_key, steam_app_id, seq,
 FROM items
 QUALIFY row_number() OVER (PARTITION BY extracted_at ORDER BY cat_pos, seq, steam_app_id) <= 200"""
 
+# Documents hold the items of so many order keys; each is cut to its first items after the cursor.
+ORDERS_PER_DOCUMENT, STORE_HEAD = 400, 60
+SQL["store_pipeline"] = "WITH " + GL + ",\n" + OFFERS_ALL.replace("offers_all AS", "kept_offers AS").replace(
+    "SELECT DISTINCT", "SELECT DISTINCT", 1).replace("FROM gl", f"""FROM (
+    SELECT *, row_number() OVER (
+             PARTITION BY snap, l_orderkey // {ORDERS_PER_DOCUMENT}
+             ORDER BY CASE l_returnflag WHEN 'A' THEN 0 WHEN 'R' THEN 1 WHEN 'N' THEN 2 END,
+                      l_orderkey * 100 + l_linenumber, p_partkey) AS place
+    FROM gl WHERE 100000 + p_partkey > {CURSOR}) gl
+  WHERE place <= {STORE_HEAD}""") + f"""
+SELECT * FROM kept_offers WHERE extracted_at_utc = (SELECT max(extracted_at_utc) FROM kept_offers)"""
+
 SQL["json_extract"] = """
 SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, json_extract_string(props, '$.k') AS k_text,
        CAST(json_extract(props, '$.k') AS DOUBLE) AS k_double, CAST(NULL AS VARCHAR) AS missing
@@ -286,8 +327,7 @@ SELECT l_orderkey, l_linenumber, CAST(floor(l_extendedprice * 100) AS BIGINT) AS
        CAST(CAST(floor(l_extendedprice * 100) AS DECIMAL(38,0)) / 100.0 AS DECIMAL(38,6)) AS usd
 FROM lineitem"""
 
-SQL["name_rollup"] = "WITH " + ",\n".join([GL, OFFERS_ALL, STORE_ROLLUP]) + f"""
-SELECT * EXCLUDE (extracted_at_utc) FROM store_rollup WHERE extracted_at_utc = {LATEST_RUN}"""
+SQL["name_rollup"] = "WITH " + ",\n".join([GL, OFFERS_ALL, LATEST_STORE]) + "\nSELECT * FROM latest_store"
 
 SQL["child_listagg"] = """
 SELECT o_custkey, string_agg(DISTINCT o_orderpriority, ', ' ORDER BY o_orderpriority) AS priorities
@@ -298,15 +338,14 @@ SELECT l_partkey, CAST(count(DISTINCT s_name) AS BIGINT) AS supplier_count,
        string_agg(DISTINCT s_name, ', ' ORDER BY s_name) AS suppliers
 FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY l_partkey"""
 
-SQL["name_join"] = "WITH " + ",\n".join([GL, OFFERS_ALL, STORE_ROLLUP]) + f""",
-latest_rollup AS (SELECT * FROM store_rollup WHERE extracted_at_utc = {LATEST_RUN})
+SQL["name_join"] = "WITH " + ",\n".join([GL, OFFERS_ALL, LATEST_STORE]) + """
 SELECT p.p_partkey, p.p_name, r.steam_app_id, r.steam_category_name, r.steam_final_price_usd
-FROM part p LEFT JOIN latest_rollup r ON lower(trim(p.p_name)) = r.game_name_key"""
+FROM part p LEFT JOIN latest_store r ON lower(trim(p.p_name)) = r.game_name_key"""
 
+# Shares and counts per platform, from the numbers of dated and of all its rows.
 SQL["mart_coverage"] = "WITH " + GL + ",\n" + PLATFORMS_ALL + f"""
-SELECT platform_name, CAST(count(DISTINCT rawg_game_id) AS BIGINT) AS game_count,
-       avg(CASE WHEN released_at IS NOT NULL THEN 1 ELSE 0 END) AS pct_with_platform_release_date,
-       max(extracted_at_utc) AS latest_extract_at_utc
+SELECT platform_name, CAST(len(list_distinct(list(rawg_game_id))) AS BIGINT) AS game_count,
+       count(released_at) / count(*) AS pct_with_platform_release_date, {LATEST_RUN} AS latest_extract_at_utc
 FROM platforms_all WHERE extracted_at_utc = {LATEST_RUN}
 GROUP BY platform_name
 ORDER BY game_count DESC NULLS FIRST, platform_name ASC NULLS LAST"""
@@ -314,12 +353,11 @@ ORDER BY game_count DESC NULLS FIRST, platform_name ASC NULLS LAST"""
 SQL["mart_roundtrip"] = SQL["mart_coverage"]
 
 SQL["mart_load_summary"] = "WITH " + AUDIT + """
-SELECT CAST(date_trunc('day', loaded_at) AS TIMESTAMP) AS load_date, source, target_table,
-       CAST(count(*) AS BIGINT) AS load_attempts,
-       CAST(sum(CASE WHEN status = 'loaded' THEN 1 ELSE 0 END) AS BIGINT) AS successful_loads,
-       CAST(sum(CASE WHEN status = 'skipped_existing' THEN 1 ELSE 0 END) AS BIGINT) AS skipped_existing_loads,
+SELECT CAST(CAST(loaded_at AS DATE) AS TIMESTAMP) AS load_date, source, target_table, CAST(count(*) AS BIGINT) AS load_attempts,
+       CAST(count(*) FILTER (WHERE status = 'loaded') AS BIGINT) AS successful_loads,
+       CAST(count(*) FILTER (WHERE status = 'skipped_existing') AS BIGINT) AS skipped_existing_loads,
        CAST(sum(rows_loaded) AS BIGINT) AS total_rows_loaded, max(loaded_at) AS latest_loaded_at
-FROM audit GROUP BY 1, 2, 3
+FROM audit GROUP BY ALL
 ORDER BY load_date DESC NULLS FIRST, source ASC NULLS LAST, target_table ASC NULLS LAST"""
 
 MERGE_SPLIT_TARGET = "1999-01-01"
@@ -361,6 +399,7 @@ SQL["load_plan"] = "WITH " + AUDIT + ",\n" + CANDIDATES + _PLAN.format(
     status="CASE WHEN d.was THEN 'skipped_existing' ELSE 'loaded' END", ts=LOADED_AT)
 
 BACKFILL_MONTH = "1998-03"
+BACKFILL_DAYS = ("1998-03-01", "1998-04-01")
 SQL["backfill_replay"] = "WITH " + AUDIT + ",\n" + CANDIDATES + _PLAN.format(
     rows="c.rows_loaded", status="'reloaded'", ts=LOADED_AT) + f"\nWHERE strftime(c.day, '%Y-%m') = '{BACKFILL_MONTH}'"
 
@@ -371,7 +410,9 @@ FROM mart GROUP BY 1"""
 SQL["kpi_rating_by_genre"] = "WITH " + MART_CTES + """
 SELECT genre, round(avg(rating), 6) AS avg_rating, CAST(count(*) AS BIGINT) AS game_count,
        CAST(count(rating) AS BIGINT) AS rated_games
-FROM (SELECT unnest(string_split(genres, ', ')) AS genre, rating FROM mart) x GROUP BY genre"""
+FROM (SELECT DISTINCT m.rawg_game_id, m.rating, coalesce(x.genre_name, 'Unknown') AS genre
+      FROM mart m LEFT JOIN genres_all x ON x.rawg_game_id = m.rawg_game_id AND x.extracted_at_utc = m.extracted_at_utc) y
+GROUP BY genre"""
 
 SQL["kpi_catalog_growth"] = "WITH " + GL + """,
 per AS (SELECT snap AS extracted_at, CAST(count(DISTINCT p_partkey) AS BIGINT) AS game_count FROM gl GROUP BY snap)
@@ -397,20 +438,29 @@ mart_pipeline_load_summary AS (
          target_table)"""])
 
 
+# The column tests, stated here on their own.
+NOT_NULL = [
+    ("stg_rawg_games", "rawg_game_id"), ("stg_rawg_games", "game_name"), ("stg_rawg_game_platforms", "rawg_game_id"),
+    ("stg_rawg_game_platforms", "platform_name"), ("stg_rawg_game_genres", "rawg_game_id"), ("stg_rawg_game_genres", "genre_name"),
+    ("stg_steam_featured_games", "category_name"), ("stg_raw_load_audit", "source"), ("stg_raw_load_audit", "s3_key"),
+    ("stg_raw_load_audit", "status"), ("mart_games", "rawg_game_id"), ("mart_games", "game_name"),
+    ("mart_platform_coverage", "platform_name"), ("mart_top_rated_games", "rawg_game_id"),
+    ("mart_pipeline_load_summary", "load_date"), ("mart_pipeline_load_summary", "source"),
+]
+UNIQUE = [("mart_games", "rawg_game_id"), ("mart_platform_coverage", "platform_name"), ("mart_top_rated_games", "rawg_game_id")]
+
+
 def _check_rows(kind: str) -> str:
-    from snapmart.plans.checks import NOT_NULL, UNIQUE
     parts = []
     if kind in ("not_null", "all"):
-        for m, cols in NOT_NULL.items():
-            for c in cols:
-                parts.append(f"SELECT '{m}' AS model, '{c}' AS column_name, 'not_null' AS test, "
-                             f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS failures FROM {m}")
+        for m, c in NOT_NULL:
+            parts.append(f"SELECT '{m}' AS model, '{c}' AS column_name, 'not_null' AS test, "
+                         f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS failures FROM {m}")
     if kind in ("unique", "all"):
-        for m, cols in UNIQUE.items():
-            for c in cols:
-                parts.append(f"SELECT '{m}' AS model, '{c}' AS column_name, 'unique' AS test, "
-                             f"CAST((SELECT count(*) FROM (SELECT {c} FROM {m} WHERE {c} IS NOT NULL "
-                             f"GROUP BY {c} HAVING count(*) > 1)) AS BIGINT) AS failures")
+        for m, c in UNIQUE:
+            parts.append(f"SELECT '{m}' AS model, '{c}' AS column_name, 'unique' AS test, "
+                         f"CAST((SELECT count(*) FROM (SELECT {c} FROM {m} WHERE {c} IS NOT NULL "
+                         f"GROUP BY {c} HAVING count(*) > 1)) AS BIGINT) AS failures")
     body = "\nUNION ALL\n".join(parts)
     return ("WITH " + MODEL_CTES + f"\nSELECT model, column_name, test, failures, "
             f"CASE WHEN failures > 0 THEN 'fail' ELSE 'pass' END AS status FROM (\n{body}\n) r")
@@ -432,6 +482,7 @@ SELECT src AS source, max_loaded_at,
 FROM m, (VALUES ('rawg'), ('steam')) AS s(src)"""
 
 SQL["stream_load"] = "WITH " + GL + """
-SELECT 'rawg' AS source, snap AS extracted_at, CAST(count(*) AS BIGINT) AS entries FROM gl GROUP BY snap"""
+SELECT source, snap AS extracted_at, CAST(count(*) AS BIGINT) AS entries
+FROM gl, (VALUES ('rawg'), ('steam')) AS s(source) GROUP BY ALL"""
 
 SQL["daily_runs"] = SQL["mart_games"]

@@ -25,9 +25,7 @@ def build_models(raw_rawg: DataFrame, raw_steam: DataFrame, audit: DataFrame, hi
         "stg_raw_load_audit": staging.stg_raw_load_audit(audit),
     }
     if history:
-        per_run = marts.mart_games_fused(raw_rawg, staging.stg_steam_featured_games(raw_steam, per_snapshot=True),
-                                         per_snapshot=True)
-        mart = marts.accumulated_mart_games(per_run)
+        mart = marts.accumulated_games_fused(raw_rawg, raw_steam)
     else:
         mart = marts.mart_games(m["stg_rawg_games"], m["stg_rawg_game_genres"], m["stg_rawg_game_platforms"],
                                 m["stg_steam_featured_games"])
@@ -65,69 +63,94 @@ def materialize(models: dict[str, DataFrame], root: str) -> dict[str, DataFrame]
 
 
 def daily_run(spark, landing_root: str, warehouse: str, extract_date: str, force_reload: bool = False,
-              loaded_at=None, multi_line: bool = True, now=None, mart_buckets: int | None = None
-              ) -> dict[str, DataFrame]:
+              loaded_at=None, multi_line: bool = True, now=None, mart_buckets: int | None = None,
+              envelopes: DataFrame | None = None, force_upload: bool = False, fail_on_checks: bool = True,
+              keep_versions: int | None = None) -> dict[str, DataFrame]:
     """One run of the daily flow as a single driver program.
 
-    load   the run's landing partition (pruned scan) is planned against the audit
-           log set-wise; files not skipped are copied into the raw tables, then the
-           attempts are appended to the audit log (copy first, audit second)
+    land   ``envelopes`` (source, extract_date, s3_key, body), if given, are landed by key
+           behind the write gate (``force_upload`` lands existing keys again); a rerun passes
+           the run values it wants through ``landing.run_context`` into keys and bodies
+    load   the day's keys (or, where nothing was landed by key, its files from a listing)
+           are planned against the audit log; only the picked ones are opened, each once,
+           copied into the raw tables and counted there; then the attempts are appended to
+           the audit log (copy first, audit second)
     stage  staging views over the raw tables (latest snapshot)
     mart   the game mart is merged into the previous version (M1) and all marts are
            written as new versions
-    check  column tests on the written marts plus source freshness
+    check  column tests (one flatten for the three game staging models), stored as
+           ``check_report``; failing ones raise ``ChecksFailed`` unless ``fail_on_checks`` is
+           off; freshness is reported where ``now`` is given
 
-    Tables live below ``warehouse``: ``raw/landed`` (both raw tables as one Parquet
-    dataset, appended, partitioned by ``source``/``extract_date``; each raw table is
-    a pruned read), ``raw/raw_load_audit`` and ``mart/<name>`` (versions).
+    Tables live below ``warehouse``: the raw tables where ``catalog.create_objects``
+    declares them, ``mart/<name>`` in versions (``keep_versions`` of them; None keeps all).
     With ``mart_buckets`` the game mart is instead kept as one table partitioned by
     key bucket and only the buckets this run touches are rewritten
-    (``operators.merge.upsert_buckets``).
+    (``operators.merge.upsert_buckets``).  Files landed by key hold one envelope a line;
+    ``multi_line`` says how other files are read.
     Returns the run's audit rows, the check report, freshness and the models.
     """
     from pyspark.sql import functions as F
 
-    from snapmart.operators.loads import STATUS_SKIPPED, plan_loads, rows_per_file
+    from snapmart.operators import quality
+    from snapmart.operators.loads import SOURCE_TABLES, STATUS_SKIPPED, plan_status, rows_per_file
     from snapmart.plans import checks
-    from snapmart.session import fresh_dir, unshredded_variant_writes
-    from snapmart.sources import catalog
-    from snapmart.sources.jsonscan import RAW_COLUMNS, scan_landing, to_raw
+    from snapmart.session import fresh_dir, use_unshredded_variants
+    from snapmart.sources import catalog, landing
+    from snapmart.sources.jsonscan import list_files, scan_keys, scan_landing, to_raw
 
-    audit_path = f"{warehouse}/raw/raw_load_audit"
-    audit_schema = ("source string, s3_key string, target_table string, rows_loaded bigint, status string, "
-                    "loaded_at timestamp_ntz")
+    paths = {source: catalog.raw_path(warehouse, table.lower()) for source, table in SOURCE_TABLES.items()}
+    audit_path = catalog.raw_path(warehouse, "raw_load_audit")
+    audit_schema = catalog.RAW_TABLE_DDL["raw_load_audit"]
     ts = F.lit(loaded_at).cast("timestamp_ntz") if isinstance(loaded_at, str) else loaded_at
     if ts is None:
-        ts = F.current_timestamp().cast("timestamp_ntz")
+        ts = F.lit(spark.sql("SELECT cast(current_timestamp() AS timestamp_ntz)").first()[0])
 
     def read_or_empty(path: str, schema: str) -> DataFrame:
         fs, p, _ = catalog._fs(spark, path)
         return spark.read.schema(schema).parquet(path) if fs.exists(p) else spark.createDataFrame([], schema)
 
-    # load: plan, copy, audit
-    scan = scan_landing(spark, landing_root, multi_line=multi_line, extract_date=extract_date)
-    rel = F.regexp_replace("file_path", "^.*?/(source=)", "$1")
-    scan = scan.withColumn("s3_key", rel)
-    files = rows_per_file(scan, file_col="s3_key")
+    out: dict[str, DataFrame] = {}
+    if envelopes is not None:
+        out["landing"] = landing.land(envelopes, landing_root, force=force_upload)
+
+    # load: plan, copy, count, audit
+    keys = landing.landed_keys(spark, landing_root)
+    if keys is not None:
+        files = keys.where(F.col("extract_date") == extract_date).select("source", "s3_key", "batch")
+    else:
+        files = list_files(spark, landing_root, extract_date)
     plan_dir = fresh_dir(spark, "load-plan")
-    plan_loads(files, read_or_empty(audit_path, audit_schema), force=force_reload, loaded_at=ts) \
-        .write.parquet(plan_dir)
+    plan_status(files, read_or_empty(audit_path, audit_schema), force=force_reload).write.parquet(plan_dir)
     plan = spark.read.parquet(plan_dir)
-    copy = plan.where(F.col("status") != STATUS_SKIPPED).select("source", "s3_key")
-    picked = scan.join(copy, ["source", "s3_key"], "left_semi")
-    # both raw tables in one write: one dataset partitioned by source (= target table)
-    raw_path = f"{warehouse}/raw/landed"
-    with unshredded_variant_writes(spark):
-        to_raw(picked, key_col="s3_key", loaded_at=ts).withColumn("extract_date", F.lit(extract_date)) \
-            .write.mode("append").partitionBy("source", "extract_date").parquet(raw_path)
-    plan.write.mode("append").parquet(audit_path)
+    picked = plan.where(F.col("status") != STATUS_SKIPPED)
+    loaded = spark.createDataFrame([], "source string, s3_key string, rows_loaded bigint")
+    if not picked.isEmpty():
+        if keys is not None:
+            scan = scan_keys(spark, landing_root, picked, extract_date)
+        else:
+            # a day's picked files: their paths prune the scan, so a skipped file is not opened
+            names = [r["file_path"] for r in picked.select("file_path").collect()]
+            scan = scan_landing(spark, names, multi_line=multi_line, base=landing_root).join(
+                picked.select("file_path", "s3_key"), "file_path")
+        use_unshredded_variants(spark)
+        run_dir = fresh_dir(spark, "copied")
+        to_raw(scan, key_col="s3_key", loaded_at=ts).write.partitionBy("source").parquet(run_dir)
+        copied = spark.read.schema(catalog.RAW_TABLE_DDL["rawg_games_raw"]).parquet(run_dir)
+        loaded = rows_per_file(copied.select("source", "s3_key", F.col("loaded_at").alias("payload")))
+        for source, path in paths.items():
+            copied.where(F.col("source") == source).write.mode("append").parquet(path)
+    attempts = plan.join(loaded, ["source", "s3_key"], "left").select(
+        "source", "s3_key", "target_table", F.coalesce("rows_loaded", F.lit(0)).cast("bigint").alias("rows_loaded"), "status",
+        ts.alias("loaded_at"))
+    audit_dir = fresh_dir(spark, "load-audit")
+    attempts.write.parquet(audit_dir)
+    attempts = spark.read.parquet(audit_dir)
+    attempts.write.mode("append").parquet(audit_path)
+    out["load_audit"] = attempts
 
     # stage + mart + check
-    raw_schema = ("source string, s3_key string, extracted_at timestamp_ntz, payload variant, "
-                  "loaded_at timestamp_ntz, extract_date string")
-    landed = read_or_empty(raw_path, raw_schema)
-    raw_rawg = landed.where(F.col("source") == "rawg").select(*RAW_COLUMNS)
-    raw_steam = landed.where(F.col("source") == "steam").select(*RAW_COLUMNS)
+    raw_rawg, raw_steam = (read_or_empty(paths[s], catalog.RAW_TABLE_DDL[f"{SOURCE_TABLES[s].lower()}"]) for s in ("rawg", "steam"))
     audit = read_or_empty(audit_path, audit_schema)
     if mart_buckets is None:
         previous = catalog.read_current(spark, f"{warehouse}/mart/mart_games")
@@ -144,9 +167,15 @@ def daily_run(spark, landing_root: str, warehouse: str, extract_date: str, force
         for name in ("mart_platform_coverage", "mart_top_rated_games", "mart_pipeline_load_summary"):
             catalog.write_version(models[name], f"{warehouse}/mart/{name}")
             models[name] = catalog.read_current(spark, f"{warehouse}/mart/{name}")
-    out = {"load_audit": plan, "report": checks.all_checks(models), **models}
+    catalog.write_version(checks.all_checks(models, raw_rawg), f"{warehouse}/check_report")
+    out |= {"report": catalog.read_current(spark, f"{warehouse}/check_report"), **models}
     if now is not None:
         out["freshness"] = checks.freshness_checks({"rawg": raw_rawg, "steam": raw_steam}, now)
+    if keep_versions is not None:
+        for name in (*[f"mart/{m}" for m in MART_MODELS], "check_report"):
+            catalog.expire_versions(spark, f"{warehouse}/{name}", keep_versions)
+    if fail_on_checks and quality.failed(out["report"]):
+        raise quality.ChecksFailed(f"column tests failed; see {warehouse}/check_report")
     return out
 
 

@@ -23,8 +23,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapmart.functions.timefmt import file_stamp, iso_date, ntz_to_epoch
-from snapmart.session import fresh_dir, unshredded_variant_writes
-from snapmart.sources.envelope import DEFAULT_PER_ENVELOPE, build_envelopes, with_row_id
+from snapmart.operators.loads import rows_per_file
+from snapmart.session import fresh_dir, use_unshredded_variants
+from snapmart.sources.envelope import DEFAULT_PER_ENVELOPE, build_envelopes, with_row_key
 from snapmart.sources.landing import landing_key
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
@@ -57,19 +58,10 @@ def _lookup(col: str, mapping: dict, idx: int) -> Column:
     return expr
 
 
-def spread(df: DataFrame, key: str = "_row_id") -> DataFrame:
-    """Give a scan that yields fewer tasks than the cluster has cores (a small
-    single-row-group file) that many partitions, hashed on a deterministic id so
-    a retried task sees the same rows.  Large inputs already split into many
-    tasks and pass through untouched."""
-    par = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(par, key) if df.rdd.getNumPartitions() < par else df
-
-
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lineitems with a scan-level row id, their snapshot, part and supplier."""
-    li = spread(with_row_id(table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate")))
+    """Lineitems with their row key, snapshot, part and supplier."""
+    li = with_row_key(table(spark, sf_dir, "lineitem")).select(
+        "_row_id", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size", "p_retailprice")
     supp = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     return (li.withColumn("snap", snapshot_of("l_shipdate"))
@@ -138,20 +130,18 @@ def rawg_envelopes(spark: SparkSession, sf_dir: str, per_envelope: int = DEFAULT
     return build_envelopes(e, "rawg", "snap", "entry", per_envelope=per_envelope)
 
 
-def steam_envelopes(spark: SparkSession, sf_dir: str, per_envelope: int = DEFAULT_PER_ENVELOPE) -> DataFrame:
-    e = _lines(spark, sf_dir).select("_row_id", "snap", store_item().alias("entry"))
-    return build_envelopes(e, "steam", "snap", "entry", list_field="featured_categories",
-                           per_envelope=per_envelope)
+#: Order keys per store document: about 200 items of a snapshot, at any table size.
+ORDERS_PER_DOCUMENT = 400
 
 
-def store_documents(spark: SparkSession, sf_dir: str, per_envelope: int = DEFAULT_PER_ENVELOPE) -> DataFrame:
+def store_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Category-map documents (the store payload before S16): (extracted_at, doc_no, doc).
 
     Categories appear in their fixed position order, items by ``seq``; a scalar
     ``status`` entry closes each document and must be skipped by the flatten.
     """
     lines = _lines(spark, sf_dir).select(
-        "_row_id", "snap", F.floor(F.col("_row_id") / per_envelope).cast("bigint").alias("doc_no"),
+        "snap", F.floor(F.col("l_orderkey") / ORDERS_PER_DOCUMENT).cast("bigint").alias("doc_no"),
         _lookup("l_returnflag", CATEGORY_BY_RETURNFLAG, 0).alias("cat_pos"),
         _lookup("l_returnflag", CATEGORY_BY_RETURNFLAG, 1).alias("cat_key"),
         _lookup("l_returnflag", CATEGORY_BY_RETURNFLAG, 2).alias("cat_name"),
@@ -204,23 +194,38 @@ def both_envelopes(spark: SparkSession, sf_dir: str, per_envelope: int = DEFAULT
     return build_envelopes(e, F.col("source"), "snap", "js", list_field=F.col("field"), per_envelope=per_envelope)
 
 
-_RAW_CACHE: dict = {}
-_LOCK = threading.Lock()
+_WRITTEN: dict = {}
+_LOCK = threading.RLock()
+
+
+def written(spark: SparkSession, sf_dir: str, name: str, build) -> str:
+    """Path of a dataset that ``build(path)`` writes once per application and sf directory, below the scratch root."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    with _LOCK:
+        path = _WRITTEN.get(key)
+        if path is None:
+            path = fresh_dir(spark, name)
+            build(path)
+            _WRITTEN[key] = path
+    return path
+
+
+def store_document_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The store documents as landed: written once, read by every category query."""
+    path = written(spark, sf_dir, "store-documents", lambda p: store_documents(spark, sf_dir).write.parquet(p))
+    return spark.read.parquet(path)
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Raw ``rawg``/``steam`` tables, built by Spark from the driver tables and
     written once (Parquet, partitioned by ``source``/``extract_date``) below the
     scratch root; each table is a partition-pruned read of that dataset."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    with _LOCK:
-        path = _RAW_CACHE.get(key)
-        if path is None:
-            path = fresh_dir(spark, "raw")
-            with unshredded_variant_writes(spark):
-                (raw_from_envelopes(both_envelopes(spark, sf_dir)).write.mode("errorifexists")
-                 .partitionBy("source", "extract_date").parquet(path))
-            _RAW_CACHE[key] = path
+    def build(path: str) -> None:
+        use_unshredded_variants(spark)
+        (raw_from_envelopes(both_envelopes(spark, sf_dir)).write.mode("errorifexists")
+         .partitionBy("source", "extract_date").parquet(path))
+
+    path = written(spark, sf_dir, "raw", build)
     raw = spark.read.parquet(path).withColumn("extract_date", F.col("extract_date").cast("string"))
     return {s: raw.where(F.col("source") == s) for s in ("rawg", "steam")}
 
@@ -239,24 +244,32 @@ def audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
                     rows.alias("rows_loaded"), status.alias("status"), loaded_at.alias("loaded_at"))
 
 
-def candidate_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landing files of a load run: one per (source, ship day), one document per lineitem."""
+def candidate_files(spark: SparkSession, sf_dir: str, since: str | None = None, until: str | None = None) -> DataFrame:
+    """Landing files of a load run: one per (source, ship day), one document per lineitem.
+
+    ``since``/``until`` (first day, and the day after the last) reach the scan as a range on the ship date.
+    """
     li = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_shipdate")
+    if since is not None:
+        li = li.where(F.col("l_shipdate") >= F.lit(since).cast("timestamp_ntz"))
+    if until is not None:
+        li = li.where(F.col("l_shipdate") < F.lit(until).cast("timestamp_ntz"))
     source = F.when(F.col("l_returnflag") == "R", F.lit("steam")).otherwise(F.lit("rawg"))
     day = F.date_trunc("day", "l_shipdate").cast("timestamp_ntz")
-    files = li.select(source.alias("source"), day.alias("day"))
+    files = li.select(source.alias("source"), day.alias("day"), F.col("l_returnflag").alias("payload"))
     key = landing_key("source", iso_date("day"), file_stamp("day"))
-    return (files.groupBy("source", "day").agg(F.count(F.lit(1)).alias("rows_loaded"))
+    return (rows_per_file(files, file_col="day", by=["source"])
             .select("source", key.alias("s3_key"), F.col("rows_loaded").cast("bigint"), "day"))
 
 
-def order_envelopes(spark: SparkSession, sf_dir: str, per_envelope: int = DEFAULT_PER_ENVELOPE) -> DataFrame:
-    """Orders as a monthly-snapshot source (S1 round trips): one entry per order."""
-    o = with_row_id(table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority", "o_orderdate"))
+def order_envelopes(spark: SparkSession, sf_dir: str, per_envelope: int = DEFAULT_PER_ENVELOPE,
+                    every: str = "month") -> DataFrame:
+    """Orders as a source with a snapshot per month (or ``every`` else; S1 round trips): one entry per order."""
+    o = with_row_key(table(spark, sf_dir, "orders")).select(
+        "_row_id", "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority", "o_orderdate")
     entry = F.struct(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"),
                      F.col("o_totalprice").alias("totalprice"), F.col("o_orderpriority").alias("priority"),
                      F.date_format("o_orderdate", "yyyy-MM-dd").alias("order_date"))
-    e = o.select("_row_id", F.date_trunc("month", "o_orderdate").cast("timestamp_ntz").alias("snap"),
+    e = o.select("_row_id", F.date_trunc(every, "o_orderdate").cast("timestamp_ntz").alias("snap"),
                  entry.alias("entry"))
     return build_envelopes(e, "rawg", "snap", "entry", per_envelope=per_envelope)

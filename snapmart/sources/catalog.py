@@ -21,12 +21,17 @@ RAW_TABLE_DDL = {
 NAMESPACES = ["raw", "staging", "mart"]
 
 
+def raw_path(root: str, table: str) -> str:
+    """Where a raw table lives: what ``create_objects`` declares is what a run writes and reads."""
+    return f"{root.rstrip('/')}/raw/{table}"
+
+
 def create_objects(spark: SparkSession, root: str) -> None:
     """Create-if-missing namespaces and raw tables (Parquet, under ``root``)."""
     for ns in NAMESPACES:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {ns} LOCATION '{root}/{ns}.db'")
     for name, cols in RAW_TABLE_DDL.items():
-        spark.sql(f"CREATE TABLE IF NOT EXISTS raw.{name} ({cols}) USING parquet LOCATION '{root}/raw/{name}'")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS raw.{name} ({cols}) USING parquet LOCATION '{raw_path(root, name)}'")
 
 
 def _fs(spark: SparkSession, path: str):
@@ -35,6 +40,25 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
+def expire_versions(spark: SparkSession, table_root: str, keep: int) -> list[str]:
+    """Remove all but the newest ``keep`` committed versions (and uncommitted ones older than those); returns their names.
+
+    A reader opens the newest version, so ``keep`` must cover the time a read can take.
+    """
+    if keep < 1:
+        raise ValueError("keep at least one version")
+    fs, p, jvm = _fs(spark, table_root)
+    if not fs.exists(p):
+        return []
+    names = sorted(st.getPath().getName() for st in fs.listStatus(p)
+                   if st.isDirectory() and st.getPath().getName().startswith("version="))
+    done = [n for n in names if fs.exists(jvm.org.apache.hadoop.fs.Path(p, f"{n}/_SUCCESS"))]
+    old = [n for n in names if len(done) > keep and n < done[-keep]]
+    for n in old:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(p, n), True)
+    return old
+
+
 def write_version(df: DataFrame, table_root: str) -> str:
     """Write ``df`` as a new version of the table; returns its path."""
     version = f"{table_root.rstrip('/')}/version={int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}"

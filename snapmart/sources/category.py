@@ -16,10 +16,15 @@ from pyspark.sql import functions as F
 from snapmart.functions.variant import as_number, as_string
 from snapmart.operators.flatten import flatten
 
+CATEGORY_MAP = "map<string,variant>"
+
 
 def flatten_categories(docs: DataFrame, doc_col: str, keep: list[str]) -> DataFrame:
-    """Rows (keep…, cat_pos, category_key, category_name, item_pos, item)."""
-    cats = docs.select(*keep, F.posexplode(F.from_json(doc_col, "map<string,variant>"))
+    """Rows (keep…, cat_pos, category_key, category_name, item_pos, item).
+
+    A malformed document raises (S9): it must not pass as one without items.
+    """
+    cats = docs.select(*keep, F.posexplode(F.from_json(doc_col, CATEGORY_MAP, {"mode": "FAILFAST"}))
                        .alias("cat_pos", "category_key", "_cat"))
     # no object test needed: a scalar, string or array entry has no ``$.items``
     # path (it yields no rows), exactly like an object without ``items``
@@ -36,15 +41,23 @@ def after_cursor(items: DataFrame, last_appid: int | None, item_col: str = "item
     return items.where(F.coalesce(as_number(item_col, "$.id"), F.lit(0)) > F.lit(last_appid))
 
 
-def head_with_total(items: DataFrame, doc_keys: list[str], order: list[Column], limit: int) -> DataFrame:
+def item_count(doc_col: str) -> Column:
+    """Items of a whole document: the sum of its categories' array sizes, without exploding them."""
+    sizes = F.transform(F.map_values(F.from_json(doc_col, CATEGORY_MAP, {"mode": "FAILFAST"})),
+                        lambda c: F.coalesce(F.size(F.try_variant_get(c, "$.items", "array<variant>")), F.lit(0)))
+    return F.aggregate(sizes, F.lit(0).cast("bigint"), lambda a, n: a + F.greatest(n, F.lit(0)))
+
+
+def head_with_total(items: DataFrame, doc_keys: list[str], order: list[Column], limit: int,
+                    totals: DataFrame | None = None) -> DataFrame:
     """First ``limit`` items per document in order, with the pre-cut total.
 
-    The top-N runs as a ``WindowGroupLimit`` (partial per task, then final), and
-    the total is a grouped count joined back — neither gathers a document's
-    items into one task.
+    The top-N runs as a ``WindowGroupLimit`` (partial per task, then final).  The
+    total comes from ``totals`` (``doc_keys`` and ``total_available``, for instance
+    from ``item_count``) or, without it, from a grouped count of the items.
     """
     from snapmart.operators.dedup import keep_top
-    total = items.groupBy(*doc_keys).agg(F.count(F.lit(1)).alias("total_available"))
+    if totals is None:
+        totals = items.groupBy(*doc_keys).agg(F.count(F.lit(1)).alias("total_available"))
     head = keep_top(items, doc_keys, order, limit, rank_col="item_rank")
-    return head.join(total, on=doc_keys, how="inner")
-
+    return head.join(totals, on=doc_keys, how="inner")

@@ -9,7 +9,9 @@ from ``_metadata``.  A corrupt document aborts the scan (``FAILFAST``), like
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapmart.functions.variant import as_string
@@ -17,19 +19,20 @@ from snapmart.functions.variant import as_string
 RAW_COLUMNS = ["source", "s3_key", "extracted_at", "payload", "loaded_at"]
 
 
-def scan_landing(spark: SparkSession, root: str, multi_line: bool = False, source: str | None = None,
-                 extract_date: str | None = None, fail_fast: bool = True) -> DataFrame:
+def scan_landing(spark: SparkSession, root, multi_line: bool = True, source: str | None = None,
+                 extract_date: str | None = None, fail_fast: bool = True, base: str | None = None) -> DataFrame:
     """Returns (source, extract_date, file_path, payload).
 
+    ``root`` is the landing root, or a list of its files with the root as ``base``.  ``multi_line``: one document a file, pretty-printed or not; else one document a line.
     ``source``/``extract_date`` filters hit partition columns and prune
     directories before any file is opened (S8).
     """
     reader = (spark.read.option("multiLine", multi_line).option("singleVariantColumn", "payload")
               .option("mode", "FAILFAST" if fail_fast else "PERMISSIVE")
-              .option("basePath", root))
-    df = reader.json(root).select(F.col("source").cast("string").alias("source"),
-                                  F.col("extract_date").cast("string").alias("extract_date"),
-                                  F.col("_metadata.file_path").alias("file_path"), "payload")
+              .option("basePath", base or root))
+    df = reader.json(root if base else _partition_path(spark, root, source, extract_date)).select(
+        F.col("source").cast("string").alias("source"), F.col("extract_date").cast("string").alias("extract_date"),
+        F.col("_metadata.file_path").alias("file_path"), "payload")
     if source is not None:
         df = df.where(F.col("source") == source)
     if extract_date is not None:
@@ -37,6 +40,54 @@ def scan_landing(spark: SparkSession, root: str, multi_line: bool = False, sourc
     return df
 
 
+def _partition_path(spark: SparkSession, root: str, source: str | None, extract_date: str | None):
+    """The folders of one day (or source), so that not the whole landing tree is listed; the root if there are none."""
+    from snapmart.sources.catalog import _fs
+
+    pattern = f"{root.rstrip('/')}/source={source or '*'}/extract_date={extract_date or '*'}"
+    fs, p, _ = _fs(spark, pattern)
+    found = fs.globStatus(p)
+    return [st.getPath().toString() for st in found] if found and (source or extract_date) else root
+
+
+def list_files(spark: SparkSession, root: str, extract_date: str) -> DataFrame:
+    """(source, s3_key, file_path) of a day's landed files, from a listing: no file is opened."""
+    path = _partition_path(spark, root, None, extract_date)
+    if path == root:
+        return spark.createDataFrame([], "source string, s3_key string, file_path string")
+    files = spark.read.format("binaryFile").option("basePath", root).load(path)
+    return files.select(F.col("source").cast("string").alias("source"), relative_file_key("path").alias("s3_key"),
+                        F.col("path").alias("file_path"))
+
+
+def relative_file_key(path) -> Column:
+    """The key of a file below its landing root: from ``source=`` on."""
+    return F.regexp_replace(path, "^.*?/(source=)", "$1")
+
+
+def scan_keys(spark: SparkSession, root: str, keys: DataFrame, extract_date: str | None = None) -> DataFrame:
+    """The envelopes of exactly the listed landed keys: (source, extract_date, s3_key, payload).
+
+    ``keys`` has ``s3_key`` and the ``batch`` that landed it (``landing.landed_keys``):
+    lines of an older or unfinished write are left out.
+    """
+    scan = scan_landing(spark, root, multi_line=False, extract_date=extract_date)
+    named = scan.withColumn("s3_key", as_string("payload", "$.landing_key")).withColumn("batch", as_string("payload", "$.landing_batch"))
+    return named.join(keys.select("s3_key", "batch"), ["s3_key", "batch"], "left_semi").select(
+        "source", "extract_date", "s3_key", "payload")
+
+
+def load_key(spark: SparkSession, root: str, key: str) -> DataFrame:
+    """The envelopes of one key, reading its own partition only; no rows if it was not landed."""
+    from snapmart.sources.landing import landed_keys
+
+    keys = landed_keys(spark, root)
+    if keys is None:
+        return spark.createDataFrame([], "source string, extract_date string, s3_key string, payload variant")
+    day = re.search(r"extract_date=([^/]+)", key)
+    return scan_keys(spark, root, keys.where(F.col("s3_key") == key), day[1] if day else None)
+
+
 def to_raw(scan: DataFrame, source: str | None = None, loaded_at=None, key_col: str = "file_path",
            root: str | None = None) -> DataFrame:
     """The raw-table projection of scanned documents.
@@ -57,5 +108,4 @@ def to_raw(scan: DataFrame, source: str | None = None, loaded_at=None, key_col:
 
 
 def _re_escape(s: str) -> str:
-    import re
     return re.escape(s)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import time
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapmart.functions.timefmt import file_stamp, iso_date, iso_utc
+from snapmart.session import fresh_dir
 
 DEFAULT_PREFIX = "raw"
 # Fixed file-name stems per source.
@@ -32,7 +36,7 @@ def file_name(source, stamp) -> Column:
     s = F.col(source) if isinstance(source, str) else source
     st = F.col(stamp) if isinstance(stamp, str) else stamp
     stem = F.when(s == "rawg", F.lit(FILE_STEMS["rawg"])).when(s == "steam", F.lit(FILE_STEMS["steam"])) \
-        .otherwise(F.raise_error(F.concat(F.lit("Unsupported source: "), F.coalesce(s, F.lit("NULL")))))
+        .otherwise(F.raise_error(F.concat(F.lit("no landing files are defined for source "), F.coalesce(s, F.lit("NULL")))))
     return F.concat(stem, F.lit("_"), st, F.lit(".json"))
 
 
@@ -51,22 +55,68 @@ def relative_key(key, prefix: str = DEFAULT_PREFIX) -> Column:
     return F.when(k.startswith(pre), F.substring(k, len(pre) + 1, 1 << 30)).otherwise(k)
 
 
-def write_landing(envelopes: DataFrame, root: str, mode: str = "append") -> None:
+#: Beside the landed data: which keys were landed, and by which write.  The leading underscore hides it from scans.
+KEYS = "_landed_keys"
+
+
+def write_landing(envelopes: DataFrame, root: str, mode: str = "append", batch: str | None = None) -> None:
     """JSON Lines, one envelope per line, under ``source=/extract_date=``.
 
     One document per line keeps the files splittable; the read side handles
-    pretty-printed single-document files too (``multi_line=True``).
+    pretty-printed single-document files too (``multi_line=True``).  With ``batch``
+    every envelope names its ``s3_key`` and the write it came with.
     """
-    (envelopes.select("source", "extract_date", F.col("body").alias("value"))
+    body = F.col("body")
+    if batch is not None:
+        named = F.to_json(F.struct(F.col("s3_key").alias("landing_key"), F.lit(batch).alias("landing_batch")))
+        body = F.concat(F.regexp_replace(named, "}$", ","), F.substring(body, 2, 1 << 30))
+    (envelopes.select("source", "extract_date", body.alias("value"))
      .write.mode(mode).partitionBy("source", "extract_date").text(root))
 
 
+def landed_keys(spark: SparkSession, root: str) -> DataFrame | None:
+    """(source, extract_date, s3_key, batch): every landed key with its newest write; None where nothing was landed by key."""
+    from snapmart.sources.catalog import _fs
+
+    path = f"{root.rstrip('/')}/{KEYS}"
+    fs, p, _ = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    rows = spark.read.schema("s3_key string, batch string, source string, extract_date string").parquet(path)
+    return rows.groupBy("source", "extract_date", "s3_key").agg(F.max("batch").alias("batch"))
+
+
+def land(envelopes: DataFrame, root: str, force: bool = False) -> DataFrame:
+    """S1-S5 as one step: land ``(source, extract_date, s3_key, body)`` by key; returns each key's ``upload_status``.
+
+    The gate comes before the write: an envelope whose key is landed already is
+    skipped unless ``force``, which lands it again in the older one's place.  Keys are
+    listed after their data, so an unfinished write leaves lines that no key points
+    to and that no scan by key returns; running it again lands them properly.
+    """
+    spark = envelopes.sparkSession
+    batch = f"{int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}"
+    candidates = envelopes.select("source", "extract_date", "s3_key")
+    known = landed_keys(spark, root)
+    if known is None:
+        known = spark.createDataFrame([], "s3_key string")
+    plan_dir = fresh_dir(spark, "land-plan")
+    gate(candidates, known, force).write.parquet(plan_dir)
+    plan = spark.read.parquet(plan_dir)
+    new = plan.where("upload_status = 'uploaded'")
+    if not new.isEmpty():
+        write_landing(envelopes.join(new.select("s3_key"), "s3_key", "left_semi"), root, batch=batch)
+        (new.select("s3_key", F.lit(batch).alias("batch"), "source", "extract_date")
+         .write.mode("append").partitionBy("source", "extract_date").parquet(f"{root.rstrip('/')}/{KEYS}"))
+    return plan
+
+
 def gate(candidates: DataFrame, existing_keys: DataFrame, force: bool = False,
          key_col: str = "s3_key") -> DataFrame:
     """``uploaded`` unless the key already exists and the run is not forced.
 
-    ``existing_keys`` is any relation of keys (e.g. ``_metadata.file_path`` of a
-    landing scan).  Set-wise, one join for all candidates.
+    ``existing_keys`` is any relation of keys (``landed_keys``, or a file listing).
+    Set-wise, one join for all candidates.
     """
     if force:
         return candidates.withColumn("upload_status", F.lit("uploaded"))

@@ -14,29 +14,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapmart.session import unshredded_variant_writes
+from snapmart.session import use_unshredded_variants
 from snapmart.sources.jsonscan import to_raw
 
 LANDING_SCHEMA = "payload variant, source string, extract_date string"
 
 
-def landing_stream(spark: SparkSession, landing_root: str, max_files_per_trigger: int = 1000) -> DataFrame:
+def landing_stream(spark: SparkSession, landing_root: str, max_files_per_trigger: int = 1000,
+                   multi_line: bool = True) -> DataFrame:
+    """``multi_line``: one document a file, pretty-printed or not; else one document a line."""
     return (spark.readStream.format("json").schema(LANDING_SCHEMA)
-            .option("singleVariantColumn", "payload").option("mode", "FAILFAST")
+            .option("singleVariantColumn", "payload").option("mode", "FAILFAST").option("multiLine", multi_line)
             .option("maxFilesPerTrigger", max_files_per_trigger).load(landing_root)
             .select("source", "extract_date", F.col("_metadata.file_path").alias("file_path"), "payload"))
 
 
 def load_stream(spark: SparkSession, landing_root: str, raw_root: str, checkpoint: str, loaded_at=None,
-                source: str | None = None) -> None:
+                source: str | None = None, multi_line: bool = True) -> None:
     """Run the stream to completion (``availableNow``)."""
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         raw = to_raw(batch, source=source, loaded_at=loaded_at, root=landing_root)
-        with unshredded_variant_writes(batch.sparkSession):
-            raw.write.mode("overwrite").parquet(f"{raw_root}/batch={batch_id}")
+        use_unshredded_variants(batch.sparkSession)
+        raw.write.mode("overwrite").parquet(f"{raw_root}/batch={batch_id}")
 
-    stream = landing_stream(spark, landing_root)
+    stream = landing_stream(spark, landing_root, multi_line=multi_line)
     if source is not None:
         stream = stream.where(F.col("source") == source)
     q = (stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)

@@ -65,3 +65,53 @@ def test_daily_runs_with_bucketed_mart(spark):
     b = daily_run(spark, landing, wh, "2026-04-01", loaded_at="2026-04-01 10:00:00", mart_buckets=4)
     assert _mart_dict(b["mart_games"]) == EXPECTED_MART
     assert [r.rawg_game_id for r in b["mart_top_rated_games"].collect()] == [3, 1, 4, 5]
+
+
+def test_a_failing_check_fails_the_run_and_keeps_its_report(spark):
+    import pytest
+    from snapmart.operators.quality import ChecksFailed
+    from snapmart.plans.run import daily_run
+    from snapmart.session import fresh_dir
+    from snapmart.sources import catalog
+    landing, wh = tempfile.mkdtemp(prefix="landing-"), fresh_dir(spark, "warehouse")
+    _land(landing, "rawg", "2026-03-31", "a.json", fx.envelope("rawg", fx.SNAP_A, {"results": [{"id": 1, "name": None}]}))
+    with pytest.raises(ChecksFailed):
+        daily_run(spark, landing, wh, "2026-03-31", loaded_at="2026-03-31 10:00:00")
+    report = catalog.read_current(spark, f"{wh}/check_report")
+    assert {(r.model, r.column_name) for r in report.where("status = 'fail'").collect()} == {
+        ("stg_rawg_games", "game_name"), ("mart_games", "game_name")}
+    out = daily_run(spark, landing, wh, "2026-03-31", loaded_at="2026-03-31 11:00:00", fail_on_checks=False, keep_versions=1)
+    assert out["report"].where("status = 'fail'").count() == 2
+    assert len([d for d in os.listdir(f"{wh}/mart/mart_games") if d.startswith("version=")]) == 1
+
+
+def test_a_run_lands_its_envelopes_by_key_and_reruns_add_nothing(spark):
+    import json
+    from snapmart.plans.run import daily_run
+    from snapmart.session import fresh_dir
+    from snapmart.sources import catalog
+    landing, wh = fresh_dir(spark, "landing"), fresh_dir(spark, "warehouse")
+    key = "raw/source=rawg/extract_date=2026-04-01/rawg_games_20260401T090000Z.json"
+    body = json.dumps(json.loads(fx.envelope("rawg", fx.SNAP_B, {"results": fx.GAMES_B})))
+    env = spark.createDataFrame([("rawg", "2026-04-01", key, body)], "source string, extract_date string, s3_key string, body string")
+    for at, upload, status, rows in (("10", "uploaded", "loaded", 1), ("11", "skipped_existing", "skipped_existing", 0)):
+        out = daily_run(spark, landing, wh, "2026-04-01", envelopes=env, loaded_at=f"2026-04-01 {at}:00:00")
+        assert [r.upload_status for r in out["landing"].collect()] == [upload]
+        assert [(r.s3_key, r.status, r.rows_loaded) for r in out["load_audit"].collect()] == [(key, status, rows)]
+    catalog.create_objects(spark, wh)
+    assert spark.read.parquet(catalog.raw_path(wh, "rawg_games_raw")).count() == 1
+    forced = daily_run(spark, landing, wh, "2026-04-01", envelopes=env, force_upload=True, force_reload=True,
+                       loaded_at="2026-04-01 12:00:00")
+    assert [r.upload_status for r in forced["landing"].collect()] == ["uploaded"]
+    assert [(r.status, r.rows_loaded) for r in forced["load_audit"].collect()] == [("reloaded", 1)]
+
+
+def test_a_skipped_file_is_never_opened(spark):
+    from snapmart.plans.run import daily_run
+    from snapmart.session import fresh_dir
+    landing, wh = tempfile.mkdtemp(prefix="landing-"), fresh_dir(spark, "warehouse")
+    _land(landing, "rawg", "2026-04-01", "a.json", fx.envelope("rawg", fx.SNAP_B, {"results": fx.GAMES_B}))
+    daily_run(spark, landing, wh, "2026-04-01", loaded_at="2026-04-01 10:00:00")
+    _land(landing, "rawg", "2026-04-01", "a.json", "{broken")  # loaded already: a scan of it would abort the run
+    out = daily_run(spark, landing, wh, "2026-04-01", loaded_at="2026-04-01 11:00:00")
+    assert [r.status for r in out["load_audit"].collect()] == ["skipped_existing"]

@@ -163,13 +163,141 @@ def test_envelopes_stay_bounded_for_a_hot_snapshot_of_copies(spark):
     assert sum(got) == 3000 and max(got) <= 50 and len(got) >= 60
 
 
-def test_unshredded_writes_restore_the_setting(spark):
-    from snapmart.session import unshredded_variant_writes
+def test_variants_stay_whole_in_sessions_built_here_and_elsewhere(spark):
+    from snapmart.session import use_unshredded_variants
     key = "spark.sql.variant.writeShredding.enabled"
-    before = spark.conf.get(key, None)
-    with unshredded_variant_writes(spark):
-        assert spark.conf.get(key) == "false"
-    assert spark.conf.get(key, None) == before
+    assert spark.conf.get(key) == "false"
+    other = spark.newSession()
+    other.conf.set(key, "true")
+    use_unshredded_variants(other)
+    assert other.conf.get(key) == "false"
+
+
+def test_malformed_store_document_raises(spark):
+    from snapmart.sources import category
+    df = spark.createDataFrame([(1, '{"a": {"name": "A", "items": [{"id": 1}'), (2, '{"a": {"items": []}}')], "k int, doc string")
+    with pytest.raises(Exception):
+        category.flatten_categories(df, "doc", ["k"]).count()
+    with pytest.raises(Exception):
+        df.select(category.item_count("doc")).collect()
+
+
+def test_item_count_equals_the_flatten(spark):
+    from snapmart.sources import category
+    docs = spark.createDataFrame([(1, json.dumps(fx.STORE_DOC)), (2, "{}"), (3, '{"a": 5, "b": {"items": 3}, "c": {"items": [1, 2]}}')],
+                                 "doc_no int, doc string")
+    got = {r.doc_no: r.n for r in docs.select("doc_no", category.item_count("doc").alias("n")).collect()}
+    flat = category.flatten_categories(docs, "doc", ["doc_no"]).groupBy("doc_no").count()
+    assert got == {2: 0, **{r.doc_no: r["count"] for r in flat.collect()}}
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(monkeypatch):
+    from snapmart import session
+
+    class Context:
+        master, applicationId = "yarn", "a"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    with pytest.raises(RuntimeError):
+        session.scratch_root(Session())
+
+
+def test_old_versions_and_scratch_folders_go(spark):
+    from snapmart.session import release_scratch
+    from snapmart.sources import catalog
+    root = fresh_dir(spark, "tbl")
+    made = [os.path.basename(catalog.write_version(spark.range(k), root)) for k in range(4)]
+    half = os.path.join(root, made[0].replace("version=0", "version=00", 1)[:24] + "-half")
+    os.makedirs(half)
+    gone = catalog.expire_versions(spark, root, 2)
+    assert set(made[:2]) <= set(gone) and not os.path.exists(half)
+    assert catalog.read_current(spark, root).count() == 3
+    assert catalog.expire_versions(spark, root, 2) == []
+    other = spark.newSession()
+    path = fresh_dir(other, "gone")
+    other.range(1).write.parquet(path)
+    from snapmart import session
+    kept = session._FRESH.pop(spark.sparkContext.applicationId)
+    session._FRESH[spark.sparkContext.applicationId] = [path]
+    assert release_scratch(other) == 1 and not os.path.exists(path)
+    session._FRESH[spark.sparkContext.applicationId] = [p for p in kept if p != path]
+
+
+def _envelopes(spark, n, day="2026-04-01"):
+    rows = [("rawg", day, f"raw/source=rawg/extract_date={day}/rawg_games_{k}.json",
+             json.dumps({"source": "rawg", "extracted_at_utc": f"{day}T09:00:00Z", "payload": {"results": [{"id": k}]}})) for k in range(n)]
+    return spark.createDataFrame(rows, "source string, extract_date string, s3_key string, body string")
+
+
+def test_landing_by_key_gates_before_the_write_and_replaces_when_forced(spark):
+    from snapmart.sources import jsonscan, landing
+    root = fresh_dir(spark, "landing")
+    assert landing.landed_keys(spark, root) is None
+    status = lambda df: sorted((r.s3_key[-6], r.upload_status) for r in df.collect())
+    assert status(landing.land(_envelopes(spark, 2), root)) == [("0", "uploaded"), ("1", "uploaded")]
+    assert status(landing.land(_envelopes(spark, 3), root)) == [("0", "skipped_existing"), ("1", "skipped_existing"), ("2", "uploaded")]
+    lines = lambda: spark.read.text(root).count()
+    assert lines() == 3
+    changed = _envelopes(spark, 1).withColumn("body", F.regexp_replace("body", '"id": 0', '"id": 99'))
+    landing.land(changed, root, force=True)
+    assert lines() == 4
+    ids = lambda df: sorted(r.i for r in df.select(as_number("payload", "$.payload.results[0].id").alias("i")).collect())
+    assert ids(jsonscan.scan_keys(spark, root, landing.landed_keys(spark, root))) == [1, 2, 99]
+    # lines of a write whose keys were never listed are not part of the landing
+    landing.write_landing(_envelopes(spark, 5), root, batch="unfinished")
+    assert ids(jsonscan.scan_keys(spark, root, landing.landed_keys(spark, root))) == [1, 2, 99]
+    key = "raw/source=rawg/extract_date=2026-04-01/rawg_games_2.json"
+    assert ids(jsonscan.load_key(spark, root, key)) == [2]
+    assert jsonscan.load_key(spark, root, key.replace("_2", "_7")).count() == 0
+
+
+def test_envelopes_do_not_depend_on_the_splits(spark):
+    from snapmart.plans import world
+    sf = "/root/testdata/sf0.001"
+    first = {(r.envelope_no, r.extracted_at, r.body) for r in world.order_envelopes(spark, sf, 20).collect()}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        again = {(r.envelope_no, r.extracted_at, r.body) for r in world.order_envelopes(spark, sf, 20).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert first == again and len({(n, t) for n, t, _ in first}) == len(first)
+
+
+@pytest.mark.parametrize("every", ["year", "month"])
+def test_mean_envelope_size_is_near_the_stated_one(spark, every):
+    from snapmart.plans import world
+    env = world.order_envelopes(spark, "/root/testdata/sf0.01", 50, every=every)
+    n = env.select(F.size(F.variant_get(F.parse_json("body"), "$.payload.results", "array<variant>")).alias("n"))
+    mean, most = n.agg(F.avg("n"), F.max("n")).first()
+    assert 0.7 * 50 <= mean <= 50 and most <= 50
+
+
+def test_null_names_are_spread_and_match_nothing(spark):
+    from snapmart.operators.joins import left_join_on_name
+    left = spark.createDataFrame([(k, None) for k in range(50)] + [(99, " A ")], "k long, name string")
+    right = spark.createDataFrame([("a", 7), (None, 8)], "key string, v long")
+    rows = left_join_on_name(left, right, "name", "key").collect()
+    assert sorted((r.k, r.v) for r in rows if r.v is not None) == [(99, 7)] and len(rows) == 51
+
+
+def test_one_pass_column_tests_equal_single_ones(spark):
+    from snapmart.operators import quality
+    df = spark.createDataFrame([(1, None), (1, "a"), (None, "b"), (None, None), (2, "c")], "id long, name string")
+    both = quality.column_tests(df, "m", ["id", "name"], ["id"])
+    single = quality.not_null(df, "m", ["id", "name"]).unionByName(quality.unique(df, "m", "id"))
+    assert sorted(map(tuple, both.collect())) == sorted(map(tuple, single.select(*both.columns).collect()))
+    empty = quality.column_tests(df.limit(0), "m", ["name"], ["id"]).collect()
+    assert {r.failures for r in empty} == {0} and len(empty) == 2
 
 
 def test_category_flatten_skips_non_objects(spark):

@@ -60,3 +60,27 @@ def test_top_n_is_a_partial_top_k(spark):
 def test_flatten_is_a_generate_not_a_join(spark):
     plan = _initial_plan(queries.REGISTRY["flatten_one"](spark, SF))
     assert "Generate" in plan and "Join" not in plan
+
+
+def test_backfill_range_reaches_the_scan(spark):
+    plan = _plan(queries.REGISTRY["backfill_replay"](spark, SF))
+    assert "GreaterThanOrEqual(l_shipdate" in plan and "LessThan(l_shipdate" in plan
+
+
+def test_envelopes_have_one_plan_shape_at_every_size(spark):
+    import re
+    big = "/root/testdata/sf0.1"
+    if not os.path.isdir(big):
+        pytest.skip("driver tables not present")
+    shape = lambda sf: re.findall(r"[A-Z][A-Za-z]+(?=[ (])", re.sub(r"\[[^\]]*\]|\([^()]*\)", "", _logical(world.both_envelopes(spark, sf))))
+    assert shape(SF) == shape(big)
+
+
+def _logical(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_later_models_read_the_written_mart(spark):
+    for name in ("mart_top_n", "kpi_release_trend"):
+        plan = _initial_plan(queries.REGISTRY[name](spark, SF))
+        assert "Generate" not in plan and "Window" not in plan and "Join" not in plan

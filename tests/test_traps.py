@@ -117,3 +117,85 @@ def test_one_pass_staging_checks_equal_per_model_checks(spark):
     shared = checks.game_staging_not_null(raw)
     assert per_model.exceptAll(shared).count() == 0 and shared.exceptAll(per_model).count() == 0
     assert {(r.model, r.column_name): r.failures for r in shared.collect()}[("stg_rawg_games", "rawg_game_id")] == 1
+
+
+def _composed(raw, steam):
+    offers = staging.stg_steam_featured_games(steam, per_snapshot=True)
+    return marts.accumulated_mart_games(marts.mart_games(
+        staging.stg_rawg_games(raw, True), staging.stg_rawg_game_genres(raw, True), staging.stg_rawg_game_platforms(raw, True),
+        offers, per_snapshot=True, times=marts.raw_store_times(raw, steam)))
+
+
+def _fused(raw, steam):
+    return marts.accumulated_games_fused(raw, steam)
+
+
+def _sequential(spark, raw, steam):
+    """Run after run at every snapshot time of either source, each on what had been landed by then."""
+    from snapmart.plans.run import build_models
+    times = sorted({r[0] for df in (raw, steam) for r in df.select("extracted_at").distinct().collect()})
+    mart = None
+    for t in times:
+        upto = lambda df: df.where(F.col("extracted_at") <= F.lit(str(t)).cast("timestamp_ntz"))
+        now = build_models(upto(raw), upto(steam), fx.audit(spark), history=False, previous_mart=mart)["mart_games"]
+        mart = spark.createDataFrame(now.collect(), now.schema)
+    return mart
+
+
+def _table(rows):
+    return sorted(rows.collect(), key=str)
+
+
+def test_null_game_id_with_children_takes_none_of_them(spark):
+    child = {"name": "Nameless", "rating": 2.0, "genres": [{"id": 1, "name": "RPG"}],
+             "platforms": [{"platform": {"id": 4, "name": "PC"}, "released_at": None}]}
+    raw = fx.raw_table(spark, [("rawg", "k", fx.envelope("rawg", fx.SNAP_A, {"results": [child, fx.ALPHA]}), "2026-03-31 10:00:00")])
+    rows = {r.rawg_game_id: r for r in _fused(raw, fx.steam_raw(spark)).collect()}
+    assert (rows[None].genres, rows[None].platform_count, rows[None].platforms) == ("Unknown", 0, None)
+    assert rows[1].genres == "Action, RPG"
+    one_id = raw.where("true")
+    assert _table(_fused(one_id, fx.steam_raw(spark))) == _table(_composed(one_id, fx.steam_raw(spark)))
+
+
+def test_sources_that_miss_runs_replay_as_the_sequence_of_runs(spark):
+    def games(ts, *rows):
+        return ("rawg", ts, fx.envelope("rawg", ts, {"results": list(rows)}), ts.replace("T09:00:00Z", " 10:00:00"))
+
+    def store(ts, price):
+        items = [{"id": 7, "name": "alpha", "category_key": "s", "category_name": "S", "final_price": price}]
+        return ("steam", ts, fx.envelope("steam", ts, {"featured_categories": items}), ts.replace("T09:00:00Z", " 10:00:00"))
+
+    day = lambda k: f"2026-04-0{k}T09:00:00Z"
+    alpha, gone = {"id": 1, "name": "Alpha", "rating": 1.0}, {"id": 2, "name": " ALPHA", "rating": 2.0}
+    cases = [([1, 2], [1]), ([1, 2], [2]), ([1, 3], [1, 2]), ([1, 3], [2, 3]), ([2], [1, 3]), ([1, 4], [2, 3]), ([1, 2, 3], [])]
+    for game_days, store_days in cases:
+        raw = fx.raw_table(spark, [games(day(k), *([alpha, gone] if k == game_days[0] else [alpha])) for k in game_days])
+        steam = fx.raw_table(spark, [store(day(k), 100 * k) for k in store_days] or [store(day(9), 1)])
+        if not store_days:
+            steam = steam.where("false")
+        want = _table(_sequential(spark, raw, steam))
+        assert _table(_fused(raw, steam)) == want, (game_days, store_days)
+        assert _table(_composed(raw, steam)) == want, (game_days, store_days)
+
+
+def test_a_genre_with_a_comma_is_one_genre(spark):
+    from snapmart.plans import kpis
+    game = {"id": 1, "name": "A", "rating": 4.0, "genres": [{"id": 1, "name": "Action, Adventure"}, {"id": 2, "name": "RPG"}]}
+    raw = fx.raw_table(spark, [("rawg", "k", fx.envelope("rawg", fx.SNAP_A, {"results": [game, {"id": 2, "name": "B", "rating": 1.0}]}),
+                               "2026-03-31 10:00:00")])
+    got = {r.genre: (r.avg_rating, r.game_count) for r in kpis.rating_by_genre(marts.games_fused(raw, fold_first=True)).collect()}
+    assert got == {"Action, Adventure": (4.0, 1), "RPG": (4.0, 1), "Unknown": (1.0, 1)}
+
+
+def test_stream_takes_pretty_printed_files(spark):
+    from snapmart.session import fresh_dir
+    from snapmart.streaming.file_load import load_stream
+    root = tempfile.mkdtemp()
+    d = os.path.join(root, "source=rawg", "extract_date=2026-04-01")
+    os.makedirs(d)
+    with open(os.path.join(d, "a.json"), "w") as f:
+        f.write(fx.envelope("rawg", fx.SNAP_B, {"results": fx.GAMES_B}))
+    raw_root = fresh_dir(spark, "raw")
+    load_stream(spark, root, raw_root, fresh_dir(spark, "ckpt"), loaded_at="2026-04-01 10:00:00")
+    rows = spark.read.parquet(raw_root).collect()
+    assert len(rows) == 1 and str(rows[0].extracted_at) == "2026-04-01 09:00:00"
