@@ -107,17 +107,17 @@ def _exact(vectors: np.ndarray, v: np.ndarray, queries: np.ndarray, q: np.ndarra
 def search_cell(qid: np.ndarray, q: np.ndarray, vid: np.ndarray, x: np.ndarray, codes, centre, turn, top: int, width: float):
     """(query ids, vector ids, scores) of each query's best ``top`` in the block; None if there are none.
 
-    The exact scores of the ``top`` best estimates give a floor; every vector whose upper
-    bound reaches it is reranked.
+    The best of the exact scores of a few times ``top`` best estimates give a floor; every
+    vector whose upper bound reaches it is reranked.
     """
     est, spread = estimate(q, *codes, centre, turn)
     est[qid[:, None] == vid[None, :]] = -np.inf
-    m = min(top, len(vid))
+    m = min(4 * top, len(vid))
     first = np.argpartition(-est, m - 1, axis=1)[:, :m]
     row = np.repeat(np.arange(len(qid)), m)
     seen = _exact(x, first.ravel(), q, row)
     seen[np.isneginf(est[row, first.ravel()])] = -np.inf
-    floor = seen.reshape(-1, m).min(axis=1)
+    floor = np.sort(seen.reshape(-1, m), axis=1)[:, -min(top, m)]
     est += (width * spread).astype(est.dtype)
     row, at = np.nonzero((est >= (floor - 1e-6 * np.abs(floor))[:, None]) & ~np.isneginf(est))
     score = _exact(x, at, q, row)
