@@ -225,7 +225,7 @@ def merge_many(words: list[bytes], letters: Letters, table: PairTable, width: in
 class ByteBpe:
     """Encoder and decoder for one vocabulary file of the ``tokenizers`` library."""
 
-    def __init__(self, path: str, cache: int = 600_000):
+    def __init__(self, path: str, cache: int = 400_000):
         from tokenizers import pre_tokenizers
 
         with open(path, encoding="utf-8") as f:
@@ -328,21 +328,16 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
 
 
-_coders: dict[str, ByteBpe] = {}
-
-
 def coder(path: str) -> ByteBpe:
-    """One coder per worker process and file; its caches live across tasks."""
-    if path not in _coders:
-        _coders[path] = ByteBpe(path)
-    return _coders[path]
+    """The worker's coder for a file; its caches live across tasks."""
+    return shared.resident(("bpe", path), lambda: ByteBpe(path))
 
 
 def encode_decode(docs: DataFrame, path: str) -> DataFrame:
     """Per row: number of ids, digests of the ids and of the decoded text, and whether it is the input again."""
     def rows(batches):
         bpe, sha = coder(path), hashlib.sha256
-        for ids, texts in shared.small_batches(batches):
+        for ids, texts in batches:
             codes = bpe.encode_many(texts)
             back = [bpe.decode(c) for c in codes]
             yield {"doc_id": ids, "n_tokens": [len(c) // 4 for c in codes],
@@ -357,7 +352,7 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
     """Per row: ``doc_id`` and ``ids`` as a list, for callers that want the ids themselves."""
     def rows(batches):
         bpe = coder(path)
-        for ids, texts in shared.small_batches(batches):
+        for ids, texts in batches:
             yield {"doc_id": ids,
                    "ids": [np.frombuffer(c, dtype="<u4").astype(np.int32) for c in bpe.encode_many(texts)]}
 

@@ -29,7 +29,6 @@ import zlib
 from bisect import bisect_left, insort
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -59,7 +58,7 @@ class WordIds:
     are merged many at once (see ``bpe``), anything else goes to the library.
     """
 
-    def __init__(self, path: str, cache: int = 1_600_000):
+    def __init__(self, path: str, cache: int = 400_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
@@ -133,17 +132,12 @@ class WordIds:
         return shared.by_chunks([self._chunks(t) for t in texts], self.chunks, self._missing, {"": b""})
 
 
-_coders: dict[str, WordIds] = {}
-
-
 def pieces(docs: DataFrame, path: str, capacity: int, end: int = 0) -> DataFrame:
     """Pieces of every row: ids of the whole text and the ``end`` id, cut only where longer than ``capacity``."""
     def rows(batches):
-        if path not in _coders:
-            _coders[path] = WordIds(path)
-        coder = _coders[path]
+        coder = shared.resident(("words", path), lambda: WordIds(path))
         mark, width = end.to_bytes(4, "little"), 4 * capacity
-        for ids, texts in shared.small_batches(batches):
+        for ids, texts in batches:
             out: list[tuple] = []
             for doc_id, code in zip(ids, coder.encode_many(texts), strict=True):
                 code += mark
@@ -208,9 +202,8 @@ def pack(cut_pieces: DataFrame, capacity: int) -> DataFrame:
     dealt = cut_pieces.withColumn("h", key).withColumn("salt", F.pmod("h", F.lit(SALTS)))
     cells = dealt.groupBy("length", "salt").agg(F.count("*").alias("n"))
     counts = {r["length"]: r["n"] for r in cells.groupBy("length").agg(F.sum("n").alias("n")).collect()}
-    intervals = pd.DataFrame(sweep(counts, capacity), columns=["p_length", "first", "n", "sequence0", "offset"], dtype="int64")
-    plan = cut_pieces.sparkSession.createDataFrame(
-        intervals, "p_length bigint, first bigint, n bigint, sequence0 bigint, offset bigint")
+    names = ("p_length", "first", "n", "sequence0", "offset")
+    plan = shared.small_table(cut_pieces.sparkSession, names, sweep(counts, capacity))
     below = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     bases = cells.select(F.col("length").alias("b_length"), F.col("salt").alias("b_salt"),
                          F.coalesce(F.sum("n").over(below), F.lit(0)).alias("base"))

@@ -205,10 +205,12 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = [t if t is None else redacted(t, mark) for t in b.column(at).to_pylist()]
-            columns = list(b.columns)
-            columns[at] = pa.array(texts, type=b.schema.field(at).type)
-            yield pa.RecordBatch.from_arrays(columns, schema=b.schema)
+            for part, texts in shared.text_slices(b, at):
+                there = part.column(at).is_valid().to_pylist()
+                new = [redacted(t, mark) if ok else None for t, ok in zip(texts, there, strict=True)]
+                columns = list(part.columns)
+                columns[at] = pa.array(new, type=b.schema.field(at).type)
+                yield pa.RecordBatch.from_arrays(columns, schema=b.schema)
 
     out = shared.map_arrow(docs, run, schema)
     if "n_chars" in schema.fieldNames():

@@ -23,7 +23,6 @@ from __future__ import annotations
 
 import hashlib
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -98,9 +97,8 @@ def assign(docs: DataFrame, shards: int = 40, vnodes: int = 128, cells: int = 1
     shift = 64 - (cells.bit_length() - 1)
     counted = counted.withColumn("cell", F.shiftrightunsigned("place", shift))
     per_cell = {r["cell"]: r["n"] for r in counted.groupBy("cell").agg(F.sum("copies").alias("n")).collect()}
-    pieces = pd.DataFrame(walk(per_cell, shards, vnodes, cells, slack),
-                          columns=["cell", "first", "n", "shard", "slot0"], dtype="int64")
-    plan = docs.sparkSession.createDataFrame(pieces, "cell bigint, first bigint, n bigint, shard bigint, slot0 bigint")
+    plan = shared.small_table(docs.sparkSession, ("cell", "first", "n", "shard", "slot0"),
+                              walk(per_cell, shards, vnodes, cells, slack))
     order = Window.partitionBy("cell").orderBy("place", "doc_id", "size", "text_crc32")
     ranked = counted.withColumn("rank0", F.sum("copies").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("copies"))
     each = ranked.select("doc_id", "size", "text_crc32", "cell",

@@ -12,7 +12,9 @@ import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,18 +58,31 @@ def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[
     return df.mapInArrow(run, schema)
 
 
+def text_slices(batch: pa.RecordBatch, at: int, most: int = 4_000_000) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Parts of a batch of about ``most`` bytes of text (column ``at``; one row at least) with their texts, null as empty.
+
+    Only one part's texts are Python strings at a time.
+    """
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    a = done = 0
+    while a < batch.num_rows:
+        b = max(a + 1, int(np.searchsorted(ends, done + most, side="right")))
+        part = batch.slice(a, b - a)
+        yield part, [t or "" for t in part.column(at).to_pylist()]
+        a, done = b, int(ends[b - 1])
+
+
 def text_map(docs: DataFrame, rows: Callable[[Iterator[tuple[list, list[str]]]], Iterator[dict]],
              schema: str) -> DataFrame:
-    """Run ``rows`` over (ids, texts) batches of ``doc_text(docs)`` inside the scan's own tasks.
+    """Run ``rows`` over (ids, texts) parts of ``doc_text(docs)`` inside the scan's own tasks.
 
-    ``rows`` gets an iterator of batches and yields dicts of column lists.  Arrow
-    batches are bounded by rows and bytes (Spark's own limits), so memory holds one
-    batch, whatever the partition's size.
+    ``rows`` gets an iterator of parts (a few MB of text each, whatever the partition's
+    size) and yields dicts of column lists.
     """
     target = _arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs = ((b.column(0).to_pylist(), b.column(1).to_pylist()) for b in batches)
+        pairs = ((part.column(0).to_pylist(), texts) for b in batches for part, texts in text_slices(b, 1))
         for out in rows(pairs):
             yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in target], schema=target)
 
@@ -84,15 +99,9 @@ def text_append(docs: DataFrame, values: Callable[[list[str]], list], name: str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            a = size = 0
-            texts = [t or "" for t in b.column(at).to_pylist()]
-            for k, text in enumerate(texts):
-                size += len(text)
-                if size >= 4_000_000 or k == len(texts) - 1:
-                    part = b.slice(a, k + 1 - a)
-                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(values(texts[a:k + 1]), type=out_type)],
-                                                     names=[*part.schema.names, name])
-                    a, size = k + 1, 0
+            for part, texts in text_slices(b, at):
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(values(texts), type=out_type)],
+                                                 names=[*part.schema.names, name])
 
     return map_arrow(docs, run, schema)
 
@@ -120,6 +129,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def small_table(spark: SparkSession, names: tuple[str, ...], rows: list[tuple]) -> DataFrame:
+    """A table of bigints from driver rows whose number has a bound of its own."""
+    columns = np.array(rows, dtype=np.int64).reshape(-1, len(names)).T
+    return spark.createDataFrame(pa.table({n: pa.array(c) for n, c in zip(names, columns, strict=True)}))
+
+
 def sized(df: DataFrame, rows: int = 500_000) -> DataFrame:
     """``df`` marked for broadcasting if it has at most ``rows`` rows (slim ones: a few MB), else as it is."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
@@ -150,15 +165,18 @@ class TwoGenerationCache:
             self.old, self.young = self.young, {}
 
 
-def small_batches(batches, chars: int = 4_000_000):
-    """Split (ids, texts) batches so that each holds about ``chars`` characters (one text at least)."""
-    for ids, texts in batches:
-        a = size = 0
-        for b, text in enumerate(texts):
-            size += len(text)
-            if size >= chars or b == len(texts) - 1:
-                yield ids[a:b + 1], texts[a:b + 1]
-                a, size = b + 1, 0
+_RESIDENT: dict = {}
+
+
+def resident(key: tuple, make: Callable):
+    """What a worker process keeps across tasks: one heavy object, the one last asked for.
+
+    Workers are reused from stage to stage; caches of an earlier operator would add up.
+    """
+    if key not in _RESIDENT:
+        _RESIDENT.clear()
+        _RESIDENT[key] = make()
+    return _RESIDENT[key]
 
 
 def by_chunks(parts: list[list[str]], cache: TwoGenerationCache, missing: Callable[[list[str]], list[bytes]],

@@ -41,8 +41,8 @@ def leaves(text: str) -> list[str]:
 class LeafCounter:
     """Tokens per leaf, with a bounded cache of frequent leaves."""
 
-    def __init__(self, path: str, cache: int = 500_000):
-        self.coder = bpe.coder(path)
+    def __init__(self, path: str, cache: int = 400_000):
+        self.coder = bpe.ByteBpe(path, cache // 2)
         self.known = shared.TwoGenerationCache(cache)
 
     def table(self, wanted: set[str]) -> dict[str, int]:
@@ -163,16 +163,11 @@ def cleaning_edits(text: str) -> list[tuple[int, int, str]]:
     return out[::-1]
 
 
-_counters: dict[str, LeafCounter] = {}
-
-
 def count_edited(docs: DataFrame, path: str, edits: Callable[[str], list[tuple[int, int, str]]] = cleaning_edits) -> DataFrame:
     """Per row: tokens of the text, and after ``edits(text)`` (applied in their order), counted through the tree."""
     def rows(batches):
-        if path not in _counters:
-            _counters[path] = LeafCounter(path)
-        counter = _counters[path]
-        for ids, texts in shared.small_batches(batches):
+        counter = shared.resident(("leaves", path), lambda: LeafCounter(path))
+        for ids, texts in batches:
             parts = [leaves(t) for t in texts]
             table = counter.table(set().union(*parts))
             out: dict[str, list] = {c: [] for c in ("n_tokens", "n_edits", "n_tokens_after", "n_chars_after", "n_chars_reencoded")}

@@ -31,7 +31,6 @@ from __future__ import annotations
 import random
 from collections import Counter, defaultdict
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -78,9 +77,8 @@ class Model:
     bias: float
 
 
-@lru_cache(maxsize=4)
 def _meter(toxic: bytes, ordinary: bytes):
-    """(window -> difference of compressed lengths, cache) of a pair of dictionaries, once per worker process."""
+    """(window -> difference of compressed lengths, cache) of a pair of dictionaries."""
     import zstandard
 
     def compressor(content: bytes):
@@ -95,11 +93,11 @@ def _meter(toxic: bytes, ordinary: bytes):
         window = _PAD + wide(b" " + word + b" ")
         return len(a.compress(window)) - len(b.compress(window))
 
-    return difference, shared.TwoGenerationCache(700_000)
+    return difference, shared.TwoGenerationCache(300_000)
 
 
 def features(texts: list[str], toxic: bytes, ordinary: bytes) -> list[list[float]]:
-    difference, cache = _meter(toxic, ordinary)
+    difference, cache = shared.resident(("toxicity", toxic, ordinary), lambda: _meter(toxic, ordinary))
     parts = [words_of(t) for t in texts]
     table, missing = cache.take(set().union(*parts))
     new = {w: difference(w) for w in missing}
@@ -119,7 +117,7 @@ def features(texts: list[str], toxic: bytes, ordinary: bytes) -> list[list[float
 def measured(docs: DataFrame, toxic: bytes, ordinary: bytes) -> DataFrame:
     """``doc_id`` and ``x`` (the features) of every row."""
     def rows(batches):
-        for ids, texts in shared.small_batches(batches):
+        for ids, texts in batches:
             yield {"doc_id": ids, "x": features(texts, toxic, ordinary)}
 
     return shared.text_map(docs, rows, "doc_id bigint, x array<double>")
@@ -130,7 +128,7 @@ def _counts(texts: DataFrame) -> DataFrame:
     schema = "kind int, gram binary, t bigint, o bigint"
 
     def run(batches):
-        for b in batches:
+        for b in (some.slice(k, 200) for some in batches for k in range(0, some.num_rows, 200)):
             found = {(k, y): Counter() for k in (0, 1) for y in (0, 1)}
             for y, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 words = set(words_of(text))
