@@ -9,6 +9,9 @@ that no base span already covers becomes a ``guess`` span.
 The programme keeps, per position, the best cost of a finished segmentation and of
 one that ends inside a brute-force run, so a value of any length costs linear time.
 
+A value may stand on the line after its key, and a key may stand inside the value of
+another one: every value is judged, those inside a ``guess`` span with it.
+
 Defined cases: a null or empty text has no spans; repeated rows repeat their
 result; spans of different kinds may overlap; redaction replaces their union.
 """
@@ -38,10 +41,12 @@ HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
 ASSIGN_LEAST, ACCESS_LEAST = 8, 16
 KINDS = ("assign", "access", "hex", "guess")
 
-#: Words after which an assigned value is a credential.
+#: A credential word up to the value that follows it, which is only looked at: a search goes on at the value's
+#: start, so that a key inside a value (a nested or chained setting) is found as well.
 CONTEXT = re.compile(
-    r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|bearer|auth|(?:api|access|private|secret)[_-]?key)"""
-    r"""["']?\s{0,8}(?::=|=>|[:=])\s{0,8}(?:"([^"\n]{6,})"|'([^'\n]{6,})'|([^\s"'<>]{6,}))""", re.IGNORECASE | re.ASCII)
+    r"""(?:(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|bearer|auth|(?:api|access|private|secret)[_-]?key)"""
+    r"""["']?\s{0,8}(?::=|=>|[:=])\s{0,8}|bearer\s{1,8})(?="[^"\n]{6}|'[^'\n]{6}|[^\s"'<>]{6})""", re.IGNORECASE | re.ASCII)
+_END = {'"': re.compile(r'["\n]'), "'": re.compile(r"['\n]"), "": re.compile(r"""[\s"'<>]""", re.ASCII)}
 #: One of these is in every context word, in lower case.
 HINTS = ("pass", "pwd", "secret", "token", "credential", "bearer", "auth", "key")
 
@@ -135,6 +140,28 @@ def log10_guesses(value: str) -> float:
     return best[n]
 
 
+def context_values(text: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of every value in a credential context, quotes left out, in order of the start.
+
+    Of an unquoted value that is itself a key with a value, only the inner value counts.
+    """
+    end = 0  # of the last unquoted stretch: the values inside it share it
+    matches = CONTEXT.finditer(text)
+    m = next(matches, None)
+    while m is not None:
+        a, m = m.end(), next(matches, None)
+        if text[a] in "\"'":
+            stop = _END[text[a]].search(text, a + 1)
+            if stop and stop[0] == text[a]:
+                yield a + 1, stop.start()
+            continue
+        if a >= end:
+            stop = _END[""].search(text, a)
+            end = stop.start() if stop else len(text)
+        if m is None or m.start() != a:
+            yield a, end
+
+
 def find(text: str) -> tuple[list[tuple[int, int, str]], float | None]:
     """All spans as (start, end, kind) in order, and the largest guess cost of a context value."""
     low = text.lower()
@@ -150,12 +177,15 @@ def find(text: str) -> tuple[list[tuple[int, int, str]], float | None]:
         reach = [0]
         for _, b in base:
             reach.append(max(reach[-1], b))
-        for m in CONTEXT.finditer(text):
-            a, b = m.span(m.lastindex)
-            cost = log10_guesses(m[m.lastindex])
+        guessed = 0  # the end of the guess spans so far: a value nested in one is found with it
+        for a, b in context_values(text):
+            if b <= guessed:
+                continue
+            cost = log10_guesses(text[a:b])
             top = cost if top is None else max(top, cost)
             if cost >= THRESHOLD and reach[bisect_right(starts, a)] < b:
                 spans.append((a, b, "guess"))
+                guessed = b
     spans.sort(key=lambda s: (s[0], KINDS.index(s[2])))
     return spans, top
 

@@ -81,6 +81,21 @@ def test_guess_spans_add_to_base_ones_and_are_redacted(spark):
     assert secret_scan.scan(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(("text", "value"), [
+    ("credentials:\n password: hunter2!xQ#9zL", "hunter2!xQ#9zL"), ("secret:\n token: Tq7!vR#2z@Lm", "Tq7!vR#2z@Lm"),
+    ('auth: password = "Tq7!vR#2z@Lm"', "Tq7!vR#2z@Lm"), ("Authorization: Bearer Tq7!vR#2z@Lm", "Tq7!vR#2z@Lm"),
+    ("pwd=auth=Tq7!vR#2z@Lm", "Tq7!vR#2z@Lm"), ("pwd: 'auth => Tq7!vR#2z@Lm'", "auth => Tq7!vR#2z@Lm"),
+    ("password: hello, pwd: Tq7!vR#2z@Lm", "Tq7!vR#2z@Lm"), ("password:\n  Tq7!vR#2z@Lm", "Tq7!vR#2z@Lm")])
+def test_a_key_inside_a_value_keeps_its_own_value(text, value):
+    a = text.index(value)
+    assert secret_scan.find(text)[0] == [(a, a + len(value), "guess")]
+    assert secret_scan.redacted(text) == text.replace(value, "[SECRET]")
+
+
+def test_many_nested_keys_cost_no_more_than_their_text():
+    assert list(secret_scan.context_values("pwd=" * 50_000 + "abcdefg")) == [(200_000, 200_007)]
+
+
 def test_a_very_long_value_is_judged_whole():
     assert secret_scan.log10_guesses("ab" * 5000) < 10 < secret_scan.log10_guesses("ab" * 5000 + "xK9$qL2#vR")
 
