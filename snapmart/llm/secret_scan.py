@@ -3,7 +3,8 @@
 Three patterns give the base spans.  On top, every value assigned to a credential
 word is judged by the fewest guesses an attacker needs: a dynamic programme finds
 the cheapest segmentation into dictionary words, dates, repeats, keyboard walks
-and brute-force runs (costs are log10 of guesses).  A value over the threshold
+and brute-force runs (costs are log10 of guesses).  Letters that are no listed word are
+priced by their pairs (``letter_pairs``), so the price grows with their number.  A value over the threshold
 that no base span already covers becomes a ``guess`` span.
 
 The programme keeps, per position, the best cost of a finished segmentation and of
@@ -23,12 +24,13 @@ import math
 import re
 from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import shared
+from . import letter_pairs, shared
 
 SCHEMA = ("doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string, "
           "n_guess bigint, max_log10_guesses double")
@@ -53,7 +55,7 @@ HINTS = ("pass", "pwd", "secret", "token", "credential", "bearer", "auth", "key"
 #: Log10 of the guesses from which a value counts as a secret.
 THRESHOLD = 10.0
 SEGMENT = 0.5  # of one more segment
-UNKNOWN_WORD = 5.5  # an ordinary word that the list lacks
+KNOWN_WORD = 5.5  # an ordinary word that the list of password words lacks
 
 #: Common password words, most common first; a word's place is its number of guesses.
 WORDS = """password qwerty admin welcome login letmein dragon monkey football iloveyou master sunshine princess
@@ -65,7 +67,6 @@ white red yellow orange purple tiger lion eagle wolf bear cat dog horse bird fis
 _WORD_COST = {w: math.log10(k + 2) for k, w in enumerate(WORDS)}
 _LONGEST = max(map(len, WORDS))
 _PLAIN = str.maketrans("4@3107$5", "aaeiotss")
-_VOWELS = frozenset("aeiouy")
 
 _ROWS = (("1234567890-=", 0.0), ("qwertyuiop[]", 0.5), ("asdfghjkl;'", 0.75), ("zxcvbnm,./", 1.25))
 _KEY = {c: (x + shift, y) for y, (row, shift) in enumerate(_ROWS) for x, c in enumerate(row)}
@@ -74,6 +75,8 @@ _DATE = re.compile(r"(?:19|20)\d\d(?:([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\
                    r"|(?:0?[1-9]|[12]\d|3[01])([-/._])(?:0?[1-9]|1[0-2])\2(?:(?:19|20)?\d\d)"
                    r"|(?:0[1-9]|[12]\d|3[01])(?:0[1-9]|1[0-2])(?:19|20)\d\d", re.ASCII)
 
+_RUN = re.compile(r"[A-Za-z]?[a-z]{2,}|[A-Z]{3,}")
+
 
 def _char_cost(c: str) -> float:
     if c.isdigit():
@@ -81,6 +84,23 @@ def _char_cost(c: str) -> float:
     return 1.415 if c.isalpha() and c.isascii() else 1.52 if c.isascii() else 2.0
 
 
+def _word_segments(run: str, at: int) -> Iterator[tuple[int, int, float]]:
+    """A run of letters, its beginnings and its ends as words: letter pair by letter pair, or flat if the run is known.
+
+    A price that grows with the length keeps letters without sense as dear as brute force.
+    """
+    word, n = run.lower(), len(run)
+    extra = 0.3 if run[0].isupper() else 0.0
+    if word in letter_pairs.KNOWN:
+        yield at, at + n, KNOWN_WORD + extra
+    pair = letter_pairs.PAIR
+    steps = [0.0, *accumulate(pair[word[k:k + 2]] for k in range(n - 1))]  # to letter k from the first one
+    for k in range(3, n + 1):
+        yield at, at + k, pair["^" + word[0]] + steps[k - 1] + extra
+        if k < n:
+            yield at + n - k, at + n, pair["^" + word[n - k]] + steps[-1] - steps[n - k] + (0.3 if run[n - k].isupper() else 0.0)
+
+
 def _segments(value: str) -> Iterator[tuple[int, int, float]]:
     """(start, end, cost) of every word, date, repeat and keyboard walk, in order of the end."""
     n, low = len(value), value.lower()
@@ -97,10 +117,8 @@ def _segments(value: str) -> Iterator[tuple[int, int, float]]:
                 found.append((i, j, cost + (0.0 if value[i:j] == low[i:j] else 0.3)))
         if value[i].isdigit() and (m := _DATE.match(value, i)):
             found.append((i, m.end(), 2.0 if m.end() - i == 4 else 4.2 + (0.6 if not m[0].isdigit() else 0.0)))
-    for m in re.finditer(r"[A-Za-z]?[a-z]{2,13}|[A-Z]{3,14}", value):  # a word of the language, by its vowels
-        word = m[0].lower()
-        if 0.2 <= sum(c in _VOWELS for c in word) / len(word) <= 0.7:
-            found.append((m.start(), m.end(), UNKNOWN_WORD + (0.3 if m[0][0].isupper() else 0.0)))
+    for m in _RUN.finditer(value):
+        found += _word_segments(m[0], m.start())
     for unit in range(1, 9):
         run = 0
         for k in range(unit, n):

@@ -6,7 +6,7 @@ from collections import Counter
 
 import pytest
 
-from snapmart.llm import quality_rules, secret_scan, sharding
+from snapmart.llm import letter_pairs, quality_rules, secret_scan, sharding
 
 from . import data
 
@@ -96,6 +96,30 @@ def test_many_nested_keys_cost_no_more_than_their_text():
     assert list(secret_scan.context_values("pwd=" * 50_000 + "abcdefg")) == [(200_000, 200_007)]
 
 
+def test_random_letters_are_secrets_and_words_are_not():
+    rng = random.Random(7)
+    for n in (8, 10, 12, 14):
+        values = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n)) for _ in range(300)]
+        values += [v.upper() for v in values[:100]] + [v.capitalize() for v in values[:100]]
+        found = [any(k == "guess" for _, _, k in secret_scan.find(f"pwd={v}")[0]) for v in values]
+        assert sum(found) >= 0.98 * len(found)
+    for value in ("qmzpwoxnei", "akdjwneurhfb"):
+        assert secret_scan.find(f"pwd={value}")[0] == [(4, 4 + len(value), "guess")]
+        assert secret_scan.redacted(f"pwd={value}") == "pwd=[SECRET]"
+    for value in ("authentication", "Administrator", "REQUIRED", "letters", "sunshine", "information"):
+        assert secret_scan.find(f"auth: {value}")[0] == []
+
+
+@pytest.mark.parametrize("value", ["dragonqmzp", "Xletters", "QWXYpwzk"])
+def test_parts_of_a_run_of_letters_are_priced_as_the_plain_programme_does(value):
+    assert secret_scan.log10_guesses(value) == pytest.approx(brute_cost(value))
+
+
+def test_letter_pairs_are_shares():
+    for before in "^abcdefghijklmnopqrstuvwxyz":
+        assert sum(10 ** -c for pair, c in letter_pairs.PAIR.items() if pair[0] == before) <= 1
+
+
 def test_a_very_long_value_is_judged_whole():
     assert secret_scan.log10_guesses("ab" * 5000) < 10 < secret_scan.log10_guesses("ab" * 5000 + "xK9$qL2#vR")
 
