@@ -9,6 +9,8 @@ merged into ``previous_mart`` when one is given.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 
 from snapmart.operators.merge import upsert
@@ -71,7 +73,7 @@ def daily_run(spark, landing_root: str, warehouse: str, extract_date: str, force
     land   ``envelopes`` (source, extract_date, s3_key, body), if given, are landed by key
            behind the write gate (``force_upload`` lands existing keys again); a rerun passes
            the run values it wants through ``landing.run_context`` into keys and bodies
-    load   the day's keys (or, where nothing was landed by key, its files from a listing)
+    load   the day's landed keys and, from a listing, its files that others put there
            are planned against the audit log; only the picked ones are opened, each once,
            copied into the raw tables and counted there; then the attempts are appended to
            the audit log (copy first, audit second)
@@ -97,7 +99,7 @@ def daily_run(spark, landing_root: str, warehouse: str, extract_date: str, force
     from snapmart.plans import checks
     from snapmart.session import fresh_dir, use_unshredded_variants
     from snapmart.sources import catalog, landing
-    from snapmart.sources.jsonscan import list_files, scan_keys, scan_landing, to_raw
+    from snapmart.sources.jsonscan import plain_files, scan_keys, scan_landing, to_raw
 
     paths = {source: catalog.raw_path(warehouse, table.lower()) for source, table in SOURCE_TABLES.items()}
     audit_path = catalog.raw_path(warehouse, "raw_load_audit")
@@ -116,23 +118,25 @@ def daily_run(spark, landing_root: str, warehouse: str, extract_date: str, force
 
     # load: plan, copy, count, audit
     keys = landing.landed_keys(spark, landing_root)
+    files = plain_files(spark, landing_root, extract_date, keys)
     if keys is not None:
-        files = keys.where(F.col("extract_date") == extract_date).select("source", "s3_key", "batch")
-    else:
-        files = list_files(spark, landing_root, extract_date)
+        files = files.unionByName(keys.where(F.col("extract_date") == extract_date).select("source", "s3_key", "batch"),
+                                  allowMissingColumns=True)
     plan_dir = fresh_dir(spark, "load-plan")
     plan_status(files, read_or_empty(audit_path, audit_schema), force=force_reload).write.parquet(plan_dir)
     plan = spark.read.parquet(plan_dir)
     picked = plan.where(F.col("status") != STATUS_SKIPPED)
     loaded = spark.createDataFrame([], "source string, s3_key string, rows_loaded bigint")
     if not picked.isEmpty():
-        if keys is not None:
-            scan = scan_keys(spark, landing_root, picked, extract_date)
-        else:
-            # a day's picked files: their paths prune the scan, so a skipped file is not opened
-            names = [r["file_path"] for r in picked.select("file_path").collect()]
-            scan = scan_landing(spark, names, multi_line=multi_line, base=landing_root).join(
-                picked.select("file_path", "s3_key"), "file_path")
+        scans = []
+        if keys is not None and not picked.where("batch IS NOT NULL").isEmpty():
+            scans.append(scan_keys(spark, landing_root, picked.where("batch IS NOT NULL"), extract_date))
+        # a day's picked files: their paths prune the scan, so a skipped file is not opened
+        names = [r["file_path"] for r in picked.where("file_path IS NOT NULL").select("file_path").collect()]
+        if names:
+            scans.append(scan_landing(spark, names, multi_line=multi_line, base=landing_root).join(
+                picked.select("file_path", "s3_key"), "file_path"))
+        scan = reduce(DataFrame.unionByName, [s.select("source", "s3_key", "payload") for s in scans])
         use_unshredded_variants(spark)
         run_dir = fresh_dir(spark, "copied")
         to_raw(scan, key_col="s3_key", loaded_at=ts).write.partitionBy("source").parquet(run_dir)

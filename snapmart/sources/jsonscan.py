@@ -20,16 +20,19 @@ RAW_COLUMNS = ["source", "s3_key", "extracted_at", "payload", "loaded_at"]
 
 
 def scan_landing(spark: SparkSession, root, multi_line: bool = True, source: str | None = None,
-                 extract_date: str | None = None, fail_fast: bool = True, base: str | None = None) -> DataFrame:
+                 extract_date: str | None = None, fail_fast: bool = True, base: str | None = None,
+                 names: str | None = None) -> DataFrame:
     """Returns (source, extract_date, file_path, payload).
 
     ``root`` is the landing root, or a list of its files with the root as ``base``.  ``multi_line``: one document a file, pretty-printed or not; else one document a line.
     ``source``/``extract_date`` filters hit partition columns and prune
-    directories before any file is opened (S8).
+    directories before any file is opened (S8); ``names`` is a glob for the files' names.
     """
     reader = (spark.read.option("multiLine", multi_line).option("singleVariantColumn", "payload")
               .option("mode", "FAILFAST" if fail_fast else "PERMISSIVE")
               .option("basePath", base or root))
+    if names is not None:
+        reader = reader.option("pathGlobFilter", names)
     df = reader.json(root if base else _partition_path(spark, root, source, extract_date)).select(
         F.col("source").cast("string").alias("source"), F.col("extract_date").cast("string").alias("extract_date"),
         F.col("_metadata.file_path").alias("file_path"), "payload")
@@ -56,10 +59,30 @@ def list_files(spark: SparkSession, root: str, extract_date: str) -> DataFrame:
     if path == root:
         return spark.createDataFrame([], "source string, s3_key string, file_path string")
     files = spark.read.format("binaryFile").option("basePath", root).load(path)
+    if "source" not in files.columns:  # the folders are empty
+        return spark.createDataFrame([], "source string, s3_key string, file_path string")
     return files.select(F.col("source").cast("string").alias("source"), relative_file_key("path").alias("s3_key"),
                         F.col("path").alias("file_path"))
 
 
+def plain_files(spark: SparkSession, root: str, extract_date: str, keys: DataFrame | None) -> DataFrame:
+    """``list_files`` without what holds envelopes landed by key, and without files whose own key is among the landed ``keys``.
+
+    Files landed by key are told by their name; before they had one of their own they were called
+    ``part-...``, as other writers' may be, so where keys were landed the lines of such files decide.
+    """
+    from snapmart.sources.landing import LANDED
+
+    files = list_files(spark, root, extract_date).where(~F.col("s3_key").rlike(f"/{LANDED}-[^/]*$"))
+    if keys is None:
+        return files
+    unsure = [r["file_path"] for r in files.where(F.col("s3_key").rlike(r"/part-[^/]*\.txt[^/]*$")).select("file_path").collect()]
+    if unsure:
+        lines = spark.read.text(unsure).where(F.col("value").startswith('{"landing_key":'))
+        files = files.join(lines.select(relative_file_key("_metadata.file_path").alias("s3_key")).distinct(), "s3_key", "left_anti")
+    return files.join(keys.select(relative_file_key("s3_key").alias("s3_key")), "s3_key", "left_anti")
+
+
 def relative_file_key(path) -> Column:
     """The key of a file below its landing root: from ``source=`` on."""
     return F.regexp_replace(path, "^.*?/(source=)", "$1")
@@ -69,9 +92,9 @@ def scan_keys(spark: SparkSession, root: str, keys: DataFrame, extract_date: str
     """The envelopes of exactly the listed landed keys: (source, extract_date, s3_key, payload).
 
     ``keys`` has ``s3_key`` and the ``batch`` that landed it (``landing.landed_keys``):
-    lines of an older or unfinished write are left out.
+    lines of an older or unfinished write are left out, and files of other writers are not opened.
     """
-    scan = scan_landing(spark, root, multi_line=False, extract_date=extract_date)
+    scan = scan_landing(spark, root, multi_line=False, extract_date=extract_date, names="{landed,part}-*.txt*")
     named = scan.withColumn("s3_key", as_string("payload", "$.landing_key")).withColumn("batch", as_string("payload", "$.landing_batch"))
     return named.join(keys.select("s3_key", "batch"), ["s3_key", "batch"], "left_semi").select(
         "source", "extract_date", "s3_key", "payload")
@@ -82,7 +105,7 @@ def load_key(spark: SparkSession, root: str, key: str) -> DataFrame:
     from snapmart.sources.landing import landed_keys
 
     keys = landed_keys(spark, root)
-    if keys is None:
+    if keys is None or keys.where(F.col("s3_key") == key).isEmpty():
         return spark.createDataFrame([], "source string, extract_date string, s3_key string, payload variant")
     day = re.search(r"extract_date=([^/]+)", key)
     return scan_keys(spark, root, keys.where(F.col("s3_key") == key), day[1] if day else None)

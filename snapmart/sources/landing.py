@@ -57,6 +57,8 @@ def relative_key(key, prefix: str = DEFAULT_PREFIX) -> Column:
 
 #: Beside the landed data: which keys were landed, and by which write.  The leading underscore hides it from scans.
 KEYS = "_landed_keys"
+#: First part of the names of files that hold envelopes landed by key.
+LANDED = "landed"
 
 
 def write_landing(envelopes: DataFrame, root: str, mode: str = "append", batch: str | None = None) -> None:
@@ -64,14 +66,15 @@ def write_landing(envelopes: DataFrame, root: str, mode: str = "append", batch:
 
     One document per line keeps the files splittable; the read side handles
     pretty-printed single-document files too (``multi_line=True``).  With ``batch``
-    every envelope names its ``s3_key`` and the write it came with.
+    every envelope names its ``s3_key`` and the write it came with, and the files are
+    named ``landed-...``, which tells them from files that others put there.
     """
-    body = F.col("body")
+    body, name = F.col("body"), "part"
     if batch is not None:
         named = F.to_json(F.struct(F.col("s3_key").alias("landing_key"), F.lit(batch).alias("landing_batch")))
-        body = F.concat(F.regexp_replace(named, "}$", ","), F.substring(body, 2, 1 << 30))
+        body, name = F.concat(F.regexp_replace(named, "}$", ","), F.substring(body, 2, 1 << 30)), LANDED
     (envelopes.select("source", "extract_date", body.alias("value"))
-     .write.mode(mode).partitionBy("source", "extract_date").text(root))
+     .write.mode(mode).partitionBy("source", "extract_date").option("mapreduce.output.basename", name).text(root))
 
 
 def landed_keys(spark: SparkSession, root: str) -> DataFrame | None:

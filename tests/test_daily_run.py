@@ -115,3 +115,39 @@ def test_a_skipped_file_is_never_opened(spark):
     _land(landing, "rawg", "2026-04-01", "a.json", "{broken")  # loaded already: a scan of it would abort the run
     out = daily_run(spark, landing, wh, "2026-04-01", loaded_at="2026-04-01 11:00:00")
     assert [r.status for r in out["load_audit"].collect()] == ["skipped_existing"]
+
+
+def test_a_root_with_landed_keys_and_plain_files_loads_both(spark):
+    import json
+    from snapmart.plans.run import daily_run
+    from snapmart.session import fresh_dir
+    from snapmart.sources import jsonscan
+    landing, wh = tempfile.mkdtemp(prefix="landing-"), fresh_dir(spark, "warehouse")
+    name = "rawg_games_20260331T090000Z.json"
+    pretty = json.dumps(json.loads(fx.envelope("rawg", fx.SNAP_A, {"results": fx.GAMES_A})), indent=1)
+    _land(landing, "rawg", "2026-03-31", name, pretty)  # a day of plain files only
+    _land(landing, "rawg", "2026-04-01", "early.json", pretty)  # and one of both
+    one_line = json.dumps(json.loads(fx.envelope("rawg", fx.SNAP_A, {"results": fx.GAMES_A})))
+    _land(landing, "rawg", "2026-04-01", "part-00000-other.txt", one_line)
+    old = '{"landing_key":"raw/source=rawg/extract_date=2026-04-01/old.json","landing_batch":"0",' + one_line[1:]
+    _land(landing, "rawg", "2026-04-01", "part-00000-old.txt", old)  # of an unfinished write by key, before files had their own name
+    key = "raw/source=rawg/extract_date=2026-04-01/rawg_games_20260401T090000Z.json"
+    body = json.dumps(json.loads(fx.envelope("rawg", fx.SNAP_B, {"results": fx.GAMES_B})))
+    env = spark.createDataFrame([("rawg", "2026-04-01", key, body)], "source string, extract_date string, s3_key string, body string")
+
+    def audit(out):
+        return sorted((r.s3_key, r.status, r.rows_loaded) for r in out["load_audit"].collect())
+
+    folder = "source=rawg/extract_date=2026-04-01"
+    both = daily_run(spark, landing, wh, "2026-04-01", envelopes=env, loaded_at="2026-04-01 10:00:00")
+    assert audit(both) == [(key, "loaded", 1), (f"{folder}/early.json", "loaded", 1), (f"{folder}/part-00000-other.txt", "loaded", 1)]
+    again = daily_run(spark, landing, wh, "2026-04-01", loaded_at="2026-04-01 11:00:00")
+    assert {s[1:] for s in audit(again)} == {("skipped_existing", 0)} and len(audit(again)) == 3
+    path = f"source=rawg/extract_date=2026-03-31/{name}"
+    for force, status in ((False, "loaded"), (True, "reloaded")):
+        backfill = daily_run(spark, landing, wh, "2026-03-31", force_reload=force, loaded_at="2026-04-01 12:00:00")
+        assert audit(backfill) == [(path, status, 1)]
+    landed = [f for f in os.listdir(f"{landing}/{folder}") if f.endswith(".txt")]
+    assert sorted(f.split("-")[0] for f in landed) == ["landed", "part", "part"]
+    assert jsonscan.load_key(spark, landing, key).count() == 1
+    assert jsonscan.load_key(spark, landing, f"raw/{path}").count() == 0
