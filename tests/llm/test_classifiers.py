@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pytest
 
 from snapmart.llm import labelled, quality_pu, shared, toxicity
 
@@ -95,3 +96,57 @@ def test_compression_tells_the_dictionaries_apart():
     bad = toxicity.wide(b" dreckwort schurkig ")
     rows = toxicity.features(["river stone", "a dreckwort here", "", "schurkigen schurkig dreckworts"], bad, good)
     assert rows[0][0] == 0 and rows[2][0] == 0 and rows[1][0] >= 5 and rows[3][3] > rows[1][3]
+
+
+HAN = [chr(c) for c in range(0x4E00, 0x4E00 + 300)]
+
+
+def _toxic_words(rng, kind, words):
+    """Put what only toxic documents have into a list of ordinary words."""
+    at = rng.randrange(1, len(words) - 2)
+    if kind == "short":
+        words[at] = "zyx"
+    elif kind == "phrase":  # either word is ordinary
+        words[at:at + 2] = ["river", "stone"]
+    elif kind == "compound":
+        words[at] = rng.choice(["haupt", "ober", "nach", "gross", "neben", "unter"]) + "dreckwort" + rng.choice(["chen", "lich", "schaft"])
+    elif kind == "capitals":
+        words[at] = rng.choice(["ärgerübel", "ÄRGERÜBEL", "Ärgerübel"])
+
+
+@pytest.mark.parametrize("kind", ["short", "phrase", "compound", "capitals", "unspaced"])
+def test_toxicity_sees_all_sorts_of_words(spark, kind):
+    rng = random.Random(3)
+    docs, labels, truth = [], [], {}
+    for i in range(600):
+        toxic = rng.random() < 0.3
+        if kind == "unspaced":  # a text is one word; what is toxic stands anywhere in it
+            some = rng.choices(HAN, k=rng.randint(60, 200))
+            if toxic:
+                some[rng.randrange(20, 50)] = "\u9f8d\u9f9c\u9f8e"
+            text = "".join(some)
+        else:
+            some = [rng.choice(data.WORDS) + rng.choice(["", "s", "ly", "ing"]) for _ in range(rng.randint(30, 100))]
+            while kind == "phrase" and any(p == ("river", "stone") for p in zip(some, some[1:])):
+                rng.shuffle(some)
+            if toxic:
+                _toxic_words(rng, kind, some)
+            text = " ".join(some)
+        docs.append((i, text, "en", "s", 0))
+        labels.append((i, 1, int(toxic)))
+        truth[i] = (1, int(toxic))
+    docs = spark.createDataFrame(docs, data.DOCS)
+    model = toxicity.train(docs, spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"))
+    rows = toxicity.classify(docs, model).collect()
+    assert accuracy(rows, truth, 1) >= 0.95
+    caught = [r["predicted"] for r in rows if r["held_out"] and truth[r["doc_id"]][1]]
+    assert len(caught) > 20 and np.mean(caught) >= 0.9
+
+
+def test_windows_of_runs_without_spaces_overlap():
+    text = "".join(HAN[:41]) + "abc " + "x" * 10 + "".join(map(chr, range(97, 123))) * 4
+    words = [w.decode() for w in toxicity.words_of(text)]
+    for size, run in ((5, text[:41]), (13, text.split()[1])):
+        for k in range(len(run) - size + 1):
+            assert any(run[k:k + size] in w for w in words)
+    assert "abc" in words and toxicity.words_of("GRÖSSE\u3000Ça") == ["grösse".encode(), "ça".encode()]
