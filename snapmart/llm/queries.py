@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, packing, quality_pu, quality_rules, secret_scan, sharding, shared, simhash, token_counts, toxicity
+from . import (
+    ann,
+    bpe,
+    packing,
+    positional_index,
+    prefix_trie,
+    quality_pu,
+    quality_rules,
+    ranked_search,
+    secret_scan,
+    sharding,
+    shared,
+    simhash,
+    token_counts,
+    toxicity,
+)
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,6 +86,21 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_pu.classify(docs, quality_pu.train(docs, shared.read_table(spark, sf_dir, "labels")))
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every whole text that lie in an exact 10-word passage of a benchmark item, and the items found."""
+    return positional_index.contamination(shared.read_table(spark, sf_dir, "documents"), shared.read_table(spark, sf_dir, "benchmark"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best of all documents for every benchmark item."""
+    return ranked_search.search(shared.read_table(spark, sf_dir, "documents"), shared.read_table(spark, sf_dir, "benchmark"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of all rebuilt conversations."""
+    return prefix_trie.trie(shared.read_table(spark, sf_dir, "conversations"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_token_counts": op2_token_counts,
@@ -82,6 +112,9 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_quality_rules": op9_quality_rules,
     "op10_quality": op10_quality,
+    "op11_decontamination": op11_decontamination,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 SQL: dict[str, str] = {
@@ -117,4 +150,107 @@ WITH d AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed % 4 <> 0 AS base_failed,
        failed = 0 AS kept, failed
 FROM f""",
+    "op11_decontamination": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), b AS (
+  SELECT row_number() OVER () AS iid, coalesce(item_id::VARCHAR, '') AS item, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), windows AS (
+  SELECT DISTINCT item, array_to_string(list_slice(w, a, a + 9), ' ') AS g, least(len(w), 10) AS n
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS a FROM b WHERE len(w) > 0)
+), grams AS (
+  SELECT rid, a, n, array_to_string(list_slice(w, a, a + n - 1), ' ') AS g
+  FROM (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS a FROM d, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)
+), hits AS (
+  SELECT DISTINCT rid, a, n, item FROM grams JOIN windows USING (g, n)
+), covered AS (
+  SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest(range(a, a + n)) AS p FROM hits) GROUP BY rid
+), found AS (
+  SELECT rid, count(*) AS n, string_agg(item, ',' ORDER BY item) AS s FROM (SELECT DISTINCT rid, item FROM hits) GROUP BY rid
+), words AS (
+  SELECT rid, unnest(w) AS term, unnest(range(len(w))) AS p FROM d
+), rarity AS (
+  SELECT iid, item, 2 * len(w) AS reach, term, coalesce(n, 0) AS n, row_number() OVER (PARTITION BY iid ORDER BY coalesce(n, 0), term) AS k,
+         count(*) OVER (PARTITION BY iid) AS n_terms
+  FROM (SELECT DISTINCT iid, item, w, unnest(w) AS term FROM b) LEFT JOIN (SELECT term, count(*) AS n FROM words GROUP BY term) USING (term)
+), anchors AS (
+  SELECT iid, item, reach, n_terms, rid, p FROM rarity JOIN words USING (term) WHERE k = 1
+), lists AS (
+  SELECT rid, term, list(p) AS ps FROM words GROUP BY rid, term
+), near AS (
+  SELECT rid, count(DISTINCT item) AS n FROM (
+    SELECT rid, iid, item, a.p FROM anchors a JOIN rarity r USING (iid, item, reach, n_terms) JOIN lists l USING (rid, term)
+    WHERE len(list_filter(ps, lambda x: x BETWEEN a.p - reach AND a.p + reach)) > 0
+    GROUP BY rid, iid, item, a.p, n_terms HAVING count(*) = n_terms)
+  GROUP BY rid
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(covered.n, 0)::BIGINT AS n_hit, coalesce(found.n, 0)::BIGINT AS n_items,
+       sha256(coalesce(s, '')) AS items_sha256, covered.n IS NOT NULL AS contaminated, coalesce(near.n, 0)::BIGINT AS n_near_items
+FROM d LEFT JOIN covered USING (rid) LEFT JOIN found USING (rid) LEFT JOIN near USING (rid)""",
+    "op12_ranked_search": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), b AS (
+  SELECT row_number() OVER () AS iid, item_id, regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), asked AS (
+  SELECT iid, item_id, term, count(*) AS times FROM (
+    SELECT iid, item_id, translate(unnest(w), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM b)
+  GROUP BY ALL
+), tf AS (
+  SELECT rid, doc_id, size, term, count(*) AS tf FROM (
+    SELECT rid, doc_id, len(w) AS size, translate(unnest(w), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM d)
+  GROUP BY ALL
+), df AS (
+  SELECT term, count(*) AS df FROM tf GROUP BY term
+), corpus AS (
+  SELECT count(*) FILTER (WHERE len(w) > 0) AS docs, sum(len(w))::BIGINT AS length FROM d
+), scored AS (
+  SELECT iid, item_id, rid, doc_id, sum(times * floor(1000 * ln((2 * docs + 2) / (2 * df + 1)))::BIGINT
+           * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * size * docs) // length))))::BIGINT AS score
+  FROM asked JOIN tf USING (term) JOIN df USING (term), corpus
+  GROUP BY iid, item_id, rid, doc_id
+)
+SELECT item_id, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 10""",
+    "op13_prefix_trie": r"""
+WITH t AS (
+  SELECT conv_id, length(role) || ':' || role || text AS s, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS n,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS p
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)
+), own AS (
+  SELECT conv_id, list(s ORDER BY p) AS v, list(n ORDER BY p) AS w FROM t GROUP BY conv_id
+), hashed AS (
+  SELECT conv_id, v, w, xor(list_reduce(
+    list_prepend(4294967295, list_transform(range(1, length(conv_id::VARCHAR) + 1), lambda i: ascii(substr(conv_id::VARCHAR, i, 1))::BIGINT)),
+    lambda c, x: list_reduce([xor(c, x), 0, 0, 0, 0, 0, 0, 0, 0],
+                             lambda y, z: CASE WHEN y % 2 = 1 THEN xor(y // 2, 3988292384) ELSE y // 2 END)), 4294967295) % 4 AS h
+  FROM own
+), rebuilt AS (
+  SELECT c.conv_id, list_concat(coalesce(list_slice(b.v, 1, h), []), list_slice(c.v, h + 1, len(c.v))) AS v,
+         list_concat(coalesce(list_slice(b.w, 1, h), []), list_slice(c.w, h + 1, len(c.w))) AS w
+  FROM hashed c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 20
+), prefixes AS (
+  SELECT conv_id, d, list_slice(v, 1, d) AS k, len(v) = d AS whole, CASE WHEN d > 0 THEN w[d] ELSE 0 END AS words
+  FROM (SELECT conv_id, v, w, unnest(range(len(v) + 1)) AS d FROM rebuilt)
+), nodes AS (
+  SELECT k, d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE whole), '')) AS ends
+  FROM prefixes GROUP BY k, d
+), children AS (
+  SELECT list_slice(k, 1, d - 1) AS k, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1
+), full_nodes AS (
+  SELECT nodes.*, coalesce(n, 0) AS n_children FROM nodes LEFT JOIN children USING (k)
+), tops AS (
+  SELECT list_slice(k, 1, a) AS k, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((n_convs - 1) * words) AS saved
+  FROM (SELECT *, unnest(range(d + 1)) AS a FROM full_nodes) GROUP BY 1
+)
+SELECT f.conv_id, f.d::BIGINT AS depth, p.conv_id AS parent_conv_id, f.n_convs::BIGINT AS n_convs, f.n_children::BIGINT AS n_children,
+       n_leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, f.ends AS ends_sha256
+FROM full_nodes f JOIN tops USING (k) LEFT JOIN nodes p ON f.d > 0 AND p.k = list_slice(f.k, 1, f.d - 1)""",
 }
