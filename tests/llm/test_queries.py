@@ -49,5 +49,5 @@ def test_queries_equal_their_sql(spark, name):
     for table in ("documents", "embeddings", "labels", "benchmark", "conversations"):
         db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{os.path.join(data.SMALL, table)}.parquet'")
     out = queries.REGISTRY[name](spark, data.SMALL)
-    want = db.execute(queries.SQL[name]).arrow().read_all().select(out.columns).to_pylist()
+    want = db.sql(queries.SQL[name]).arrow().read_all().select(out.columns).to_pylist()
     assert sorted(map(tuple, out.collect()), key=str) == sorted((tuple(r.values()) for r in want), key=str)
