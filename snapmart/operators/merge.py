@@ -3,8 +3,9 @@
 Parquet has no row-level MERGE, so the merge is a rewrite: the new rows, plus
 the target rows whose key is absent from them.  Rows are never deleted; a NULL
 key never matches and so is inserted again on each run (trap T10).  The result
-is written as a *new* version (see ``sources.catalog``) because overwriting a
-path the same plan reads would destroy it (trap T19).
+is written beside the old one (versions in ``sources.catalog``, touched key buckets and
+a manifest in ``sources.manifest``), because overwriting a path the same plan reads
+would destroy it (trap T19).
 """
 
 from __future__ import annotations
@@ -41,33 +42,4 @@ BUCKET_COL = "key_bucket"
 
 def key_bucket(key: str, buckets: int):
     """Stable bucket of a key (NULL keys share bucket ``-1``)."""
-    return F.coalesce(F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)), F.lit(-1)).cast("int")
-
-
-def upsert_buckets(spark, updates: DataFrame, table_path: str, key: str, buckets: int, staging_path: str) -> list[int]:
-    """M1 rewriting only the key buckets an update touches.
-
-    The table is Parquet partitioned by ``key_bucket``.  The updates are computed once,
-    into ``staging_path/updates``; the touched buckets are read off them and merged
-    (``upsert``) into ``staging_path/merged`` — a plan never overwrites what it reads
-    (trap T19) — which then replaces exactly those bucket folders (dynamic partition
-    overwrite, set on this write only).  Re-running the same merge gives the same table,
-    so a run that fails mid-way is healed by running it again; until then readers may
-    see some buckets new and some old (use the versioned write where that matters).
-    Returns the touched buckets (a small list, at most ``buckets``).
-    """
-    from snapmart.sources.catalog import _fs
-
-    updates.withColumn(BUCKET_COL, key_bucket(key, buckets)).write.mode("errorifexists").parquet(f"{staging_path}/updates")
-    upd = spark.read.parquet(f"{staging_path}/updates")
-    touched = sorted(r[0] for r in upd.select(BUCKET_COL).distinct().collect())
-    fs, p, _ = _fs(spark, table_path)
-    if fs.exists(p):
-        target = spark.read.parquet(table_path).where(F.col(BUCKET_COL).isin(touched))
-        merged = upsert(target.select(*upd.columns), upd, key)
-    else:
-        merged = upd
-    merged.write.mode("errorifexists").partitionBy(BUCKET_COL).parquet(f"{staging_path}/merged")
-    (spark.read.parquet(f"{staging_path}/merged").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BUCKET_COL).parquet(table_path))
-    return touched
+    return F.when(F.col(key).isNull(), F.lit(-1)).otherwise(F.pmod(F.xxhash64(F.col(key)), F.lit(buckets))).cast("int")

@@ -238,7 +238,6 @@ SQL["raw_copy"] = "WITH " + GL + f"""
 SELECT source, snap AS extracted_at, {LOADED_AT} AS loaded_at, CAST(count(*) AS BIGINT) AS entries
 FROM gl, (VALUES ('rawg'), ('steam')) AS s(source) GROUP BY ALL"""
 
-KEY_DAYS = ("1998-03-01", "1998-03-10")
 ONE_DAY = "1998-03-05"
 SQL["single_key_copy"] = f"""
 SELECT 'rawg' AS source,
@@ -252,6 +251,19 @@ SELECT strftime(date_trunc('month', o_orderdate), {ISO_DATE}) AS extract_date, C
        'skipped_existing' AS load_again
 FROM orders GROUP BY 1"""
 
+SQL["load_crash_replay"] = f"""
+SELECT strftime(date_trunc('month', o_orderdate), {ISO_DATE}) AS extract_date, CAST(count(*) AS BIGINT) AS entries,
+       CAST(0 AS BIGINT) AS visible_after_crash, CAST(1 AS BIGINT) AS most_copies, 'loaded,skipped_existing' AS statuses
+FROM orders GROUP BY 1"""
+
+SQL["bad_file_abort"] = """
+SELECT 'before' AS step, false AS aborted, CAST(count(*) AS BIGINT) AS entries FROM orders
+UNION ALL SELECT 'with a malformed file', true, CAST(count(*) AS BIGINT) FROM orders"""
+
+SQL["load_time_default"] = """
+SELECT date_trunc('month', o_orderdate) AS extracted_at, CAST(count(*) AS BIGINT) AS entries, true AS loaded_now
+FROM orders GROUP BY 1"""
+
 _ITEM_NAME = ("CASE WHEN p_size = 49 THEN NULL WHEN p_partkey % 4 = 0 THEN lower(p_name) "
               "WHEN p_partkey % 4 = 1 THEN upper(p_name) WHEN p_partkey % 4 = 2 THEN p_name || '  ' ELSE p_name END")
 _CATEGORY = """CASE l_returnflag WHEN 'A' THEN 'specials' WHEN 'R' THEN 'top_sellers' WHEN 'N' THEN 'new_releases' END

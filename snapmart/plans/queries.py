@@ -88,7 +88,7 @@ def _order_fields(df, item: str = "game"):
 @register("env_build")
 def q_env_build(spark, sf_dir):
     """Orders wrapped into envelopes, parsed back, fields read from the VARIANT."""
-    env = world.order_envelopes(spark, sf_dir).select(F.parse_json("body").alias("doc"))
+    env = world.order_envelopes(spark, sf_dir).bodies().select(F.parse_json("body").alias("doc"))
     env = env.select(as_string("doc", "$.source").alias("source"),
                      as_string("doc", "$.extracted_at_utc").alias("extracted_at_utc"), "doc")
     flat = flatten(env, "doc", "$.payload.results", "game", keep=["source", "extracted_at_utc"])
@@ -109,7 +109,7 @@ def q_landing_key(spark, sf_dir):
 def q_landing_roundtrip(spark, sf_dir):
     """Envelopes written as partitioned JSON Lines, read back as VARIANT."""
     root = fresh_dir(spark, "landing")
-    env = world.order_envelopes(spark, sf_dir).withColumn("extract_date", iso_date("extracted_at"))
+    env = world.order_envelopes(spark, sf_dir).bodies().withColumn("extract_date", iso_date("extracted_at"))
     landing.write_landing(env, root)
     scan = jsonscan.scan_landing(spark, root, multi_line=False)
     flat = flatten(scan, "payload", "$.payload.results", "game", keep=["source", "extract_date"])
@@ -129,7 +129,7 @@ def q_landing_gate(spark, sf_dir):
 def q_raw_copy(spark, sf_dir):
     """Land the envelopes of both sources by key, bulk-copy them into raw rows."""
     root = fresh_dir(spark, "landing")
-    landing.land(world.envelope_keys(world.both_envelopes(spark, sf_dir)), root)
+    landing.land(world.both_envelopes(spark, sf_dir), root)
     raw = jsonscan.to_raw(jsonscan.scan_keys(spark, root, landing.landed_keys(spark, root)), key_col="s3_key", loaded_at=LOADED_AT)
     n = F.size(F.coalesce(F.variant_get("payload", "$.payload.results", "array<variant>"),
                           F.variant_get("payload", "$.payload.featured_categories", "array<variant>")))
@@ -138,10 +138,9 @@ def q_raw_copy(spark, sf_dir):
 
 @register("single_key_copy")
 def q_single_key_copy(spark, sf_dir):
-    """Of a landing with a key per day, load exactly one key."""
+    """Of a landing with a key for every day, load exactly one key (one file is opened)."""
     root = fresh_dir(spark, "landing")
-    env = world.envelope_keys(world.order_envelopes(spark, sf_dir, per_envelope=1_000_000, every="day"))
-    landing.land(env.where(F.col("extracted_at").between(*[F.lit(d).cast("timestamp_ntz") for d in oracle.KEY_DAYS])), root)
+    landing.land(world.order_envelopes(spark, sf_dir, per_envelope=1_000_000, every="day"), root)
     key = f"raw/source=rawg/extract_date={oracle.ONE_DAY}/rawg_games_{oracle.ONE_DAY.replace('-', '')}T000000Z-00000.json"
     raw = jsonscan.to_raw(jsonscan.load_key(spark, root, key), key_col="s3_key", loaded_at=LOADED_AT)
     n = F.size(F.variant_get("payload", "$.payload.results", "array<variant>"))
@@ -153,7 +152,7 @@ def q_land_twice(spark, sf_dir):
     """Land, land again, load, load again: nothing is added the second time."""
     from snapmart.operators.loads import plan_status, rows_per_file
     root = fresh_dir(spark, "landing")
-    env = world.envelope_keys(world.order_envelopes(spark, sf_dir))
+    env = world.order_envelopes(spark, sf_dir)
     statuses = [landing.land(env, root).withColumn("step", F.lit("land")), landing.land(env, root).withColumn("step", F.lit("land again"))]
     raw_root, audit = fresh_dir(spark, "raw"), None
     for step in ("load", "load again"):
@@ -180,6 +179,73 @@ def q_land_twice(spark, sf_dir):
           for c in ("land", "land again", "load", "load again")])
 
 
+class _Crash(Exception):
+    pass
+
+
+@register("load_crash_replay")
+def q_load_crash_replay(spark, sf_dir):
+    """A load that dies before its commit, the same load again, and once more: nothing counts before, no key twice after."""
+    from snapmart.plans.run import load_landed
+    from snapmart.sources import catalog, ledger
+    root, wh = fresh_dir(spark, "landing"), fresh_dir(spark, "warehouse")
+    catalog.create_objects(spark, wh)
+    landing.land(world.order_envelopes(spark, sf_dir), root)
+
+    def die():
+        raise _Crash
+
+    try:
+        load_landed(spark, root, wh, None, loaded_at=LOADED_AT, before_commit=die)
+    except _Crash:
+        pass
+    visible = sum(ledger.read(spark, wh, t).count() for t in ("rawg_games_raw", "raw_load_audit"))
+    for _ in range(2):
+        load_landed(spark, root, wh, None, loaded_at=LOADED_AT)
+    catalog.add_batches(spark, wh, ledger.batches(spark, wh))
+    day = F.regexp_extract("s3_key", "extract_date=([^/]+)", 1)
+    n = F.size(F.variant_get("payload", "$.payload.results", "array<variant>"))
+    per_key = spark.table("raw.rawg_games_raw").groupBy("s3_key").agg(F.count("payload").alias("copies"), F.sum(n).alias("entries"))
+    rows = per_key.groupBy(day.alias("extract_date")).agg(F.sum("entries").cast("bigint").alias("entries"), F.max("copies").alias("most_copies"))
+    statuses = F.array_join(F.array_sort(F.collect_set("status")), ",").alias("statuses")
+    audit = spark.table("raw.raw_load_audit").groupBy(day.alias("extract_date")).agg(statuses)
+    return rows.join(audit, "extract_date", "full").withColumn("visible_after_crash", F.lit(visible).cast("bigint"))
+
+
+@register("bad_file_abort")
+def q_bad_file_abort(spark, sf_dir):
+    """A malformed file aborts its load; what was loaded before is all that counts."""
+    from snapmart.plans.run import load_landed
+    from snapmart.sources import ledger
+    root, wh = fresh_dir(spark, "landing"), fresh_dir(spark, "warehouse")
+    landing.land(world.order_envelopes(spark, sf_dir), root)
+    load_landed(spark, root, wh, None, loaded_at=LOADED_AT)
+    broken = spark.createDataFrame([("rawg", oracle.ONE_DAY, '{"source": "rawg", "payload": {"results": [')], "source string, extract_date string, body string")
+    landing.write_landing(broken, root)
+    try:
+        load_landed(spark, root, wh, None, loaded_at=LOADED_AT)
+        aborted = False
+    except Exception as e:  # the reader's FAILFAST error; anything else is a fault
+        aborted = "MALFORMED" in str(e) or "FAILFAST" in str(e)
+        if not aborted:
+            raise
+    n = F.sum(F.size(F.variant_get("payload", "$.payload.results", "array<variant>"))).cast("bigint").alias("entries")
+    rows = ledger.read(spark, wh, "rawg_games_raw").agg(n)
+    steps = spark.createDataFrame([("before", False), ("with a malformed file", aborted)], "step string, aborted boolean")
+    return steps.join(F.broadcast(rows))  # one row
+
+
+@register("load_time_default")
+def q_load_time_default(spark, sf_dir):
+    """rows loaded without a stated time carry the load's own clock."""
+    root = fresh_dir(spark, "landing")
+    landing.land(world.order_envelopes(spark, sf_dir), root)
+    raw = jsonscan.to_raw(jsonscan.scan_keys(spark, root, landing.landed_keys(spark, root)), key_col="s3_key")
+    n = F.size(F.variant_get("payload", "$.payload.results", "array<variant>"))
+    age = F.timestamp_diff("SECOND", F.col("loaded_at"), F.current_timestamp().cast("timestamp_ntz"))
+    return raw.groupBy("extracted_at").agg(F.sum(n).cast("bigint").alias("entries"), F.bool_and((age >= 0) & (age < 3600)).alias("loaded_now"))
+
+
 def _store_items(spark, sf_dir):
     docs = world.store_document_table(spark, sf_dir)
     return category.flatten_categories(docs, "doc", keep=["extracted_at", "doc_no"])
@@ -207,11 +273,8 @@ def q_category_cursor(spark, sf_dir):
 @register("category_head_n")
 def q_category_head_n(spark, sf_dir):
     """First 200 items per snapshot in document order, with the total."""
-    it = _store_items(spark, sf_dir).select("extracted_at", "cat_pos", "category_key", *_item_cols())
-    totals = (world.store_document_table(spark, sf_dir).groupBy("extracted_at")
-              .agg(F.sum(category.item_count("doc")).cast("bigint").alias("total_available")))
-    head = category.head_with_total(it, ["extracted_at"], [F.col("cat_pos"), F.col("seq"), F.col("steam_app_id")], 200, totals)
-    return head.select("extracted_at", "category_key", "steam_app_id", "seq", "item_rank", "total_available")
+    head = category.head_in_place(world.store_document_table(spark, sf_dir), "doc", ["extracted_at"], ["doc_no"], 200)
+    return head.select("extracted_at", "category_key", *_item_cols(), "item_rank", "total_available").drop("game_name")
 
 
 @register("store_pipeline")
@@ -510,13 +573,13 @@ def q_dq_report(spark, sf_dir):
 
 @register("stream_load")
 def q_stream_load(spark, sf_dir):
-    """Optional: landed files of both sources loaded once by an availableNow file stream."""
-    from snapmart.streaming.file_load import load_stream
+    """Optional: the landed keys of both sources, each loaded once by an availableNow stream over the key list."""
+    from snapmart.streaming.file_load import load_keys_stream
     landing_root = fresh_dir(spark, "landing")
-    landing.write_landing(world.envelope_keys(world.both_envelopes(spark, sf_dir)), landing_root)
+    landing.land(world.both_envelopes(spark, sf_dir), landing_root)
     raw_root, ckpt = fresh_dir(spark, "raw-stream"), fresh_dir(spark, "stream-ckpt")
     for _ in range(2):  # the second time there is nothing new: no-op
-        load_stream(spark, landing_root, raw_root, ckpt, loaded_at=LOADED_AT, multi_line=False)
+        load_keys_stream(spark, landing_root, raw_root, ckpt, loaded_at=LOADED_AT)
     raw = spark.read.parquet(raw_root)
     n = F.size(F.coalesce(F.variant_get("payload", "$.payload.results", "array<variant>"),
                           F.variant_get("payload", "$.payload.featured_categories", "array<variant>")))
@@ -532,7 +595,7 @@ def q_daily_runs(spark, sf_dir):
     must equal the one-pass history replay (same oracle as ``mart_games``)."""
     from snapmart.plans.run import daily_run
     landing_root, wh = fresh_dir(spark, "landing"), fresh_dir(spark, "warehouse")
-    landing.land(world.envelope_keys(world.both_envelopes(spark, sf_dir)), landing_root)
+    landing.land(world.both_envelopes(spark, sf_dir), landing_root)
     # one run per snapshot date, read off the key list: the loop is over runs (a handful), never over rows
     days = sorted(r.extract_date for r in landing.landed_keys(spark, landing_root).select("extract_date").distinct().collect())
     out = None

@@ -9,9 +9,10 @@ merged into ``previous_mart`` when one is given.
 
 from __future__ import annotations
 
-from functools import reduce
+from itertools import islice
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from snapmart.operators.merge import upsert
 from snapmart.plans import marts, staging
@@ -29,8 +30,7 @@ def build_models(raw_rawg: DataFrame, raw_steam: DataFrame, audit: DataFrame, hi
     if history:
         mart = marts.accumulated_games_fused(raw_rawg, raw_steam)
     else:
-        mart = marts.mart_games(m["stg_rawg_games"], m["stg_rawg_game_genres"], m["stg_rawg_game_platforms"],
-                                m["stg_steam_featured_games"])
+        mart = marts.mart_games_fused(raw_rawg, m["stg_steam_featured_games"], per_snapshot=False)
         if previous_mart is not None:
             mart = upsert(previous_mart, mart, "rawg_game_id")
     m["mart_games"] = mart
@@ -40,143 +40,147 @@ def build_models(raw_rawg: DataFrame, raw_steam: DataFrame, audit: DataFrame, hi
     return m
 
 
-MART_MODELS = ("mart_games", "mart_platform_coverage", "mart_top_rated_games", "mart_pipeline_load_summary")
+VERSIONED_MARTS = ("mart_platform_coverage", "mart_top_rated_games", "mart_pipeline_load_summary")
+#: Key buckets of the game mart, fixed by its first merge: so many that one holds some GB at most.
+MART_BUCKETS = 16
+#: Plain files that one scan names.
+FILES_AT_ONCE = 10_000
 
 
-def materialize(models: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
-    """Write the marts as new table versions (staging stays as views) and return
-    the models re-pointed at the written tables, in dependency order: the top-N
-    mart is built from the *written* game mart, as a model reads its ``ref``.
+def materialize(models: dict[str, DataFrame], root: str, buckets: int = MART_BUCKETS, before_commit=None) -> dict[str, DataFrame]:
+    """Write the marts (staging stays as views) and return the models re-pointed at the written
+    tables, in dependency order: the top-N mart is built from the *written* game mart.
 
-    Checks then scan compact Parquet instead of recomputing each mart once per
-    test, and no reader ever sees a half-written mart.
+    The game mart accumulates: the run's games are merged into its key buckets
+    (``sources.manifest``), so only the buckets they touch are rewritten and readers see the
+    mart before or after the merge.  The others are written as new table versions.
     """
-    from snapmart.sources import catalog
+    from snapmart.sources import catalog, manifest
 
     spark = models["mart_games"].sparkSession
     out = dict(models)
-    catalog.write_version(models["mart_games"], f"{root}/mart_games")
-    out["mart_games"] = catalog.read_current(spark, f"{root}/mart_games")
+    table = f"{root}/mart_games"
+    manifest.merge(spark, models["mart_games"], table, "rawg_game_id", buckets, before_commit)
+    written = manifest.read(spark, table)
+    out["mart_games"] = models["mart_games"].limit(0) if written is None else written.drop(manifest.BUCKET_COL)
     out["mart_top_rated_games"] = marts.mart_top_rated_games(out["mart_games"])
-    for name in ("mart_platform_coverage", "mart_top_rated_games", "mart_pipeline_load_summary"):
+    for name in VERSIONED_MARTS:
         catalog.write_version(out[name], f"{root}/{name}")
         out[name] = catalog.read_current(spark, f"{root}/{name}")
     return out
 
 
+def load_landed(spark, landing_root: str, warehouse: str, extract_date: str | None, force_reload: bool = False, loaded_at=None,
+                multi_line: bool = True, before_commit=None) -> DataFrame:
+    """Load a day's landed keys and plain files (all days' without one) into the raw tables; returns the audit rows.
+
+    All candidates are planned against the audit log in one join.  Picked ones are opened once
+    and written once, below the load's own ``batch=``; rows are counted from what was written.
+    The audit rows go beside them, and the ledger's one entry makes both count
+    (``sources.ledger``): a load that dies before leaves nothing that counts, and one that is
+    repeated loads every key once.  ``before_commit`` is called right before that (for tests).
+    """
+    from snapmart.operators.loads import SOURCE_TABLES, STATUS_SKIPPED, plan_status, rows_per_file
+    from snapmart.session import fresh_dir, use_unshredded_variants
+    from snapmart.sources import catalog, landing, ledger
+    from snapmart.sources.jsonscan import plain_files, scan_keys, scan_landing, to_raw
+
+    ts = F.lit(loaded_at).cast("timestamp_ntz") if isinstance(loaded_at, str) else loaded_at
+    if ts is None:
+        ts = F.lit(spark.sql("SELECT cast(current_timestamp() AS timestamp_ntz)").first()[0])
+    keys = landing.landed_keys(spark, landing_root, extract_date)
+    files = plain_files(spark, landing_root, extract_date, keys)
+    if keys is not None:
+        files = files.unionByName(keys.select("source", "extract_date", "s3_key", "batch", "file", "in_file"), allowMissingColumns=True)
+    plan_dir = fresh_dir(spark, "load-plan")
+    plan_status(files, ledger.read(spark, warehouse, "raw_load_audit"), force=force_reload).write.parquet(plan_dir)
+    plan = spark.read.parquet(plan_dir)
+    picked = plan.where(F.col("status") != STATUS_SKIPPED)
+    batch = ledger.new_batch()
+    use_unshredded_variants(spark)
+
+    def copy(scan: DataFrame, source: str) -> None:
+        rows = to_raw(scan.where(F.col("source") == source), key_col="s3_key", loaded_at=ts)
+        rows.write.mode("append").parquet(ledger.batch_path(warehouse, SOURCE_TABLES[source].lower(), batch))
+
+    loaded = None
+    by_key = "batch" in plan.columns
+    for source, some in sorted((r["source"], r["plain"]) for r in picked.groupBy("source").agg(F.count("file_path").alias("plain")).collect()):
+        here = picked.where(F.col("source") == source)
+        if by_key:
+            copy(scan_keys(spark, landing_root, here.where("batch IS NOT NULL"), extract_date, source), source)
+        if some:
+            # paths prune the scan, so a skipped file is not opened; however many there are, few are planned at a time
+            names = (r["file_path"] for r in here.where("file_path IS NOT NULL").select("file_path").toLocalIterator())
+            while chunk := list(islice(names, FILES_AT_ONCE)):
+                copy(scan_landing(spark, chunk, multi_line=multi_line, base=landing_root).join(here.select("file_path", "s3_key"), "file_path"), source)
+        table = SOURCE_TABLES[source].lower()
+        copied = spark.read.schema(catalog.RAW_TABLE_DDL[table]).parquet(ledger.batch_path(warehouse, table, batch))
+        copied.groupBy("source", "extracted_at").agg(F.count("*").alias("n_rows")).write.mode("append").parquet(
+            ledger.batch_path(warehouse, ledger.SNAPSHOTS, batch))
+        counts = rows_per_file(copied.select("source", "s3_key", F.col("loaded_at").alias("payload")))
+        loaded = counts if loaded is None else loaded.unionByName(counts)
+    if loaded is None:
+        loaded = spark.createDataFrame([], "source string, s3_key string, rows_loaded bigint")
+    attempts = plan.join(loaded, ["source", "s3_key"], "left").select(
+        "source", "s3_key", "target_table", F.coalesce("rows_loaded", F.lit(0)).cast("bigint").alias("rows_loaded"), "status",
+        ts.alias("loaded_at"))
+    audit_path = ledger.batch_path(warehouse, "raw_load_audit", batch)
+    attempts.write.parquet(audit_path)
+    if before_commit is not None:
+        before_commit()
+    ledger.commit(spark, warehouse, batch)
+    return spark.read.schema(catalog.RAW_TABLE_DDL["raw_load_audit"]).parquet(audit_path)
+
+
 def daily_run(spark, landing_root: str, warehouse: str, extract_date: str, force_reload: bool = False,
-              loaded_at=None, multi_line: bool = True, now=None, mart_buckets: int | None = None,
+              loaded_at=None, multi_line: bool = True, now=None, mart_buckets: int = MART_BUCKETS,
               envelopes: DataFrame | None = None, force_upload: bool = False, fail_on_checks: bool = True,
-              keep_versions: int | None = None) -> dict[str, DataFrame]:
+              keep_versions: int | None = None, declare: bool = True) -> dict[str, DataFrame]:
     """One run of the daily flow as a single driver program.
 
+    create ``declare``: the namespaces and raw tables are declared if missing, and committed
+           loads become their partitions
     land   ``envelopes`` (source, extract_date, s3_key, body), if given, are landed by key
            behind the write gate (``force_upload`` lands existing keys again); a rerun passes
            the run values it wants through ``landing.run_context`` into keys and bodies
-    load   the day's landed keys and, from a listing, its files that others put there
-           are planned against the audit log; only the picked ones are opened, each once,
-           copied into the raw tables and counted there; then the attempts are appended to
-           the audit log (copy first, audit second)
-    stage  staging views over the raw tables (latest snapshot)
-    mart   the game mart is merged into the previous version (M1) and all marts are
-           written as new versions
+    load   ``load_landed``: plan, copy, count and audit, in one commit
+    stage  staging views over the newest snapshot, found in the ledger's snapshot catalogue
+    mart   the game mart's touched key buckets are merged and committed by one manifest (M1);
+           the other marts are written as new versions
     check  column tests (one flatten for the three game staging models), stored as
            ``check_report``; failing ones raise ``ChecksFailed`` unless ``fail_on_checks`` is
            off; freshness is reported where ``now`` is given
 
     Tables live below ``warehouse``: the raw tables where ``catalog.create_objects``
-    declares them, ``mart/<name>`` in versions (``keep_versions`` of them; None keeps all).
-    With ``mart_buckets`` the game mart is instead kept as one table partitioned by
-    key bucket and only the buckets this run touches are rewritten
-    (``operators.merge.upsert_buckets``).  Files landed by key hold one envelope a line;
-    ``multi_line`` says how other files are read.
+    declares them, ``mart/<name>`` (``keep_versions`` versions of them; None keeps all).
+    Files landed by key hold one envelope a line; ``multi_line`` says how other files are read.
     Returns the run's audit rows, the check report, freshness and the models.
     """
-    from pyspark.sql import functions as F
-
     from snapmart.operators import quality
-    from snapmart.operators.loads import SOURCE_TABLES, STATUS_SKIPPED, plan_status, rows_per_file
     from snapmart.plans import checks
-    from snapmart.session import fresh_dir, use_unshredded_variants
-    from snapmart.sources import catalog, landing
-    from snapmart.sources.jsonscan import plain_files, scan_keys, scan_landing, to_raw
-
-    paths = {source: catalog.raw_path(warehouse, table.lower()) for source, table in SOURCE_TABLES.items()}
-    audit_path = catalog.raw_path(warehouse, "raw_load_audit")
-    audit_schema = catalog.RAW_TABLE_DDL["raw_load_audit"]
-    ts = F.lit(loaded_at).cast("timestamp_ntz") if isinstance(loaded_at, str) else loaded_at
-    if ts is None:
-        ts = F.lit(spark.sql("SELECT cast(current_timestamp() AS timestamp_ntz)").first()[0])
-
-    def read_or_empty(path: str, schema: str) -> DataFrame:
-        fs, p, _ = catalog._fs(spark, path)
-        return spark.read.schema(schema).parquet(path) if fs.exists(p) else spark.createDataFrame([], schema)
+    from snapmart.sources import catalog, landing, ledger, manifest
 
     out: dict[str, DataFrame] = {}
+    if declare:
+        catalog.create_objects(spark, warehouse)
     if envelopes is not None:
         out["landing"] = landing.land(envelopes, landing_root, force=force_upload)
+    out["load_audit"] = load_landed(spark, landing_root, warehouse, extract_date, force_reload, loaded_at, multi_line)
+    if declare:
+        catalog.add_batches(spark, warehouse, ledger.batches(spark, warehouse))
 
-    # load: plan, copy, count, audit
-    keys = landing.landed_keys(spark, landing_root)
-    files = plain_files(spark, landing_root, extract_date, keys)
-    if keys is not None:
-        files = files.unionByName(keys.where(F.col("extract_date") == extract_date).select("source", "s3_key", "batch"),
-                                  allowMissingColumns=True)
-    plan_dir = fresh_dir(spark, "load-plan")
-    plan_status(files, read_or_empty(audit_path, audit_schema), force=force_reload).write.parquet(plan_dir)
-    plan = spark.read.parquet(plan_dir)
-    picked = plan.where(F.col("status") != STATUS_SKIPPED)
-    loaded = spark.createDataFrame([], "source string, s3_key string, rows_loaded bigint")
-    if not picked.isEmpty():
-        scans = []
-        if keys is not None and not picked.where("batch IS NOT NULL").isEmpty():
-            scans.append(scan_keys(spark, landing_root, picked.where("batch IS NOT NULL"), extract_date))
-        # a day's picked files: their paths prune the scan, so a skipped file is not opened
-        names = [r["file_path"] for r in picked.where("file_path IS NOT NULL").select("file_path").collect()]
-        if names:
-            scans.append(scan_landing(spark, names, multi_line=multi_line, base=landing_root).join(
-                picked.select("file_path", "s3_key"), "file_path"))
-        scan = reduce(DataFrame.unionByName, [s.select("source", "s3_key", "payload") for s in scans])
-        use_unshredded_variants(spark)
-        run_dir = fresh_dir(spark, "copied")
-        to_raw(scan, key_col="s3_key", loaded_at=ts).write.partitionBy("source").parquet(run_dir)
-        copied = spark.read.schema(catalog.RAW_TABLE_DDL["rawg_games_raw"]).parquet(run_dir)
-        loaded = rows_per_file(copied.select("source", "s3_key", F.col("loaded_at").alias("payload")))
-        for source, path in paths.items():
-            copied.where(F.col("source") == source).write.mode("append").parquet(path)
-    attempts = plan.join(loaded, ["source", "s3_key"], "left").select(
-        "source", "s3_key", "target_table", F.coalesce("rows_loaded", F.lit(0)).cast("bigint").alias("rows_loaded"), "status",
-        ts.alias("loaded_at"))
-    audit_dir = fresh_dir(spark, "load-audit")
-    attempts.write.parquet(audit_dir)
-    attempts = spark.read.parquet(audit_dir)
-    attempts.write.mode("append").parquet(audit_path)
-    out["load_audit"] = attempts
-
-    # stage + mart + check
-    raw_rawg, raw_steam = (read_or_empty(paths[s], catalog.RAW_TABLE_DDL[f"{SOURCE_TABLES[s].lower()}"]) for s in ("rawg", "steam"))
-    audit = read_or_empty(audit_path, audit_schema)
-    if mart_buckets is None:
-        previous = catalog.read_current(spark, f"{warehouse}/mart/mart_games")
-        models = build_models(raw_rawg, raw_steam, audit, history=False, previous_mart=previous)
-        models = materialize(models, f"{warehouse}/mart")
-    else:
-        from snapmart.operators.merge import BUCKET_COL, upsert_buckets
-        models = build_models(raw_rawg, raw_steam, audit, history=False)
-        table = f"{warehouse}/mart/mart_games_bucketed"
-        upsert_buckets(spark, models["mart_games"], table, "rawg_game_id", mart_buckets,
-                       fresh_dir(spark, "mart-stage"))
-        models["mart_games"] = spark.read.parquet(table).drop(BUCKET_COL)
-        models["mart_top_rated_games"] = marts.mart_top_rated_games(models["mart_games"])
-        for name in ("mart_platform_coverage", "mart_top_rated_games", "mart_pipeline_load_summary"):
-            catalog.write_version(models[name], f"{warehouse}/mart/{name}")
-            models[name] = catalog.read_current(spark, f"{warehouse}/mart/{name}")
+    raw_rawg, raw_steam = (ledger.latest_raw(spark, warehouse, f"{s}_games_raw", s) for s in ("rawg", "steam"))
+    models = build_models(raw_rawg, raw_steam, ledger.read(spark, warehouse, "raw_load_audit"), history=False)
+    models = materialize(models, f"{warehouse}/mart", mart_buckets)
     catalog.write_version(checks.all_checks(models, raw_rawg), f"{warehouse}/check_report")
     out |= {"report": catalog.read_current(spark, f"{warehouse}/check_report"), **models}
     if now is not None:
-        out["freshness"] = checks.freshness_checks({"rawg": raw_rawg, "steam": raw_steam}, now)
+        raws = {s: ledger.read(spark, warehouse, f"{s}_games_raw") for s in ("rawg", "steam")}
+        out["freshness"] = checks.freshness_checks(raws, now)
     if keep_versions is not None:
-        for name in (*[f"mart/{m}" for m in MART_MODELS], "check_report"):
+        manifest.expire(spark, f"{warehouse}/mart/mart_games", keep_versions)
+        for name in (*[f"mart/{m}" for m in VERSIONED_MARTS], "check_report"):
             catalog.expire_versions(spark, f"{warehouse}/{name}", keep_versions)
     if fail_on_checks and quality.failed(out["report"]):
         raise quality.ChecksFailed(f"column tests failed; see {warehouse}/check_report")

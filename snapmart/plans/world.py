@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from snapmart.functions.timefmt import file_stamp, iso_date, ntz_to_epoch
 from snapmart.operators.loads import rows_per_file
 from snapmart.session import fresh_dir, use_unshredded_variants
-from snapmart.sources.envelope import DEFAULT_PER_ENVELOPE, build_envelopes, with_row_key
-from snapmart.sources.landing import landing_key
+from snapmart.sources.envelope import DEFAULT_PER_ENVELOPE, EnvelopePlan, build_envelopes, plan_envelopes, with_row_key
+from snapmart.sources.landing import envelope_keys, landing_key
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
@@ -165,14 +165,6 @@ def store_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select(F.col("snap").alias("extracted_at"), "doc_no", doc.alias("doc"))
 
 
-def envelope_keys(env: DataFrame) -> DataFrame:
-    """Landing key per envelope; the chunk number keeps keys of one snapshot apart."""
-    base = landing_key("source", iso_date("extracted_at"), file_stamp("extracted_at"))
-    key = F.regexp_replace(base, r"\.json$", F.concat(F.lit("-"), F.format_string("%05d", "envelope_no"),
-                                                       F.lit(".json")))
-    return env.withColumn("extract_date", iso_date("extracted_at")).withColumn("s3_key", key)
-
-
 def raw_from_envelopes(env: DataFrame) -> DataFrame:
     """Envelope text → raw-table rows (the copy step without files)."""
     e = envelope_keys(env)
@@ -182,16 +174,18 @@ def raw_from_envelopes(env: DataFrame) -> DataFrame:
                     (F.col("extracted_at") + F.expr("INTERVAL 1 HOUR")).alias("loaded_at"), "extract_date")
 
 
-def both_envelopes(spark: SparkSession, sf_dir: str, per_envelope: int = DEFAULT_PER_ENVELOPE) -> DataFrame:
+def both_envelopes(spark: SparkSession, sf_dir: str, per_envelope: int = DEFAULT_PER_ENVELOPE) -> EnvelopePlan:
     """Game and store envelopes from one scan of the lines: each line yields both
-    entries (one ``explode``), and one grouping shuffle builds all envelopes."""
-    lines = _lines(spark, sf_dir)
-    both = F.explode(F.array(
-        F.struct(F.lit("rawg").alias("source"), F.lit("results").alias("field"), F.to_json(game_entry()).alias("js")),
-        F.struct(F.lit("steam").alias("source"), F.lit("featured_categories").alias("field"),
-                 F.to_json(store_item()).alias("js"))))
-    e = lines.select("_row_id", "snap", both.alias("x")).select("_row_id", "snap", "x.*")
-    return build_envelopes(e, F.col("source"), "snap", "js", list_field=F.col("field"), per_envelope=per_envelope)
+    entries (one ``explode``), and one grouping shuffle builds all envelopes.  They are
+    counted from the lines alone, as every line has its part and supplier."""
+    def both(lines: DataFrame, *entries: Column) -> DataFrame:
+        kinds = [F.struct(F.lit(s).alias("source"), F.lit(f).alias("field"), *[e.alias("js") for e in entries[k:k + 1]])
+                 for k, (s, f) in enumerate((("rawg", "results"), ("steam", "featured_categories")))]
+        return lines.select("_row_id", "snap", F.explode(F.array(*kinds)).alias("x")).select("_row_id", "snap", "x.*")
+
+    narrow = with_row_key(table(spark, sf_dir, "lineitem")).select("_row_id", snapshot_of("l_shipdate").alias("snap"))
+    return plan_envelopes(both(_lines(spark, sf_dir), F.to_json(game_entry()), F.to_json(store_item())), F.col("source"), "snap", "js",
+                          list_field=F.col("field"), per_envelope=per_envelope, narrow=both(narrow))
 
 
 _WRITTEN: dict = {}
@@ -222,7 +216,7 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     scratch root; each table is a partition-pruned read of that dataset."""
     def build(path: str) -> None:
         use_unshredded_variants(spark)
-        (raw_from_envelopes(both_envelopes(spark, sf_dir)).write.mode("errorifexists")
+        (raw_from_envelopes(both_envelopes(spark, sf_dir).bodies()).write.mode("errorifexists")
          .partitionBy("source", "extract_date").parquet(path))
 
     path = written(spark, sf_dir, "raw", build)
@@ -263,7 +257,7 @@ def candidate_files(spark: SparkSession, sf_dir: str, since: str | None = None,
 
 
 def order_envelopes(spark: SparkSession, sf_dir: str, per_envelope: int = DEFAULT_PER_ENVELOPE,
-                    every: str = "month") -> DataFrame:
+                    every: str = "month") -> EnvelopePlan:
     """Orders as a source with a snapshot per month (or ``every`` else; S1 round trips): one entry per order."""
     o = with_row_key(table(spark, sf_dir, "orders")).select(
         "_row_id", "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority", "o_orderdate")
@@ -272,4 +266,4 @@ def order_envelopes(spark: SparkSession, sf_dir: str, per_envelope: int = DEFAUL
                      F.date_format("o_orderdate", "yyyy-MM-dd").alias("order_date"))
     e = o.select("_row_id", F.date_trunc(every, "o_orderdate").cast("timestamp_ntz").alias("snap"),
                  entry.alias("entry"))
-    return build_envelopes(e, "rawg", "snap", "entry", per_envelope=per_envelope)
+    return plan_envelopes(e, "rawg", "snap", "entry", per_envelope=per_envelope)

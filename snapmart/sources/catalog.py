@@ -27,11 +27,30 @@ def raw_path(root: str, table: str) -> str:
 
 
 def create_objects(spark: SparkSession, root: str) -> None:
-    """Create-if-missing namespaces and raw tables (Parquet, under ``root``)."""
+    """Create-if-missing namespaces and raw tables (Parquet, under ``root``), one partition a committed load.
+
+    A table that the session knows from another root is declared anew; its files stay.
+    """
     for ns in NAMESPACES:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {ns} LOCATION '{root}/{ns}.db'")
     for name, cols in RAW_TABLE_DDL.items():
-        spark.sql(f"CREATE TABLE IF NOT EXISTS raw.{name} ({cols}) USING parquet LOCATION '{raw_path(root, name)}'")
+        path = raw_path(root, name)
+        if spark.catalog.tableExists(f"raw.{name}"):
+            where = spark.sql(f"DESCRIBE TABLE EXTENDED raw.{name}").where("col_name = 'Location'").first()
+            if where is not None and where["data_type"].split(":")[-1].lstrip("/") != path.split(":")[-1].lstrip("/"):
+                spark.sql(f"DROP TABLE raw.{name}")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS raw.{name} ({cols}, batch string) USING parquet PARTITIONED BY (batch) LOCATION '{path}'")
+
+
+def add_batches(spark: SparkSession, root: str, batches: list[str]) -> None:
+    """Make committed batches part of the declared raw tables: SQL readers see what the ledger lists."""
+    for name in RAW_TABLE_DDL:
+        known = {r[0].removeprefix("batch=") for r in spark.sql(f"SHOW PARTITIONS raw.{name}").collect()}
+        for batch in batches:
+            path = f"{raw_path(root, name)}/batch={batch}"
+            fs, p, _ = _fs(spark, path)
+            if batch not in known and fs.exists(p):
+                spark.sql(f"ALTER TABLE raw.{name} ADD PARTITION (batch='{batch}') LOCATION '{path}'")
 
 
 def _fs(spark: SparkSession, path: str):

@@ -10,7 +10,7 @@ which returns keys sorted.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from snapmart.functions.variant import as_number, as_string
@@ -48,6 +48,46 @@ def item_count(doc_col: str) -> Column:
     return F.aggregate(sizes, F.lit(0).cast("bigint"), lambda a, n: a + F.greatest(n, F.lit(0)))
 
 
+#: Pairs of document and category sent to every task; beyond that their join shuffles.
+MANY_PAIRS = 500_000
+
+
+def head_in_place(docs: DataFrame, doc_col: str, by: list[str], order: list[str], limit: int) -> DataFrame:
+    """S18/O4 over documents that belong together (equal ``by``): their first ``limit`` items, and ``total_available``.
+
+    The documents of a group read as one whose categories go on from document to document
+    (``order``): items are ordered by category position, document and place in it.  Only
+    array sizes are read at first.  A category of a document that holds an item of the head
+    is among the group's first ``limit`` ones that are not empty (a bounded top-N), and a running sum
+    over those says how many of its items belong to the head.  Just these are sliced from
+    its array, so no more than ``limit`` items of a group are ever exploded.
+    """
+    from snapmart.operators.dedup import keep_top
+    from snapmart.session import fresh_dir
+
+    spark = docs.sparkSession
+    entries = F.map_entries(F.from_json(doc_col, CATEGORY_MAP, {"mode": "FAILFAST"}))
+    sizes = F.transform(entries, lambda e: F.coalesce(F.greatest(F.size(F.try_variant_get(e["value"], "$.items", "array<variant>")), F.lit(0)), F.lit(0)))
+    counted_dir, pairs_dir = fresh_dir(spark, "category-sizes"), fresh_dir(spark, "head-pairs")
+    docs.select(*by, *order, F.posexplode(sizes).alias("cat_pos", "_n")).write.parquet(counted_dir)
+    counted = spark.read.parquet(counted_dir)
+    first = keep_top(counted.where("_n > 0"), by, [F.col("cat_pos"), *[F.col(c) for c in order]], limit)
+    before = Window.partitionBy(*by).orderBy("cat_pos", *order).rowsBetween(Window.unboundedPreceding, -1)
+    pairs = first.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).where(F.col("_before") < limit)
+    pairs.groupBy(*by, *order).agg(F.collect_list(F.struct("cat_pos", "_before")).alias("_pairs")).write.parquet(pairs_dir)
+    pairs = spark.read.parquet(pairs_dir)
+    chosen = docs.join(F.broadcast(pairs) if pairs.count() <= MANY_PAIRS else pairs, [*by, *order])
+    chosen = chosen.select(*by, *order, entries.alias("_cats"), F.explode("_pairs").alias("_pair"))
+    cat = F.get("_cats", F.col("_pair.cat_pos"))
+    items = F.slice(F.try_variant_get(cat["value"], "$.items", "array<variant>"), F.lit(1), (F.lit(limit) - F.col("_pair._before")).cast("int"))
+    head = chosen.select(*by, *order, F.col("_pair.cat_pos").alias("cat_pos"), cat["key"].alias("category_key"),
+                         as_string(cat["value"], "$.name").alias("category_name"), F.col("_pair._before").alias("_before"),
+                         F.posexplode(items).alias("item_pos", "item"))
+    totals = counted.groupBy(*by).agg(F.sum("_n").cast("bigint").alias("total_available"))
+    ranked = head.withColumn("item_rank", (F.col("_before") + F.col("item_pos") + 1).cast("int")).drop("_before")
+    return ranked.join(totals, by)
+
+
 def head_with_total(items: DataFrame, doc_keys: list[str], order: list[Column], limit: int,
                     totals: DataFrame | None = None) -> DataFrame:
     """First ``limit`` items per document in order, with the pre-cut total.

@@ -10,11 +10,18 @@ however the input is split, small snapshots are not cut up, and a snapshot, or a
 set of identical rows, holding a third of the data still becomes many envelopes.
 All envelopes of a snapshot carry the same ``extracted_at_utc``, which is what the
 snapshot cut keys on.
+
+An ``EnvelopePlan`` knows its envelopes from narrow columns alone (row keys and
+snapshots): which there are is counted without building or serializing an entry, and the
+bodies of the wanted ones are then built in one pass and one shuffle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+from functools import cached_property, reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapmart.functions.timefmt import iso_utc
@@ -24,11 +31,10 @@ from snapmart.functions.timefmt import iso_utc
 DEFAULT_PER_ENVELOPE = 200
 # A chunk is meant to hold this share of ``per_envelope``, so that few overflow by chance.
 FILL = 0.85
-
-
-def with_row_id(df: DataFrame, name: str = "_row_id") -> DataFrame:
-    """Row key of rows that have no file behind them (unique, but it depends on the partitioning)."""
-    return df.withColumn(name, F.monotonically_increasing_id())
+# Chunks that are built by one task and, when landed, lie in one file.
+CHUNKS_PER_FILE = 128
+# Snapshots whose sizes are sent to every task; beyond that their join shuffles.
+MANY_SNAPSHOTS = 100_000
 
 
 def with_row_key(scan: DataFrame, name: str = "_row_id") -> DataFrame:
@@ -36,11 +42,80 @@ def with_row_key(scan: DataFrame, name: str = "_row_id") -> DataFrame:
     return scan.withColumn(name, F.xxhash64(F.col("_metadata.file_name"), F.col("_metadata.row_index")))
 
 
-def build_envelopes(entries: DataFrame, source, snapshot_col: str, entry_col: str,
-                    row_id_col: str = "_row_id", list_field="results",
-                    per_envelope: int = DEFAULT_PER_ENVELOPE, order_col: str | None = None,
-                    extra: dict | None = None) -> DataFrame:
-    """Group entries into envelopes; returns (source, extracted_at, envelope_no, body).
+@dataclass
+class EnvelopePlan:
+    """Envelopes of entries, known before they are built (see ``plan_envelopes``)."""
+
+    rows: DataFrame
+    narrow: DataFrame
+    extra: list[str]
+    per_envelope: int
+
+    @property
+    def by(self) -> list[str]:
+        return ["source", "_field", "extracted_at", *[f"_x_{n}" for n in self.extra]]
+
+    @cached_property
+    def sizes(self) -> tuple[DataFrame, int]:
+        """Chunks of every (source, snapshot, extra values), written once, and how many rows that are."""
+        from snapmart.session import fresh_dir
+
+        path = fresh_dir(self.narrow.sparkSession, "envelope-sizes")
+        chunks = F.ceil(F.count(F.lit(1)) / F.lit(self.per_envelope * FILL)).cast("bigint")
+        self.narrow.groupBy(*self.by).agg(chunks.alias("_chunks")).write.parquet(path)
+        sizes = self.narrow.sparkSession.read.parquet(path)
+        return sizes, sizes.count()
+
+    def _chunked(self, rows: DataFrame) -> DataFrame:
+        sizes, n = self.sizes
+        named = sizes.select(*[F.col(c).alias(f"_c{c}") for c in self.by], "_chunks")
+        same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_c{c}")) for c in self.by])
+        joined = rows.join(F.broadcast(named) if n <= MANY_SNAPSHOTS else named, same).drop(*[f"_c{c}" for c in self.by])
+        return joined.withColumn("_chunk", F.pmod("_h", F.col("_chunks")))
+
+    def _number(self) -> Column:
+        return F.col("_chunk") + F.col("_part") * F.col("_chunks")
+
+    def _parts(self, size: Column) -> Column:
+        """A chunk that came out too large by chance is cut; numbers stay unique within a snapshot."""
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), ((size - 1) / self.per_envelope).cast("bigint")))
+
+    def keys(self) -> DataFrame:
+        """Every envelope: (source, extracted_at, envelope_no, _chunk), from the narrow columns."""
+        counted = self._chunked(self.narrow).groupBy(*self.by, "_chunks", "_chunk").agg(F.count(F.lit(1)).alias("_n"))
+        return counted.withColumn("_part", self._parts(F.col("_n"))).select(
+            *self.by, "_chunk", self._number().alias("envelope_no"), F.floor(F.col("_chunk") / CHUNKS_PER_FILE).cast("bigint").alias("file_no"))
+
+    def bodies(self, wanted: DataFrame | None = None) -> DataFrame:
+        """(source, extracted_at, envelope_no, extra values, body), of all envelopes or of the ``wanted`` chunks (rows of ``keys``).
+
+        Rows are dealt by snapshot and file, so that a file's envelopes are built in one task
+        and need no further shuffle to be written.
+        """
+        rows = self._chunked(self.rows)
+        if wanted is not None:
+            asked = wanted.select(*[F.col(c).alias(f"_w{c}") for c in (*self.by, "_chunk")]).distinct()
+            rows = rows.join(asked, reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_w{c}")) for c in (*self.by, "_chunk")]), "left_semi")
+        rows = rows.withColumn("file_no", F.floor(F.col("_chunk") / CHUNKS_PER_FILE).cast("bigint"))
+        grouped = (rows.repartition(*self.by, "file_no").groupBy(*self.by, "file_no", "_chunks", "_chunk")
+                   .agg(F.array_sort(F.collect_list(F.struct("_o", "_h", "_e"))).alias("_items")))
+        cut = grouped.withColumn("_part", self._parts(F.size("_items")))
+        items = F.slice("_items", (F.col("_part") * self.per_envelope + 1).cast("int"), F.lit(self.per_envelope))
+        arr = F.transform(items, lambda x: x["_e"])
+        head = F.to_json(F.struct(F.col("source"), iso_utc("extracted_at").alias("extracted_at_utc")))
+        tail = [F.concat(F.lit(f',"{n}":'), F.col(f"_x_{n}").cast("string")) for n in self.extra]
+        # '{"source":…,"extracted_at_utc":…' + ',"payload":{"<list>":[' + entries + ']…}}'
+        body = F.concat(F.regexp_replace(head, "}$", ""), F.lit(',"payload":{"'), F.col("_field"), F.lit('":['),
+                        F.array_join(arr, ","), F.lit("]"), *tail, F.lit("}}"))
+        return cut.select("source", "extracted_at", self._number().alias("envelope_no"), "file_no",
+                          *[F.col(f"_x_{n}").alias(n) for n in self.extra], body.alias("body"))
+
+
+def plan_envelopes(entries: DataFrame, source, snapshot_col: str, entry_col: str,
+                   row_id_col: str = "_row_id", list_field="results",
+                   per_envelope: int = DEFAULT_PER_ENVELOPE, order_col: str | None = None,
+                   extra: dict | None = None, narrow: DataFrame | None = None) -> EnvelopePlan:
+    """Plan the envelopes of entries.
 
     Each entry is serialized to JSON on the map side, so the shuffle carries one
     string per entry and the envelope is assembled by string concatenation
@@ -48,6 +123,8 @@ def build_envelopes(entries: DataFrame, source, snapshot_col: str, entry_col: st
     (default: the row key).  ``source`` and ``list_field`` may be columns, so several
     sources are enveloped in one pass (one shuffle).  ``extra`` (name → column, equal
     within a snapshot) adds fields to the payload and cuts chunks by their values.
+    ``narrow`` holds the same rows without what only the entries need (their joins, for
+    instance); it is what envelopes are counted from.
     """
     extra = extra or {}
     src = F.lit(source) if isinstance(source, str) else source
@@ -55,28 +132,12 @@ def build_envelopes(entries: DataFrame, source, snapshot_col: str, entry_col: st
     # an entry is a struct (serialized here) or an already serialized JSON string
     js = F.col(entry_col) if dict(entries.dtypes)[entry_col] == "string" else F.to_json(entry_col)
     order = F.col(order_col) if order_col else F.col(row_id_col)
-    rows = entries.select(src.alias("source"), field.alias("_field"), F.col(snapshot_col).alias("extracted_at"),
-                          *[c.alias(f"_x_{n}") for n, c in extra.items()],
-                          F.xxhash64(row_id_col).alias("_h"), order.alias("_o"), js.alias("_e"))
-    by = ["source", "_field", "extracted_at", *[f"_x_{n}" for n in extra]]
-    # one row per (source, snapshot): few beside the entries, so it goes to every task
-    chunks = rows.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / F.lit(per_envelope * FILL)).cast("bigint").alias("_chunks"))
-    named = chunks.select(*[F.col(c).alias(f"_c{c}") for c in by], "_chunks")
-    same = [F.col(c).eqNullSafe(F.col(f"_c{c}")) for c in by]
-    cond = same[0]
-    for c in same[1:]:
-        cond = cond & c
-    grouped = (rows.join(F.broadcast(named), cond)
-               .groupBy(*by, "_chunks", F.pmod("_h", F.col("_chunks")).alias("_chunk"))
-               .agg(F.array_sort(F.collect_list(F.struct("_o", "_h", "_e"))).alias("_items")))
-    # a chunk that came out too large by chance is cut; numbers stay unique within a snapshot
-    cut = grouped.withColumn("_part", F.explode(F.expr(f"sequence(0, (size(_items) - 1) div {per_envelope})")))
-    items = F.expr(f"slice(_items, cast(_part * {per_envelope} + 1 as int), {per_envelope})")
-    arr = F.transform(items, lambda x: x["_e"])
-    head = F.to_json(F.struct(F.col("source"), iso_utc("extracted_at").alias("extracted_at_utc")))
-    tail = [F.concat(F.lit(f',"{n}":'), F.col(f"_x_{n}").cast("string")) for n in extra]
-    # '{"source":…,"extracted_at_utc":…' + ',"payload":{"<list>":[' + entries + ']…}}'
-    body = F.concat(F.regexp_replace(head, "}$", ""), F.lit(',"payload":{"'), F.col("_field"), F.lit('":['),
-                    F.array_join(arr, ","), F.lit("]"), *tail, F.lit("}}"))
-    return cut.select("source", "extracted_at", (F.col("_chunk") + F.col("_part") * F.col("_chunks")).alias("envelope_no"),
-                      *[F.col(f"_x_{n}").alias(n) for n in extra], body.alias("body"))
+    slim = [src.alias("source"), field.alias("_field"), F.col(snapshot_col).alias("extracted_at"),
+            *[c.alias(f"_x_{n}") for n, c in extra.items()], F.xxhash64(row_id_col).alias("_h")]
+    return EnvelopePlan(entries.select(*slim, order.alias("_o"), js.alias("_e")),
+                        (entries if narrow is None else narrow).select(*slim), list(extra), per_envelope)
+
+
+def build_envelopes(entries: DataFrame, *args, **kwargs) -> DataFrame:
+    """All envelopes of ``plan_envelopes`` with these arguments: (source, extracted_at, envelope_no, extra values, body)."""
+    return plan_envelopes(entries, *args, **kwargs).bodies().drop("file_no")

@@ -15,27 +15,26 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapmart.functions.variant import as_string
+from snapmart.session import fresh_dir
 
 RAW_COLUMNS = ["source", "s3_key", "extracted_at", "payload", "loaded_at"]
 
 
 def scan_landing(spark: SparkSession, root, multi_line: bool = True, source: str | None = None,
-                 extract_date: str | None = None, fail_fast: bool = True, base: str | None = None,
-                 names: str | None = None) -> DataFrame:
-    """Returns (source, extract_date, file_path, payload).
+                 extract_date: str | None = None, fail_fast: bool = True, base: str | None = None) -> DataFrame:
+    """Returns (source, extract_date, file_path, payload), and ``file`` where that is a partition.
 
-    ``root`` is the landing root, or a list of its files with the root as ``base``.  ``multi_line``: one document a file, pretty-printed or not; else one document a line.
+    ``root`` is the landing root, or a list of its files or folders with the root as ``base``.
+    ``multi_line``: one document a file, pretty-printed or not; else one document a line.
     ``source``/``extract_date`` filters hit partition columns and prune
-    directories before any file is opened (S8); ``names`` is a glob for the files' names.
+    directories before any file is opened (S8).
     """
     reader = (spark.read.option("multiLine", multi_line).option("singleVariantColumn", "payload")
               .option("mode", "FAILFAST" if fail_fast else "PERMISSIVE")
               .option("basePath", base or root))
-    if names is not None:
-        reader = reader.option("pathGlobFilter", names)
-    df = reader.json(root if base else _partition_path(spark, root, source, extract_date)).select(
-        F.col("source").cast("string").alias("source"), F.col("extract_date").cast("string").alias("extract_date"),
-        F.col("_metadata.file_path").alias("file_path"), "payload")
+    df = reader.json(root if base else _partition_path(spark, root, source, extract_date))
+    df = df.select(F.col("source").cast("string").alias("source"), F.col("extract_date").cast("string").alias("extract_date"),
+                   *[F.col(c).cast("string").alias(c) for c in ("file",) if c in df.columns], F.col("_metadata.file_path").alias("file_path"), "payload")
     if source is not None:
         df = df.where(F.col("source") == source)
     if extract_date is not None:
@@ -53,9 +52,9 @@ def _partition_path(spark: SparkSession, root: str, source: str | None, extract_
     return [st.getPath().toString() for st in found] if found and (source or extract_date) else root
 
 
-def list_files(spark: SparkSession, root: str, extract_date: str) -> DataFrame:
-    """(source, s3_key, file_path) of a day's landed files, from a listing: no file is opened."""
-    path = _partition_path(spark, root, None, extract_date)
+def list_files(spark: SparkSession, root: str, extract_date: str | None) -> DataFrame:
+    """(source, s3_key, file_path) of a day's landed files (all days' without one), from a listing: no file is opened."""
+    path = _partition_path(spark, root, "*", extract_date)
     if path == root:
         return spark.createDataFrame([], "source string, s3_key string, file_path string")
     files = spark.read.format("binaryFile").option("basePath", root).load(path)
@@ -65,22 +64,10 @@ def list_files(spark: SparkSession, root: str, extract_date: str) -> DataFrame:
                         F.col("path").alias("file_path"))
 
 
-def plain_files(spark: SparkSession, root: str, extract_date: str, keys: DataFrame | None) -> DataFrame:
-    """``list_files`` without what holds envelopes landed by key, and without files whose own key is among the landed ``keys``.
-
-    Files landed by key are told by their name; before they had one of their own they were called
-    ``part-...``, as other writers' may be, so where keys were landed the lines of such files decide.
-    """
-    from snapmart.sources.landing import LANDED
-
-    files = list_files(spark, root, extract_date).where(~F.col("s3_key").rlike(f"/{LANDED}-[^/]*$"))
-    if keys is None:
-        return files
-    unsure = [r["file_path"] for r in files.where(F.col("s3_key").rlike(r"/part-[^/]*\.txt[^/]*$")).select("file_path").collect()]
-    if unsure:
-        lines = spark.read.text(unsure).where(F.col("value").startswith('{"landing_key":'))
-        files = files.join(lines.select(relative_file_key("_metadata.file_path").alias("s3_key")).distinct(), "s3_key", "left_anti")
-    return files.join(keys.select(relative_file_key("s3_key").alias("s3_key")), "s3_key", "left_anti")
+def plain_files(spark: SparkSession, root: str, extract_date: str | None, keys: DataFrame | None) -> DataFrame:
+    """``list_files`` without files whose own key is among the landed ``keys`` (what is landed by key lies elsewhere)."""
+    files = list_files(spark, root, extract_date)
+    return files if keys is None else files.join(keys.select(relative_file_key("s3_key").alias("s3_key")), "s3_key", "left_anti")
 
 
 def relative_file_key(path) -> Column:
@@ -88,27 +75,54 @@ def relative_file_key(path) -> Column:
     return F.regexp_replace(path, "^.*?/(source=)", "$1")
 
 
-def scan_keys(spark: SparkSession, root: str, keys: DataFrame, extract_date: str | None = None) -> DataFrame:
-    """The envelopes of exactly the listed landed keys: (source, extract_date, s3_key, payload).
+#: Files (and keys of files that are read in part) sent to every task; beyond that their joins shuffle.
+MANY_FILES = 200_000
 
-    ``keys`` has ``s3_key`` and the ``batch`` that landed it (``landing.landed_keys``):
-    lines of an older or unfinished write are left out, and files of other writers are not opened.
+
+def scan_keys(spark: SparkSession, root: str, keys: DataFrame, extract_date: str | None = None, source: str | None = None) -> DataFrame:
+    """The envelopes of exactly the listed landed keys: (source, extract_date, s3_key, payload).
+
+    ``keys`` are rows of ``landing.landed_keys``.  Files all of whose keys are asked for are
+    taken as they are; lines are compared with keys only in the others (an older write that
+    was replaced in part).  Files of unfinished writes hold no listed key.
     """
-    scan = scan_landing(spark, root, multi_line=False, extract_date=extract_date, names="{landed,part}-*.txt*")
-    named = scan.withColumn("s3_key", as_string("payload", "$.landing_key")).withColumn("batch", as_string("payload", "$.landing_batch"))
-    return named.join(keys.select("s3_key", "batch"), ["s3_key", "batch"], "left_semi").select(
-        "source", "extract_date", "s3_key", "payload")
+    from snapmart.sources.landing import DATA
+
+    at = ["source", "extract_date", "file"]
+    if source is not None:
+        keys = keys.where(F.col("source") == source)
+    if extract_date is not None:
+        keys = keys.withColumn("extract_date", F.lit(extract_date))
+    path = fresh_dir(spark, "scan-files")
+    keys.groupBy(*at).agg((F.count(F.lit(1)) == F.max("in_file")).alias("_whole")).write.parquet(path)
+    files = spark.read.schema("source string, extract_date string, file string, _whole boolean").parquet(path)
+    n, n_part = files.agg(F.count(F.lit(1)), F.count_if(~F.col("_whole"))).first()
+    if not n:
+        return spark.createDataFrame([], "source string, extract_date string, s3_key string, payload variant")
+    scan = scan_landing(spark, f"{root.rstrip('/')}/{DATA}", multi_line=False, extract_date=extract_date, source=source)
+    # asked for, so that the reader never goes without the document (Spark 4.1 fails then)
+    scan = scan.where(F.col("payload").isNotNull()).withColumn("s3_key", as_string("payload", "$.landing_key"))
+    named = scan.join(F.broadcast(files) if n <= MANY_FILES else files, at)
+    if n_part:
+        some = keys.join(files.where(~F.col("_whole")).select(*at), at).select(*at, "s3_key", F.lit(True).alias("_asked"))
+        some = F.broadcast(some) if some.count() <= MANY_FILES else some
+        named = named.join(some, [*at, "s3_key"], "left").where(F.col("_whole") | F.col("_asked"))
+    return named.select("source", "extract_date", "s3_key", "payload")
 
 
 def load_key(spark: SparkSession, root: str, key: str) -> DataFrame:
-    """The envelopes of one key, reading its own partition only; no rows if it was not landed."""
-    from snapmart.sources.landing import landed_keys
+    """The envelopes of one key, out of the one file that the key list names; no rows if it was not landed."""
+    from snapmart.sources.landing import DATA, landed_keys
 
-    keys = landed_keys(spark, root)
-    if keys is None or keys.where(F.col("s3_key") == key).isEmpty():
+    day = re.search(r"source=([^/]+)/extract_date=([^/]+)/", key)
+    keys = landed_keys(spark, root, day[2] if day else None)
+    found = keys.where(F.col("s3_key") == key).first() if keys is not None else None
+    if found is None:
         return spark.createDataFrame([], "source string, extract_date string, s3_key string, payload variant")
-    day = re.search(r"extract_date=([^/]+)", key)
-    return scan_keys(spark, root, keys.where(F.col("s3_key") == key), day[1] if day else None)
+    base = f"{root.rstrip('/')}/{DATA}"
+    scan = scan_landing(spark, [f"{base}/source={found['source']}/extract_date={found['extract_date']}/file={found['file']}"], multi_line=False, base=base)
+    return scan.withColumn("s3_key", as_string("payload", "$.landing_key")).where(F.col("s3_key") == key).select(
+        "source", "extract_date", "s3_key", "payload")
 
 
 def to_raw(scan: DataFrame, source: str | None = None, loaded_at=None, key_col: str = "file_path",

@@ -136,7 +136,10 @@ def test_create_objects(spark):
     catalog.create_objects(spark, root)  # idempotent
     assert {r.namespace for r in spark.sql("SHOW DATABASES").collect()} >= {"raw", "staging", "mart"}
     assert spark.table("raw.raw_load_audit").columns == ["source", "s3_key", "target_table", "rows_loaded", "status",
-                                                         "loaded_at"]
+                                                         "loaded_at", "batch"]
+    other = fresh_dir(spark, "wh")
+    catalog.create_objects(spark, other)  # another root: declared anew
+    assert other in spark.sql("DESCRIBE TABLE EXTENDED raw.raw_load_audit").where("col_name = 'Location'").first()["data_type"]
 
 
 def test_quality_checks(spark):
@@ -152,12 +155,12 @@ def test_quality_checks(spark):
 
 
 def test_envelopes_stay_bounded_for_a_hot_snapshot_of_copies(spark):
-    from snapmart.sources.envelope import build_envelopes, with_row_id
+    from snapmart.sources.envelope import build_envelopes
     # 3,000 identical entries, all in one snapshot, spread over several scan partitions
     rows = spark.range(3000, numPartitions=3).select(
         F.lit("2026-04-01 09:00:00").cast("timestamp_ntz").alias("snap"),
         F.struct(F.lit(1).alias("id"), F.lit("same").alias("name")).alias("entry"))
-    env = build_envelopes(with_row_id(rows), "rawg", "snap", "entry", per_envelope=50)
+    env = build_envelopes(rows.withColumn("_row_id", F.monotonically_increasing_id()), "rawg", "snap", "entry", per_envelope=50)
     sizes = env.select(F.size(F.variant_get(F.parse_json("body"), "$.payload.results", "array<variant>")).alias("n"))
     got = [r.n for r in sizes.collect()]
     assert sum(got) == 3000 and max(got) <= 50 and len(got) >= 60
@@ -246,7 +249,7 @@ def test_landing_by_key_gates_before_the_write_and_replaces_when_forced(spark):
     status = lambda df: sorted((r.s3_key[-6], r.upload_status) for r in df.collect())
     assert status(landing.land(_envelopes(spark, 2), root)) == [("0", "uploaded"), ("1", "uploaded")]
     assert status(landing.land(_envelopes(spark, 3), root)) == [("0", "skipped_existing"), ("1", "skipped_existing"), ("2", "uploaded")]
-    lines = lambda: spark.read.text(root).count()
+    lines = lambda: spark.read.text(f"{root}/{landing.DATA}").count()
     assert lines() == 3
     changed = _envelopes(spark, 1).withColumn("body", F.regexp_replace("body", '"id": 0', '"id": 99'))
     landing.land(changed, root, force=True)
@@ -254,7 +257,8 @@ def test_landing_by_key_gates_before_the_write_and_replaces_when_forced(spark):
     ids = lambda df: sorted(r.i for r in df.select(as_number("payload", "$.payload.results[0].id").alias("i")).collect())
     assert ids(jsonscan.scan_keys(spark, root, landing.landed_keys(spark, root))) == [1, 2, 99]
     # lines of a write whose keys were never listed are not part of the landing
-    landing.write_landing(_envelopes(spark, 5), root, batch="unfinished")
+    spark.createDataFrame([("rawg", "2026-04-01", "unfinished", '{"landing_key":"x","payload":{}}')], "source string, extract_date string, file string, value string") \
+        .write.mode("append").partitionBy("source", "extract_date", "file").text(f"{root}/{landing.DATA}")
     assert ids(jsonscan.scan_keys(spark, root, landing.landed_keys(spark, root))) == [1, 2, 99]
     key = "raw/source=rawg/extract_date=2026-04-01/rawg_games_2.json"
     assert ids(jsonscan.load_key(spark, root, key)) == [2]
@@ -264,10 +268,10 @@ def test_landing_by_key_gates_before_the_write_and_replaces_when_forced(spark):
 def test_envelopes_do_not_depend_on_the_splits(spark):
     from snapmart.plans import world
     sf = "/root/testdata/sf0.001"
-    first = {(r.envelope_no, r.extracted_at, r.body) for r in world.order_envelopes(spark, sf, 20).collect()}
+    first = {(r.envelope_no, r.extracted_at, r.body) for r in world.order_envelopes(spark, sf, 20).bodies().collect()}
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
     try:
-        again = {(r.envelope_no, r.extracted_at, r.body) for r in world.order_envelopes(spark, sf, 20).collect()}
+        again = {(r.envelope_no, r.extracted_at, r.body) for r in world.order_envelopes(spark, sf, 20).bodies().collect()}
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert first == again and len({(n, t) for n, t, _ in first}) == len(first)
@@ -276,7 +280,7 @@ def test_envelopes_do_not_depend_on_the_splits(spark):
 @pytest.mark.parametrize("every", ["year", "month"])
 def test_mean_envelope_size_is_near_the_stated_one(spark, every):
     from snapmart.plans import world
-    env = world.order_envelopes(spark, "/root/testdata/sf0.01", 50, every=every)
+    env = world.order_envelopes(spark, "/root/testdata/sf0.01", 50, every=every).bodies()
     n = env.select(F.size(F.variant_get(F.parse_json("body"), "$.payload.results", "array<variant>")).alias("n"))
     mean, most = n.agg(F.avg("n"), F.max("n")).first()
     assert 0.7 * 50 <= mean <= 50 and most <= 50
@@ -310,24 +314,131 @@ def test_category_flatten_skips_non_objects(spark):
     assert [tuple(r) for r in rows] == [("a", "A", 1), ("b", None, 2)]
 
 
-def test_bucketed_upsert_rewrites_only_touched_buckets(spark):
-    import glob
-    from snapmart.operators.merge import BUCKET_COL, upsert, upsert_buckets
-    schema = "k long, v string"
-    table = fresh_dir(spark, "bucketed")
-    first = spark.range(100).selectExpr("id AS k", "concat('v', id) AS v")
-    assert len(upsert_buckets(spark, first, table, "k", 16, fresh_dir(spark, "stage"))) == 16
-    files_before = {b: sorted(glob.glob(f"{table}/{BUCKET_COL}={b}/*.parquet")) for b in range(16)}
-    upd = spark.createDataFrame([(3, "new3"), (1000, "new1000")], schema)
-    touched = upsert_buckets(spark, upd, table, "k", 16, fresh_dir(spark, "stage"))
-    assert 1 <= len(touched) <= 2
-    for b in range(16):
-        if b not in touched:
-            assert sorted(glob.glob(f"{table}/{BUCKET_COL}={b}/*.parquet")) == files_before[b]
-    got = spark.read.parquet(table).drop(BUCKET_COL)
-    want = upsert(first, upd, "k")
+def test_a_plan_lands_only_new_envelopes_and_its_keys_are_those_of_its_bodies(spark):
+    from snapmart.plans import world
+    from snapmart.sources import jsonscan, landing
+    sf, root = "/root/testdata/sf0.001", fresh_dir(spark, "landing")
+    plan = world.order_envelopes(spark, sf, 20)
+    keys = {(r.envelope_no, r.extracted_at) for r in plan.keys().collect()}
+    bodies = {(r.envelope_no, r.extracted_at): r.body for r in plan.bodies().collect()}
+    assert keys == set(bodies)
+    half = landing.envelope_keys(plan.bodies()).where("envelope_no % 2 = 0")
+    n_half = half.count()
+    landing.land(half, root)
+    status = landing.land(plan, root)
+    assert status.where("upload_status = 'skipped_existing'").count() == n_half
+    got = jsonscan.scan_keys(spark, root, landing.landed_keys(spark, root))
+    assert got.count() == len(bodies) == got.select("s3_key").distinct().count()
+    total = got.agg(F.sum(F.size(F.variant_get("payload", "$.payload.results", "array<variant>")))).first()[0]
+    assert total == spark.read.parquet(f"{sf}/orders.parquet").count()
+    # half of one file's keys: lines are compared with keys
+    some = landing.landed_keys(spark, root).where("substring(s3_key, -6, 1) = '1'")
+    assert jsonscan.scan_keys(spark, root, some).count() == some.count() > 0
+
+
+def test_one_key_opens_one_file(spark):
+    from snapmart.plans import world
+    from snapmart.sources import jsonscan, landing
+    root = fresh_dir(spark, "landing")
+    landing.land(world.order_envelopes(spark, "/root/testdata/sf0.001", every="month"), root)
+    key = landing.landed_keys(spark, root).first()["s3_key"]
+    scan = jsonscan.load_key(spark, root, key)
+    assert len(scan.inputFiles()) == 1 and [r.s3_key for r in scan.collect()] == [key]
+
+
+def test_a_write_without_all_its_envelopes_lists_nothing(spark):
+    import dataclasses
+    from snapmart.plans import world
+    from snapmart.sources import landing
+    root = fresh_dir(spark, "landing")
+    plan = world.order_envelopes(spark, "/root/testdata/sf0.001", 20)
+    torn = dataclasses.replace(plan, rows=plan.rows.where("extracted_at > '1997-01-01'"))
+    with pytest.raises(landing.IncompleteLanding):
+        landing.land(torn, root)
+    assert landing.landed_keys(spark, root) is None
+
+
+def test_key_stream_loads_each_key_once_and_unlisted_lines_never(spark):
+    from snapmart.sources import landing
+    from snapmart.streaming.file_load import load_keys_stream
+    root, raw, ckpt = fresh_dir(spark, "landing"), fresh_dir(spark, "raw"), fresh_dir(spark, "ckpt")
+    landing.land(_envelopes(spark, 3), root)
+    landing.land(_envelopes(spark, 2), root, force=True)
+    spark.createDataFrame([("rawg", "2026-04-01", "unfinished", '{"landing_key":"x","payload":{}}')], "source string, extract_date string, file string, value string") \
+        .write.mode("append").partitionBy("source", "extract_date", "file").text(f"{root}/{landing.DATA}")
+    load_keys_stream(spark, root, raw, ckpt)
+    landing.land(_envelopes(spark, 4), root, force=True)
+    load_keys_stream(spark, root, raw, ckpt)
+    rows = spark.read.parquet(raw)
+    assert sorted(r.s3_key[-6] for r in rows.select("s3_key").collect()) == ["0", "1", "2", "3"]
+
+
+def test_manifest_merge_is_one_commit_and_touches_only_its_buckets(spark):
+    from snapmart.operators.merge import BUCKET_COL, upsert
+    from snapmart.sources import manifest
+    root, schema = fresh_dir(spark, "bucketed"), "k long, v string"
+    assert manifest.read(spark, root) is None
+    first = spark.range(100).selectExpr("id AS k", "concat('v', id) AS v").unionByName(spark.createDataFrame([(None, "n")], schema))
+    assert manifest.merge(spark, first, root, "k", 16) == [-1, *range(16)]
+    before = manifest.current(spark, root)
+    upd = spark.createDataFrame([(3, "new3"), (1000, "new1000"), (None, "n")], schema)
+    reader = manifest.read(spark, root)
+
+    def die():
+        raise RuntimeError("killed before the commit")
+
+    with pytest.raises(RuntimeError):
+        manifest.merge(spark, upd, root, "k", 16, before_commit=die)
+    assert manifest.current(spark, root) == before and manifest.read(spark, root).count() == 101
+    touched = manifest.merge(spark, upd, root, "k", 16)
+    after = manifest.current(spark, root)
+    assert -1 in touched and 2 <= len(touched) <= 3
+    assert all(after["folders"][str(b)] == before["folders"][str(b)] for b in range(16) if b not in touched)
+    want = upsert(first, upd, "k")  # NULL keys are inserted again (T10)
+    got = manifest.read(spark, root).drop(BUCKET_COL)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
-    # running the same merge again changes nothing
-    upsert_buckets(spark, upd, table, "k", 16, fresh_dir(spark, "stage"))
-    again = spark.read.parquet(table).drop(BUCKET_COL)
-    assert again.exceptAll(want).count() == 0 and want.exceptAll(again).count() == 0
+    assert reader.count() == 101  # a plan made before reads what it was made for
+    only = manifest.read(spark, root, only=[b for b in touched if b >= 0])
+    assert {r[0] for r in only.select(BUCKET_COL).distinct().collect()} == set(touched) - {-1}
+    with pytest.raises(manifest.CommitConflict):
+        manifest.merge(spark, upd, root, "k", 16, before_commit=lambda: manifest.merge(spark, upd.where("k = 3"), root, "k", 16))
+    rows = manifest.read(spark, root).count()
+    assert manifest.expire(spark, root, 1) and manifest.read(spark, root).count() == rows
+    assert len(manifest.published(spark, f"{root}/{manifest.MANIFESTS}")) == 1
+
+
+def test_latest_snapshot_from_the_ledger_prunes_batches(spark):
+    from snapmart.sources import ledger
+    wh = fresh_dir(spark, "warehouse")
+    assert ledger.latest_raw(spark, wh, "rawg_games_raw", "rawg").count() == 0
+    for day, times in (("1", ["2026-04-01 09:00:00", None]), ("2", ["2026-04-02 09:00:00", "2026-04-01 09:00:00"]), ("3", ["2026-04-02 09:00:00"]), ("4", [None])):
+        rows = spark.createDataFrame([("rawg", f"{day}-{k}", t) for k, t in enumerate(times)], "source string, s3_key string, t string").select(
+            "source", "s3_key", F.col("t").cast("timestamp_ntz").alias("extracted_at"), F.parse_json(F.lit("{}")).alias("payload"),
+            F.lit("2026-04-03 00:00:00").cast("timestamp_ntz").alias("loaded_at"))
+        rows.write.parquet(ledger.batch_path(wh, "rawg_games_raw", day))
+        rows.groupBy("source", "extracted_at").agg(F.count("*").alias("n_rows")).write.parquet(ledger.batch_path(wh, ledger.SNAPSHOTS, day))
+        if day != "4":
+            ledger.commit(spark, wh, day)
+    latest = ledger.latest_raw(spark, wh, "rawg_games_raw", "rawg")
+    assert sorted(r.s3_key for r in latest.collect()) == ["2-0", "3-0"]
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [batch" in plan and "EqualTo(extracted_at" in plan and "ScalarSubquery" not in plan
+    assert ledger.sweep(spark, wh) == ["rawg_games_raw/batch=4", "snapshots/batch=4"]
+
+
+def test_head_in_place_equals_a_plain_head(spark):
+    from snapmart.sources import category
+    docs, want, total = [], [], {}
+    for snap in ("s1", "s2"):
+        every = []
+        for doc in range(6):
+            sizes = [(doc * 7 + c * 3) % 5 if snap == "s1" else 0 for c in range(3)]
+            cats = {f"c{c}": {"name": f"C{c}", "items": [{"id": doc * 100 + c * 10 + k} for k in range(n)]} for c, n in enumerate(sizes)}
+            docs.append((snap, doc, json.dumps({**cats, "none": {"name": "x"}, "status": 1})))
+            every += [(c, doc, k, doc * 100 + c * 10 + k) for c, n in enumerate(sizes) for k in range(n)]
+        total[snap] = len(every)
+        want += [(snap, f"c{c}", i, rank + 1, len(every)) for rank, (c, d, k, i) in enumerate(sorted(every)[:11])]
+    df = spark.createDataFrame(docs, "snap string, doc_no int, doc string")
+    head = category.head_in_place(df, "doc", ["snap"], ["doc_no"], 11)
+    got = head.select("snap", "category_key", as_number("item", "$.id").alias("i"), "item_rank", "total_available").collect()
+    assert sorted(map(tuple, got)) == sorted(want) and len(want) == 11
