@@ -8,11 +8,15 @@ from pyspark.sql import functions as F
 from . import shared
 
 
-def learn_labels(labels: DataFrame, column: str) -> DataFrame:
-    """``doc_id`` and ``y`` (0 or 1) of the rows that may be learnt from: not held out, one per id (1 if any says so)."""
+def learn_labels(labels: DataFrame, column: str, docs: DataFrame | None = None) -> DataFrame:
+    """``doc_id`` and ``y`` (0 or 1) of the rows that may be learnt from: not held out, one per id (1 if any says so).
+
+    With ``docs`` only labels of ids that these hold: a bounded sample is then drawn from what it is joined with.
+    """
     rows = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(column).cast("int").alias("y"))
-    return (rows.where(F.col("doc_id").isNotNull() & F.col("y").isNotNull() & ~shared.held_out("doc_id"))
-            .groupBy("doc_id").agg(F.max((F.col("y") > 0).cast("int")).alias("y")))
+    found = (rows.where(F.col("doc_id").isNotNull() & F.col("y").isNotNull() & ~shared.held_out("doc_id"))
+             .groupBy("doc_id").agg(F.max((F.col("y") > 0).cast("int")).alias("y")))
+    return found if docs is None else found.join(docs.select(F.col("doc_id").cast("bigint").alias("doc_id")), "doc_id", "left_semi")
 
 
 def sample(learn: DataFrame, ones: int, zeros: int) -> DataFrame:

@@ -82,8 +82,8 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score every whole text by the positive-unlabelled quality model."""
-    docs = shared.read_table(spark, sf_dir, "documents")
-    return quality_pu.classify(docs, quality_pu.train(docs, shared.read_table(spark, sf_dir, "labels")))
+    found = shared.cut(quality_pu.measured(shared.read_table(spark, sf_dir, "documents")))
+    return quality_pu.scored(found, quality_pu.fit(found, shared.read_table(spark, sf_dir, "labels")))
 
 
 def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

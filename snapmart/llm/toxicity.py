@@ -33,6 +33,7 @@ score; an empty table gives no rows.
 
 from __future__ import annotations
 
+import warnings
 import random
 import re
 from collections import Counter, defaultdict
@@ -277,10 +278,11 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[np.ndar
 
 def train(docs: DataFrame, labels: DataFrame, toxic: int = TOXIC, ordinary: int = ORDINARY) -> Model | None:
     """Dictionaries and calibration from at most ``toxic`` and ``ordinary`` labelled documents; None without both."""
-    learn = labelled.learn_labels(labels, "toxic")
+    learn = shared.cut(labelled.learn_labels(labels, "toxic", docs))
     texts = shared.cut(labelled.with_text(docs, labelled.sample(learn, toxic, ordinary), toxic + ordinary))
     n = {(r["half"], r["y"]): r["n"] for r in texts.groupBy("half", "y").agg(F.count("*").alias("n")).collect()}
     if not (n.get((0, 1)) and n.get((0, 0))):
+        warnings.warn("too few documents are labelled toxic or ordinary: none will be marked", stacklevel=2)
         return None
     fit = texts.where("half = 0")
     n_toxic, n_ordinary = n[0, 1], n[0, 0]
@@ -298,6 +300,7 @@ def train(docs: DataFrame, labels: DataFrame, toxic: int = TOXIC, ordinary: int
     common = [bytes(r["gram"]) for r in counts.where("kind = 1 and o > 0").orderBy(F.desc("o"), "gram").limit(COMMON).collect()]
     picked = _covering(fit.where("y = 1"), candidates, least)
     if not picked:
+        warnings.warn("nothing tells toxic documents from ordinary ones: none will be marked", stacklevel=2)
         return None
     # What a dictionary holds last is nearest and cheapest to name: the most useful entries go there.
     bad = wide(b"".join([p if p[:1] == b" " else b"\0" + p for p in reversed(picked)]) + b" ")

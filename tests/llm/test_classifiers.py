@@ -60,13 +60,50 @@ def test_quality_ignores_negatives_and_held_out_labels(spark):
     assert quality_pu.train(docs, labels) == quality_pu.train(docs, flipped)
 
 
-def test_risk_on_negatives_stays_above_zero():
+def plain_fit(x, positive):
+    """The fit over rows in memory."""
+    mean, spread = x.mean(axis=0), np.sqrt(np.maximum((x * x).mean(axis=0) - x.mean(axis=0) ** 2, 0)) + 1e-6
+    z = np.c_[(x - mean) / spread, np.ones(len(x))]
+
+    def sums(w):
+        return quality_pu.group_sums(z, positive, w)
+
+    f = z @ quality_pu.tell_apart(sums, z.shape[1])
+    prior = min((f >= t).mean() / (f[positive] >= t).mean() for t in np.arange(-20, 20, 0.01) if (f[positive] >= t).mean() >= 0.9)
+    w, negative = quality_pu.minimise(sums, z.shape[1], prior)
+    return 1 / (1 + np.exp(-z @ w)), prior, negative
+
+
+def test_fit_equals_a_plain_one_over_all_rows(spark):
+    docs, labels, truth = corpus(spark, 500)
+    rows = [r for r in docs.collect() if not held(r["doc_id"])]
+    x = np.array([quality_pu.measurements(r["text"]) for r in rows])
+    want, prior, negative = plain_fit(x, np.array([truth[r["doc_id"]][0] == 1 for r in rows]))
+    model = quality_pu.train(docs, labels)
+    assert abs(model.prior - prior) < 0.01 and negative >= 0
+    assert abs(prior - np.mean([truth[r["doc_id"]][0] for r in rows])) < 0.1
+    got = {r["doc_id"]: r["score"] for r in quality_pu.classify(docs, model).collect()}
+    assert max(abs(got[r["doc_id"]] - w) for r, w in zip(rows, want, strict=True)) < 0.02
+
+
+def test_risk_on_negatives_stays_above_zero_and_the_prior_is_found():
     rng = np.random.default_rng(1)
-    pos, unl = rng.standard_normal((200, 3)) + 2, np.concatenate([rng.standard_normal((300, 3)) + 2, rng.standard_normal((100, 3)) - 2])
-    weights, bias = quality_pu.fit_matrix(pos, unl, 0.75)
-    p, u = pos @ weights + bias, unl @ weights + bias
-    assert np.logaddexp(0, u).mean() - 0.75 * np.logaddexp(0, p).mean() > -0.05
-    assert (u[300:] < 0).mean() > 0.95 and (u[:300] > 0).mean() > 0.95
+    for share in (0.3, 0.75):
+        n = int(4000 * share)
+        x = np.concatenate([rng.standard_normal((800, 3)) + 2, rng.standard_normal((n, 3)) + 2, rng.standard_normal((4000 - n, 3)) - 2])
+        positive = np.arange(len(x)) < 800
+        score, prior, negative = plain_fit(x, positive)
+        true = (800 + n) / len(x)
+        assert negative >= 0 and abs(prior - true) < 0.05
+        assert (score[800 + n:] < 0.5).mean() > 0.95 and (score[:800 + n] > 0.5).mean() > 0.95
+
+
+def test_labels_of_other_ids_change_nothing(spark):
+    docs, labels, _ = corpus(spark, 400)
+    foreign = spark.range(10_000, 810_000).selectExpr("id AS doc_id", "cast(id % 2 AS int) AS quality", "cast(id % 3 = 0 AS int) AS toxic")
+    more = labels.unionByName(foreign)
+    assert quality_pu.train(docs, labels) == quality_pu.train(docs, more)
+    assert toxicity.train(docs, labels) == toxicity.train(docs, more) is not None
 
 
 def test_toxicity_on_held_out_rows(spark):
