@@ -1,13 +1,10 @@
-"""K1/K2/K5 — KPIs named by the reference's brief, as plain aggregations."""
+"""K1/K2 — KPIs named by the reference's brief, as plain aggregations (K5: ``operators.growth``)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapmart.functions.variant import as_number
-from snapmart.operators.flatten import flatten
-
 
 def release_trend(mart: DataFrame) -> DataFrame:
     """K1: games per release month (NULL month = no release date)."""
@@ -26,19 +23,3 @@ def rating_by_genre(games: DataFrame) -> DataFrame:
     g = games.select(F.explode(genres).alias("genre"), "rating")
     return g.groupBy("genre").agg(F.round(F.avg("rating"), 6).alias("avg_rating"),
                                   F.count(F.lit(1)).alias("game_count"), F.count("rating").alias("rated_games"))
-
-
-def catalog_growth(raw_rawg: DataFrame) -> DataFrame:
-    """K5: distinct games per snapshot and the change from the previous one.
-
-    The distinct count is a grouped aggregate over all history; the ``lag``
-    then runs over one row per snapshot only.
-    """
-    flat = flatten(raw_rawg.select("extracted_at", "payload"), "payload", "$.payload.results", "game",
-                   keep=["extracted_at"])
-    per = (flat.select("extracted_at", as_number("game", "$.id").alias("gid")).groupBy("extracted_at")
-           .agg(F.count_distinct("gid").alias("game_count")))
-    w = Window.orderBy("extracted_at")  # one row per snapshot: no partition needed
-    prev = F.lag("game_count").over(w)
-    return per.select("extracted_at", "game_count", prev.alias("prev_game_count"),
-                      (F.col("game_count") - F.coalesce(prev, F.lit(0))).alias("delta_games"))

@@ -328,9 +328,9 @@ def q_cents_to_money(spark, sf_dir):
 
 @register("latest_snapshot")
 def q_latest_snapshot(spark, sf_dir):
-    """Only the latest snapshot's envelopes; entries per game."""
-    from snapmart.operators.snapshot import latest_snapshot
-    raw = latest_snapshot(world.raw_tables(spark, sf_dir)["rawg"])
+    """Only the latest snapshot's envelopes, found in the snapshot catalogue; entries per game."""
+    from snapmart.operators.snapshot import latest_by_catalogue
+    raw = latest_by_catalogue(world.raw_tables(spark, sf_dir)["rawg"], world.snapshot_catalogue(spark, sf_dir).where("source = 'rawg'"))
     flat = flatten(raw, "payload", "$.payload.results", "game", keep=["extracted_at"])
     return (flat.groupBy("extracted_at", as_number("game", "$.id").alias("rawg_game_id"))
             .agg(F.count(F.lit(1)).alias("n_entries")))
@@ -521,9 +521,11 @@ def q_kpi_rating_by_genre(spark, sf_dir):
 
 @register("kpi_catalog_growth")
 def q_kpi_catalog_growth(spark, sf_dir):
-    """K5: distinct games per snapshot over all history, with the change."""
-    from snapmart.plans import kpis
-    return kpis.catalog_growth(world.raw_tables(spark, sf_dir)["rawg"])
+    """K5: distinct games per snapshot over all history, with the change, from the snapshots' stored id sets."""
+    from snapmart.operators import growth
+    raw = world.raw_tables(spark, sf_dir)["rawg"]
+    states = world.written(spark, sf_dir, "growth-states", lambda p: growth.snapshot_state(raw).write.parquet(p))
+    return growth.catalog_growth(spark.read.schema(growth.STATE_SCHEMA).parquet(states))
 
 
 # ----------------------------------------------------------------- checks

@@ -80,6 +80,7 @@ def load_landed(spark, landing_root: str, warehouse: str, extract_date: str | No
     (``sources.ledger``): a load that dies before leaves nothing that counts, and one that is
     repeated loads every key once.  ``before_commit`` is called right before that (for tests).
     """
+    from snapmart.operators import growth
     from snapmart.operators.loads import SOURCE_TABLES, STATUS_SKIPPED, plan_status, rows_per_file
     from snapmart.session import fresh_dir, use_unshredded_variants
     from snapmart.sources import catalog, landing, ledger
@@ -118,6 +119,8 @@ def load_landed(spark, landing_root: str, warehouse: str, extract_date: str | No
         copied = spark.read.schema(catalog.RAW_TABLE_DDL[table]).parquet(ledger.batch_path(warehouse, table, batch))
         copied.groupBy("source", "extracted_at").agg(F.count("*").alias("n_rows")).write.mode("append").parquet(
             ledger.batch_path(warehouse, ledger.SNAPSHOTS, batch))
+        if source == "rawg":
+            growth.snapshot_state(copied).write.parquet(ledger.batch_path(warehouse, ledger.GROWTH, batch))
         counts = rows_per_file(copied.select("source", "s3_key", F.col("loaded_at").alias("payload")))
         loaded = counts if loaded is None else loaded.unionByName(counts)
     if loaded is None:
@@ -158,6 +161,7 @@ def daily_run(spark, landing_root: str, warehouse: str, extract_date: str, force
     Returns the run's audit rows, the check report, freshness and the models.
     """
     from snapmart.operators import quality
+    from snapmart.operators.growth import catalog_growth
     from snapmart.plans import checks
     from snapmart.sources import catalog, landing, ledger, manifest
 
@@ -175,6 +179,7 @@ def daily_run(spark, landing_root: str, warehouse: str, extract_date: str, force
     models = materialize(models, f"{warehouse}/mart", mart_buckets)
     catalog.write_version(checks.all_checks(models, raw_rawg), f"{warehouse}/check_report")
     out |= {"report": catalog.read_current(spark, f"{warehouse}/check_report"), **models}
+    out["kpi_catalog_growth"] = catalog_growth(ledger.read(spark, warehouse, ledger.GROWTH, ledger.GROWTH_SCHEMA))
     if now is not None:
         raws = {s: ledger.read(spark, warehouse, f"{s}_games_raw") for s in ("rawg", "steam")}
         out["freshness"] = checks.freshness_checks(raws, now)

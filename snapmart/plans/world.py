@@ -224,6 +224,16 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {s: raw.where(F.col("source") == s) for s in ("rawg", "steam")}
 
 
+def snapshot_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(source, extracted_at, extract_date) of the written raw tables: which folders hold which snapshot, written once."""
+    def build(path: str) -> None:
+        raw = raw_tables(spark, sf_dir)
+        (raw["rawg"].unionByName(raw["steam"]).groupBy("source", "extracted_at", "extract_date").agg(F.count(F.lit(1)).alias("n_rows"))
+         .write.parquet(path))
+
+    return spark.read.parquet(written(spark, sf_dir, "snapshots", build))
+
+
 def audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """RAW_LOAD_AUDIT rows, one per order."""
     o = table(spark, sf_dir, "orders")

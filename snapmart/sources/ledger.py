@@ -15,6 +15,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from snapmart.operators.growth import STATE_SCHEMA
+from snapmart.operators.snapshot import latest_by_catalogue
 from snapmart.sources.catalog import RAW_TABLE_DDL, _fs, raw_path
 from snapmart.sources.manifest import publish, published
 
@@ -23,6 +25,9 @@ LEDGER = "_ledger"
 SNAPSHOTS = "snapshots"
 SNAPSHOT_SCHEMA = "source string, extracted_at timestamp_ntz, n_rows bigint"
 
+#: The game ids of every snapshot that a batch brought (``operators.growth``).
+GROWTH, GROWTH_SCHEMA = "catalog_growth_state", STATE_SCHEMA
+
 
 def new_batch() -> str:
     return f"{int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}"
@@ -62,18 +67,15 @@ def latest_raw(spark: SparkSession, root: str, table: str, source: str) -> DataF
     path = raw_path(root, SNAPSHOTS)
     fs, p, _ = _fs(spark, path)
     some = batches(spark, root)
-    if not some or not fs.exists(p):
+    if not some or not fs.exists(p) or not fs.exists(_fs(spark, raw_path(root, table))[1]):
         return read(spark, root, table, only=[])
     known = (spark.read.schema(f"{SNAPSHOT_SCHEMA}, batch string").parquet(path)
-             .where(F.col("batch").isin(some) & (F.col("source") == source) & F.col("extracted_at").isNotNull()))
-    newest = known.agg(F.max(F.col("extracted_at")).alias("t"))
-    found = known.join(newest, F.col("extracted_at") == F.col("t")).select("batch", F.col("t").cast("string").alias("t")).distinct().collect()
-    if not found:
-        return read(spark, root, table, only=[])
-    return read(spark, root, table, only=[r["batch"] for r in found]).where(F.col("extracted_at") == F.lit(found[0]["t"]).cast("timestamp_ntz"))
+             .where(F.col("batch").isin(some) & (F.col("source") == source)))
+    raw = spark.read.schema(f"{RAW_TABLE_DDL[table]}, batch string").parquet(raw_path(root, table))
+    return latest_by_catalogue(raw, known, part_col="batch").drop("batch")
 
 
-def sweep(spark: SparkSession, root: str, tables: tuple[str, ...] = (*RAW_TABLE_DDL, SNAPSHOTS)) -> list[str]:
+def sweep(spark: SparkSession, root: str, tables: tuple[str, ...] = (*RAW_TABLE_DDL, SNAPSHOTS, GROWTH)) -> list[str]:
     """Remove folders of batches that were never committed (call it while no load runs); returns them."""
     known, gone = set(batches(spark, root)), []
     for table in tables:

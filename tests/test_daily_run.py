@@ -42,6 +42,9 @@ def test_daily_runs(spark):
     assert {(r.status, r.rows_loaded) for r in again["load_audit"].collect()} == {("skipped_existing", 0)}
     assert _mart_dict(again["mart_games"]) == EXPECTED_MART
 
+    growth = [(r.game_count, r.delta_games) for r in again["kpi_catalog_growth"].orderBy("extracted_at").collect()]
+    assert growth == [(2, 2), (4, 2)]
+
     forced = daily_run(spark, landing, wh, "2026-04-01", force_reload=True, loaded_at="2026-04-01 12:00:00")
     assert {r.status for r in forced["load_audit"].collect()} == {"reloaded"}
     assert _mart_dict(forced["mart_games"]) == EXPECTED_MART  # reloaded rows collapse (T8)

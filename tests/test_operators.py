@@ -442,3 +442,17 @@ def test_head_in_place_equals_a_plain_head(spark):
     head = category.head_in_place(df, "doc", ["snap"], ["doc_no"], 11)
     got = head.select("snap", "category_key", as_number("item", "$.id").alias("i"), "item_rank", "total_available").collect()
     assert sorted(map(tuple, got)) == sorted(want) and len(want) == 11
+
+
+def test_growth_states_of_several_loads_merge_exactly(spark):
+    from snapmart.operators import growth
+
+    def raw(rows):
+        return spark.createDataFrame([(t, json.dumps({"payload": {"results": [{"id": i} for i in ids]}})) for t, ids in rows], "t string, p string").select(
+            F.col("t").cast("timestamp_ntz").alias("extracted_at"), F.parse_json("p").alias("payload"))
+
+    a = raw([("2026-04-01 09:00:00", [1, 2, 2, None, 70_000]), ("2026-04-02 09:00:00", [2])])
+    b = raw([("2026-04-01 09:00:00", [2, 3]), ("2026-04-03 09:00:00", [None]), ("2026-04-04 09:00:00", [9, 10])])
+    states = growth.snapshot_state(a).unionByName(growth.snapshot_state(b))
+    got = [(r.game_count, r.prev_game_count, r.delta_games) for r in growth.catalog_growth(states).orderBy("extracted_at").collect()]
+    assert got == [(4, None, 4), (1, 4, -3), (0, 1, -1), (2, 0, 2)]
