@@ -97,7 +97,9 @@ class EnvelopePlan:
             asked = wanted.select(*[F.col(c).alias(f"_w{c}") for c in (*self.by, "_chunk")]).distinct()
             rows = rows.join(asked, reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_w{c}")) for c in (*self.by, "_chunk")]), "left_semi")
         rows = rows.withColumn("file_no", F.floor(F.col("_chunk") / CHUNKS_PER_FILE).cast("bigint"))
-        grouped = (rows.repartition(*self.by, "file_no").groupBy(*self.by, "file_no", "_chunks", "_chunk")
+        # a stated number of partitions, which stays: few bytes may be many files
+        n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        grouped = (rows.repartition(n, *self.by, "file_no").groupBy(*self.by, "file_no", "_chunks", "_chunk")
                    .agg(F.array_sort(F.collect_list(F.struct("_o", "_h", "_e"))).alias("_items")))
         cut = grouped.withColumn("_part", self._parts(F.size("_items")))
         items = F.slice("_items", (F.col("_part") * self.per_envelope + 1).cast("int"), F.lit(self.per_envelope))
