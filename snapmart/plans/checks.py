@@ -61,25 +61,40 @@ def game_staging_not_null(raw_rawg: DataFrame) -> DataFrame:
                        "failures", F.when(F.col("failures") > 0, F.lit("fail")).otherwise(F.lit("pass")).alias("status"))
 
 
-def not_null_checks(models: dict[str, DataFrame], raw_rawg: DataFrame | None = None) -> DataFrame:
-    """All not_null tests; with ``raw_rawg`` the game staging ones share one flatten."""
-    shared = raw_rawg is not None
-    per_model = [quality.not_null(models[m], m, cols) for m, cols in NOT_NULL.items()
-                 if not (shared and m in GAME_STAGING)]
-    if shared:
-        per_model.append(game_staging_not_null(raw_rawg))
-    return quality.report(*per_model)
+def not_null_checks(models: dict[str, DataFrame], raw_rawg: DataFrame | None = None, counted: dict | None = None) -> DataFrame:
+    """All not_null tests; with ``raw_rawg`` the game staging ones share one flatten, ``counted`` as in ``all_checks``."""
+    return _column_checks(models, raw_rawg, counted or {}, {})
 
 
 def unique_checks(models: dict[str, DataFrame]) -> DataFrame:
     return quality.report(*[quality.unique(models[m], m, c) for m, cols in UNIQUE.items() for c in cols])
 
 
-def all_checks(models: dict[str, DataFrame], raw_rawg: DataFrame | None = None) -> DataFrame:
-    """Every column test; one scan per model, and with ``raw_rawg`` one for all three game staging models."""
-    shared = raw_rawg is not None
-    parts = [quality.column_tests(models[m], m, cols, UNIQUE.get(m, [])) for m, cols in NOT_NULL.items()
-             if not (shared and m in GAME_STAGING)]
+def all_checks(models: dict[str, DataFrame], raw_rawg: DataFrame | None = None,
+               counted: dict[str, dict[str, dict[str, int]]] | None = None) -> DataFrame:
+    """Every column test; one scan per model, and with ``raw_rawg`` one for all three game staging models.
+
+    ``counted``: model -> test -> column -> failures that were counted while the model was written;
+    these tests scan nothing.
+    """
+    return _column_checks(models, raw_rawg, counted or {}, UNIQUE)
+
+
+def _column_checks(models: dict[str, DataFrame], raw_rawg: DataFrame | None, counted: dict, unique: dict[str, list[str]]) -> DataFrame:
+    shared, parts = raw_rawg is not None, []
+    for m, cols in NOT_NULL.items():
+        if shared and m in GAME_STAGING:
+            continue
+        known = counted.get(m, {})
+        wanted = {"not_null": cols, "unique": unique.get(m, [])}
+        done = [(c, t, known[t][c]) for t, names in wanted.items() for c in names if c in known.get(t, {})]
+        nulls, keys = ([c for c in names if c not in known.get(t, {})] for t, names in wanted.items())
+        if done:
+            parts.append(quality.counted_tests(models[m].sparkSession, m, done))
+        if nulls:
+            parts.append(quality.column_tests(models[m], m, nulls, keys))
+        else:
+            parts += [quality.unique(models[m], m, c) for c in keys]
     if shared:
         parts.append(game_staging_not_null(raw_rawg))
     return quality.report(*parts)

@@ -43,7 +43,25 @@ def accumulated_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def written_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The game mart as a table, written once per application: what later models, KPIs and checks read."""
-    return spark.read.parquet(world.written(spark, sf_dir, "mart-games", lambda p: accumulated_mart(spark, sf_dir).write.parquet(p)))
+    return spark.read.parquet(_mart_path(spark, sf_dir))
+
+
+_MART_NULLS: dict[str, dict[str, int]] = {}
+
+
+def _mart_path(spark: SparkSession, sf_dir: str) -> str:
+    from snapmart.plans.checks import NOT_NULL
+    from snapmart.sources import catalog
+
+    def write(path: str) -> None:
+        _MART_NULLS[path] = catalog.write_counted(accumulated_mart(spark, sf_dir), path, NOT_NULL["mart_games"])
+
+    return world.written(spark, sf_dir, "mart-games", write)
+
+
+def _counted(spark: SparkSession, sf_dir: str) -> dict:
+    """What the write of the game mart counted for the column tests."""
+    return {"mart_games": {"not_null": _MART_NULLS[_mart_path(spark, sf_dir)]}}
 
 
 def accumulated_mart_by_models(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -547,7 +565,7 @@ def _models(spark, sf_dir):
 def q_dq_not_null(spark, sf_dir):
     """Q1: not_null tests of all models."""
     from snapmart.plans import checks
-    return checks.not_null_checks(_models(spark, sf_dir), world.raw_tables(spark, sf_dir)["rawg"])
+    return checks.not_null_checks(_models(spark, sf_dir), world.raw_tables(spark, sf_dir)["rawg"], _counted(spark, sf_dir))
 
 
 @register("dq_unique")
@@ -568,7 +586,7 @@ def q_dq_freshness(spark, sf_dir):
 def q_dq_report(spark, sf_dir):
     """Q4: every column test in one report."""
     from snapmart.plans import checks
-    return checks.all_checks(_models(spark, sf_dir), world.raw_tables(spark, sf_dir)["rawg"])
+    return checks.all_checks(_models(spark, sf_dir), world.raw_tables(spark, sf_dir)["rawg"], _counted(spark, sf_dir))
 
 
 # -------------------------------------------------------------- streaming

@@ -47,25 +47,32 @@ MART_BUCKETS = 16
 FILES_AT_ONCE = 10_000
 
 
-def materialize(models: dict[str, DataFrame], root: str, buckets: int = MART_BUCKETS, before_commit=None) -> dict[str, DataFrame]:
+def materialize(models: dict[str, DataFrame], root: str, buckets: int = MART_BUCKETS, before_commit=None,
+                counted: dict | None = None) -> dict[str, DataFrame]:
     """Write the marts (staging stays as views) and return the models re-pointed at the written
     tables, in dependency order: the top-N mart is built from the *written* game mart.
 
     The game mart accumulates: the run's games are merged into its key buckets
     (``sources.manifest``), so only the buckets they touch are rewritten and readers see the
     mart before or after the merge.  The others are written as new table versions.
+    ``counted``, if given, receives what the writes counted for the column tests
+    (model -> test -> column -> failures).
     """
+    from snapmart.plans.checks import NOT_NULL, UNIQUE
     from snapmart.sources import catalog, manifest
 
     spark = models["mart_games"].sparkSession
-    out = dict(models)
-    table = f"{root}/mart_games"
-    manifest.merge(spark, models["mart_games"], table, "rawg_game_id", buckets, before_commit)
+    out, counted = dict(models), {} if counted is None else counted
+    table, [key] = f"{root}/mart_games", UNIQUE["mart_games"]
+    manifest.merge(spark, models["mart_games"], table, key, buckets, before_commit, NOT_NULL["mart_games"])
+    totals = manifest.current(spark, table).get("counts")
+    if totals:
+        counted["mart_games"] = {"not_null": totals["nulls"], "unique": {key: totals["twice"]}}
     written = manifest.read(spark, table)
     out["mart_games"] = models["mart_games"].limit(0) if written is None else written.drop(manifest.BUCKET_COL)
     out["mart_top_rated_games"] = marts.mart_top_rated_games(out["mart_games"])
     for name in VERSIONED_MARTS:
-        catalog.write_version(out[name], f"{root}/{name}")
+        counted[name] = {"not_null": catalog.write_counted(out[name], catalog.new_version(f"{root}/{name}"), NOT_NULL[name])}
         out[name] = catalog.read_current(spark, f"{root}/{name}")
     return out
 
@@ -151,8 +158,8 @@ def daily_run(spark, landing_root: str, warehouse: str, extract_date: str, force
     stage  staging views over the newest snapshot, found in the ledger's snapshot catalogue
     mart   the game mart's touched key buckets are merged and committed by one manifest (M1);
            the other marts are written as new versions
-    check  column tests (one flatten for the three game staging models), stored as
-           ``check_report``; failing ones raise ``ChecksFailed`` unless ``fail_on_checks`` is
+    check  column tests: a mart's are counted while it is written, the three game staging
+           models (views) share one flatten; stored as ``check_report``; failing ones raise ``ChecksFailed`` unless ``fail_on_checks`` is
            off; freshness is reported where ``now`` is given
 
     Tables live below ``warehouse``: the raw tables where ``catalog.create_objects``
@@ -176,8 +183,9 @@ def daily_run(spark, landing_root: str, warehouse: str, extract_date: str, force
 
     raw_rawg, raw_steam = (ledger.latest_raw(spark, warehouse, f"{s}_games_raw", s) for s in ("rawg", "steam"))
     models = build_models(raw_rawg, raw_steam, ledger.read(spark, warehouse, "raw_load_audit"), history=False)
-    models = materialize(models, f"{warehouse}/mart", mart_buckets)
-    catalog.write_version(checks.all_checks(models, raw_rawg), f"{warehouse}/check_report")
+    counted: dict = {}
+    models = materialize(models, f"{warehouse}/mart", mart_buckets, counted=counted)
+    catalog.write_version(checks.all_checks(models, raw_rawg, counted), f"{warehouse}/check_report")
     out |= {"report": catalog.read_current(spark, f"{warehouse}/check_report"), **models}
     out["kpi_catalog_growth"] = catalog_growth(ledger.read(spark, warehouse, ledger.GROWTH, ledger.GROWTH_SCHEMA))
     if now is not None:

@@ -11,7 +11,8 @@ from __future__ import annotations
 import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 RAW_TABLE_DDL = {
     "rawg_games_raw": "source string, s3_key string, extracted_at timestamp_ntz, payload variant, loaded_at timestamp_ntz",
@@ -78,13 +79,26 @@ def expire_versions(spark: SparkSession, table_root: str, keep: int) -> list[str
     return old
 
 
+def new_version(table_root: str) -> str:
+    return f"{table_root.rstrip('/')}/version={int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}"
+
+
 def write_version(df: DataFrame, table_root: str) -> str:
     """Write ``df`` as a new version of the table; returns its path."""
-    version = f"{table_root.rstrip('/')}/version={int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}"
+    version = new_version(table_root)
     df.write.mode("errorifexists").parquet(version)
     return version
 
 
+def write_counted(df: DataFrame, path: str, watch: list[str]) -> dict[str, int]:
+    """Write ``df`` to a new ``path`` and return the NULLs of each watched column, counted by the tasks that write."""
+    seen = Observation()
+    counts = [F.count_if(F.col(c).isNull()).alias(f"null_{k}") for k, c in enumerate(watch)]
+    df.observe(seen, F.count("*").alias("rows"), *counts).write.mode("errorifexists").parquet(path)
+    found = seen.get
+    return {c: found[f"null_{k}"] for k, c in enumerate(watch)}
+
+
 def current_version(spark: SparkSession, table_root: str) -> str | None:
     fs, p, jvm = _fs(spark, table_root)
     if not fs.exists(p):

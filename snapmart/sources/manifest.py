@@ -9,6 +9,10 @@ folders of each bucket.  Readers open the newest manifest, so they see the table
 or after a merge and never in between; a job that dies leaves folders no manifest names.
 Rows with a NULL key match nothing and are inserted by every merge (T10): their bucket is
 only ever added to.
+
+A merge also counts what column tests ask (``watch``): rows, NULLs of the watched columns
+and keys that occur more than once.  The counts are metrics of the write itself, taken as
+changes over the touched buckets, and their new totals stand in the manifest.
 """
 
 from __future__ import annotations
@@ -17,7 +21,7 @@ import json
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from snapmart.operators.merge import BUCKET_COL, key_bucket
@@ -87,13 +91,23 @@ def read(spark: SparkSession, root: str, only: list[int] | None = None) -> DataF
     return _folders(spark, root, names) if names else _folders(spark, root, sum(manifest["folders"].values(), [])).limit(0)
 
 
+def _changes(watch: list[str], stays: Column, goes: Column, nth: Column) -> list[Column]:
+    """Metrics of a merge: how the counts of the column tests change (``nth``: the row's place among those of its key and age)."""
+    def change(what: Column) -> Column:
+        return F.count_if(stays & what) - F.count_if(goes & what)
+
+    return [change(F.lit(True)).alias("rows"), change(nth == 2).alias("twice"),
+            *[change(F.col(c).isNull()).alias(f"null_{k}") for k, c in enumerate(watch)]]
+
+
 def merge(spark: SparkSession, updates: DataFrame, root: str, key: str, buckets: int,
-          before_commit: Callable[[], None] | None = None) -> list[int]:
+          before_commit: Callable[[], None] | None = None, watch: list[str] | None = None) -> list[int]:
     """M1: replace rows of ``updates``' keys, insert the others, keep the rest; returns the touched buckets.
 
-    The number of buckets is fixed by the first merge.  Updates are computed once; only the
-    touched buckets (at most ``buckets``, read off the folders written) are read and rewritten,
-    each by one task, in one shuffle on the bucket.
+    The number of buckets is fixed by the first merge, and so are the watched columns.  Updates
+    are computed once; only the touched buckets (at most ``buckets``, read off the folders
+    written) are read and rewritten, each by one task, in one shuffle on the bucket.  The
+    metrics are observed in the tasks that write, which count once however often they are tried.
     """
     manifest = current(spark, root) or {"version": 0, "key": key, "buckets": buckets, "folders": {}}
     if manifest["key"] != key:
@@ -101,23 +115,35 @@ def merge(spark: SparkSession, updates: DataFrame, root: str, key: str, buckets:
     buckets = manifest["buckets"]
     run = f"merge={manifest['version'] + 1:06d}-{uuid.uuid4().hex[:8]}"
     first = not manifest["folders"]
+    counts = manifest.get("counts") or ({"rows": 0, "twice": 0, "nulls": dict.fromkeys(watch or [], 0)} if first else None)
+    watch = list(counts["nulls"]) if counts else []
+    seen = Observation()
     new = f"{root}/data/{run}"
     landed = new if first else f"{root}/_updates/{run}"
-    rows = updates.withColumn(BUCKET_COL, key_bucket(key, buckets))
     # one task a bucket, except for rows without a key
-    deal = [F.col(BUCKET_COL), F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*updates.columns), F.lit(buckets)))]
-    rows.repartition(*deal).write.partitionBy(BUCKET_COL).parquet(landed)
+    rows = updates.withColumn(BUCKET_COL, key_bucket(key, buckets)).withColumn(
+        "_deal", F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*updates.columns), F.lit(buckets))))
+    rows = rows.repartition(BUCKET_COL, "_deal")
+    if first:
+        nth = F.when(F.col(key).isNotNull(), F.row_number().over(Window.partitionBy(BUCKET_COL, "_deal", key).orderBy(key)))
+        rows = rows.withColumn("_nth", nth).observe(seen, *_changes(watch, F.lit(True), F.lit(False), F.col("_nth"))).drop("_nth")
+    rows.drop("_deal").write.partitionBy(BUCKET_COL).parquet(landed)
     fs, p, _ = _fs(spark, landed)
     touched = sorted(int(st.getPath().getName().split("=")[1]) for st in fs.listStatus(p) if st.getPath().getName().startswith(BUCKET_COL))
     if not first and touched:
         fresh = spark.read.parquet(landed).withColumn("_old", F.lit(0))
         old = [f for b in touched if b != NULL_BUCKET for f in manifest["folders"].get(str(b), [])]
+        keyed = fresh.where(F.col(BUCKET_COL) != NULL_BUCKET)
         if old:
-            keyed = fresh.where(F.col(BUCKET_COL) != NULL_BUCKET).unionByName(_folders(spark, root, old).withColumn("_old", F.lit(1)))
-            newest = F.min("_old").over(Window.partitionBy(BUCKET_COL, key))
-            keyed = keyed.repartition(BUCKET_COL).withColumn("_newest", newest).where("_old = _newest").drop("_newest")
-            fresh = keyed.unionByName(fresh.where(F.col(BUCKET_COL) == NULL_BUCKET))
-        fresh.drop("_old").write.partitionBy(BUCKET_COL).parquet(new)
+            keyed = keyed.unionByName(_folders(spark, root, old).withColumn("_old", F.lit(1)))
+        # new rows come first: a key's first row says whether its old ones stay
+        by_age = Window.partitionBy(BUCKET_COL, key).orderBy("_old")
+        place, n_new = F.row_number().over(by_age), F.sum(1 - F.col("_old")).over(by_age)
+        keyed = (keyed.repartition(BUCKET_COL)
+                 .withColumns({"_stays": F.first("_old").over(by_age) == F.col("_old"), "_nth": place - F.col("_old") * n_new}))
+        unkeyed = fresh.where(F.col(BUCKET_COL) == NULL_BUCKET).withColumns({"_stays": F.lit(True), "_nth": F.lit(None).cast("bigint")})
+        marked = keyed.unionByName(unkeyed).observe(seen, *_changes(watch, F.col("_stays"), F.col("_old") == 1, F.col("_nth")))
+        marked.where("_stays").drop("_old", "_stays", "_nth").write.partitionBy(BUCKET_COL).parquet(new)
     if before_commit is not None:
         before_commit()
     folders = dict(manifest["folders"])
@@ -125,7 +151,12 @@ def merge(spark: SparkSession, updates: DataFrame, root: str, key: str, buckets:
         kept = folders.get(str(b), []) if b == NULL_BUCKET else []
         folders[str(b)] = [*kept, f"{run}/{BUCKET_COL}={b}"]
     version = manifest["version"] + 1
-    publish(spark, f"{root}/{MANIFESTS}/{version:08d}.json", json.dumps({**manifest, "version": version, "folders": folders}))
+    if counts and touched:
+        found = seen.get
+        counts = {"rows": counts["rows"] + found["rows"], "twice": counts["twice"] + found["twice"],
+                  "nulls": {c: n + found[f"null_{k}"] for k, (c, n) in enumerate(counts["nulls"].items())}}
+    publish(spark, f"{root}/{MANIFESTS}/{version:08d}.json",
+            json.dumps({**manifest, "version": version, "folders": folders, "counts": counts}))
     return touched
 
 

@@ -407,6 +407,34 @@ def test_manifest_merge_is_one_commit_and_touches_only_its_buckets(spark):
     assert len(manifest.published(spark, f"{root}/{manifest.MANIFESTS}")) == 1
 
 
+def test_a_merge_counts_what_the_checks_ask(spark):
+    from snapmart.operators import quality
+    from snapmart.sources import manifest
+    root, schema = fresh_dir(spark, "counted"), "k long, v string"
+    runs = [[(1, "a"), (2, None), (2, "b"), (None, None), (None, "n")],
+            [(2, "c"), (3, None), (4, "d"), (4, None), (4, "e")],  # 2 is mended, 4 comes three times
+            [(None, None), (5, None)],
+            [(4, "only"), (3, "x")],
+            []]
+    for rows in runs:
+        manifest.merge(spark, spark.createDataFrame(rows, schema), root, "k", 4, watch=["k", "v"])
+        table, counts = manifest.read(spark, root), manifest.current(spark, root)["counts"]
+        want = {(r["column_name"], r["test"]): r["failures"] for r in quality.column_tests(table, "m", ["k", "v"], ["k"]).collect()}
+        assert counts["rows"] == table.count()
+        assert {("k", "unique"): counts["twice"], **{(c, "not_null"): n for c, n in counts["nulls"].items()}} == want
+
+
+def test_counted_checks_scan_no_written_mart(spark):
+    from snapmart.plans import checks
+    nothing = {m: spark.range(0).selectExpr(*[f"cast(NULL AS string) AS {c}" for c in cols]) for m, cols in checks.NOT_NULL.items()}
+    counted = {"mart_games": {"not_null": {"rawg_game_id": 0, "game_name": 3}, "unique": {"rawg_game_id": 1}},
+               "mart_platform_coverage": {"not_null": {"platform_name": 2}}}
+    got = {(r["model"], r["column_name"], r["test"]): (r["failures"], r["status"]) for r in checks.all_checks(nothing, None, counted).collect()}
+    assert got["mart_games", "game_name", "not_null"] == (3, "fail") and got["mart_games", "rawg_game_id", "unique"] == (1, "fail")
+    assert got["mart_games", "rawg_game_id", "not_null"] == (0, "pass") and got["mart_platform_coverage", "platform_name", "not_null"] == (2, "fail")
+    assert set(got) == {(r["model"], r["column_name"], r["test"]) for r in checks.all_checks(nothing).collect()}
+
+
 def test_latest_snapshot_from_the_ledger_prunes_batches(spark):
     from snapmart.sources import ledger
     wh = fresh_dir(spark, "warehouse")
