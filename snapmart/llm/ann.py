@@ -2,15 +2,18 @@
 
 A vector minus the corpus mean is rotated by a random orthogonal matrix; its code
 is the sign of each coordinate (one bit), with two correction scalars: its length and
-the inner product of its direction with the code's direction.  From the packed
-bits and the scalars an unbiased estimate of any inner product follows, and with it a
-bound on its error; per query, only vectors whose upper bound reaches the score
-of the best found so far are reranked on the original vectors, in double precision.
+the inner product of its direction with the code's direction.  A rotated query is
+rounded to four bits a coordinate, so its product with a code is a weighted sum of bit
+counts of 64-bit words: codes stay packed.  With the scalars an unbiased estimate of any
+inner product follows, and with it a bound on its error; per query, only vectors whose
+upper bound reaches the score of the best found so far are reranked on the original
+vectors, in double precision.
 
 Every vector is coded and compared: a stated query set meets all rows block by block.
-Vectors are dealt evenly into numbered blocks, query blocks are replicated to each of
-them, and a cell returns the best of its block per query; the best overall follow from
-a per-query window whose input is cut to ``top`` rows per task before it is shuffled.
+Vectors are dealt evenly into blocks and these into groups that a task can hold; a group
+is moved once, and only query blocks are sent to every group, where they stream past the
+vectors.  A cell returns the best of its block per query; the best overall follow from a
+per-query window whose input is cut to ``top`` rows per task before it is shuffled.
 
 Defined cases: vectors that are null, zero, hold null or non-finite components, or
 are not of the most frequent dimension (of equals the smallest) take no part, nor do
@@ -33,6 +36,10 @@ from . import shared
 
 #: Rows of a block of vectors, and of a block of queries.
 VECTORS, QUERIES = 8192, 512
+#: Bytes of original vectors that a task holds while queries stream past them.
+HELD = 64 << 20
+#: Bits a coordinate of a rounded query, and queries whose bits are counted at once (in a core's cache).
+LEVELS, AT_ONCE = 4, 16
 #: Width of the error bounds in standard deviations (of the estimate over random rotations).
 WIDTH = 1.9
 
@@ -84,16 +91,49 @@ def encode(x: np.ndarray, centre: np.ndarray, turn: np.ndarray) -> tuple[np.ndar
     return np.packbits(bits, axis=1), length, np.where(length > 0, agree, 1.0)
 
 
+def _words(packed: np.ndarray) -> np.ndarray:
+    """Packed bytes (last axis) as 64-bit words, padded with zeros."""
+    padded = np.zeros((*packed.shape[:-1], -(-packed.shape[-1] // 8) * 8), dtype=np.uint8)
+    padded[..., :packed.shape[-1]] = packed
+    return padded.view(np.uint64)
+
+
+def bit_products(level: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Sum of a query's levels (below 2^``LEVELS``) where a code's bit is set, for every (query, code), by counting bits."""
+    planes = _words(np.packbits(level[None] >> np.arange(LEVELS, dtype=np.uint8)[:, None, None] & 1, axis=2))
+    out = np.zeros((len(level), len(codes)), dtype=np.int32)
+    columns = np.ascontiguousarray(codes.T)
+    for k in range(0, len(level), AT_ONCE):
+        for j in range(LEVELS):
+            for w, column in enumerate(columns):
+                out[k:k + AT_ONCE] += np.bitwise_count(planes[j, k:k + AT_ONCE, w, None] & column[None, :]).astype(np.int32) << j
+    return out
+
+
 def estimate(queries: np.ndarray, packed: np.ndarray, length: np.ndarray, agree: np.ndarray, centre: np.ndarray,
              turn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Estimated inner products (query x vector) and one standard deviation of their error."""
+    """Estimated inner products (query x vector) and one standard deviation of their error (rotation and rounding)."""
     dims = queries.shape[1]
-    signs = np.unpackbits(packed, axis=1, count=dims).astype(np.float32) * 2 - 1
-    turned = (queries @ turn.T).astype(np.float32)
-    est = (turned @ signs.T) * (length / (agree * np.sqrt(dims)))[None, :].astype(np.float32)
+    turned = queries @ turn.T
+    low = turned.min(axis=1, keepdims=True)
+    step = (turned.max(axis=1, keepdims=True) - low) / (2 ** LEVELS - 1)
+    level = np.rint((turned - low) / np.where(step > 0, step, 1)).astype(np.uint8)
+    codes = _words(packed)
+    ones = np.bitwise_count(codes).sum(axis=1, dtype=np.int32)
+    # the rounded query times the signs: twice its sum where the bit is set, less its sum
+    est = bit_products(level, codes).astype(np.float32)
+    est *= (2 * step).astype(np.float32)
+    est += (2 * low).astype(np.float32) * ones[None, :].astype(np.float32)
+    est -= (low * dims + step * level.sum(axis=1, dtype=np.int64, keepdims=True)).astype(np.float32)
+    scale = length / (agree * np.sqrt(dims))
+    est *= scale[None, :].astype(np.float32)
     est += (queries @ centre)[:, None].astype(np.float32)
-    spread = length * np.sqrt(np.maximum(0, 1 - agree ** 2)) / agree / np.sqrt(max(1, dims - 1))
-    return est, np.linalg.norm(queries, axis=1)[:, None] * spread[None, :]
+    turning = length * np.sqrt(np.maximum(0, 1 - agree ** 2)) / agree / np.sqrt(max(1, dims - 1))
+    size = np.linalg.norm(queries, axis=1)
+    rounding = step[:, 0] * np.sqrt(dims / 12)
+    spread = np.sqrt((size ** 2).astype(np.float32)[:, None] * (turning ** 2).astype(np.float32)[None, :]
+                     + (rounding ** 2).astype(np.float32)[:, None] * (scale ** 2).astype(np.float32)[None, :])
+    return est, spread
 
 
 def _exact(vectors: np.ndarray, v: np.ndarray, queries: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -164,7 +204,9 @@ def search(vectors: DataFrame, asks: Column, top: int = 20, seed: int = 7, width
     centre = mean(rows, dims)
     turn = rotation(dims, seed)
     n, n_asks = rows.agg(F.count("*"), F.count_if(asks)).first()
-    blocks, groups = -(-n // VECTORS), max(1, -(-n_asks // QUERIES))
+    blocks, asking = -(-n // VECTORS), max(1, -(-n_asks // QUERIES))
+    per_group = max(1, HELD // (8 * dims * VECTORS))
+    groups = max(-(-blocks // per_group), min(blocks, spark.sparkContext.defaultParallelism))
     indexed = shared.cut(index(rows, dims, blocks, centre, seed))
 
     def query_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,25 +214,33 @@ def search(vectors: DataFrame, asks: Column, top: int = 20, seed: int = 7, width
             for k in range(0, b.num_rows, QUERIES):
                 some = b.slice(k, QUERIES)
                 yield pa.RecordBatch.from_pydict(
-                    {"q_ids": [some.column(0).to_numpy(zero_copy_only=False).astype("<i8").tobytes()],
-                     "q_vectors": [_matrix(some.column(1), dims).astype("<f8").tobytes()]},
-                    schema=pa.schema([("q_ids", pa.binary()), ("q_vectors", pa.binary())]))
+                    {"ids": [some.column(0).to_numpy(zero_copy_only=False).astype("<i8").tobytes()],
+                     "vectors": [_matrix(some.column(1), dims).astype("<f8").tobytes()]},
+                    schema=pa.schema([("ids", pa.binary()), ("vectors", pa.binary())]))
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, held = None, []
         for b in batches:
-            for r in b.to_pylist():
-                vid, x = np.frombuffer(r["ids"], "<i8"), np.frombuffer(r["vectors"], "<f8").reshape(-1, dims)
-                scalars = np.frombuffer(r["scalars"], "<f8").reshape(2, -1)
-                packed = np.frombuffer(r["packed"], np.uint8).reshape(len(vid), -1)
-                qid, q = np.frombuffer(r["q_ids"], "<i8"), np.frombuffer(r["q_vectors"], "<f8").reshape(-1, dims)
-                found = search_cell(qid, q, vid, x, (packed, scalars[0], scalars[1]), centre, turn, top, width)
-                if found:
-                    yield pa.RecordBatch.from_pydict(dict(zip(("query_id", "vec_id", "score"), found, strict=True)))
-
-    queries = rows.where(asks).groupBy("vec_id").agg(F.min("embedding").alias("embedding")).repartition(groups)
-    asked = shared.map_arrow(queries, query_blocks, "q_ids binary, q_vectors binary")
-    # The stated queries meet every block: each query block goes once to each block number.
-    met = asked.withColumn("block", F.explode(F.expr(f"sequence(0L, {blocks - 1}L)"))).join(indexed, "block")
-    best = shared.map_arrow(met.drop("block").repartition(max(blocks, groups)), cells, RESULT)
+            for r in (b.slice(k, 1).to_pylist()[0] for k in range(b.num_rows)):
+                if r["group"] != group:
+                    group, held = r["group"], []
+                ids, x = np.frombuffer(r["ids"], "<i8"), np.frombuffer(r["vectors"], "<f8").reshape(-1, dims)
+                if r["packed"] is not None:
+                    held.append((ids, x, (np.frombuffer(r["packed"], np.uint8).reshape(len(ids), -1),
+                                          *np.frombuffer(r["scalars"], "<f8").reshape(2, -1))))
+                    continue
+                for vid, vectors, codes in held:
+                    found = search_cell(ids, x, vid, vectors, codes, centre, turn, top, width)
+                    if found:
+                        yield pa.RecordBatch.from_pydict(dict(zip(("query_id", "vec_id", "score"), found, strict=True)))
+
+    queries = rows.where(asks).groupBy("vec_id").agg(F.min("embedding").alias("embedding")).repartition(asking)
+    asked = shared.map_arrow(queries, query_blocks, "ids binary, vectors binary")
+    # The stated queries meet every group: a group's blocks come first and are held, its copies of the query blocks follow.
+    met = indexed.withColumn("group", F.expr(f"block % {groups}L")).drop("block").withColumn("asks", F.lit(False)).unionByName(
+        asked.select(F.explode(F.expr(f"sequence(0L, {groups - 1}L)")).alias("group"), "ids", "vectors", F.lit(True).alias("asks")),
+        allowMissingColumns=True)
+    dealt = met.repartitionById(groups, F.col("group").cast("int")).sortWithinPartitions("group", "asks")
+    best = shared.map_arrow(dealt, cells, RESULT)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).where(f"rank <= {top}").select("query_id", "rank", "vec_id", "score")

@@ -122,6 +122,26 @@ def test_estimates_are_unbiased_with_the_stated_spread():
     assert abs(z.mean()) < 0.05 and 0.9 < z.std() < 1.1
 
 
+@pytest.mark.parametrize("dims", [1, 7, 64, 65, 130])
+def test_bit_counts_equal_the_plain_product(dims):
+    rng = np.random.default_rng(dims)
+    level, bits = rng.integers(0, 16, (37, dims), dtype=np.uint8), rng.integers(0, 2, (50, dims), dtype=np.uint8)
+    assert (ann.bit_products(level, ann._words(np.packbits(bits, axis=1))) == level.astype(int) @ bits.T.astype(int)).all()
+
+
+def test_vectors_are_moved_once_whatever_the_number_of_query_blocks(spark, monkeypatch):
+    monkeypatch.setattr(ann, "VECTORS", 100)
+    monkeypatch.setattr(ann, "QUERIES", 10)
+    monkeypatch.setattr(ann, "HELD", 8 * 24 * 300)  # three blocks a group
+    _, _, df = vectors(spark, 1000, 24)
+    found = ann.search(df, F.col("vec_id") % 5 == 0, top=3)
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+    got = {}
+    for r in found.collect():
+        got.setdefault(r["query_id"], []).append(r["rank"])
+    assert set(got) == set(range(0, 1000, 5)) and all(sorted(v) == [1, 2, 3] for v in got.values())
+
+
 def test_ties_repeats_and_rows_that_take_no_part(spark):
     nan = float("nan")
     rows = [(0, [1.0, 0.0]), (1, [1.0, 1.0]), (2, [1.0, 1.0]), (3, [2.0, 0.0]), (3, [2.0, 0.0]), (4, None), (5, [0.0, 0.0]), (6, [nan, 1.0]),
