@@ -144,11 +144,13 @@ def _exact(vectors: np.ndarray, v: np.ndarray, queries: np.ndarray, q: np.ndarra
     return out
 
 
-def search_cell(qid: np.ndarray, q: np.ndarray, vid: np.ndarray, x: np.ndarray, codes, centre, turn, top: int, width: float):
+def search_cell(qid: np.ndarray, q: np.ndarray, vid: np.ndarray, x: np.ndarray, codes, centre, turn, top: int, width: float,
+                least: np.ndarray | None = None):
     """(query ids, vector ids, scores) of each query's best ``top`` in the block; None if there are none.
 
     The best of the exact scores of a few times ``top`` best estimates give a floor; every
-    vector whose upper bound reaches it is reranked.
+    vector whose upper bound reaches it is reranked.  ``least`` holds floors that ``top``
+    vectors of earlier blocks have reached; it is raised by this block's.
     """
     est, spread = estimate(q, *codes, centre, turn)
     est[qid[:, None] == vid[None, :]] = -np.inf
@@ -158,6 +160,10 @@ def search_cell(qid: np.ndarray, q: np.ndarray, vid: np.ndarray, x: np.ndarray,
     seen = _exact(x, first.ravel(), q, row)
     seen[np.isneginf(est[row, first.ravel()])] = -np.inf
     floor = np.sort(seen.reshape(-1, m), axis=1)[:, -min(top, m)]
+    if least is not None:
+        if m >= top:
+            np.maximum(least, floor, out=least)
+        floor = np.where(np.isneginf(least), floor, least)
     est += (width * spread).astype(est.dtype)
     row, at = np.nonzero((est >= (floor - 1e-6 * np.abs(floor))[:, None]) & ~np.isneginf(est))
     score = _exact(x, at, q, row)
@@ -229,8 +235,9 @@ def search(vectors: DataFrame, asks: Column, top: int = 20, seed: int = 7, width
                     held.append((ids, x, (np.frombuffer(r["packed"], np.uint8).reshape(len(ids), -1),
                                           *np.frombuffer(r["scalars"], "<f8").reshape(2, -1))))
                     continue
+                least = np.full(len(ids), -np.inf)
                 for vid, vectors, codes in held:
-                    found = search_cell(ids, x, vid, vectors, codes, centre, turn, top, width)
+                    found = search_cell(ids, x, vid, vectors, codes, centre, turn, top, width, least)
                     if found:
                         yield pa.RecordBatch.from_pydict(dict(zip(("query_id", "vec_id", "score"), found, strict=True)))
 
