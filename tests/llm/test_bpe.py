@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pytest
 from tokenizers import Tokenizer
 
 from snapmart.llm import bpe, packing, shared, token_counts
@@ -82,9 +83,8 @@ def test_edits_through_the_tree_equal_counting_anew():
     library.encode_special_tokens = True
     rng = random.Random(7)
     for text in texts(400, 8, 20):
-        parts = token_counts.leaves(text)
-        table = counter.table(set(parts))
-        tree = token_counts.TokenTree(parts, [table[p] for p in parts], counter.count)
+        tree = counter.tree(text)
+        assert tree.n_tokens == counter.count(text)
         now = text
         for _ in range(4):
             a = rng.randint(0, len(now))
@@ -98,13 +98,47 @@ def test_edits_through_the_tree_equal_counting_anew():
 def test_an_edit_of_a_long_text_reencodes_its_surroundings_only():
     counter = token_counts.LeafCounter(BYTE)
     text = " ".join(["river", "stone", "cloud"] * 20_000)
-    parts = token_counts.leaves(text)
-    table = counter.table(set(parts))
-    tree = token_counts.TokenTree(parts, [table[p] for p in parts], counter.count)
+    tree = counter.tree(text)
     tree.edit(100_000, 100_010, "x")
     assert tree.reencoded < 40
 
 
+ALPHABETS = ["的一是在不了有和人这中大为上个国", "abcdefghijklmnopqrstuvwxyz", "aab", "!?'-s", " \t\n\xa0", "0123456789", "あいうえおカキクケコ漢字", "é́ßñ😀", "的a1 '"]
+
+
+def test_edits_inside_long_pretokens_equal_a_recount(monkeypatch):
+    monkeypatch.setattr(token_counts, "RUN", 6)
+    monkeypatch.setattr(token_counts, "LONG", 10)
+    monkeypatch.setattr(token_counts, "CROWDED", 8)
+    counter, library = token_counts.LeafCounter(BYTE), Tokenizer.from_file(BYTE)
+    library.encode_special_tokens = True
+    rng = random.Random(17)
+    for k in range(300):
+        letters = ALPHABETS[k % len(ALPHABETS)]
+        now = "".join(rng.choice(letters) for _ in range(rng.randint(0, 120)))
+        tree = counter.tree(now)
+        for _ in range(8):
+            a = rng.randint(0, len(now))
+            b = rng.randint(a, min(len(now), a + rng.choice([0, 1, 5, 40])))
+            new = "".join(rng.choice(rng.choice([letters, *ALPHABETS])) for _ in range(rng.choice([0, 1, 3, 30])))
+            tree.edit(a, b, new)
+            now = now[:a] + new + now[b:]
+            assert (tree.text(), tree.n_chars, tree.n_tokens) == (now, len(now), len(library.encode(now).ids)), (k, now)
+
+
+@pytest.mark.parametrize("letters", [ALPHABETS[0], ALPHABETS[1], ALPHABETS[6]])
+def test_reencoded_characters_grow_with_the_edits_in_unspaced_text(letters):
+    counter, rng, per_edit = token_counts.LeafCounter(BYTE), random.Random(5), []
+    for size in (4_000, 16_000):
+        text = "".join(rng.choice(letters) for _ in range(size))
+        tree = counter.tree(text)
+        for at in range(size - 20, 0, -40):
+            tree.edit(at, at + 2, "x")
+        assert tree.n_tokens == counter.count(tree.text())
+        per_edit.append(tree.reencoded / (size / 40))
+    assert max(per_edit) < 400 and per_edit[1] < 1.2 * per_edit[0]
+
+
 def test_edit_counts_on_documents(spark):
     library = Tokenizer.from_file(BYTE)
     library.encode_special_tokens = True
