@@ -12,7 +12,9 @@ caches).  The library's own splitter cuts chunks into pre-tokens.
 
 Defined cases: a null or empty text has no ids and decodes to the empty text;
 repeated rows give repeated results; a text of one long pre-token costs
-``n log n``; special tokens in the text become their own ids, as the library does.
+``n log n`` and a very long text is encoded whole, chunk by chunk; of equal ranks the
+leftmost pair merges; special tokens in the text become their own ids, as the library
+does; ids may be null; an empty table gives no rows; further columns are not read.
 """
 
 from __future__ import annotations

@@ -6,8 +6,9 @@ a versioned mask over those bits, so verdicts, policy changes and ablations are
 bitwise work on the ledger and never read a text again.
 
 Defined cases: a null or empty text measures zero everywhere and fails
-``few_words``; repeated rows repeat their result; an empty table gives an empty
-ledger.
+``few_words``; a very long text is measured whole; repeated rows repeat their result, and
+rows do not depend on each other, so there are no ties; ids may be null; an empty table
+gives an empty ledger; further columns are not read.
 """
 
 from __future__ import annotations

@@ -16,7 +16,10 @@ after equal rows have been summed; so no key, text or shard gathers in one task.
 
 Defined cases: a null text has 0 bytes and the checksum of the empty text; rows
 without a key are dealt by their size and checksum; repeated rows each get a slot
-(which of two equal rows gets which is immaterial); an empty table gives no rows.
+(which of two equal rows gets which is immaterial), and equal texts of different ids
+are placed each for itself; keys that fall on one place keep the order of the window
+(key, size, checksum); of a very long text only size and checksum are kept; an empty
+table gives no rows; further columns are not read.
 """
 
 from __future__ import annotations
