@@ -10,11 +10,19 @@ that no base span already covers becomes a ``guess`` span.
 The programme keeps, per position, the best cost of a finished segmentation and of
 one that ends inside a brute-force run, so a value of any length costs linear time.
 
-A value may stand on the line after its key, and a key may stand inside the value of
-another one: every value is judged, those inside a ``guess`` span with it.
-
-Defined cases: a null or empty text has no spans; repeated rows repeat their
-result; spans of different kinds may overlap; redaction replaces their union.
+Contexts: a credential word with ``:``, ``=`` or the like, the header ``bearer``, a
+markup element named by such a word, a sentence (``the password is ...``; only values
+with a digit or mark in them, as others are ordinary words), and a line of four to 24
+plain words after ``passphrase:`` and its like.  A value may stand on the line after
+its key, and a key may stand inside the value of another one: every value is judged,
+those inside a ``guess`` span with it.  An unquoted value ends before the next
+parameter of a query string or list; of a URL only the password in it is judged.
+
+Defined cases: a null or empty text has no spans; a very long text is searched whole
+(values of any length cost linear time); repeated rows repeat their result; spans of
+different kinds may overlap, and of equal starts the kinds' order decides; redaction
+replaces their union; an empty table gives no rows; further columns are not read by
+``scan`` and pass through ``redact``.
 """
 
 from __future__ import annotations
@@ -43,14 +51,27 @@ HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
 ASSIGN_LEAST, ACCESS_LEAST = 8, 16
 KINDS = ("assign", "access", "hex", "guess")
 
+_WORD = r"(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|bearer|auth|(?:api|access|private|secret)[_-]?key)"
+_SET = r"\s{0,8}(?::=|=>|[:=])\s{0,8}"
 #: A credential word up to the value that follows it, which is only looked at: a search goes on at the value's
 #: start, so that a key inside a value (a nested or chained setting) is found as well.
-CONTEXT = re.compile(
-    r"""(?:(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|bearer|auth|(?:api|access|private|secret)[_-]?key)"""
-    r"""["']?\s{0,8}(?::=|=>|[:=])\s{0,8}|bearer\s{1,8})(?="[^"\n]{6}|'[^'\n]{6}|[^\s"'<>]{6})""", re.IGNORECASE | re.ASCII)
-_END = {'"': re.compile(r'["\n]'), "'": re.compile(r"['\n]"), "": re.compile(r"""[\s"'<>]""", re.ASCII)}
-#: One of these is in every context word, in lower case.
-HINTS = ("pass", "pwd", "secret", "token", "credential", "bearer", "auth", "key")
+CONTEXT = re.compile(rf"""(?:{_WORD}["']?{_SET}|bearer\s{{1,8}})(?="[^"\n]{{6}}|'[^'\n]{{6}}|[^\s"'<>]{{6}})""", re.IGNORECASE | re.ASCII)
+#: The same in a markup element's name; the value is the element's text on that line.
+MARKUP = re.compile(rf"""<(?:[\w.:-]{{0,40}}[_.:-])?{_WORD}(?:\s[^<>\n]{{0,200}})?>\s{{0,8}}(?=[^\s<>][^<>\n]{{5}})""", re.IGNORECASE | re.ASCII)
+#: The same in a sentence.
+PROSE = re.compile(r"""\b(?:pass(?:word|wd|phrase|code|wort)|kennwort|contraseña|mot de passe|pwd|secret|token|(?:api|access|private|secret)[ _-]?key)"""
+                   r"""\s{1,4}(?:is|was|ist|war|lautet|est|es)(?:\s{0,2}:)?\s{1,4}["'`]?(?=[^\s"'`<>]{6})""", re.IGNORECASE)
+#: Words in a line that a phrase's name announces.
+PHRASE = re.compile(rf"""(?:pass|seed|recovery)[ _-]?phrase["']?{_SET}|mnemonic["']?{_SET}""", re.IGNORECASE | re.ASCII)
+_PLAIN_WORDS = re.compile(r"""["']?((?-i:[^\W\d_A-Z]{2,})(?:[ -][^\W\d_A-Z]{2,}){3,23})["']?\.?[^\S\n]*(?:\n|$)""")
+#: An unquoted value ends at white space, quotes and angles, and at a separator that ends it or has a next parameter behind it.
+_END = {'"': re.compile(r'["\n]'), "'": re.compile(r"['\n]"),
+        "": re.compile(r"""[\s"'<>]|[&;,](?=[\s"'<>]|$|[\w.\[\]-]{1,60}=)""", re.ASCII)}
+_SENTENCE_GAP = re.compile(r"""[\s"'`<>]|$""")
+_TO_TAG = re.compile(r"[^<>\n]+")
+_URL = re.compile(r"[A-Za-z][A-Za-z0-9+.-]{1,20}://(?:[^\s/@:]*:(?P<password>[^\s/@]+)@)?", re.ASCII)
+#: One of these is in every context, in lower case.
+HINTS = ("pass", "pwd", "secret", "token", "credential", "bearer", "auth", "key", "phrase", "mnemonic", "kennwort", "contraseña")
 
 #: Log10 of the guesses from which a value counts as a secret.
 THRESHOLD = 10.0
@@ -158,11 +179,8 @@ def log10_guesses(value: str) -> float:
     return best[n]
 
 
-def context_values(text: str) -> Iterator[tuple[int, int]]:
-    """(start, end) of every value in a credential context, quotes left out, in order of the start.
-
-    Of an unquoted value that is itself a key with a value, only the inner value counts.
-    """
+def _assigned(text: str) -> Iterator[tuple[int, int]]:
+    """Values of ``CONTEXT``; of an unquoted value that is itself a key with a value, only the inner value counts."""
     end = 0  # of the last unquoted stretch: the values inside it share it
     matches = CONTEXT.finditer(text)
     m = next(matches, None)
@@ -180,6 +198,30 @@ def context_values(text: str) -> Iterator[tuple[int, int]]:
             yield a, end
 
 
+def _in_sentence(text: str) -> Iterator[tuple[int, int]]:
+    """Values of ``PROSE`` that hold a digit or a mark, without the sentence's own marks behind them."""
+    for m in PROSE.finditer(text):
+        value = text[m.end():_SENTENCE_GAP.search(text, m.end()).start()].rstrip(".,;:)]")
+        if not all(c.isalpha() or c in "-'’" for c in value):
+            yield m.end(), m.end() + len(value)
+
+
+def context_values(text: str) -> list[tuple[int, int]]:
+    """(start, end) of every value in a credential context, quotes left out, in order of the start, longer ones first."""
+    found = [*_assigned(text), *_in_sentence(text)]
+    if "<" in text:
+        found += [(m.end(), m.end() + len(_TO_TAG.match(text, m.end())[0].rstrip())) for m in MARKUP.finditer(text)]
+    found += [words.span(1) for m in PHRASE.finditer(text) if (words := _PLAIN_WORDS.match(text, m.end()))]
+    out = []
+    for a, b in found:
+        url = _URL.match(text, a, b)
+        if url is None:
+            out.append((a, b))
+        elif url["password"]:
+            out.append(url.span("password"))
+    return sorted(out, key=lambda s: (s[0], -s[1]))
+
+
 def find(text: str) -> tuple[list[tuple[int, int, str]], float | None]:
     """All spans as (start, end, kind) in order, and the largest guess cost of a context value."""
     low = text.lower()

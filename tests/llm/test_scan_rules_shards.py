@@ -205,3 +205,41 @@ def test_walk_equals_placing_row_by_row():
         while any(not room[nodes[at][1]] for at, _, _ in queue):
             queue = [((at + 1) % len(nodes) if not room[nodes[at][1]] else at, c, r) for at, c, r in queue]
     assert {(c, f + i): s for c, f, m, s, _ in pieces for i in range(m)} == place
+
+
+@pytest.mark.parametrize("text, found", [
+    ("passphrase: correct horse battery staple", ["correct horse battery staple"]),
+    ("seed phrase = \"legal winner thank year wave sausage\"\nnext line", ["legal winner thank year wave sausage"]),
+    ("passphrase: the words that you choose, when asked", []),
+    ("<password>Tq7!vR#2z@Lm9</password>", ["Tq7!vR#2z@Lm9"]),
+    ('<db-token id="3"> Tq7!vR#2z@Lm9 </db-token>', ["Tq7!vR#2z@Lm9"]),
+    ("<tokenizer>Tq7!vR#2z@Lm9</tokenizer>", []),
+    ("The password is Tq7!vR#2z@Lm9.", ["Tq7!vR#2z@Lm9"]),
+    ("Das Passwort lautet: Tq7!vR#2z@Lm9, danke", ["Tq7!vR#2z@Lm9"]),
+    ("La contraseña es Tq7!vR#2z@Lm9", ["Tq7!vR#2z@Lm9"]),
+    ("the password is undocumented here", []),
+    ("GET /x?token=abc&user=alice&page=2&sort=descending", []),
+    ("GET /x?pwd=Tq7!vR2z@Lm9&user=alice", ["Tq7!vR2z@Lm9"]),
+    ("password: Tq7!vR#2z@Lm9; user: x", ["Tq7!vR#2z@Lm9"]),
+    ("pwd=Tq7&vR#2z@Lm9", ["Tq7&vR#2z@Lm9"]),
+    ("auth: https://example.com/documentation/page-two", []),
+    ("auth: https://bob:Tq7!vR2zLm9@example.com/d", ["Tq7!vR2zLm9"]),
+])
+def test_contexts(text, found):
+    assert [text[a:b] for a, b, k in secret_scan.find(text)[0] if k == "guess"] == found
+
+
+def test_long_texts_of_one_kind_take_linear_time():
+    for unit in ("password=", "<password>", "token is ", "password is ....", "passphrase: ab cd ", "auth: a://b:"):
+        spans, _ = secret_scan.find(unit * 30_000)
+        assert all(a < b for a, b, _ in spans)
+
+
+@pytest.mark.parametrize("lang", ["en", "de", "fr", "es"])
+def test_prose_of_each_language_has_no_guess_span(lang):
+    """Documents of the driver's table that hold no base span."""
+    import pandas as pd
+    docs = pd.read_parquet("/root/testdata/sf0.01/documents.parquet", columns=["text", "lang"])
+    texts = docs.loc[docs.lang == lang, "text"].dropna()
+    false = [t for t in texts if {k for _, _, k in secret_scan.find(t)[0]} == {"guess"}]
+    assert len(texts) > 10 and not false
