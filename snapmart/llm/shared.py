@@ -21,6 +21,8 @@ from pyspark.sql import types as T
 
 #: Rows whose remainder is this one are held out from every fit.
 HELD_OUT = 2
+#: A key of more than one row in so many is hot.
+HOT = 200
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -140,6 +142,17 @@ def sized(df: DataFrame, rows: int = 500_000) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def join_hot(rows: DataFrame, keyed: DataFrame, key: str, n: str, total: int) -> DataFrame:
+    """``rows`` joined with ``keyed``: one row a ``key``, ``n`` (left out of the result) of the ``total`` rows having it.
+
+    Hot keys (``HOT`` at most, as they share the rows) are broadcast and their rows stay where
+    they are; the others are shuffled, none of them over one in ``HOT`` of the rows.
+    """
+    hot = F.broadcast(keyed.where(F.col(n) * HOT > total).drop(n))
+    others = keyed.where(F.col(n) * HOT <= total).drop(n)
+    return rows.join(hot, key).unionByName(rows.join(hot.select(key), key, "left_anti").join(others, key))
+
+
 class TwoGenerationCache:
     """A dict of bounded size: when the young half is full it becomes the old half and the old one goes."""
 

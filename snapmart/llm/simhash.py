@@ -18,8 +18,12 @@ alternating star rounds over the edges, with a checkpoint each round.
 Equal fingerprints are first reduced to one row, so copies cost one fingerprint.
 
 Defined cases: null and empty texts have fingerprint zero and link like others;
-texts of fewer words than a shingle hash their whole sequence; rows without an id
-get the component of their fingerprint (null if no row in it has an id).
+texts of fewer words than a shingle hash their whole sequence; a very long text is
+hashed whole, some 200,000 shingles at a time beyond its own; rows without an id
+get the component of their fingerprint (null if no row in it has an id); repeated
+rows have equal fingerprints and stay rows of their own; of equal smallest ids there
+is but one value, so ties need no order; an empty table gives no rows; further
+columns are not read unless they are in ``keep``.
 """
 
 from __future__ import annotations
@@ -40,8 +44,8 @@ RADIUS = 3
 _GENERATOR = 0b101011100011  # of the cyclic [23, 12] code
 #: Homes, and rows, of one cell of a crowded anchor's grid (about; rows are dealt by a hash).
 BLOCK, PART = 2048, 65_536
-#: A fingerprint of more than one in so many rows is hot.
-HOT = 200
+#: Tasks over which an anchor's replicas are dealt while nobody's anchors are dropped.
+SALTS = 16
 
 
 # fingerprints ---------------------------------------------------------------
@@ -245,14 +249,17 @@ def links(distinct: DataFrame, threshold: int = 2) -> DataFrame:
     schema = "anchor bigint, fp bigint"
     homes = shared.map_arrow(distinct.select("fp"), _place(threshold, False), schema)
     crowd = homes.groupBy("anchor").agg(F.count("*").alias("n_homes"))
-    # Most anchors are nobody's home: the join drops their replicas.
-    met = shared.cut(shared.map_arrow(distinct.select("fp"), _place(threshold, True), schema)
-                     .join(crowd.select("anchor"), "anchor").select("anchor", "fp", F.lit(False).alias("home"))
+    # Most anchors are nobody's home: the join drops their replicas.  Replicas are many beside the anchors that are
+    # homes, and a cluster's meet at the same ones, so each anchor is dealt over several tasks.
+    salted = crowd.select("anchor", F.explode(F.expr(f"sequence(0L, {SALTS - 1}L)")).alias("salt"))
+    replicas = (shared.map_arrow(distinct.select("fp"), _place(threshold, True), schema)
+                .withColumn("salt", F.expr(f"pmod(xxhash64(fp), {SALTS}L)")).join(salted, ["anchor", "salt"]))
+    met = shared.cut(replicas.select("anchor", "fp", F.lit(False).alias("home"))
                      .unionByName(homes.withColumn("home", F.lit(True))))
-    grid = (met.groupBy("anchor").agg(F.count("*").alias("n"), F.sum(F.col("home").cast("int")).alias("n_homes"))
-            .where("n > 1").select("anchor", F.expr(f"(n_homes - 1) div {BLOCK} + 1").alias("blocks"),
-                                   F.expr(f"(n - 1) div {PART} + 1").alias("parts")))
-    dealt = met.join(grid, "anchor").withColumn("h", F.xxhash64("fp"))
+    grid = shared.cut(met.groupBy("anchor").agg(F.count("*").alias("n"), F.sum(F.col("home").cast("int")).alias("n_homes"))
+                      .where("n > 1").select("anchor", F.expr(f"(n_homes - 1) div {BLOCK} + 1").alias("blocks"),
+                                             F.expr(f"(n - 1) div {PART} + 1").alias("parts"), "n"))
+    dealt = shared.join_hot(met, grid, "anchor", "n", met.count()).withColumn("h", F.xxhash64("fp"))
     # A home goes to its own block of every part, every row (homes too) to its own part of every block.
     as_home = (dealt.where("home").select("anchor", F.expr("pmod(h, blocks)").alias("block"),
                                           F.explode(F.expr("sequence(0L, parts - 1)")).alias("part"), "fp",
@@ -279,13 +286,11 @@ def near_duplicates(docs: DataFrame, words: int = 3, seed: int = 42, threshold:
     least = shared.cut(fps.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")))
     stars = components.stars(links(least.select("fp"), threshold))
     # Fingerprints in links only: few beside the rows.
-    tops = stars.join(least, stars["node"] == least["fp"]).groupBy("root").agg(F.min("least").alias("top"))
-    linked = stars.join(tops, "root").select(F.col("node").alias("fp"), "root", "top")
+    tops = shared.cut(stars.join(least, stars["node"] == least["fp"]).groupBy("root")
+                      .agg(F.min("least").alias("top"), F.count("*").alias("n")))
+    linked = (shared.join_hot(stars, tops, "root", "n", tops.agg(F.sum("n")).first()[0] or 0)
+              .select(F.col("node").alias("fp"), "root", "top"))
     labels = shared.cut(least.join(linked, "fp", "left").select(
         "fp", "n", F.coalesce("top", "least").alias("component_id"), F.coalesce("root", "fp").alias("root")))
-    # A fingerprint of over a two-hundredth of the rows (200 of them at most) would crowd one task of the join.
-    rows = least.agg(F.sum("n")).first()[0] or 0
-    hot = F.broadcast(labels.where(F.col("n") * HOT > rows).drop("n"))
-    some = fps.join(hot, "fp").unionByName(fps.join(hot.select("fp"), "fp", "left_anti")
-                                           .join(labels.where(F.col("n") * HOT <= rows).drop("n"), "fp"))
+    some = shared.join_hot(fps, labels, "fp", "n", least.agg(F.sum("n")).first()[0] or 0)
     return some.select(*keep, _hex("fp").alias("fingerprint"), "component_id", _hex("root").alias("component_fingerprint"))

@@ -120,6 +120,25 @@ def test_components_of_paths_stars_and_nothing(spark):
     assert components.stars(df.limit(0)).count() == 0
 
 
+def test_components_with_hot_and_other_nodes(spark):
+    rng = random.Random(12)
+    edges = [(5000, k) for k in range(2000)] + [(k, k + 2000) for k in range(0, 900, 3)]
+    edges += [(10_000 + rng.randrange(1500), 10_000 + rng.randrange(1500)) for _ in range(1300)]
+    parent = {x: x for e in edges for x in e}
+
+    def top(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        low, high = sorted((top(a), top(b)))
+        parent[high] = low
+    want = {x: top(x) for e in edges if e[0] != e[1] for x in e}
+    df = spark.createDataFrame(edges, "a bigint, b bigint")
+    assert {r["node"]: r["root"] for r in components.stars(df).collect()} == want
+
+
 def test_shingles_fold_ascii_only():
     assert simhash.shingle_hashes("A É b", 3, 42) == [xxhash.xxh64_intdigest("a É b".encode(), 42)]
     assert simhash.shingle_hashes("\x1c \x0b", 3, 42) == [xxhash.xxh64_intdigest(b"\x1c", 42)]
