@@ -51,9 +51,10 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(rows, keep=("doc_id", "_row")).select(
         F.col("component_fingerprint").alias("_group"), F.struct(F.col("doc_id").isNull(), "doc_id", "_row").alias("_order"))
     slim = shared.cut(found.groupBy("_group", "_order").agg(F.count("*").alias("_copies")))
-    first = (slim.groupBy("_group").agg(F.min("_order").alias("_first"), F.sum("_copies").alias("_n")).where("_n > 1"))
+    first = shared.cut(slim.groupBy("_group").agg(F.min("_order").alias("_first"), F.sum("_copies").alias("_n"),
+                                                  F.count("*").alias("_rows")).where("_n > 1").drop("_n"))
     # Rows of groups only: those that go, and those that stay but are there several times.
-    grouped = shared.cut(slim.join(first, "_group").select(F.col("_order._row").alias("_row"), "_copies",
+    grouped = shared.cut(shared.join_hot(slim, first, "_group", "_rows", slim.count()).select(F.col("_order._row").alias("_row"), "_copies",
                                                            (F.col("_order") == F.col("_first")).alias("_stays")))
     named = shared.sized(grouped.where("not _stays or _copies > 1").select("_row"))
     kept = rows.join(named, "_row", "left_anti")
