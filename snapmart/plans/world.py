@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from snapmart.functions.timefmt import file_stamp, iso_date, ntz_to_epoch
 from snapmart.operators.loads import rows_per_file
 from snapmart.session import fresh_dir, use_unshredded_variants
-from snapmart.sources.envelope import DEFAULT_PER_ENVELOPE, EnvelopePlan, build_envelopes, plan_envelopes, with_row_key
+from snapmart.sources.envelope import DEFAULT_PER_ENVELOPE, EnvelopePlan, build_envelopes, plan_envelopes, tasks_for, with_row_key
+from snapmart.sources.catalog import COMPRESSION, RAW_OPTIONS
 from snapmart.sources.landing import envelope_keys, landing_key
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
@@ -62,7 +63,7 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lineitems with their row key, snapshot, part and supplier."""
     li = with_row_key(table(spark, sf_dir, "lineitem")).select(
         "_row_id", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size", "p_retailprice")
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
     supp = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     return (li.withColumn("snap", snapshot_of("l_shipdate"))
             .join(part, F.col("l_partkey") == F.col("p_partkey"))
@@ -140,14 +141,16 @@ def store_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     Categories appear in their fixed position order, items by ``seq``; a scalar
     ``status`` entry closes each document and must be skipped by the flatten.
     """
-    lines = _lines(spark, sf_dir).select(
-        "snap", F.floor(F.col("l_orderkey") / ORDERS_PER_DOCUMENT).cast("bigint").alias("doc_no"),
-        _lookup("l_returnflag", CATEGORY_BY_RETURNFLAG, 0).alias("cat_pos"),
+    # one shuffle, of the lines' fields; behind it a document's items are written as JSON and sorted by
+    # (category position, seq, id); an item's text opens a new category object when the category changes
+    doc_no = F.floor(F.col("l_orderkey") / ORDERS_PER_DOCUMENT).cast("bigint")
+    dealt = _lines(spark, sf_dir).withColumn("doc_no", doc_no).repartition(
+        tasks_for(spark, table(spark, sf_dir, "lineitem").count()), "snap", "doc_no")
+    lines = dealt.select(
+        "snap", "doc_no", _lookup("l_returnflag", CATEGORY_BY_RETURNFLAG, 0).alias("cat_pos"),
         _lookup("l_returnflag", CATEGORY_BY_RETURNFLAG, 1).alias("cat_key"),
         _lookup("l_returnflag", CATEGORY_BY_RETURNFLAG, 2).alias("cat_name"),
         store_item(with_category=False).alias("item"))
-    # one shuffle: a document's items sorted by (category position, seq, id); each
-    # item's text opens a new category object when the category changes
     docs = (lines.groupBy("snap", "doc_no")
             .agg(F.array_sort(F.collect_list(F.struct(
                 "cat_pos", F.col("item.seq").alias("s"), F.col("item.id").alias("i"), "cat_key",
@@ -175,17 +178,12 @@ def raw_from_envelopes(env: DataFrame) -> DataFrame:
 
 
 def both_envelopes(spark: SparkSession, sf_dir: str, per_envelope: int = DEFAULT_PER_ENVELOPE) -> EnvelopePlan:
-    """Game and store envelopes from one scan of the lines: each line yields both
-    entries (one ``explode``), and one grouping shuffle builds all envelopes.  They are
-    counted from the lines alone, as every line has its part and supplier."""
-    def both(lines: DataFrame, *entries: Column) -> DataFrame:
-        kinds = [F.struct(F.lit(s).alias("source"), F.lit(f).alias("field"), *[e.alias("js") for e in entries[k:k + 1]])
-                 for k, (s, f) in enumerate((("rawg", "results"), ("steam", "featured_categories")))]
-        return lines.select("_row_id", "snap", F.explode(F.array(*kinds)).alias("x")).select("_row_id", "snap", "x.*")
-
+    """Game and store envelopes from one scan of the lines: each line yields both entries, and one
+    shuffle of the lines' fields builds all envelopes.  They are counted from the lines alone,
+    as every line has its part and supplier."""
     narrow = with_row_key(table(spark, sf_dir, "lineitem")).select("_row_id", snapshot_of("l_shipdate").alias("snap"))
-    return plan_envelopes(both(_lines(spark, sf_dir), F.to_json(game_entry()), F.to_json(store_item())), F.col("source"), "snap", "js",
-                          list_field=F.col("field"), per_envelope=per_envelope, narrow=both(narrow))
+    sources = {"rawg": ("results", game_entry()), "steam": ("featured_categories", store_item())}
+    return plan_envelopes(_lines(spark, sf_dir), sources, "snap", per_envelope=per_envelope, narrow=narrow)
 
 
 _WRITTEN: dict = {}
@@ -206,7 +204,7 @@ def written(spark: SparkSession, sf_dir: str, name: str, build) -> str:
 
 def store_document_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The store documents as landed: written once, read by every category query."""
-    path = written(spark, sf_dir, "store-documents", lambda p: store_documents(spark, sf_dir).write.parquet(p))
+    path = written(spark, sf_dir, "store-documents", lambda p: store_documents(spark, sf_dir).write.option("compression", COMPRESSION).parquet(p))
     return spark.read.parquet(path)
 
 
@@ -216,7 +214,7 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     scratch root; each table is a partition-pruned read of that dataset."""
     def build(path: str) -> None:
         use_unshredded_variants(spark)
-        (raw_from_envelopes(both_envelopes(spark, sf_dir).bodies()).write.mode("errorifexists")
+        (raw_from_envelopes(both_envelopes(spark, sf_dir).bodies()).write.mode("errorifexists").options(**RAW_OPTIONS)
          .partitionBy("source", "extract_date").parquet(path))
 
     path = written(spark, sf_dir, "raw", build)

@@ -19,6 +19,11 @@ RAW_TABLE_DDL = {
     "steam_games_raw": "source string, s3_key string, extracted_at timestamp_ntz, payload variant, loaded_at timestamp_ntz",
     "raw_load_audit": "source string, s3_key string, target_table string, rows_loaded bigint, status string, loaded_at timestamp_ntz",
 }
+#: Payloads repeat their field names and most values: about half the bytes of the default codec.
+COMPRESSION = "zstd"
+#: Options of a write of envelopes.  The reader takes up to 4,096 rows at once, and as many of them as fit a
+#: compressed row group may be large, so a file holds some tens of MB of payloads.
+RAW_OPTIONS = {"compression": COMPRESSION, "maxRecordsPerFile": 512}
 NAMESPACES = ["raw", "staging", "mart"]
 
 
