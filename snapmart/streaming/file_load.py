@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapmart.session import use_unshredded_variants
+from snapmart.sources.catalog import RAW_OPTIONS
 from snapmart.sources.jsonscan import scan_keys, to_raw
 from snapmart.sources.landing import KEY_SCHEMA, KEYS, landed_keys
 
@@ -41,7 +42,7 @@ def load_stream(spark: SparkSession, landing_root: str, raw_root: str, checkpoin
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         raw = to_raw(batch, source=source, loaded_at=loaded_at, root=landing_root)
         use_unshredded_variants(batch.sparkSession)
-        raw.write.mode("overwrite").parquet(f"{raw_root}/batch={batch_id}")
+        raw.write.mode("overwrite").options(**RAW_OPTIONS).parquet(f"{raw_root}/batch={batch_id}")
 
     stream = landing_stream(spark, landing_root, multi_line=multi_line)
     if source is not None:
@@ -66,7 +67,7 @@ def load_keys_stream(spark: SparkSession, landing_root: str, raw_root: str, chec
         keys = landed_keys(batch.sparkSession, landing_root).join(batch.distinct(), "s3_key", "left_semi")
         use_unshredded_variants(batch.sparkSession)
         raw = to_raw(scan_keys(batch.sparkSession, landing_root, keys), key_col="s3_key", loaded_at=loaded_at)
-        raw.write.mode("overwrite").parquet(f"{raw_root}/batch={batch_id}")
+        raw.write.mode("overwrite").options(**RAW_OPTIONS).parquet(f"{raw_root}/batch={batch_id}")
 
     q = (new.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()

@@ -48,6 +48,24 @@ def test_tasks_that_build_envelopes_grow_with_the_rows(spark, monkeypatch):
     assert sorted(r.body for r in few.collect()) == sorted(r.body for r in many.collect())
 
 
+def test_sources_of_the_same_rows_hold_the_same_entries(spark, monkeypatch):
+    monkeypatch.setattr(envelope, "ROWS_PER_TASK", 100)
+    sources = {"rawg": ("results", F.struct(F.col("k").alias("id"), "name")), "steam": ("featured_categories", F.struct(F.col("k").alias("id"), "snap"))}
+    plan = envelope.plan_envelopes(_entries(spark), sources, "snap", per_envelope=20)
+    single = envelope.plan_envelopes(_entries(spark).withColumn("entry", F.struct(F.col("k").alias("id"), "name")), "rawg", "snap", "entry", per_envelope=20)
+    bodies = plan.bodies().collect()
+    assert {(r.envelope_no, r.body) for r in bodies if r.source == "rawg"} == {(r.envelope_no, r.body) for r in single.bodies().collect()}
+    assert {(r.source, r.extracted_at, r.envelope_no) for r in bodies} == {(r.source, r.extracted_at, r.envelope_no) for r in plan.keys().collect()}
+    root = fresh_dir(spark, "landing")
+    landing.land(plan, root)
+    assert {r.upload_status for r in landing.land(plan, root).collect()} == {"skipped_existing"}
+    n = F.size(F.coalesce(F.variant_get("payload", "$.payload.results", "array<variant>"), F.variant_get("payload", "$.payload.featured_categories", "array<variant>")))
+    got = jsonscan.scan_keys(spark, root, landing.landed_keys(spark, root)).groupBy("source").agg(F.sum(n).alias("n")).collect()
+    assert {r.source: r.n for r in got} == {"rawg": 900, "steam": 900}
+    files = glob.glob(f"{root.removeprefix('file:')}/{landing.DATA}/**/part-*", recursive=True)
+    assert files and all(f.endswith(".gz") for f in files)
+
+
 def test_raw_rows_are_written_compressed(spark):
     world.raw_tables(spark, SF)
     path = world.written(spark, SF, "raw", None).removeprefix("file:")
