@@ -11,8 +11,8 @@ from snapmart.functions import iso_date
 from snapmart.functions.variant import as_double, as_number, as_string
 from snapmart.operators.flatten import flatten
 from snapmart.plans import marts, oracle, staging, world
-from snapmart.session import fresh_dir
-from snapmart.sources import category, jsonscan, landing
+from snapmart.session import fresh_dir, use_unshredded_variants
+from snapmart.sources import catalog, category, jsonscan, landing
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -298,9 +298,10 @@ def q_category_head_n(spark, sf_dir):
 @register("store_pipeline")
 def q_store_pipeline(spark, sf_dir):
     """Store document → cursor → head-N with its total → envelope → raw → staged offers."""
-    from snapmart.sources.envelope import build_envelopes
-    docs = world.store_document_table(spark, sf_dir)
+    from snapmart.sources.envelope import build_envelopes, tasks_for
     keep = ["extracted_at", "doc_no"]
+    # dealt by document while it is one text: its items are then ranked where they are taken out of it
+    docs = world.store_document_table(spark, sf_dir).repartition(tasks_for(spark, world.table(spark, sf_dir, "lineitem").count()), *keep)
     items = category.after_cursor(category.flatten_categories(docs, "doc", keep=keep), oracle.CURSOR)
     head = category.head_with_total(items, keep, [F.col("cat_pos"), F.col("item_pos")], oracle.STORE_HEAD)
     fields = F.to_json("item")
@@ -308,12 +309,21 @@ def q_store_pipeline(spark, sf_dir):
         F.to_json(F.struct("category_key", "category_name")), "^\\{", ""))
     rows = head.select("extracted_at", F.xxhash64("doc_no", "cat_pos", "item_pos").alias("_row_id"), entry.alias("entry"),
                        "total_available", F.struct("doc_no", "item_rank").alias("place"))
-    env = build_envelopes(rows, "steam", "extracted_at", "entry", list_field="featured_categories", order_col="place",
+    # the head is read twice (envelopes counted, then built) and so is the raw table (newest time, then its rows)
+    env = build_envelopes(_stored(rows, "store-head", {"compression": catalog.COMPRESSION}), "steam", "extracted_at", "entry", list_field="featured_categories", order_col="place",
                           extra={"total_available": F.col("total_available")})
-    raw = world.raw_from_envelopes(env)
+    raw = _stored(world.raw_from_envelopes(env), "store-raw", catalog.RAW_OPTIONS)
     return staging.stg_steam_featured_games(raw.drop("extract_date"))
 
 
+def _stored(df: DataFrame, tag: str, options: dict) -> DataFrame:
+    """``df`` written below the scratch root and read again."""
+    path = fresh_dir(df.sparkSession, tag)
+    use_unshredded_variants(df.sparkSession)
+    df.write.options(**options).parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 # ------------------------------------------------------- projections (P, F)
 
 @register("json_extract")
@@ -555,10 +565,7 @@ def _models(spark, sf_dir):
     """Models after the runs: staging as views, marts read as the tables they were written to."""
     from snapmart.plans.run import build_models
     raw = world.raw_tables(spark, sf_dir)
-    models = build_models(raw["rawg"], raw["steam"], world.audit_log(spark, sf_dir), history=True)
-    models["mart_games"] = written_mart(spark, sf_dir)
-    models["mart_top_rated_games"] = marts.mart_top_rated_games(models["mart_games"])
-    return models
+    return build_models(raw["rawg"], raw["steam"], world.audit_log(spark, sf_dir), mart=written_mart(spark, sf_dir))
 
 
 @register("dq_not_null")

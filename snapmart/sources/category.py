@@ -10,6 +10,8 @@ which returns keys sorted.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -92,12 +94,14 @@ def head_with_total(items: DataFrame, doc_keys: list[str], order: list[Column],
                     totals: DataFrame | None = None) -> DataFrame:
     """First ``limit`` items per document in order, with the pre-cut total.
 
-    The top-N runs as a ``WindowGroupLimit`` (partial per task, then final).  The
-    total comes from ``totals`` (``doc_keys`` and ``total_available``, for instance
-    from ``item_count``) or, without it, from a grouped count of the items.
+    Without ``totals`` (``doc_keys`` and ``total_available``, for instance from
+    ``item_count``) a document's items are counted in the sort that ranks them: one pass
+    over the items, one shuffle.  Documents with a NULL key are left out, as by a join with totals.
     """
     from snapmart.operators.dedup import keep_top
     if totals is None:
-        totals = items.groupBy(*doc_keys).agg(F.count(F.lit(1)).alias("total_available"))
+        whole = items.where(reduce(Column.__and__, [F.col(k).isNotNull() for k in doc_keys]))
+        counted = whole.withColumn("total_available", F.count(F.lit(1)).over(Window.partitionBy(*doc_keys)))
+        return keep_top(counted, doc_keys, order, limit, rank_col="item_rank")
     head = keep_top(items, doc_keys, order, limit, rank_col="item_rank")
     return head.join(totals, on=doc_keys, how="inner")

@@ -81,3 +81,16 @@ def _raw(spark):
     return (spark.createDataFrame(bodies, "s3_key string, t string, body string")
             .select(F.lit("rawg").alias("source"), "s3_key", F.to_timestamp_ntz(F.regexp_replace("t", "Z$", "")).alias("extracted_at"),
                     F.parse_json("body").alias("payload"), F.lit("2026-05-01").cast("timestamp_ntz").alias("loaded_at")))
+
+
+def test_a_head_and_its_total_take_one_pass(spark):
+    items = spark.createDataFrame([(1, 0, "a"), (1, 1, "b"), (2, 0, "c"), (None, 0, "d"), (1, 2, "e")], "doc_no int, p int, item string")
+    head = category.head_with_total(items, ["doc_no"], [F.col("p")], 2)
+    assert sorted((r.doc_no, r.item, r.item_rank, r.total_available) for r in head.collect()) == [(1, "a", 1, 3), (1, "b", 2, 3), (2, "c", 1, 1)]
+    plan = head._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") == 1 and "Join" not in plan
+
+
+def test_the_store_pipeline_stages_what_it_stored(spark):
+    plan = queries.REGISTRY["store_pipeline"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json" not in plan and "collect_list" not in plan and "parse_json" not in plan
