@@ -41,13 +41,10 @@ def game_staging_not_null(raw_rawg: DataFrame) -> DataFrame:
     """
     from pyspark.sql import functions as F
 
-    from snapmart.functions.variant import as_string
     from snapmart.plans.marts import game_entities
 
-    e = game_entities(raw_rawg, per_snapshot=False)
-    kind, gid = F.col("kind"), F.col("rawg_game_id")
-    name = (F.when(kind == 0, as_string("v", "$.name")).when(kind == 1, as_string("v", "$.name"))
-            .otherwise(as_string("v", "$.platform.name")))
+    e = game_entities(raw_rawg, per_snapshot=False, with_fields=False)
+    kind, gid, name = F.col("kind"), F.col("rawg_game_id"), F.col("name")
     counts = e.agg(*[F.count_if((kind == k) & c.isNull()).cast("bigint").alias(f"{m}|{col}")
                      for k, m, col, c in [(0, "stg_rawg_games", "rawg_game_id", gid),
                                           (0, "stg_rawg_games", "game_name", name),

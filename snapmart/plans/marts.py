@@ -10,7 +10,7 @@ outputs the way the incremental merge accumulates them run after run;
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from snapmart.functions.ordering import asc_nulls_last, desc_nulls_first
@@ -133,24 +133,17 @@ def games_fused(raw_rawg: DataFrame, per_snapshot: bool = True, fold_first: bool
     ``fold_first`` keeps only the entries of each game's last run before anything is
     exploded: what the merges of all runs leave, at the cost of one run's entries.
     """
-    from snapmart.functions.variant import as_bool, as_date, as_double, as_number, as_string
-
     dedup = game_entities(raw_rawg, per_snapshot, fold_first)
     dedup = dedup.where((F.col("kind") == 0) | F.col("rawg_game_id").isNotNull())
     is_game = F.col("kind") == 0
-    game = F.struct(
-        as_string("v", "$.slug").alias("slug"), as_string("v", "$.name").alias("game_name"),
-        as_date("v", "$.released").alias("released_date"), as_bool("v", "$.tba").alias("is_tba"),
-        as_double("v", "$.rating").alias("rating"), as_number("v", "$.ratings_count").alias("ratings_count"),
-        as_number("v", "$.reviews_count").alias("reviews_count"),
-        as_number("v", "$.metacritic").alias("metacritic_score"), as_number("v", "$.added").alias("added_count"),
-        as_number("v", "$.playtime").alias("playtime_hours"))
+    slug, *rest = [F.col(f"game.{c}") for c in GAME_FIELDS]
+    game = F.struct(slug, F.col("name").alias("game_name"), *rest)
     run = ["extracted_at"] if per_snapshot else []
     agg = dedup.groupBy(*run, "rawg_game_id").agg(
         F.max(F.when(is_game, game)).alias("g"),
         F.max(F.when(is_game, F.col("extracted_at"))).alias("extracted_at_utc"),
-        F.array_sort(F.collect_set(F.when(F.col("kind") == 1, as_string("v", "$.name")))).alias("genre_set"),
-        F.array_sort(F.collect_set(F.when(F.col("kind") == 2, as_string("v", "$.platform.name")))).alias("_plats"),
+        F.array_sort(F.collect_set(F.when(F.col("kind") == 1, F.col("name")))).alias("genre_set"),
+        F.array_sort(F.collect_set(F.when(F.col("kind") == 2, F.col("name")))).alias("_plats"),
         F.max(F.col("kind") == 1).alias("_has_genre"), F.max(F.col("kind") == 2).alias("_has_plat"))
     return agg.where(F.col("g").isNotNull()).select(
         "rawg_game_id", "g.*", "extracted_at_utc",
@@ -189,38 +182,77 @@ def accumulated_games_fused(raw_rawg: DataFrame, raw_steam: DataFrame) -> DataFr
                             fold_first=True, times=raw_store_times(raw_rawg, raw_steam))
 
 
-def game_entities(raw_rawg: DataFrame, per_snapshot: bool = True, fold_first: bool = False) -> DataFrame:
+#: Games that are gone from the newest run and are sent to every task; beyond that their join shuffles.
+MANY_GAMES = 500_000
+
+
+def last_run_entries(raw_rawg: DataFrame, flat: DataFrame) -> DataFrame:
+    """The entries of each game's last run; games without an id are merged anew by every run, so each run keeps its own.
+
+    An entry of the newest run (a NULL time is the newest) stays as it is, so only the games that are gone from it must
+    be known: they are found from ids and times alone, and no entry is sorted or shuffled for
+    it, unless these games are very many.
+    """
+    from snapmart.session import fresh_dir
+
+    spark, t = flat.sparkSession, F.col("extracted_at")
+    first, newest, timeless = raw_rawg.agg(F.min(t).cast("string"), F.max(t).cast("string"), F.count_if(t.isNull())).first()
+    if newest is None or (first == newest and not timeless):
+        return flat
+    ids = flat.where(F.col("rawg_game_id").isNotNull()).select(F.col("rawg_game_id").alias("_id"), "extracted_at")
+    last = ids.groupBy("_id").agg(F.max(t).alias("_last"), F.count_if(t.isNull()).alias("_timeless"))
+    at = F.lit(None if timeless else newest).cast("timestamp_ntz")
+    path = fresh_dir(spark, "gone-games")
+    last.where((F.col("_timeless") == 0) & ~F.col("_last").eqNullSafe(at)).select("_id", "_last").write.parquet(path)
+    gone = spark.read.parquet(path)
+    known = flat.join(F.broadcast(gone) if gone.count() <= MANY_GAMES else gone, (F.col("rawg_game_id") == F.col("_id")) & (t == F.col("_last")), "left")
+    return known.where(t.eqNullSafe(at) | F.col("rawg_game_id").isNull() | F.col("_id").isNotNull()).drop("_id", "_last")
+
+
+#: A game's typed fields, beside its id and name.
+GAME_FIELDS = {"slug": "string", "released_date": "date", "is_tba": "boolean", "rating": "double", "ratings_count": "bigint", "reviews_count": "bigint",
+               "metacritic_score": "bigint", "added_count": "bigint", "playtime_hours": "bigint"}
+
+
+def game_entities(raw_rawg: DataFrame, per_snapshot: bool = True, fold_first: bool = False, with_fields: bool = True) -> DataFrame:
     """Each game entry exploded once into the game (kind 0), its genres (kind 1)
     and its platforms (kind 2), deduplicated with the three staging models' keys
     (kind, [run,] game, child id) in one window.  Rows: extracted_at, kind,
-    rawg_game_id, child_id, v (the entity's VARIANT)."""
-    from snapmart.functions.variant import as_number, vpath
+    rawg_game_id, child_id, name (the entity's) and, with ``with_fields``, game (kind 0's other fields).
+
+    Entities are typed before they are sorted and shuffled, as in the staging models: a VARIANT
+    that is taken out of a payload carries the payload's whole list of field names."""
+    from snapmart.functions.variant import as_bool, as_date, as_double, as_number, as_string, vpath
     from snapmart.operators.dedup import keep_first
     from snapmart.plans import staging
 
     flat = staging.flattened_games(raw_rawg, per_snapshot).withColumn("rawg_game_id", as_number("game", "$.id"))
     if fold_first:
-        # a game's last run; games without an id are merged anew by every run, so each run keeps its own
-        gid = F.col("rawg_game_id")
-        last = Window.partitionBy(gid, F.when(gid.isNull(), F.col("extracted_at"))).orderBy(F.col("extracted_at").desc_nulls_first())
-        flat = flat.withColumn("_run", F.rank().over(last)).where("_run = 1").drop("_run")
+        flat = last_run_entries(raw_rawg, flat)
+
+    def entity(kind: int, pos: Column, child_id: Column, name: Column, game: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), pos.alias("cpos"), child_id.alias("child_id"), name.alias("name"), *[game.alias("game")] * with_fields)
 
-    def kids(path: str, kind: int):
+    no_game = F.lit(None).cast(f"struct<{','.join(f'{c}:{t}' for c, t in GAME_FIELDS.items())}>")
+
+    def kids(path: str, kind: int, inner: str):
         # like variant_explode: an array gives its elements, an object its values, anything else nothing
         arr = F.coalesce(vpath("game", path, "array<variant>", strict=False),
                          F.map_values(vpath("game", path, "map<string,variant>", strict=False)),
                          F.array().cast("array<variant>"))
-        return F.transform(arr, lambda x, i: F.struct(F.lit(kind).alias("kind"), i.alias("cpos"), x.alias("v")))
-
-    me = F.array(F.struct(F.lit(0).alias("kind"), F.lit(0).alias("cpos"), F.col("game").alias("v")))
+        return F.transform(arr, lambda x, i: entity(kind, i, as_number(x, f"{inner}.id"), as_string(x, f"{inner}.name"), no_game))
+
+    fields = F.struct(
+        as_string("game", "$.slug").alias("slug"), as_date("game", "$.released").alias("released_date"),
+        as_bool("game", "$.tba").alias("is_tba"), as_double("game", "$.rating").alias("rating"),
+        as_number("game", "$.ratings_count").alias("ratings_count"), as_number("game", "$.reviews_count").alias("reviews_count"),
+        as_number("game", "$.metacritic").alias("metacritic_score"), as_number("game", "$.added").alias("added_count"),
+        as_number("game", "$.playtime").alias("playtime_hours"))
+    me = F.array(entity(0, F.lit(0), F.lit(None).cast("bigint"), as_string("game", "$.name"), fields))
     rows = flat.select("extracted_at", "loaded_at", "s3_key", "game_pos", "rawg_game_id",
-                       F.explode(F.concat(me, kids("$.genres", 1), kids("$.platforms", 2))).alias("c"))
-    kind, v = F.col("c.kind"), F.col("c.v")
-    child_id = (F.when(kind == 1, as_number(v, "$.id")).when(kind == 2, as_number(v, "$.platform.id")))
-    rows = rows.select("extracted_at", "loaded_at", "s3_key", "game_pos", "rawg_game_id", kind.alias("kind"),
-                       F.col("c.cpos").alias("cpos"), child_id.alias("child_id"), v.alias("v"))
+                       F.explode(F.concat(me, kids("$.genres", 1, "$"), kids("$.platforms", 2, "$.platform"))).alias("c"))
+    rows = rows.select("extracted_at", "loaded_at", "s3_key", "game_pos", "rawg_game_id", "c.*")
     keys = (["extracted_at"] if per_snapshot else []) + ["kind", "rawg_game_id", "child_id"]
     order = [F.col("extracted_at").desc_nulls_first(), F.col("loaded_at").desc_nulls_first(),
              asc_nulls_last("s3_key"), asc_nulls_last("game_pos"), asc_nulls_last("cpos")]
     return keep_first(rows, keys, order)
-
