@@ -182,16 +182,12 @@ def accumulated_games_fused(raw_rawg: DataFrame, raw_steam: DataFrame) -> DataFr
                             fold_first=True, times=raw_store_times(raw_rawg, raw_steam))
 
 
-#: Games that are gone from the newest run and are sent to every task; beyond that their join shuffles.
-MANY_GAMES = 500_000
-
-
 def last_run_entries(raw_rawg: DataFrame, flat: DataFrame) -> DataFrame:
     """The entries of each game's last run; games without an id are merged anew by every run, so each run keeps its own.
 
     An entry of the newest run (a NULL time is the newest) stays as it is, so only the games that are gone from it must
-    be known: they are found from ids and times alone, and no entry is sorted or shuffled for
-    it, unless these games are very many.
+    be known: they are found from ids and times alone and written, so that their size is known when the join
+    is planned, and no entry is sorted or shuffled for it unless they exceed the session's limit for broadcasts.
     """
     from snapmart.session import fresh_dir
 
@@ -205,7 +201,7 @@ def last_run_entries(raw_rawg: DataFrame, flat: DataFrame) -> DataFrame:
     path = fresh_dir(spark, "gone-games")
     last.where((F.col("_timeless") == 0) & ~F.col("_last").eqNullSafe(at)).select("_id", "_last").write.parquet(path)
     gone = spark.read.parquet(path)
-    known = flat.join(F.broadcast(gone) if gone.count() <= MANY_GAMES else gone, (F.col("rawg_game_id") == F.col("_id")) & (t == F.col("_last")), "left")
+    known = flat.join(gone, (F.col("rawg_game_id") == F.col("_id")) & (t == F.col("_last")), "left")
     return known.where(t.eqNullSafe(at) | F.col("rawg_game_id").isNull() | F.col("_id").isNotNull()).drop("_id", "_last")
 
 

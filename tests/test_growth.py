@@ -83,17 +83,20 @@ def _raw(spark):
                     F.parse_json("body").alias("payload"), F.lit("2026-05-01").cast("timestamp_ntz").alias("loaded_at")))
 
 
-def test_last_runs_are_found_without_moving_entries(spark, monkeypatch):
+def test_last_runs_are_found_without_moving_entries(spark):
     raw = _raw(spark)
     timeless = raw.unionByName(raw.where("s3_key = 'a'").withColumns({"s3_key": F.lit("n"), "extracted_at": F.lit(None).cast("timestamp_ntz")}))
     gid = F.variant_get("game", "$.id", "bigint")
     seen = lambda r: sorted((x.s3_key, x.id or 0) for x in marts.last_run_entries(
         r, staging.flattened_games(r, True).withColumn("rawg_game_id", gid)).select("s3_key", F.col("rawg_game_id").alias("id")).collect())
-    for most in (marts.MANY_GAMES, 0):
-        monkeypatch.setattr(marts, "MANY_GAMES", most)
+    plan = marts.game_entities(raw, fold_first=True)._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan and "rank(" not in plan
+    for most in ("10m", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
         assert seen(raw) == [("a", 0), ("a", 1), ("a", 3), ("b", 0), ("b", 0), ("b", 2), ("c", 2), ("c", 4)]
         assert seen(timeless) == [("a", 0), ("b", 0), ("b", 0), ("c", 4), ("n", 0), ("n", 1), ("n", 2), ("n", 3)]
         assert seen(raw.limit(0)) == [] and len(seen(raw.where("s3_key = 'a'"))) == 4
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     games = {r.rawg_game_id: r.genres for r in marts.games_fused(raw, fold_first=True).where("rawg_game_id is not null").collect()}
     assert games == {1: "x1", 2: "late", 3: "x3", 4: "x4"}
 
