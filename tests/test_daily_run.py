@@ -150,3 +150,45 @@ def test_a_root_with_landed_keys_and_plain_files_loads_both(spark):
         assert audit(backfill) == [(path, status, 1)]
     assert jsonscan.load_key(spark, landing, key).count() == 1
     assert jsonscan.load_key(spark, landing, f"raw/{path}").count() == 0
+
+
+def test_a_run_takes_its_payloads_apart_once(spark):
+    from pyspark.sql import functions as F
+    from snapmart.plans import checks
+    from snapmart.plans.run import build_models, stage
+    odd = {"results": [
+        *fx.GAMES_B, {"id": None, "name": "No id", "platforms": [{"platform": {"id": None, "name": None}, "released_at": "2020-01-01"}]},
+        {"id": 7, "name": None, "genres": {"b": {"id": 9, "name": "Object"}, "a": {"id": 9, "name": "First"}}, "platforms": "none"},
+        {"id": 7, "name": "Later", "genres": [{"id": 8, "name": None}],
+         "platforms": [{"platform": {"id": 4, "name": "PC"}}, {"platform": {"id": 4, "name": "PC 2"}, "released_at": "2022-02-02"}]}]}
+    rawg = fx.raw_table(spark, [("rawg", key, fx.envelope("rawg", at, body), "2026-04-01 10:00:00") for key, at, body in (
+        ("a.json", fx.SNAP_A, {"results": fx.GAMES_A}), ("b.json", fx.SNAP_B, odd), ("c.json", fx.SNAP_B, {"results": fx.GAMES_B[::-1]}))])
+    steam = fx.steam_raw(spark)
+    staged = stage(rawg, steam)
+    by_views = build_models(rawg, steam, fx.audit(spark), history=False)
+    by_stage = build_models(rawg, steam, fx.audit(spark), history=False, staged=staged)
+
+    def rows(df):
+        return sorted(map(str, df.collect()))
+
+    def opens_payloads(df):
+        return "payload" in df._jdf.queryExecution().optimizedPlan().toString()
+
+    for mart in ("mart_games", "mart_platform_coverage", "mart_top_rated_games"):
+        assert rows(by_stage[mart]) == rows(by_views[mart])
+        assert opens_payloads(by_views[mart]) and not opens_payloads(by_stage[mart])
+    assert by_stage["mart_games"].where("rawg_game_id = 7").select(F.col("genres"), F.col("platforms")).collect() == [("First", "PC")]
+    report = checks.all_checks({**by_stage, "stg_steam_featured_games": staged.offers}, rawg, entities=staged.entities)
+    assert not opens_payloads(report) and rows(report) == rows(checks.all_checks(by_views))
+
+
+def test_a_run_removes_its_staged_rows(spark):
+    import glob
+    from snapmart.plans.run import daily_run
+    from snapmart.session import fresh_dir, scratch_root
+    landing, wh = tempfile.mkdtemp(prefix="landing-"), fresh_dir(spark, "warehouse")
+    _land(landing, "rawg", "2026-04-01", "a.json", fx.envelope("rawg", fx.SNAP_B, {"results": fx.GAMES_B}))
+    before = glob.glob(f"{scratch_root(spark)}/staged-*")
+    out = daily_run(spark, landing, wh, "2026-04-01", loaded_at="2026-04-01 10:00:00")
+    assert glob.glob(f"{scratch_root(spark)}/staged-*") == before
+    assert all(df.count() >= 0 for df in out.values())
